@@ -1,0 +1,68 @@
+"""Partition sizes that follow the input size.
+
+The ingest stage shuffles whole rows once, and a hash aggregate cannot be split by
+adaptive execution afterwards, so its number of reducers has to be right beforehand:
+200 of them would get 500 GB each from 100 TB. Too many are merged again by adaptive
+execution, at no cost worth mentioning.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
+
+MiB = 1024**2
+
+REDUCER_BYTES = 256 * MiB
+MAX_REDUCERS = 32_768
+MAX_SPLITS = 100_000
+MAX_SPLIT_BYTES = 1024 * MiB
+
+SHUFFLE = "spark.sql.shuffle.partitions"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+def settings_for(input_bytes: int, reducers: int, split_bytes: int) -> dict[str, str]:
+    """Settings for one wide stage over this much input; never below the current ones.
+
+    Reducers aim at 256 MB of input each, up to a bound that keeps the number of shuffle
+    blocks (splits x reducers) within what the driver can track. Splits grow only beyond
+    100,000 of them.
+    """
+    wanted = math.ceil(input_bytes / REDUCER_BYTES)
+    split = min(math.ceil(input_bytes / MAX_SPLITS), MAX_SPLIT_BYTES)
+    return {
+        SHUFFLE: str(max(reducers, min(wanted, MAX_REDUCERS))),
+        SPLIT: str(max(split_bytes, split)),
+    }
+
+
+def _bytes(text: str) -> int:
+    """Bytes in a setting such as 134217728b, 128MB or 1g."""
+    digits = text.strip().lower().removesuffix("b")
+    shift = {"k": 10, "m": 20, "g": 30, "t": 40}.get(digits[-1:], 0)
+    return int(digits.rstrip("kmgt")) << shift
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Apply ``settings_for`` during a block, then restore the session's settings.
+
+    An initial partition number chosen by the user is left alone.
+    """
+    if spark.conf.get(INITIAL, None):
+        yield
+        return
+    before = {name: spark.conf.get(name) for name in (SHUFFLE, SPLIT)}
+    wanted = settings_for(input_bytes, int(before[SHUFFLE]), _bytes(before[SPLIT]))
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
