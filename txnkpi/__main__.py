@@ -10,6 +10,7 @@ import argparse
 import json
 import os
 
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from txnkpi.plans import daily
@@ -18,7 +19,8 @@ from txnkpi.session import create_session
 from txnkpi.sources import jdbc, tables
 
 
-def _arguments(argv: list[str] | None) -> argparse.Namespace:
+def arguments(argv: list[str] | None) -> argparse.Namespace:
+    """Parsed command line with every path the stage needs."""
     parser = argparse.ArgumentParser(prog="txnkpi", description=__doc__.splitlines()[0])
     parser.add_argument("stage", choices=["ingest", "transform", "publish", "run"])
     parser.add_argument("--raw", default=os.getenv("RAW_DATA_PATH"))
@@ -37,7 +39,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return args
 
 
-def _load_jdbc(spark, args: argparse.Namespace) -> None:
+def _load_jdbc(spark: SparkSession, args: argparse.Namespace) -> None:
     properties = {
         "user": args.jdbc_user or "",
         "password": os.getenv("BANKING_PASSWORD", ""),
@@ -49,19 +51,18 @@ def _load_jdbc(spark, args: argparse.Namespace) -> None:
         print(f"{kpi.name}: {'loaded' if loaded else 'empty, left as it was'}")
 
 
-def main(argv: list[str] | None = None) -> None:
-    """Command line entry point."""
-    args = _arguments(argv)
+def run_stage(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Run one stage and print what it reports."""
     schema = None
     if args.schema:
         with open(args.schema, encoding="utf-8") as file:
             schema = StructType.fromJson(json.load(file))
-    spark = create_session(f"txnkpi-{args.stage}")
     if args.stage == "ingest":
         print(daily.ingest(spark, args.raw, args.output, schema))
     elif args.stage == "transform":
         daily.transform(spark, args.output)
-        daily.check_kpis(spark, args.output).show(truncate=False)
+        for gate in (daily.check_clean, daily.check_kpis):
+            gate(spark, args.output).show(truncate=False)
     elif args.stage == "publish":
         for row in daily.publish(spark, args.output, args.target):
             print(*row)
@@ -73,7 +74,16 @@ def main(argv: list[str] | None = None) -> None:
         )
     if args.jdbc_url and args.stage in ("publish", "run"):
         _load_jdbc(spark, args)
-    spark.stop()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line entry point."""
+    args = arguments(argv)
+    spark = create_session(f"txnkpi-{args.stage}")
+    try:
+        run_stage(spark, args)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

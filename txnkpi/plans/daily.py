@@ -16,37 +16,40 @@ from txnkpi.operators.kpis import kpi_cells
 from txnkpi.plans.registry import REGISTRY
 from txnkpi.plans.scale import sized_for
 from txnkpi.sources import paths, published, tables
-from txnkpi.sources.raw_csv import read_raw
-
-SUMMARY_SCHEMA = "table string, mode string, rows bigint, version bigint"
+from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
 
 
 @dataclass
 class RunReport:
     """Counts, failed checks and published versions of one run."""
 
-    counts: dict[str, int]
+    counts: dict[str, int] = field(default_factory=dict)
     failed_checks: dict[str, list[str]] = field(default_factory=dict)
     published: list[tuple[str, str, int, int | None]] = field(default_factory=list)
 
 
 def ingest(
-    spark: SparkSession, raw_path: str, output: str, schema: StructType | None = None
+    spark: SparkSession, raw_path: str, output: str, schema: StructType | str | None = None
 ) -> dict[str, int]:
     """CSV to clean Parquet in one pass over the input; returns the row counts.
 
     The counts ride on the write, observed behind the shuffle where a task's figures
     count once even if it runs twice.
     """
-    found = paths.extent(spark, raw_path)
-    if not found.files:
-        raise FileNotFoundError(f"no raw transactions at {raw_path}")
+    found = source_extent(spark, raw_path)
     raw = read_raw(spark, raw_path, schema)
-    quality.enforce(quality.gate_source(raw.limit(1)), "source")
     with sized_for(spark, found.bytes):
         return write_clean(raw, output)
 
 
+def source_extent(spark: SparkSession, raw_path: str) -> paths.Extent:
+    """Files and bytes of the raw input; an error when there are none."""
+    found = paths.extent(spark, raw_path)
+    if not found.files:
+        raise FileNotFoundError(f"no raw transactions at {raw_path}")
+    return found
+
+
 def write_clean(raw: DataFrame, output: str) -> dict[str, int]:
     """Clean raw rows, write them and return the row counts."""
     seen = Observation("ingest")
@@ -61,12 +64,22 @@ def transform(spark: SparkSession, output: str) -> None:
     One scan makes the cells, written as a table since four KPIs and the gate read them;
     one filtered scan finds the top fraud amounts.
     """
+    found = paths.extent(spark, tables.clean_path(output))
     transactions = tables.read(spark, tables.clean_path(output))
-    tables.write(kpi_cells(transactions), tables.cells_path(output))
-    cells = tables.read(spark, tables.cells_path(output))
-    for kpi in REGISTRY.values():
-        df = kpi.build(cells, cells=True) if kpi.from_cells else kpi.build(transactions)
-        tables.write(df, tables.kpi_path(output, kpi.name))
+    with sized_for(spark, found.bytes, wide=False):
+        tables.write(kpi_cells(transactions), tables.cells_path(output))
+        cells = tables.read(spark, tables.cells_path(output))
+        for kpi in REGISTRY.values():
+            if kpi.from_cells:
+                df = kpi.build(cells, cells=True)
+            else:
+                df = kpi.build(transactions)
+            tables.write(df, tables.kpi_path(output, kpi.name))
+
+
+def check_source(raw: DataFrame) -> DataFrame:
+    """Gate over the raw input that reads a single row: the counts come with ``ingest``."""
+    return quality.gate_source(raw.limit(1))
 
 
 def check_clean(spark: SparkSession, output: str) -> DataFrame:
@@ -127,16 +140,27 @@ def run_pipeline(
     raw_path: str,
     output: str,
     root: str,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     strict: bool = False,
 ) -> RunReport:
-    """The whole daily run. ``strict`` stops at the first failed check."""
-    report = RunReport(ingest(spark, raw_path, output, schema))
-    transform(spark, output)
-    gates = {"clean": check_clean(spark, output), "kpis": check_kpis(spark, output)}
-    for gate, frame in gates.items():
+    """The whole daily run. ``strict`` stops at the first failed check.
+
+    Without it checks are reported only. A source that is absent or lacks a required
+    column ends the run either way.
+    """
+    report = RunReport()
+
+    def gate(name: str, frame: DataFrame) -> None:
         if strict:
-            quality.enforce(frame, gate)
-        report.failed_checks[gate] = [] if strict else quality.failed(frame)
+            quality.enforce(frame, name)
+        report.failed_checks[name] = quality.failed(frame)
+
+    source_extent(spark, raw_path)
+    schema = schema or infer_raw_schema(spark, raw_path)
+    gate("source", check_source(read_raw(spark, raw_path, schema)))
+    report.counts = ingest(spark, raw_path, output, schema)
+    transform(spark, output)
+    gate("clean", check_clean(spark, output))
+    gate("kpis", check_kpis(spark, output))
     report.published = publish(spark, output, root)
     return report

@@ -154,17 +154,19 @@ def _suite(clean: str) -> str:
     )
 
 
-def _conform(name: str, clean: str) -> str:
-    return (
-        "select * replace (cast(nb_transactions as integer) as nb_transactions"
-        + (", cast(nb_fraud as integer) as nb_fraud" if name in NARROW_FRAUD else "")
-        + f") from ({_kpi(name, clean)})"
-        if name != "kpi_top_fraud_amounts"
-        else _kpi(name, clean)
-    )
+def _narrow(kpi: str, counts: tuple[str, ...] = ("nb_transactions", "nb_fraud")) -> str:
+    """A KPI with its counts as 32-bit integers."""
+    narrowed = ", ".join(f"cast({c} as integer) as {c}" for c in counts)
+    return f"select * replace ({narrowed}) from ({kpi})"
 
 
-NARROW_FRAUD = ("kpi_global", "kpi_by_hour", "kpi_by_amount_category")
+def _conform(name: str, clean: str) -> str:
+    kpi = _kpi(name, clean)
+    if name == "kpi_top_fraud_amounts":
+        return kpi
+    if name == "kpi_fraud_vs_normal":
+        return _narrow(kpi, ("nb_transactions",))
+    return _narrow(kpi)
 
 
 def _upsert(name: str, old: str, new: str) -> str:
@@ -263,6 +265,8 @@ def oracle_sql() -> dict[str, str]:
     dated = CLEAN["events_dated"]
     found = {
         "csv_ingest": wide,
+        "csv_ingest_inferred": "select * replace (cast(user_id as integer) as user_id) "
+        f"from ({wide})",
         "csv_ingest_report": _report(RAW["events_gaps"]),
         "clean_roundtrip": wide,
         "kpi_roundtrip": _kpi("kpi_by_hour", CLEAN["lineitem"]),
@@ -303,4 +307,6 @@ def oracle_sql() -> dict[str, str]:
         found["kpi_suite" + suffix] = _suite(CLEAN[binding])
     for name in [*KPI_FIGURES, "kpi_top_fraud_amounts"]:
         found[f"conform_{name}"] = _conform(name, CLEAN["events"])
+    for name in ("kpi_daily", "kpi_by_category"):
+        found[f"conform_{name}"] = _narrow(found[name])
     return found

@@ -12,7 +12,7 @@ from txnkpi.operators.conforming import conform
 from txnkpi.operators.publishing import refresh, upsert
 from txnkpi.plans import bindings as b
 from txnkpi.plans import daily
-from txnkpi.plans.registry import REGISTRY
+from txnkpi.plans.registry import DECLARED_ONLY, REGISTRY
 from txnkpi.sources import paths, published, tables
 from txnkpi.sources.raw_csv import read_raw
 
@@ -39,10 +39,16 @@ def _buckets(raw: DataFrame) -> DataFrame:
     )
 
 
-def _csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    path = paths.scratch(spark, "raw")
-    b.events_wide(spark, folder).write.csv(path, header=True)
-    return cleaning.clean(read_raw(spark, path))
+WIDE_SCHEMA = "Time double, Amount double, Class double, user_id bigint, event_type string"
+
+
+def _csv_ingest(schema: str | None) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = paths.scratch(spark, "raw")
+        b.events_wide(spark, folder).write.csv(path, header=True)
+        return cleaning.clean(read_raw(spark, path, schema))
+
+    return query
 
 
 def _csv_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,10 +126,16 @@ def _conform(name: str) -> Query:
     return _clean_query(b.events, lambda df: conform(kpi.build(df), kpi.schema, strict=True))
 
 
+def _conform_declared(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    schema = DECLARED_ONLY[name]
+    return _clean_query(b.events_dated, lambda df: conform(build(df), schema, strict=True))
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     found: dict[str, Query] = {
-        "csv_ingest": _csv_ingest,
+        "csv_ingest": _csv_ingest(WIDE_SCHEMA),
+        "csv_ingest_inferred": _csv_ingest(None),
         "csv_ingest_report": _csv_report,
         "clean_roundtrip": _clean_roundtrip,
         "kpi_roundtrip": _kpi_roundtrip,
@@ -166,6 +178,8 @@ def queries() -> dict[str, Query]:
         found["kpi_suite" + suffix] = _clean_query(binding, kpis.kpi_suite)
     for name in REGISTRY:
         found[f"conform_{name}"] = _conform(name)
+    for build in (kpis.kpi_daily, kpis.kpi_by_category):
+        found[f"conform_{build.__name__}"] = _conform_declared(build.__name__, build)
     return found
 
 

@@ -26,6 +26,8 @@ _TYPES = {
     "amount_category": StringType(),
     "category": StringType(),
     "is_fraud": IntegerType(),
+    "merchant": StringType(),
+    "state": StringType(),
     "nb_transactions": LongType(),
     "total_amount": DoubleType(),
     "avg_amount": DoubleType(),
@@ -91,6 +93,9 @@ REGISTRY: dict[str, Kpi] = {
 
 # Declared, but not part of the daily run: their input has dates and categories.
 DECLARED_ONLY = {
+    "transactions": table_schema(
+        "trans_date", "category", "amount", "is_fraud", "merchant", "state"
+    ),
     "kpi_daily": table_schema(
         "trans_date", "nb_transactions", "total_amount", "nb_fraud", "fraud_rate"
     ),

@@ -26,14 +26,16 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
-def settings_for(input_bytes: int, reducers: int, split_bytes: int) -> dict[str, str]:
-    """Settings for one wide stage over this much input; never below the current ones.
+def settings_for(
+    input_bytes: int, reducers: int, split_bytes: int, wide: bool = True
+) -> dict[str, str]:
+    """Settings for a stage over this much input; never below the current ones.
 
-    Reducers aim at 256 MB of input each, up to a bound that keeps the number of shuffle
-    blocks (splits x reducers) within what the driver can track. Splits grow only beyond
-    100,000 of them.
+    Reducers of a wide stage, one that shuffles whole rows, aim at 256 MB of input each,
+    up to a bound that keeps the number of shuffle blocks (splits x reducers) within what
+    the driver can track. Splits grow only beyond 100,000 of them.
     """
-    wanted = math.ceil(input_bytes / REDUCER_BYTES)
+    wanted = math.ceil(input_bytes / REDUCER_BYTES) if wide else 0
     split = min(math.ceil(input_bytes / MAX_SPLITS), MAX_SPLIT_BYTES)
     return {
         SHUFFLE: str(max(reducers, min(wanted, MAX_REDUCERS))),
@@ -49,7 +51,7 @@ def _bytes(text: str) -> int:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+def sized_for(spark: SparkSession, input_bytes: int, wide: bool = True) -> Iterator[None]:
     """Apply ``settings_for`` during a block, then restore the session's settings.
 
     An initial partition number chosen by the user is left alone.
@@ -58,7 +60,8 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
         yield
         return
     before = {name: spark.conf.get(name) for name in (SHUFFLE, SPLIT)}
-    wanted = settings_for(input_bytes, int(before[SHUFFLE]), _bytes(before[SPLIT]))
+    reducers, split = int(before[SHUFFLE]), _bytes(before[SPLIT])
+    wanted = settings_for(input_bytes, reducers, split, wide)
     try:
         for name, value in wanted.items():
             spark.conf.set(name, value)

@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     StringType,
+    StructField,
     StructType,
 )
 
@@ -24,15 +25,23 @@ SQL_TYPES = {
     IntegerType(): "INTEGER",
     LongType(): "BIGINT",
     DoubleType(): "FLOAT",
-    StringType(): "VARCHAR(20)",
+    StringType(): "VARCHAR",
     DateType(): "DATE",
 }
 
+# Widths of the text columns.
+WIDTHS = {"amount_category": 20, "category": 100, "merchant": 200, "state": 10}
+
+
+def _sql_type(field: StructField) -> str:
+    width = WIDTHS.get(field.name)
+    return SQL_TYPES[field.dataType] + (f"({width})" if width else "")
+
 
 def create_table_sql(table: str, schema: StructType, key: str | None = None) -> str:
     """CREATE TABLE for a KPI; the key column becomes the primary key."""
     columns = [
-        f"{f.name} {SQL_TYPES[f.dataType]}" + (" PRIMARY KEY" if f.name == key else "")
+        f"{f.name} {_sql_type(f)}" + (" PRIMARY KEY" if f.name == key else "")
         for f in schema
     ]
     return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"

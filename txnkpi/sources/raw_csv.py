@@ -27,13 +27,18 @@ def infer_raw_schema(spark: SparkSession, path: str) -> StructType:
     )
 
 
-def read_raw(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
     """Raw transactions plus a ``_corrupt`` column with the text of unreadable rows.
 
     A value that does not fit its column becomes NULL in that row alone. Without
-    ``schema`` the files are parsed a first time to infer it. Header names are compared
-    with the schema, so columns in another order fail instead of trading places.
+    ``schema`` (a type or DDL text) the files are parsed a first time to infer it. Header
+    names are compared with the schema, so columns in another order fail instead of
+    trading places.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     schema = schema or infer_raw_schema(spark, path)
     if CORRUPT not in schema.names:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
