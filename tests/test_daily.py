@@ -171,6 +171,7 @@ def test_settings_are_restored(spark):
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getCheckpointDir()
     assert paths.scratch(spark, "x").startswith(shared)
     assert paths.scratch(spark, "x") != paths.scratch(spark, "x")

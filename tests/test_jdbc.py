@@ -34,7 +34,8 @@ def test_upsert_keeps_replaces_and_adds():
     for _ in range(2):
         for text in jdbc.upsert_sql("t", "s", COLUMNS, HOUR.key):
             connection.execute(text)
-    found = connection.execute("select trans_hour, nb_transactions from t order by 1").fetchall()
+    query = "select trans_hour, nb_transactions from t order by 1"
+    found = connection.execute(query).fetchall()
     assert found == [(1, 10), (2, 99), (3, 30)]
 
 

@@ -7,7 +7,7 @@ import os
 import pytest
 
 from txnkpi.operators.conforming import conform
-from txnkpi.operators.publishing import BatchKeyError, check_key, refresh, upsert
+from txnkpi.operators.publishing import BatchKeyError, checked_rows, refresh, upsert
 from txnkpi.plans import daily
 from txnkpi.plans.registry import DECLARED_ONLY, REGISTRY
 from txnkpi.sources import published, tables
@@ -28,7 +28,8 @@ def batch(spark, *keys, n=1):
 
 
 def test_upsert_replaces_adds_and_keeps(spark):
-    merged = upsert(batch(spark, "micro", "small"), batch(spark, "small", "large", n=2), "amount_category")
+    target, new = batch(spark, "micro", "small"), batch(spark, "small", "large", n=2)
+    merged = upsert(target, new, "amount_category")
     assert [(r[0], r[1]) for r in rows(merged)] == [("large", 2), ("micro", 1), ("small", 2)]
 
 
@@ -41,8 +42,9 @@ def test_upsert_twice_is_upsert_once(spark):
 def test_refused_keys(spark):
     for bad in (batch(spark, "micro", "micro"), batch(spark, "micro", None)):
         with pytest.raises(BatchKeyError):
-            check_key(bad, "amount_category")
-    check_key(batch(spark, "micro", "small"), "amount_category")
+            checked_rows(bad, "amount_category")
+    assert checked_rows(batch(spark, "micro", "small"), "amount_category") == 2
+    assert checked_rows(batch(spark, "micro", "micro")) == 2
 
 
 def test_refresh(spark):
@@ -94,7 +96,8 @@ def test_publish_order_modes_and_stale_keys(spark, tmp_path):
         ("kpi_top_fraud_amounts", "refresh", 1, 1),
     ]
     # The second day has no fraud: its empty top list leaves the old one in place.
-    assert daily.publish(spark, second, root)[-1] == ("kpi_top_fraud_amounts", "refresh", 0, None)
+    *_, last = daily.publish(spark, second, root)
+    assert last == ("kpi_top_fraud_amounts", "refresh", 0, None)
 
     def current(name):
         return rows(published.read_published(spark, root, name, REGISTRY[name].schema))

@@ -12,15 +12,19 @@ class BatchKeyError(ValueError):
     """A batch whose key column holds NULLs or the same key twice."""
 
 
-def check_key(batch: DataFrame, key: str) -> None:
-    """Refuse a batch that a primary key would refuse or apply in an unclear order."""
-    bad = (
-        batch.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter(F.col(key).isNull() | (F.col("copies") > 1))
-    )
-    if not bad.isEmpty():
+def checked_rows(batch: DataFrame, key: str | None = None) -> int:
+    """Rows in a batch, after refusing keys a primary key would refuse.
+
+    A repeated key would make the outcome depend on row order; NULL is no key.
+    """
+    if key is None:
+        return batch.count()
+    seen = batch.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys")
+    ).first()
+    if seen.rows != seen.keys:
         raise BatchKeyError(f"NULL or repeated values in key column {key!r}")
+    return seen.rows
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

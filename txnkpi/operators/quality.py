@@ -89,9 +89,8 @@ def gate_kpis(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataF
     for name, df in tables.items():
         if df is not None:
             count = df.agg(F.count(F.lit(1)).alias("measured"))
-            report = report.unionByName(
-                count.select(F.lit(name).alias("check"), F.lit(True).alias("passed"), "measured")
-            )
+            check, passed = F.lit(name).alias("check"), F.lit(True).alias("passed")
+            report = report.unionByName(count.select(check, passed, "measured"))
     return report
 
 

@@ -59,22 +59,27 @@ def write_clean(raw: DataFrame, output: str) -> dict[str, int]:
 
 
 def transform(spark: SparkSession, output: str) -> None:
-    """Clean Parquet to the KPI tables in two scans.
+    """Clean Parquet to the KPI tables in two scans that run side by side.
 
     One scan makes the cells, written as a table since four KPIs and the gate read them;
     one filtered scan finds the top fraud amounts.
     """
-    found = paths.extent(spark, tables.clean_path(output))
-    transactions = tables.read(spark, tables.clean_path(output))
-    with sized_for(spark, found.bytes, wide=False):
-        tables.write(kpi_cells(transactions), tables.cells_path(output))
-        cells = tables.read(spark, tables.cells_path(output))
+    path = tables.clean_path(output)
+    transactions = tables.read(spark, path)
+    with sized_for(spark, paths.extent(spark, path).bytes, wide=False):
+        scans = {tables.cells_path(output): kpi_cells(transactions)}
         for kpi in REGISTRY.values():
-            if kpi.from_cells:
-                df = kpi.build(cells, cells=True)
-            else:
-                df = kpi.build(transactions)
-            tables.write(df, tables.kpi_path(output, kpi.name))
+            if not kpi.from_cells:
+                scans[tables.kpi_path(output, kpi.name)] = kpi.build(transactions)
+        tables.write_all(scans)
+    cells = tables.read_compact(spark, tables.cells_path(output))
+    tables.write_all(
+        {
+            tables.kpi_path(output, kpi.name): kpi.build(cells, cells=True)
+            for kpi in REGISTRY.values()
+            if kpi.from_cells
+        }
+    )
 
 
 def check_source(raw: DataFrame) -> DataFrame:
@@ -84,7 +89,7 @@ def check_source(raw: DataFrame) -> DataFrame:
 
 def check_clean(spark: SparkSession, output: str) -> DataFrame:
     """Gate over the written cells: no further scan of the transactions."""
-    return quality.gate_cells(tables.read(spark, tables.cells_path(output)))
+    return quality.gate_cells(tables.read_compact(spark, tables.cells_path(output)))
 
 
 def check_kpis(spark: SparkSession, output: str) -> DataFrame:
@@ -108,15 +113,12 @@ def publish(
     summary = []
     for kpi in REGISTRY.values():
         batch = conform(tables.read(spark, tables.kpi_path(output, kpi.name)), kpi.schema)
-        rows, version = batch.count(), None
+        rows, version = publishing.checked_rows(batch, kpi.key), None
         if rows or (on_empty == publishing.CLEAR and not kpi.key):
-            target = published.read_published(spark, root, kpi.name, kpi.schema)
             if kpi.key:
-                publishing.check_key(batch, kpi.key)
-                merged = publishing.upsert(target, batch, kpi.key)
-            else:
-                merged = publishing.refresh(target, batch, on_empty)
-            version = published.write_version(merged, root, kpi.name)
+                target = published.read_published(spark, root, kpi.name, kpi.schema)
+                batch = publishing.upsert(target, batch, kpi.key)
+            version = published.write_version(batch, root, kpi.name)
         summary.append((kpi.name, kpi.mode, rows, version))
     return summary
 

@@ -301,7 +301,8 @@ def oracle_sql() -> dict[str, str]:
         "kpi_by_category": f"select category, {by_category} from ({dated}) "
         "group by category",
     }
-    for suffix, binding in (("", "events"), ("_customer", "customer"), ("_lineitem", "lineitem")):
+    for binding in ("events", "customer", "lineitem"):
+        suffix = "" if binding == "events" else f"_{binding}"
         for name in [*KPI_FIGURES, "kpi_top_fraud_amounts"]:
             found[name + suffix] = _kpi(name, CLEAN[binding])
         found["kpi_suite" + suffix] = _suite(CLEAN[binding])

@@ -52,10 +52,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables in the cluster's shared folder.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Without it a local master
-    gets a temporary folder; a cluster, where that would be one machine's disk, an error.
+    The folder is the one named by ``spark.checkpoint.dir``, or the checkpoint folder the
+    session was given in code. Without either a local master gets a temporary folder; a
+    cluster, where that would be one machine's disk, an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

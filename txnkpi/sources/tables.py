@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from txnkpi.sources import paths
 
+# A table of this size is read by one task, so rolling it up needs no shuffle.
+ONE_TASK_BYTES = 16 * 1024**2
+
 CLEAN = "transactions_clean"
 CELLS = "kpi_cells"
 KPIS = "kpis"
@@ -31,11 +36,28 @@ def write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_all(frames: dict[str, DataFrame]) -> None:
+    """Write independent tables at the same time, path by path; the first error is raised.
+
+    Each is a job of its own, so small ones fill the cluster while a large one finishes.
+    """
+    with ThreadPoolExecutor(len(frames)) as pool:
+        for done in [pool.submit(write, df, path) for path, df in frames.items()]:
+            done.result()
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet folder."""
     return spark.read.parquet(path)
 
 
+def read_compact(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet folder, as a single partition if its size on disk allows."""
+    df = read(spark, path)
+    small = paths.extent(spark, path).bytes <= ONE_TASK_BYTES
+    return df.coalesce(1) if small else df
+
+
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     """Read a Parquet folder, or None when it is absent."""
     return read(spark, path) if paths.exists(spark, path) else None
