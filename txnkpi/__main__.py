@@ -29,7 +29,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--schema", help="file with the raw schema as JSON")
     parser.add_argument("--strict", action="store_true", help="stop at failed checks")
     parser.add_argument("--jdbc-url")
-    parser.add_argument("--jdbc-user", default=os.getenv("BANKING_USER"))
+    parser.add_argument("--jdbc-user", default=os.getenv("JDBC_USER"))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     args = parser.parse_args(argv)
     needed = {"ingest": ["raw"], "run": ["raw", "target"], "publish": ["target"]}
@@ -42,7 +42,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 def _load_jdbc(spark: SparkSession, args: argparse.Namespace) -> None:
     properties = {
         "user": args.jdbc_user or "",
-        "password": os.getenv("BANKING_PASSWORD", ""),
+        "password": os.getenv("JDBC_PASSWORD", ""),
         "driver": args.jdbc_driver,
     }
     for kpi in REGISTRY.values():
