@@ -112,6 +112,17 @@ def test_boolean_class(spark):
     assert cleaning.clean(raw).first().is_fraud == 1
 
 
+def test_without_ansi_casts(spark, edge_csv):
+    with_ansi = cleaning.clean(read_raw(spark, edge_csv)).collect()
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        without = cleaning.clean(read_raw(spark, edge_csv)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert sorted(map(repr, without)) == sorted(map(repr, with_ansi))
+
+
 def test_header_in_another_case(spark, tmp_path):
     path = tmp_path / "lower.csv"
     path.write_text("time,amount,class\n3600,5,1\n")

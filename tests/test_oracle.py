@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import DATA, duck
 
 import __spark_entry__ as driver
 
+SCALES = os.environ.get("TEST_SCALES", "sf0.001 sf0.01").split()
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
 
 # DuckDB type of each Spark type a result may have.
@@ -39,7 +42,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("scale", SCALES)
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name, scale):
     schema, rows = _spark_rows(QUERIES[name](spark, f"{DATA}/{scale}"))

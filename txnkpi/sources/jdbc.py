@@ -20,6 +20,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from txnkpi.operators.publishing import checked_rows
+
 # Column types of the target tables. 64-bit counts keep their width here.
 SQL_TYPES = {
     IntegerType(): "INTEGER",
@@ -48,12 +50,13 @@ def create_table_sql(table: str, schema: StructType, key: str | None = None) ->
 
 
 def upsert_sql(table: str, staging: str, columns: Sequence[str], key: str) -> list[str]:
-    """Statements that upsert a staging table into its target."""
-    names = ", ".join(columns)
-    changes = ", ".join(f"{c} = EXCLUDED.{c}" for c in columns if c != key)
+    """Statements that upsert a staging table into its target, in standard SQL."""
+    changes = ", ".join(f"{name} = s.{name}" for name in columns if name != key)
+    values = ", ".join(f"s.{name}" for name in columns)
     return [
-        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} "
-        f"ON CONFLICT ({key}) DO UPDATE SET {changes}"
+        f"MERGE INTO {table} AS t USING {staging} AS s ON t.{key} = s.{key} "
+        f"WHEN MATCHED THEN UPDATE SET {changes} "
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) VALUES ({values})"
     ]
 
 
@@ -90,6 +93,22 @@ def _connect(spark: SparkSession, url: str, properties: dict[str, str]):
     return jvm.java.sql.DriverManager.getConnection(url, options)
 
 
+def stage(batch: DataFrame, url: str, staging: str, properties: dict[str, str]) -> int:
+    """Write a staging table and return its rows, after making sure they are all there.
+
+    JDBC tasks commit one by one, so a task that runs again after its executor was lost
+    can leave its rows twice.
+    """
+    rows = batch.count()
+    if rows:
+        batch.write.jdbc(url, staging, mode="overwrite", properties=properties)
+        spark = batch.sparkSession
+        staged = spark.read.jdbc(url, staging, properties=properties).count()
+        if staged != rows:
+            raise RuntimeError(f"{staging} has {staged} rows instead of {rows}; run again")
+    return rows
+
+
 def publish_jdbc(
     batch: DataFrame,
     url: str,
@@ -98,14 +117,15 @@ def publish_jdbc(
     key: str | None = None,
 ) -> bool:
     """Upsert by ``key``, or replace all rows without one; False for an empty batch."""
-    if batch.isEmpty():
-        return False
     spark, staging = batch.sparkSession, f"{table}_staging"
-    batch.write.jdbc(url, staging, mode="overwrite", properties=properties)
+    checked_rows(batch, key)
+    if not stage(batch, url, staging, properties):
+        return False
     if key:
         merge = upsert_sql(table, staging, batch.columns, key)
     else:
         merge = refresh_sql(table, staging, batch.columns)
     create = create_table_sql(table, batch.schema, key)
-    run_transaction(_connect(spark, url, properties), [create, *merge])
+    statements = [create, *merge, f"DROP TABLE {staging}"]
+    run_transaction(_connect(spark, url, properties), statements)
     return True
