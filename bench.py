@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnkpi.functions import CORRUPT
 from txnkpi.operators import cleaning
 from txnkpi.plans import bindings, daily
 from txnkpi.plans.queries import queries
@@ -70,7 +71,7 @@ def stages(spark: SparkSession, folder: str) -> tuple[dict, dict]:
 
     def ingest_repeated() -> None:
         df = read_raw(spark, raw)
-        df.drop(cleaning.CORRUPT).count()
+        df.drop(CORRUPT).count()
         transactions = cleaning.clean(df)
         transactions.count()
         tables.write(transactions, tables.clean_path(plain))

@@ -7,11 +7,13 @@ from txnkpi.functions.derive import (
     trans_hour,
 )
 from txnkpi.functions.money import MONEY_SCALE, money_sums, money_total
-from txnkpi.functions.rules import has_criticals, is_positive
+from txnkpi.functions.rules import CORRUPT, REQUIRED, has_criticals, is_positive
 
 __all__ = [
     "AMOUNT_BUCKETS",
+    "CORRUPT",
     "MONEY_SCALE",
+    "REQUIRED",
     "TOP_BUCKET",
     "amount_category",
     "has_criticals",

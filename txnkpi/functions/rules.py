@@ -8,6 +8,10 @@ from operator import and_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Raw columns every input must have, and the reader's column for unreadable rows.
+REQUIRED = ("Time", "Amount", "Class")
+CORRUPT = "_corrupt"
+
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -17,27 +21,18 @@ def _usable(name: str) -> Column:
     return F.col(name).isNotNull() & value.isNotNull() & ~F.isnan(value)
 
 
-def has_criticals(time: str = "Time", amount: str = "Amount", label: str = "Class") -> Column:
+def has_criticals() -> Column:
     """True when time, amount and class can all be used.
 
     Missing are NULL, NaN and unreadable values, and also what the clean types cannot
     hold: an infinite time has no hour of day, a class beyond 32 bits is no class. With
     ANSI casts one such row would otherwise end the whole job.
     """
-    seconds = F.col(time).try_cast("double")
-    klass = F.col(label).try_cast("double")
-    return reduce(
-        and_,
-        [
-            _usable(time),
-            _usable(amount),
-            _usable(label),
-            F.abs(seconds) < float("inf"),
-            klass.between(INT_MIN, INT_MAX),
-        ],
-    )
-
-
-def is_positive(amount: str = "Amount") -> Column:
+    finite_time = F.abs(F.col("Time").try_cast("double")) < float("inf")
+    fitting_class = F.col("Class").try_cast("double").between(INT_MIN, INT_MAX)
+    return reduce(and_, [*map(_usable, REQUIRED), finite_time, fitting_class])
+
+
+def is_positive() -> Column:
     """Strictly positive amount: zero fails as well."""
-    return F.col(amount).try_cast("double") > 0
+    return F.col("Amount").try_cast("double") > 0

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnkpi.functions import amount_category, has_criticals, is_positive, trans_hour
+from txnkpi.functions import (
+    CORRUPT,
+    amount_category,
+    has_criticals,
+    is_positive,
+    trans_hour,
+)
 
 COPIES = "_copies"
-CORRUPT = "_corrupt"
 CORRUPT_COPIES = "_corrupt_copies"
 
 

@@ -10,10 +10,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnkpi.functions import AMOUNT_BUCKETS, TOP_BUCKET
+from txnkpi.functions import AMOUNT_BUCKETS, REQUIRED, TOP_BUCKET
 from txnkpi.operators.kpis import kpi_cells
 
-REQUIRED = ("Time", "Amount", "Class")
 GATE_SCHEMA = "check string, passed boolean, measured bigint"
 
 

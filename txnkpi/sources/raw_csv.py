@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from txnkpi.operators.cleaning import CORRUPT
-from txnkpi.operators.quality import REQUIRED
+from txnkpi.functions import CORRUPT, REQUIRED
 
 
 def infer_raw_schema(spark: SparkSession, path: str) -> StructType:
