@@ -155,7 +155,7 @@ def test_settings_follow_the_input_size():
     small = scale.settings_for(10**6, 200, split)
     assert small == {scale.SHUFFLE: "200", scale.SPLIT: str(split)}
     big = scale.settings_for(100 * 1024**4, 200, split)
-    assert big == {scale.SHUFFLE: "32768", scale.SPLIT: str(1024 * scale.MiB)}
+    assert big == {scale.SHUFFLE: "32768", scale.SPLIT: str(512 * scale.MiB)}
     middle = scale.settings_for(1024**4, 200, split)
     assert middle[scale.SHUFFLE] == "4096"
     assert scale.settings_for(1024**4, 200, split, wide=False)[scale.SHUFFLE] == "200"

@@ -18,8 +18,8 @@ MiB = 1024**2
 
 REDUCER_BYTES = 256 * MiB
 MAX_REDUCERS = 32_768
-MAX_SPLITS = 100_000
-MAX_SPLIT_BYTES = 1024 * MiB
+MAX_SPLITS = 200_000
+MAX_SPLIT_BYTES = 512 * MiB
 
 SHUFFLE = "spark.sql.shuffle.partitions"
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -33,7 +33,8 @@ def settings_for(
 
     Reducers of a wide stage, one that shuffles whole rows, aim at 256 MB of input each,
     up to a bound that keeps the number of shuffle blocks (splits x reducers) within what
-    the driver can track. Splits grow only beyond 100,000 of them.
+    the driver can track. Splits grow only beyond 200,000 of them, and not far: a map task
+    collapses copies in memory, and large splits would spill.
     """
     wanted = math.ceil(input_bytes / REDUCER_BYTES) if wide else 0
     split = min(math.ceil(input_bytes / MAX_SPLITS), MAX_SPLIT_BYTES)
