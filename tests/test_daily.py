@@ -22,6 +22,9 @@ def rows(df):
 def test_run_from_csv(spark, edge_csv, tmp_path):
     output, root = str(tmp_path / "out"), str(tmp_path / "published")
     report = daily.run_pipeline(spark, edge_csv, output, root)
+    assert report.source == (1, len(EDGE_ROWS))
+    assert report.clean.files == len(list((tmp_path / "out").glob("*clean/*.parquet")))
+    assert report.clean.files > 0 and report.clean.bytes > 0
     assert report.counts == {
         "raw_rows": 19,
         "corrupt_rows": 1,

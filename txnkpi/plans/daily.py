@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from txnkpi.operators import cleaning
-from txnkpi.operators import publishing
-from txnkpi.operators import quality
+from txnkpi.operators import cleaning, publishing, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.kpis import kpi_cells
 from txnkpi.plans.registry import REGISTRY
@@ -21,8 +19,10 @@ from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
 
 @dataclass
 class RunReport:
-    """Counts, failed checks and published versions of one run."""
+    """Sizes, row counts, failed checks and published versions of one run."""
 
+    source: paths.Extent
+    clean: paths.Extent | None = None
     counts: dict[str, int] = field(default_factory=dict)
     failed_checks: dict[str, list[str]] = field(default_factory=dict)
     published: list[tuple[str, str, int, int | None]] = field(default_factory=list)
@@ -87,6 +87,11 @@ def check_source(raw: DataFrame) -> DataFrame:
     return quality.gate_source(raw.limit(1))
 
 
+def clean_extent(spark: SparkSession, output: str) -> paths.Extent:
+    """Parquet files and bytes of the clean transactions."""
+    return paths.extent(spark, paths.join(tables.clean_path(output), "*.parquet"))
+
+
 def check_clean(spark: SparkSession, output: str) -> DataFrame:
     """Gate over the written cells: no further scan of the transactions."""
     return quality.gate_cells(tables.read_compact(spark, tables.cells_path(output)))
@@ -150,17 +155,17 @@ def run_pipeline(
     Without it checks are reported only. A source that is absent or lacks a required
     column ends the run either way.
     """
-    report = RunReport()
+    report = RunReport(source_extent(spark, raw_path))
 
     def gate(name: str, frame: DataFrame) -> None:
         if strict:
             quality.enforce(frame, name)
         report.failed_checks[name] = quality.failed(frame)
 
-    source_extent(spark, raw_path)
     schema = schema or infer_raw_schema(spark, raw_path)
     gate("source", check_source(read_raw(spark, raw_path, schema)))
     report.counts = ingest(spark, raw_path, output, schema)
+    report.clean = clean_extent(spark, output)
     transform(spark, output)
     gate("clean", check_clean(spark, output))
     gate("kpis", check_kpis(spark, output))
