@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 from collections.abc import Callable
 
@@ -22,7 +21,7 @@ from txnkpi.plans import bindings, daily
 from txnkpi.plans.queries import queries
 from txnkpi.plans.registry import REGISTRY
 from txnkpi.session import create_session
-from txnkpi.sources import tables
+from txnkpi.sources import paths, tables
 from txnkpi.sources.raw_csv import read_raw
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -64,9 +63,9 @@ def median_seconds(work: Callable[[], object]) -> float:
 
 def stages(spark: SparkSession, folder: str) -> tuple[dict, dict]:
     """Stage times on the largest table as CSV: one-pass form and repeated scans."""
-    work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    raw, output, root = (f"{work}/{name}" for name in ("raw", "output", "published"))
-    plain = f"{work}/plain"
+    raw, output, root, plain = (
+        paths.scratch(spark, name) for name in ("raw", "output", "published", "plain")
+    )
     bindings.lineitem(spark, folder).write.csv(raw, header=True)
 
     def ingest_repeated() -> None:

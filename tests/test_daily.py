@@ -22,9 +22,9 @@ def rows(df):
 def test_run_from_csv(spark, edge_csv, tmp_path):
     output, root = str(tmp_path / "out"), str(tmp_path / "published")
     report = daily.run_pipeline(spark, edge_csv, output, root)
-    assert report.source == (1, len(EDGE_ROWS))
-    assert report.clean.files == len(list((tmp_path / "out").glob("*clean/*.parquet")))
-    assert report.clean.files > 0 and report.clean.bytes > 0
+    assert report.source_bytes == len(EDGE_ROWS)
+    written = list((tmp_path / "out" / "transactions_clean").glob("*.parquet"))
+    assert report.clean_files == len(written) > 0
     assert report.counts == {
         "raw_rows": 19,
         "corrupt_rows": 1,
@@ -121,7 +121,9 @@ def test_directory_and_glob_sources(spark, tmp_path):
     for i, raw in enumerate((str(tmp_path), str(tmp_path / "*.csv"))):
         counts = daily.ingest(spark, raw, str(tmp_path.parent / f"{tmp_path.name}-out{i}"))
         assert (counts["raw_rows"], counts["clean_rows"]) == (38, 10)
-    assert paths.extent(spark, str(tmp_path / "*.csv")) == (2, 2 * len(EDGE_ROWS))
+        scan = spark.read.csv(raw, header=True)
+        assert paths.scanned_bytes(scan) == 2 * len(EDGE_ROWS)
+    assert paths.count(spark, str(tmp_path / "*.csv")) == 2
 
 
 def test_command_line_stages(spark, edge_csv, tmp_path, capsys):

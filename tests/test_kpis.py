@@ -164,6 +164,18 @@ def test_wide_infinite_and_nan_amounts(spark):
     assert _total(spark, [1e300, 1e300]) == 2e300
 
 
+@settings(
+    max_examples=15,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=60))
+def test_money_sum_of_any_doubles_is_close(spark, amounts):
+    # Half of the sixth decimal per amount, plus rounding of the total itself.
+    bound = 5e-7 * len(amounts) + abs(math.fsum(amounts)) * 1e-15
+    assert abs(_total(spark, amounts) - math.fsum(amounts)) <= bound
+
+
 @settings(
     max_examples=25,
     deadline=None,

@@ -21,8 +21,8 @@ from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
 class RunReport:
     """Sizes, row counts, failed checks and published versions of one run."""
 
-    source: paths.Extent
-    clean: paths.Extent | None = None
+    source_bytes: int = 0
+    clean_files: int = 0
     counts: dict[str, int] = field(default_factory=dict)
     failed_checks: dict[str, list[str]] = field(default_factory=dict)
     published: list[tuple[str, str, int, int | None]] = field(default_factory=list)
@@ -36,18 +36,16 @@ def ingest(
     The counts ride on the write, observed behind the shuffle where a task's figures
     count once even if it runs twice.
     """
-    found = source_extent(spark, raw_path)
+    need_source(spark, raw_path)
     raw = read_raw(spark, raw_path, schema)
-    with sized_for(spark, found.bytes):
+    with sized_for(spark, paths.scanned_bytes(raw)):
         return write_clean(raw, output)
 
 
-def source_extent(spark: SparkSession, raw_path: str) -> paths.Extent:
-    """Files and bytes of the raw input; an error when there are none."""
-    found = paths.extent(spark, raw_path)
-    if not found.files:
+def need_source(spark: SparkSession, raw_path: str) -> None:
+    """An error when there is no raw input."""
+    if not paths.exists(spark, raw_path):
         raise FileNotFoundError(f"no raw transactions at {raw_path}")
-    return found
 
 
 def write_clean(raw: DataFrame, output: str) -> dict[str, int]:
@@ -64,9 +62,8 @@ def transform(spark: SparkSession, output: str) -> None:
     One scan makes the cells, written as a table since four KPIs and the gate read them;
     one filtered scan finds the top fraud amounts.
     """
-    path = tables.clean_path(output)
-    transactions = tables.read(spark, path)
-    with sized_for(spark, paths.extent(spark, path).bytes, wide=False):
+    transactions = tables.read(spark, tables.clean_path(output))
+    with sized_for(spark, paths.scanned_bytes(transactions), wide=False):
         scans = {tables.cells_path(output): kpi_cells(transactions)}
         for kpi in REGISTRY.values():
             if not kpi.from_cells:
@@ -87,9 +84,9 @@ def check_source(raw: DataFrame) -> DataFrame:
     return quality.gate_source(raw.limit(1))
 
 
-def clean_extent(spark: SparkSession, output: str) -> paths.Extent:
-    """Parquet files and bytes of the clean transactions."""
-    return paths.extent(spark, paths.join(tables.clean_path(output), "*.parquet"))
+def clean_files(spark: SparkSession, output: str) -> int:
+    """Number of Parquet files of the clean transactions."""
+    return paths.count(spark, paths.join(tables.clean_path(output), "*.parquet"))
 
 
 def check_clean(spark: SparkSession, output: str) -> DataFrame:
@@ -155,17 +152,20 @@ def run_pipeline(
     Without it checks are reported only. A source that is absent or lacks a required
     column ends the run either way.
     """
-    report = RunReport(source_extent(spark, raw_path))
+    report = RunReport()
 
     def gate(name: str, frame: DataFrame) -> None:
         if strict:
             quality.enforce(frame, name)
         report.failed_checks[name] = quality.failed(frame)
 
+    need_source(spark, raw_path)
     schema = schema or infer_raw_schema(spark, raw_path)
-    gate("source", check_source(read_raw(spark, raw_path, schema)))
+    raw = read_raw(spark, raw_path, schema)
+    report.source_bytes = paths.scanned_bytes(raw)
+    gate("source", check_source(raw))
     report.counts = ingest(spark, raw_path, output, schema)
-    report.clean = clean_extent(spark, output)
+    report.clean_files = clean_files(spark, output)
     transform(spark, output)
     gate("clean", check_clean(spark, output))
     gate("kpis", check_kpis(spark, output))

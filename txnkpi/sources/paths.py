@@ -5,16 +5,8 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
-from typing import NamedTuple
 
-from pyspark.sql import SparkSession
-
-
-class Extent(NamedTuple):
-    """What a path or glob pattern holds."""
-
-    files: int
-    bytes: int
+from pyspark.sql import DataFrame, SparkSession
 
 
 def join(*parts: str) -> str:
@@ -22,31 +14,34 @@ def join(*parts: str) -> str:
     return posixpath.join(*parts)
 
 
-def _statuses(spark: SparkSession, pattern: str) -> list:
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    return list(path.getFileSystem(hadoop).globStatus(path) or [])
+def _matches(spark: SparkSession, pattern: str):
+    """File statuses matching a path or glob pattern, as an array on the Java side."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
 
 
-def exists(spark: SparkSession, pattern: str) -> bool:
-    """True when a path or glob pattern matches anything."""
-    return bool(_statuses(spark, pattern))
+def count(spark: SparkSession, pattern: str) -> int:
+    """Number of files and folders a path or glob pattern matches."""
+    return len(_matches(spark, pattern) or [])
 
 
-def extent(spark: SparkSession, pattern: str) -> Extent:
-    """Number of files and bytes below a path or glob pattern."""
-    files = size = 0
-    for status in _statuses(spark, pattern):
-        path = status.getPath()
-        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        summary = system.getContentSummary(path)
-        files, size = files + summary.getFileCount(), size + summary.getLength()
-    return Extent(files, size)
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """True when a path or glob pattern matches anything."""
+    return count(spark, pattern) > 0
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a directory; empty if it does not exist."""
-    return [status.getPath().getName() for status in _statuses(spark, join(path, "*"))]
+    return [found.getPath().getName() for found in _matches(spark, join(path, "*")) or []]
+
+
+def scanned_bytes(scan: DataFrame) -> int:
+    """Bytes of the files behind a frame that was just read.
+
+    Spark has listed them already, in parallel where there are many; asking for each file
+    again from the driver would take minutes for hundreds of thousands of them.
+    """
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def scratch(spark: SparkSession, name: str) -> str:

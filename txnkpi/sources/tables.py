@@ -54,8 +54,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def read_compact(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet folder, as a single partition if its size on disk allows."""
     df = read(spark, path)
-    small = paths.extent(spark, path).bytes <= ONE_TASK_BYTES
-    return df.coalesce(1) if small else df
+    return df.coalesce(1) if paths.scanned_bytes(df) <= ONE_TASK_BYTES else df
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
