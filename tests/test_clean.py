@@ -139,6 +139,18 @@ def test_header_in_another_order_fails(spark, tmp_path):
         read_raw(spark, str(path), "Time double, Amount double, Class double").collect()
 
 
+def test_blank_and_repeated_header_names(spark, tmp_path):
+    blank, repeated = tmp_path / "blank.csv", tmp_path / "repeated.csv"
+    blank.write_text(",Time,Amount,Class\n0,3600,5,1\n1,3600,5,1\n")
+    repeated.write_text("x,x,Time,Amount,Class\n0,0,3600,5,1\n0,0,3600,5,1\n")
+    rows = cleaning.clean(read_raw(spark, str(blank))).collect()
+    assert sorted(tuple(r) for r in rows) == [
+        (0, 3600.0, 5.0, 1, 1, "micro"),
+        (1, 3600.0, 5.0, 1, 1, "micro"),
+    ]
+    assert cleaning.clean(read_raw(spark, str(repeated), check_header=False)).count() == 1
+
+
 def test_known_columns_are_double_and_others_inferred(spark, tmp_path):
     path = tmp_path / "types.csv"
     path.write_text("Time,Shop,Amount,Class,Rate\n0,7,5,0,1.5\n0,7,5,0,1.50\n0,7,oops,0.0,2\n")

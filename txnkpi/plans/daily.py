@@ -114,7 +114,8 @@ def publish(
     """
     summary = []
     for kpi in REGISTRY.values():
-        batch = conform(tables.read(spark, tables.kpi_path(output, kpi.name)), kpi.schema)
+        path = tables.kpi_path(output, kpi.name)
+        batch = conform(tables.read_compact(spark, path), kpi.schema)
         rows, version = publishing.checked_rows(batch, kpi.key), None
         if rows or (on_empty == publishing.CLEAR and not kpi.key):
             if kpi.key:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from txnkpi.functions import CORRUPT, REQUIRED
 
+# Name Spark gives to a column whose header is blank.
+UNNAMED = re.compile(r"_c\d+")
+
 
 def infer_raw_schema(spark: SparkSession, path: str) -> StructType:
     """Schema of raw CSV files: known columns as double, all others as inferred.
@@ -27,25 +32,31 @@ def infer_raw_schema(spark: SparkSession, path: str) -> StructType:
 
 
 def read_raw(
-    spark: SparkSession, path: str, schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    check_header: bool | None = None,
 ) -> DataFrame:
     """Raw transactions plus a ``_corrupt`` column with the text of unreadable rows.
 
     A value that does not fit its column becomes NULL in that row alone. Without
     ``schema`` (a type or DDL text) the files are parsed a first time to infer it. Header
     names are compared with the schema, so columns in another order fail instead of
-    trading places.
+    trading places. Headers with blank names cannot be compared and are taken by position;
+    ``check_header=False`` does so for headers with repeated names, too.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     schema = schema or infer_raw_schema(spark, path)
+    if check_header is None:
+        check_header = not any(UNNAMED.fullmatch(name) for name in schema.names)
     if CORRUPT not in schema.names:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     return spark.read.csv(
         path,
         schema=schema,
         header=True,
-        enforceSchema=False,
+        enforceSchema=not check_header,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
     )
