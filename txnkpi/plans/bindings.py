@@ -64,9 +64,9 @@ def events_dated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with missing amounts and classes."""
+    """Events that lack amounts below 10 and the class of views."""
     df = _table(spark, folder, "events")
-    amount = F.when(F.col("event_id") % 7 != 0, F.col("value"))
+    amount = F.when(F.col("value") >= 10, F.col("value"))
     klass = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") != "view", 0)
     return _raw(df, _seconds_since("2024-01-01 00:00:00"), amount, klass)
 
@@ -100,7 +100,7 @@ def lineitem(spark: SparkSession, folder: str) -> DataFrame:
 def lineitem_early(spark: SparkSession, folder: str) -> DataFrame:
     """Line items timed by line number: only the first hours of the day occur."""
     df = _table(spark, folder, "lineitem")
-    time = F.col("l_linenumber").cast("double") * 3600 + F.col("l_orderkey") % 3600
+    time = F.col("l_linenumber").cast("double") * 3600
     return _raw(df, time, F.col("l_extendedprice"), _flag(F.col("l_returnflag") == "R"))
 
 

@@ -35,7 +35,7 @@ RAW = {
     ),
     "events_gaps": _binding(
         START,
-        "case when event_id % 7 <> 0 then value end",
+        "case when value >= 10 then value end",
         "case when event_type = 'error' then 1 when event_type <> 'view' then 0 end",
         "events",
     ),
@@ -55,7 +55,7 @@ RAW = {
         "cast(l_orderkey as double) * 977", "l_extendedprice", RETURNED, "lineitem"
     ),
     "lineitem_early": _binding(
-        "cast(l_linenumber as double) * 3600 + l_orderkey % 3600",
+        "cast(l_linenumber as double) * 3600",
         "l_extendedprice",
         RETURNED,
         "lineitem",
