@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnkpi.operators import cleaning
-from txnkpi.operators import kpis, quality
+from txnkpi.operators import cleaning, kpis, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.publishing import refresh, upsert
 from txnkpi.plans import bindings as b
@@ -27,16 +26,9 @@ def _clean_query(binding: b.Binding, step: Callable[[DataFrame], DataFrame]) ->
     return lambda spark, folder: step(b.cleaned(binding, spark, folder))
 
 
-def _hours(raw: DataFrame) -> DataFrame:
-    return raw.transform(cleaning.name_and_type).transform(cleaning.derive).select(
-        "trans_time", "trans_hour"
-    )
-
-
-def _buckets(raw: DataFrame) -> DataFrame:
-    return raw.transform(cleaning.name_and_type).transform(cleaning.derive).select(
-        "amount", "amount_category"
-    )
+def _derived(*columns: str) -> Callable[[DataFrame], DataFrame]:
+    """Derived columns of all rows, cleaned or not."""
+    return lambda raw: cleaning.derive(cleaning.name_and_type(raw)).select(*columns)
 
 
 WIDE_SCHEMA = "Time double, Amount double, Class double, user_id bigint, event_type string"
@@ -80,38 +72,39 @@ def _gate_kpis(spark: SparkSession, folder: str) -> DataFrame:
     return daily.check_kpis(spark, _transformed(spark, folder, b.events))
 
 
-def _upsert(name: str, old: b.Binding, new: b.Binding) -> Query:
-    """Publish a KPI of one binding, then upsert the KPI of another."""
+Meeting = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def _published(name: str, old: b.Binding, new: b.Binding, meet: Meeting) -> Query:
+    """Publish a KPI of one binding, let that of another meet it, read the outcome."""
+    kpi = REGISTRY[name]
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        kpi, root = REGISTRY[name], paths.scratch(spark, "published")
-        first, second = (
-            conform(kpi.build(b.cleaned(binding, spark, folder)), kpi.schema)
-            for binding in (old, new)
-        )
-        published.write_version(first, root, name)
-        target = published.read_published(spark, root, name, kpi.schema)
-        published.write_version(upsert(target, second, kpi.key), root, name)
-        return published.read_published(spark, root, name, kpi.schema)
+        root = paths.scratch(spark, "published")
+
+        def batch(binding: b.Binding) -> DataFrame:
+            """The KPI as a written table, since publishing looks at it more than once."""
+            path = paths.scratch(spark, name)
+            tables.write(kpi.build(b.cleaned(binding, spark, folder)), path)
+            return conform(tables.read_compact(spark, path), kpi.schema)
+
+        def current() -> DataFrame:
+            return published.read_published(spark, root, name, kpi.schema)
+
+        published.write_version(batch(old), root, name)
+        published.write_version(meet(current(), batch(new)), root, name)
+        return current()
 
     return query
 
 
-def _refresh(name: str, old: b.Binding, new: b.Binding) -> Query:
-    """Publish a KPI of one binding, then refresh it with the KPI of another."""
+def _upsert(name: str, old: b.Binding, new: b.Binding) -> Query:
+    key = REGISTRY[name].key
+    return _published(name, old, new, lambda target, batch: upsert(target, batch, key))
 
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        kpi, root = REGISTRY[name], paths.scratch(spark, "published")
-        first, second = (
-            conform(kpi.build(b.cleaned(binding, spark, folder)), kpi.schema)
-            for binding in (old, new)
-        )
-        published.write_version(first, root, name)
-        target = published.read_published(spark, root, name, kpi.schema)
-        published.write_version(refresh(target, second), root, name)
-        return published.read_published(spark, root, name, kpi.schema)
 
-    return query
+def _refresh(name: str, old: b.Binding, new: b.Binding) -> Query:
+    return _published(name, old, new, refresh)
 
 
 def _publish_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,9 +135,13 @@ def queries() -> dict[str, Query]:
         "clean_null_drop": _raw_query(b.events_gaps, cleaning.drop_missing),
         "clean_dedup": _raw_query(b.events_coarse, cleaning.drop_copies),
         "clean_positive": _raw_query(b.customer, cleaning.keep_positive),
-        "derive_trans_hour": _raw_query(b.events, _hours),
-        "derive_trans_hour_negative": _raw_query(b.events_mid_month, _hours),
-        "derive_amount_category": _raw_query(b.customer, _buckets),
+        "derive_trans_hour": _raw_query(b.events, _derived("trans_time", "trans_hour")),
+        "derive_trans_hour_negative": _raw_query(
+            b.events_mid_month, _derived("trans_time", "trans_hour")
+        ),
+        "derive_amount_category": _raw_query(
+            b.customer, _derived("amount", "amount_category")
+        ),
         "clean_transactions": _raw_query(b.events_wide, cleaning.clean),
         "clean_transactions_coarse": _raw_query(b.events_coarse, cleaning.clean),
         "clean_transactions_gaps": _raw_query(b.events_gaps, cleaning.clean),
