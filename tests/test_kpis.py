@@ -156,6 +156,13 @@ def test_rounding_ties_of_the_mean(spark):
     assert rows(kpis.kpi_global(df))[0][2] == 4061.85
 
 
+def test_large_amounts_do_not_overflow(spark):
+    # 2 * 10^7 rows of nearly 10^12: more units than a BIGINT holds.
+    rows = spark.range(20_000_000).select(F.lit(999_999_999_999.5).alias("amount"))
+    total = rows.agg(*money_sums(F.col("amount"))).select(money_total()).first()[0]
+    assert total == float(Decimal("999999999999.5") * 20_000_000)
+
+
 def test_wide_infinite_and_nan_amounts(spark):
     assert _total(spark, [1e15, 0.25, 0.5]) == 1e15 + 0.75
     assert _total(spark, [-2.5, 1.25]) == -1.25
@@ -181,7 +188,7 @@ def test_money_sum_of_any_doubles_is_close(spark, amounts):
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
-@given(st.lists(st.integers(-(10**11), 10**11), min_size=1, max_size=40), st.integers(0, 6))
+@given(st.lists(st.integers(-(10**13), 10**13), min_size=1, max_size=40), st.integers(2, 6))
 def test_money_sum_is_exact(spark, units, places):
     amounts = [float(Decimal(u).scaleb(-places)) for u in units]
     exact = sum(Decimal(repr(a)) for a in amounts)

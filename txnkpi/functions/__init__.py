@@ -6,13 +6,12 @@ from txnkpi.functions.derive import (
     amount_category,
     trans_hour,
 )
-from txnkpi.functions.money import MONEY_SCALE, money_sums, money_total
+from txnkpi.functions.money import money_sums, money_total
 from txnkpi.functions.rules import CORRUPT, REQUIRED, has_criticals, is_positive
 
 __all__ = [
     "AMOUNT_BUCKETS",
     "CORRUPT",
-    "MONEY_SCALE",
     "REQUIRED",
     "TOP_BUCKET",
     "amount_category",

@@ -3,8 +3,9 @@
 A plain ``sum(double)`` changes in its last digits with the order in which partitions
 arrive, and a cent can flip at a rounding tie. ``sum(decimal)`` is exact, but decimal
 buffers beyond 18 digits cost three to four times as much per row. Here each amount is
-split into its whole units and its fraction in 10^-scale steps; both are summed as BIGINT
-inside code generation, and put together once per group as an exact decimal.
+split into millions, units and a fraction; each part is summed as BIGINT inside code
+generation, and the sums are put together once per group as an exact decimal. A part is
+at most 10^6, so no sum can overflow before 9 * 10^12 rows.
 """
 
 from __future__ import annotations
@@ -12,38 +13,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digits kept after the point of each single amount.
-MONEY_SCALE = 6
+MILLION = 1_000_000
 
-# Amounts this large (or infinite, or NaN) are added as doubles: a double no longer holds
-# the fraction there, and BIGINT totals stay far from overflow.
-WIDE_AMOUNT = 1e12
+# A double holds 15 decimal digits. Below 10^9 an amount keeps six of them after the point,
+# below 10^12 three; what lies further right is noise of the binary form. Larger amounts
+# (also infinite ones and NaN) are added as doubles.
+LARGE_AMOUNT, WIDE_AMOUNT = 1e9, 1e12
 
-WHOLE, FRACTION, WIDE = "sum_whole", "sum_fraction", "sum_wide"
+MILLIONS, UNITS, FRACTION, WIDE = "sum_millions", "sum_units", "sum_fraction", "sum_wide"
 
 
-def money_sums(amount: Column, scale: int = MONEY_SCALE) -> list[Column]:
-    """The three aggregates from which ``money_total`` makes the sum of ``amount``."""
+def _millionths(amount: Column, fraction: Column) -> Column:
+    """Fraction of an amount in millionths, without the noise of its binary form."""
+    fine, coarse = F.rint(fraction * 1e6), F.rint(fraction * 1e3) * 1e3
+    return F.when(F.abs(amount) < LARGE_AMOUNT, fine).otherwise(coarse).cast("bigint")
+
+
+def money_sums(amount: Column) -> list[Column]:
+    """The aggregates from which ``money_total`` makes the sum of ``amount``."""
     regular = F.abs(amount) < WIDE_AMOUNT
     whole = F.floor(amount)
-    fraction = F.rint((amount - whole) * 10.0**scale).cast("bigint")
+    millions = F.floor(amount / MILLION)
     return [
-        F.sum(F.when(regular, whole)).alias(WHOLE),
-        F.sum(F.when(regular, fraction)).alias(FRACTION),
+        F.sum(F.when(regular, millions)).alias(MILLIONS),
+        F.sum(F.when(regular, whole - millions * MILLION)).alias(UNITS),
+        F.sum(F.when(regular, _millionths(amount, amount - whole))).alias(FRACTION),
         F.sum(F.when(~regular, amount)).alias(WIDE),
     ]
 
 
 def merged_sums() -> list[Column]:
-    """The same three aggregates, summed up again over partial groups."""
-    return [F.sum(name).alias(name) for name in (WHOLE, FRACTION, WIDE)]
+    """The same aggregates, summed up again over partial groups."""
+    return [F.sum(name).alias(name) for name in (MILLIONS, UNITS, FRACTION, WIDE)]
 
 
-def money_total(scale: int = MONEY_SCALE) -> Column:
+def money_total() -> Column:
     """Sum as a double; NULL when the group holds no amount at all."""
-    exact = (
-        F.col(WHOLE).cast("decimal(20,0)")
-        + F.col(FRACTION).cast("decimal(20,0)") / F.lit(10**scale)
-    ).cast("double")
-    wide = F.col(WIDE)
+    millions, units, fraction = (
+        F.col(name).cast("decimal(20,0)") for name in (MILLIONS, UNITS, FRACTION)
+    )
+    total = millions * F.lit(MILLION) + units + fraction / F.lit(MILLION)
+    exact, wide = total.cast("double"), F.col(WIDE)
     return F.coalesce(exact + wide, exact, wide)
