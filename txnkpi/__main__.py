@@ -1,4 +1,7 @@
-"""Run the stages: ``python -m txnkpi {ingest,transform,publish,run}``.
+"""Run the stages: ``python -m txnkpi {schema,ingest,transform,publish,run}``.
+
+``schema`` prints the inferred schema of the raw files, to be kept and handed to ``ingest``
+and ``run`` with ``--schema``, which then parse the files once instead of twice.
 
 Paths come from options or from RAW_DATA_PATH, OUTPUT_PATH and PUBLISH_PATH. The JDBC
 options of ``publish`` and ``run`` load the KPI tables into a database as well.
@@ -13,27 +16,38 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from txnkpi.operators.publishing import CLEAR, KEEP
 from txnkpi.plans import daily
 from txnkpi.plans.registry import REGISTRY
 from txnkpi.session import create_session
 from txnkpi.sources import jdbc, tables
+from txnkpi.sources.raw_csv import infer_raw_schema
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
     """Parsed command line with every path the stage needs."""
     parser = argparse.ArgumentParser(prog="txnkpi", description=__doc__.splitlines()[0])
-    parser.add_argument("stage", choices=["ingest", "transform", "publish", "run"])
+    parser.add_argument("stage", choices=["schema", "ingest", "transform", "publish", "run"])
     parser.add_argument("--raw", default=os.getenv("RAW_DATA_PATH"))
     parser.add_argument("--output", default=os.getenv("OUTPUT_PATH"))
     parser.add_argument("--target", default=os.getenv("PUBLISH_PATH"))
     parser.add_argument("--schema", help="file with the raw schema as JSON")
+    parser.add_argument(
+        "--on-empty", choices=[KEEP, CLEAR], default=KEEP, help="refreshed tables, publish"
+    )
     parser.add_argument("--strict", action="store_true", help="stop at failed checks")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-user", default=os.getenv("JDBC_USER"))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     args = parser.parse_args(argv)
-    needed = {"ingest": ["raw"], "run": ["raw", "target"], "publish": ["target"]}
-    for name in ["output", *needed.get(args.stage, [])]:
+    needed = {
+        "schema": ["raw"],
+        "ingest": ["raw", "output"],
+        "transform": ["output"],
+        "publish": ["output", "target"],
+        "run": ["raw", "output", "target"],
+    }
+    for name in needed[args.stage]:
         if not getattr(args, name):
             parser.error(f"--{name} is required")
     return args
@@ -57,14 +71,16 @@ def run_stage(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.schema:
         with open(args.schema, encoding="utf-8") as file:
             schema = StructType.fromJson(json.load(file))
-    if args.stage == "ingest":
+    if args.stage == "schema":
+        print(infer_raw_schema(spark, args.raw).json())
+    elif args.stage == "ingest":
         print(daily.ingest(spark, args.raw, args.output, schema))
     elif args.stage == "transform":
         daily.transform(spark, args.output)
         for gate in (daily.check_clean, daily.check_kpis):
             gate(spark, args.output).show(truncate=False)
     elif args.stage == "publish":
-        for row in daily.publish(spark, args.output, args.target):
+        for row in daily.publish(spark, args.output, args.target, args.on_empty):
             print(*row)
     else:
         print(

@@ -30,8 +30,8 @@ def checked_rows(batch: DataFrame, key: str | None = None) -> int:
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Batch rows replace target rows of equal key; other target rows stay.
 
-    No broadcast is forced: adaptive execution broadcasts the batch when its measured
-    size allows and joins by shuffle otherwise.
+    No broadcast is forced: Spark broadcasts the keys when their measured size allows and
+    joins by shuffle otherwise. The batch is read twice, so pass a written table.
     """
     stale = target.join(batch.select(key), key, "left_anti").select(*target.columns)
     return stale.unionByName(batch)
