@@ -167,6 +167,16 @@ def test_known_columns_are_double_and_others_inferred(spark, tmp_path):
     assert cleaning.ingest_report(raw).first().corrupt_rows == 1
 
 
+@pytest.mark.parametrize(
+    ("row", "kind"), [("0,5,true", "boolean"), ("2024-01-01 10:00:00,5,1", "timestamp")]
+)
+def test_known_columns_must_be_numbers(spark, tmp_path, row, kind):
+    path = tmp_path / "kinds.csv"
+    path.write_text(f"Time,Amount,Class\n{row}\n")
+    with pytest.raises(TypeError, match=kind):
+        infer_raw_schema(spark, str(path))
+
+
 def test_quoted_numbers(spark, tmp_path):
     path = tmp_path / "quoted.csv"
     path.write_text('Time,Amount,Class\n"0","5.5","1"\n')

@@ -5,10 +5,18 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DoubleType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from txnkpi.functions import CORRUPT, REQUIRED
 
+READABLE = (NumericType, StringType)
+
 # Name Spark gives to a column whose header is blank.
 UNNAMED = re.compile(r"_c\d+")
 
@@ -19,10 +27,15 @@ def infer_raw_schema(spark: SparkSession, path: str) -> StructType:
     Pass-through columns need their own types, as they are part of the duplicate key:
     ``1.5`` and ``1.50`` are the same number but different text. Inference parses every
     file once; for large or daily input keep the result (``schema.json()``) and hand it to
-    ``read_raw``.
+    ``read_raw``. Known columns may hold numbers, or text where a few values are no numbers;
+    a column of dates or truth values is an error, as every row would count as missing.
     """
     inferred = spark.read.csv(path, header=True, inferSchema=True).schema
     known = {name.lower() for name in REQUIRED}
+    for field in inferred:
+        if field.name.lower() in known and not isinstance(field.dataType, READABLE):
+            kind = field.dataType.simpleString()
+            raise TypeError(f"column {field.name} holds {kind} values, not numbers")
     return StructType(
         [
             StructField(f.name, DoubleType()) if f.name.lower() in known else f
