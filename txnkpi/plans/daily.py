@@ -50,7 +50,7 @@ def need_source(spark: SparkSession, raw_path: str) -> None:
 
 def write_clean(raw: DataFrame, output: str) -> dict[str, int]:
     """Clean raw rows, write them and return the row counts."""
-    seen = Observation("ingest")
+    seen = Observation()
     counted = cleaning.count_copies(raw).observe(seen, *cleaning.report_columns())
     tables.write(cleaning.clean_counted(counted), tables.clean_path(output))
     return dict(seen.get)

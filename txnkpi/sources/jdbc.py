@@ -93,20 +93,18 @@ def _connect(spark: SparkSession, url: str, properties: dict[str, str]):
     return jvm.java.sql.DriverManager.getConnection(url, options)
 
 
-def stage(batch: DataFrame, url: str, staging: str, properties: dict[str, str]) -> int:
-    """Write a staging table and return its rows, after making sure they are all there.
+def stage(
+    batch: DataFrame, rows: int, url: str, staging: str, properties: dict[str, str]
+) -> None:
+    """Write a staging table and make sure that it has the batch's number of rows.
 
     JDBC tasks commit one by one, so a task that runs again after its executor was lost
     can leave its rows twice.
     """
-    rows = batch.count()
-    if rows:
-        batch.write.jdbc(url, staging, mode="overwrite", properties=properties)
-        spark = batch.sparkSession
-        staged = spark.read.jdbc(url, staging, properties=properties).count()
-        if staged != rows:
-            raise RuntimeError(f"{staging} has {staged} rows instead of {rows}; run again")
-    return rows
+    batch.write.jdbc(url, staging, mode="overwrite", properties=properties)
+    staged = batch.sparkSession.read.jdbc(url, staging, properties=properties).count()
+    if staged != rows:
+        raise RuntimeError(f"{staging} has {staged} rows instead of {rows}; run again")
 
 
 def publish_jdbc(
@@ -118,9 +116,10 @@ def publish_jdbc(
 ) -> bool:
     """Upsert by ``key``, or replace all rows without one; False for an empty batch."""
     spark, staging = batch.sparkSession, f"{table}_staging"
-    checked_rows(batch, key)
-    if not stage(batch, url, staging, properties):
+    rows = checked_rows(batch, key)
+    if not rows:
         return False
+    stage(batch, rows, url, staging, properties)
     if key:
         merge = upsert_sql(table, staging, batch.columns, key)
     else:
