@@ -77,23 +77,29 @@ def clean(raw: DataFrame) -> DataFrame:
     )
 
 
-def quoted(names: list[str]) -> list[str]:
-    """Column names safe to resolve even with dots or backticks in them."""
-    return ["`" + name.replace("`", "``") + "`" for name in names]
+def quoted(name: str) -> str:
+    """A column name safe to resolve even with dots or backticks in it."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def count_copies(raw: DataFrame) -> DataFrame:
-    """One row per distinct raw row with the number of its copies.
+    """One row per distinct usable row with the number of its copies.
 
-    Same shuffle as ``drop_copies``, but every raw row stays accounted for. Counting
-    after the shuffle keeps the counts right when map tasks run twice because an
-    executor was lost; counters filled on the map side would count those rows again.
+    Same shuffle as ``drop_copies``, but every raw row stays accounted for. Rows that lack
+    a critical value are only counted: they are blanked, so that each task sends one for
+    all of them. Counting after the shuffle keeps the counts right when map tasks run twice
+    because an executor was lost; counters filled on the map side would count rows again.
     """
-    columns = [raw[name] for name in quoted(raw.columns) if name != f"`{CORRUPT}`"]
+    usable = has_criticals()
+    names = [name for name in raw.columns if name != CORRUPT]
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
-    return raw.groupBy(*columns).agg(
+    marked = raw.select(
+        *[F.when(usable, raw[quoted(name)]).alias(name) for name in names],
+        corrupt.alias(CORRUPT_COPIES),
+    )
+    return marked.groupBy(*map(quoted, names)).agg(
         F.count(F.lit(1)).alias(COPIES),
-        F.count_if(corrupt).alias(CORRUPT_COPIES),
+        F.count_if(CORRUPT_COPIES).alias(CORRUPT_COPIES),
     )
 
 
