@@ -101,7 +101,7 @@ def main() -> None:
     """Measure and print."""
     conf = {
         "spark.master": f"local[{CPUS}]",
-        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "4g"),
         "spark.sql.shuffle.partitions": CPUS,
     }
     spark = create_session("txnkpi-bench", conf)
