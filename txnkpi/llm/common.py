@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnkpi.sources.paths import scratch
+from txnkpi.sources.paths import scanned_bytes, scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: ASCII white space, or (``ALNUM``) every ASCII character but 0-9 and a-z.
@@ -32,6 +32,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tables read from files of up to this many bytes are sent to all executors.
+BROADCAST_BYTES = 16 * 2**20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A frame over a written table, to be broadcast if its size on disk allows."""
+    return F.broadcast(df) if scanned_bytes(df) <= BROADCAST_BYTES else df
+
+
 # --- words as Spark columns
 
 

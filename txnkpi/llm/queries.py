@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnkpi.llm import compression, langid, licenses
+from txnkpi.llm import compression, decontamination, langid, licenses, minhash, mixing, pii
 from txnkpi.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,13 +28,133 @@ def _licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder))
 
 
+def _pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymised(documents(spark, folder))
+
+
+def _winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, folder), documents(spark, folder, "benchmark"))
+
+
+def _mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_plan(documents(spark, folder))
+
+
+def _minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_surrogates": _pii,
+        "op2_winnowing": _winnowing,
         "op3_compression_bands": _compression,
         "op4_ppm_language": _langid,
         "op5_license_rules": _licenses,
+        "op6_water_filling": _mixing,
+        "op10_bottom_k": _minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_winnowing": WINNOWING, "op6_water_filling": MIXING, "op10_bottom_k": BOTTOM_K}
+
+
+WINNOWING = r"""
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s + 1 : s + n], ' ') AS g
+  FROM (
+    SELECT item_id, w, least(len(w), 10) AS n, unnest(range(len(w) - least(len(w), 10) + 1)) AS s
+    FROM item WHERE len(w) > 0)
+), doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), hit AS (
+  SELECT doc_id, s, d.n, item_id
+  FROM (
+    SELECT doc_id, n, s, array_to_string(w[s + 1 : s + n], ' ') AS g
+    FROM (
+      SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS s
+      FROM doc JOIN (SELECT DISTINCT n FROM item_window) ON len(w) >= n)) AS d
+  JOIN item_window AS i ON d.n = i.n AND d.g = i.g
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered ON doc.doc_id = covered.doc_id LEFT JOIN found ON doc.doc_id = found.doc_id
+"""
+
+MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, coalesce('s' || source, '~') AS source_key,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents
+), source AS (
+  SELECT source_key, CAST(sum(size) AS BIGINT) AS source_size,
+    [3, 1, 2][(row_number() OVER (ORDER BY source_key) - 1) % 3 + 1] AS weight
+  FROM sized GROUP BY source_key
+), level AS (
+  SELECT source_key, weight, source_size, row_number() OVER before AS place,
+    (1.5::DOUBLE * sum(source_size) OVER () - sum(2 * source_size) OVER before + 2 * source_size)
+      / (sum(weight) OVER () - sum(weight) OVER before + weight) AS l
+  FROM source
+  WINDOW before AS (ORDER BY 2 * source_size / weight, source_key)
+), chosen AS (
+  SELECT coalesce(arg_min(l, place) FILTER (2 * source_size > l * weight), 'infinity'::DOUBLE) AS l FROM level
+), share AS (
+  SELECT source_key, source_size, least(CAST(2 * source_size AS DOUBLE), weight * chosen.l) AS target
+  FROM source CROSS JOIN chosen
+), rest AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole
+  FROM share
+), placed AS (
+  SELECT doc_id, size, source_size, target, whole,
+    target - whole * source_size AS rest,
+    sum(size) OVER (PARTITION BY sized.source_key ORDER BY k, size ROWS UNBOUNDED PRECEDING) AS until
+  FROM sized JOIN rest ON sized.source_key = rest.source_key
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (whole + CASE WHEN rest > 0 AND until - size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
+BOTTOM_K = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS s FROM doc))
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM shingle AS x JOIN shingle AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN size AS p ON p.doc_id = a JOIN size AS q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM doc
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), least_id AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, component_id,
+  doc.doc_id = component_id AS kept
+FROM doc JOIN least_id ON doc.doc_id = least_id.a LEFT JOIN size ON doc.doc_id = size.doc_id
+"""
