@@ -1,4 +1,11 @@
 """Operators for preparing training text, one module each.
 
-Nothing else in the library imports this subpackage.
+Nothing else in the library imports this subpackage. Functions that run on executors are sent
+with their code, so executors need this package's requirements only, not the package.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

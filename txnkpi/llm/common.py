@@ -114,14 +114,21 @@ class Words:
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Where windows of ``size`` words of one document start, and their hashes."""
-        n = len(self.hash) - size + 1
+        at, hashes = self.prefixes(size)
+        return at, hashes[0]
+
+    def prefixes(self, *sizes: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Where windows of the last size start, and hashes of their first words by each size."""
+        n = len(self.hash) - sizes[-1] + 1
         if n <= 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-        at = np.flatnonzero(self.doc[:n] == self.doc[size - 1 :])
-        out = np.zeros(n, dtype=np.uint64)
-        for j in range(size):
-            out = out * _BASE + self.hash[j : n + j]
-        return at, mix(out[at])
+            return np.zeros(0, dtype=np.int64), [np.zeros(0, dtype=np.uint64) for _ in sizes]
+        at = np.flatnonzero(self.doc[:n] == self.doc[sizes[-1] - 1 :])
+        rolled, out = np.zeros(n, dtype=np.uint64), []
+        for j in range(sizes[-1]):
+            rolled = rolled * _BASE + self.hash[j : n + j]
+            if j + 1 in sizes:
+                out.append(mix(rolled[at]))
+        return at, out
 
 
 def pieces(batch: pa.RecordBatch, column: str, lower: bool = False) -> Iterator[tuple[int, list[bytes]]]:
@@ -142,7 +149,7 @@ def pieces(batch: pa.RecordBatch, column: str, lower: bool = False) -> Iterator[
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Integer arrays of one length as bytes; the first should be sorted, its steps are kept."""
+    """Integer arrays of one length, not 0, as bytes; the first is sorted, its steps are kept."""
     n = len(arrays[0])
     out = [n.to_bytes(8, "little")]
     for k, a in enumerate(arrays):
@@ -152,12 +159,34 @@ def pack(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
+def binned(bins: np.ndarray, *arrays: np.ndarray) -> pa.RecordBatch:
+    """Rows (bin, block) of entries dealt to bins, sorted by the first array inside a bin."""
+    order = np.argsort(arrays[0], kind="stable")
+    order = order[np.argsort(bins[order], kind="stable")]
+    bins, arrays = bins[order], [a[order] for a in arrays]
+    first = np.flatnonzero(np.diff(bins, prepend=-1))
+    ends = np.append(first[1:], len(bins))
+    blocks = [pack(*(a[i:j] for a in arrays)) for i, j in zip(first, ends)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bins[first], pa.int32()), pa.array(blocks, pa.binary())], ["bin", "block"]
+    )
+
+
 def unpack(block: bytes) -> list[np.ndarray]:
     """What went into ``pack``, as unsigned 64-bit arrays."""
     data = zstandard.ZstdDecompressor().decompress(block)
     n = int.from_bytes(data[:8], "little")
-    planes = np.frombuffer(data, dtype=np.uint8, offset=8).reshape(-1 if n else 0, 8, n)
-    if not n:
-        return [np.zeros(0, dtype=np.uint64)] * 4
+    planes = np.frombuffer(data, dtype=np.uint8, offset=8).reshape(-1, 8, n)
     out = [np.ascontiguousarray(p.T).reshape(-1).view(np.uint64) for p in planes]
     return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
+
+
+def unpacked(blocks: pa.ChunkedArray) -> list[np.ndarray]:
+    """The entries of many blocks of one bin, one block after another."""
+    return [np.concatenate(x) for x in zip(*(unpack(b) for b in blocks.to_pylist()))]
+
+
+def bins_for(docs: DataFrame, text_col: str, entries: int) -> int:
+    """Number of bins that hold about ``entries`` words each, from the size of all texts."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
+    return int(size // (6 * entries)) + 1

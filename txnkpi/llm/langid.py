@@ -150,12 +150,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     The score is the share of the best language if each text had the probability of its code.
     """
-    handed = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was learned from
     held = F.lit(None).cast("boolean") if held_out is None else held_out
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = handed.value
         for batch in batches:
             best, score = [], []
             for _, texts in pieces(batch, "text"):

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnkpi.llm import compression, decontamination, langid, licenses, minhash, mixing, pii
+from txnkpi.llm import (
+    backoff, compression, decontamination, langid, licenses, minhash, mixing, pii, quotations, suffixes,
+)
 from txnkpi.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +46,19 @@ def _minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder))
 
 
+def _quotations(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.link_quotations(documents(spark, folder, "conversations"))
+
+
+def _suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.without_repeats(documents(spark, folder))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff.backoff_scores(documents(spark, folder))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_surrogates": _pii,
@@ -52,12 +67,15 @@ def queries() -> dict[str, Query]:
         "op4_ppm_language": _langid,
         "op5_license_rules": _licenses,
         "op6_water_filling": _mixing,
+        "op7_quotation_links": _quotations,
+        "op8_suffix_trees": _suffixes,
+        "op9_stupid_backoff": _backoff,
         "op10_bottom_k": _minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_winnowing": WINNOWING, "op6_water_filling": MIXING, "op10_bottom_k": BOTTOM_K}
+    return {"op2_winnowing": WINNOWING, "op6_water_filling": MIXING, "op8_suffix_trees": REPEATS, "op10_bottom_k": BOTTOM_K}
 
 
 WINNOWING = r"""
@@ -158,3 +176,23 @@ SELECT doc.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, component_
   doc.doc_id = component_id AS kept
 FROM doc JOIN least_id ON doc.doc_id = least_id.a LEFT JOIN size ON doc.doc_id = size.doc_id
 """
+
+
+REPEATS = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), place AS (
+  SELECT doc_id, s, array_to_string(w[s + 1 : s + 13], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 12)) AS s FROM doc WHERE len(w) > 12)
+), again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY g) AS least FROM place) WHERE least < doc_id
+), gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM again
+), word AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM doc
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept ON doc.doc_id = kept.doc_id
+"""
