@@ -1,0 +1,197 @@
+"""Near-duplicates, components, repeats and benchmark windows against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from txnkpi.llm import decontamination, minhash, suffixes
+from txnkpi.llm.common import LOWER, UPPER
+from txnkpi.llm.components import components
+
+SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+TO_LOWER = str.maketrans(UPPER, LOWER)
+
+
+def _find(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+def _components(nodes, edges):
+    parent = {n: n for n in nodes}
+    for a, b in edges:
+        a, b = sorted((_find(parent, a), _find(parent, b)))
+        parent[b] = a
+    return {n: _find(parent, n) for n in nodes}
+
+
+def test_components_of_random_graphs_chains_and_stars(spark):
+    rng = random.Random(4)
+    edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(180)]
+    edges += [(1000 + i, 1001 + i) for i in range(100)] + [(2000, 2001 + i) for i in range(60)] + [(7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    edges = [e for e in edges if e[0] != e[1]]
+    assert got == _components({n for e in edges for n in e}, edges)
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def _shingles(text):
+    w = SPACE_WORD.findall((text or "").translate(TO_LOWER))
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1))))
+
+
+def _near(rows, percent):
+    """(id, size, component) by comparing all rows; NULL ids link, but name nothing."""
+    nodes = list(range(len(rows)))
+    sets = [_shingles(t) for _, t in rows]
+    same_id = defaultdict(list)
+    edges = []
+    for i in nodes:
+        if rows[i][0] is not None and sets[i]:
+            edges += [(same_id[rows[i][0]][0], i)] if same_id[rows[i][0]] else []
+            same_id[rows[i][0]].append(i)
+        for j in nodes[:i]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                edges.append((j, i))
+    comp = _components(nodes, edges)
+    least = defaultdict(list)
+    for i in nodes:
+        if rows[i][0] is not None:
+            least[comp[i]].append(rows[i][0])
+    return sorted(((rows[i][0], len(sets[i]), min(least[comp[i]], default=None) if sets[i] else rows[i][0]) for i in nodes), key=repr)
+
+
+def _got(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=repr)
+
+
+def test_near_duplicates_of_odd_rows(edge, empty):
+    rows = [(r.doc_id, r.text) for r in edge.collect()]
+    assert _got(minhash.near_duplicates(edge)) == _near(rows, 85)
+    assert minhash.near_duplicates(empty).count() == minhash.keep_one(empty).count() == 0
+    kept = minhash.keep_one(edge)
+    assert kept.columns == edge.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(1) == 1 and not {2, 3, 8, 17} & set(ids) and {4, 5, 6, 7, 16} <= set(ids)
+
+
+def _copies(rng, sizes, group):
+    rows, vocabulary = [], [f"w{i}" for i in range(3000)]
+    passage = rng.choices(vocabulary, k=40)
+    for g, size in enumerate(sizes):
+        base = rng.choices(vocabulary, k=size)
+        for c in range(group):
+            text = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 3, 6])):
+                text[rng.randrange(size)] = rng.choice(vocabulary)
+            rows.append((len(rows) * 7 % 10007, " ".join(text + (passage if (g + c) % 3 == 0 else []))))
+    return rows
+
+
+@pytest.mark.parametrize("k, percent", [(256, 85), (256, 80), (32, 85)])
+def test_near_duplicates_are_those_of_all_pairs(spark, k, percent):
+    rows = _copies(random.Random(k), [3, 6, 30, 60, 150, 400, 700], 14)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cfg = minhash.Settings(percent=percent, k=k)
+    assert _got(minhash.near_duplicates(docs, cfg)) == _near(rows, percent)
+
+
+def _without(rows, window):
+    words = [SPACE_WORD.findall(t or "") for _, t in rows]
+    least = {}
+    for (i, _), w in zip(rows, words):
+        for s in range(len(w) - window + 1):
+            key = tuple(w[s : s + window])
+            if i is not None:
+                least[key] = min(least.get(key, i), i)
+    out = []
+    for (i, _), w in zip(rows, words):
+        gone = set()
+        for s in range(len(w) - window + 1) if i is not None else ():
+            if least[tuple(w[s : s + window])] < i:
+                gone |= set(range(s, s + window))
+        out.append((i, len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("group", [1_000_000, 2_000, 300, 20])
+def test_repeats_are_those_of_plain_python(spark, edge, group):
+    """The smaller the groups, the longer the prefixes, down to nodes resolved beforehand."""
+    rows = [(r.doc_id, r.text) for r in edge.collect()]
+    got = suffixes.without_repeats(edge, suffixes.Settings(group=group))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == _without(rows, 13)
+
+
+def test_repeats_of_common_words(spark, empty):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices("a b c".split(), k=rng.randint(0, 60)))) for i in range(120)]
+    rows += [(500 + i, "a " * 40) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for window, group in ((13, 50), (5, 400), (3, 100_000)):
+        got = suffixes.without_repeats(docs, suffixes.Settings(window=window, group=group))
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == _without(rows, window)
+    assert suffixes.without_repeats(empty).count() == 0
+
+
+def _contaminated(rows, items):
+    words = lambda t: ALNUM_WORD.findall((t or "").translate(TO_LOWER))
+    windows = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        n = min(10, len(w))
+        for s in range(len(w) - n + 1) if w else ():
+            windows[tuple(w[s : s + n])].add(i)
+    out = []
+    for i, t in rows:
+        w, hit, found = words(t), set(), set()
+        for n in {len(g) for g in windows}:
+            for s in range(len(w) - n + 1):
+                ids = windows.get(tuple(w[s : s + n]))
+                if ids:
+                    hit |= set(range(s, s + n))
+                    found |= {str(x) for x in ids if x is not None}
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), len(hit), len(found), digest, bool(hit)))
+    return sorted(out, key=repr)
+
+
+def test_windows_of_odd_items(spark, edge, empty):
+    rows = [(r.doc_id, r.text) for r in edge.collect()]
+    texts = {i: t for i, t in rows if i is not None}
+    passage = texts[13]
+    items = [
+        (1, passage), (10, passage), (2, None), (3, ""), (4, " ".join(passage.split()[20:33])), (5, "größe, ñandú été"),
+        (None, texts[15]), (6, "the the the"), (1, "GRÖSSE"), (7, "not there at all " * 5), (8, "One!"), (8, "One!"),
+        (9, "the " * 30),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.contamination(edge, benchmark)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == _contaminated(rows, items)
+    clean = decontamination.remove_contaminated(edge, benchmark)
+    assert clean.columns == edge.columns
+    assert sorted((r.doc_id for r in clean.collect()), key=repr) == sorted(
+        (r[0] for r in _contaminated(rows, items) if not r[5]), key=repr
+    )
+    none = benchmark.limit(0)
+    assert decontamination.contamination(edge, none).filter("contaminated").count() == 0
+    assert decontamination.remove_contaminated(edge, none).count() == len(rows)
+    assert decontamination.contamination(empty, benchmark).count() == 0
+
+
+def test_every_shared_span_is_found(spark):
+    rng = random.Random(2)
+    vocabulary = "a b c d".split()
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(8, 30)))) for i in range(40)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 80)))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.contamination(docs, benchmark).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == _contaminated(rows, items)
