@@ -128,28 +128,39 @@ def _frequent(words: DataFrame, cfg: Settings) -> tuple[np.ndarray, np.ndarray]:
     return _by_key(keys, table.column("count").to_numpy().astype(np.int64))
 
 
-def _hot_pairs(rows: DataFrame, cfg: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that fill more than half a bin, with exact counts; found by every 64th pair."""
+def _hot_pairs(rows: DataFrame, cfg: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that fill more than half a bin, found by every 64th pair: hash, exact count, and
+    whether several documents have it."""
 
-    def counter(every: int, chosen: np.ndarray | None):
+    def count(every: int, chosen: np.ndarray | None = None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for _, first, second in _pairs(batch):
-                    pairs = _pair_hash(first, second)[::every]
+                for docs, first, second in _pairs(batch):
+                    docs, pairs = docs[::every], _pair_hash(first, second)[::every]
                     if chosen is not None:
-                        pairs = pairs[Counts(chosen, np.ones(len(chosen), dtype=np.int64)).of(pairs) > 0]
-                    yield _counted([pairs])
-
-        counts = rows.mapInArrow(run, "word bigint, count bigint")
-        return counts.groupBy("word").agg(F.sum("count").alias("count"))
-
-    some = counter(EVERY, None).filter(F.col("count") * EVERY > cfg.group // 2).select("word").collect()  # two for each bin at most
+                        keep = Counts(chosen, np.ones(len(chosen), dtype=np.int64)).of(pairs) > 0
+                        docs, pairs = docs[keep], pairs[keep]
+                    if not len(pairs):
+                        continue
+                    order = np.lexsort((docs, pairs))
+                    docs, pairs = docs[order], pairs[order]
+                    at = np.flatnonzero(np.diff(pairs, prepend=~pairs[:1]))
+                    size = np.diff(np.append(at, len(pairs)))
+                    columns = pairs[at].view(np.int64), size, docs[at], docs[at + size - 1]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["pair", "n", "least", "most"])
+
+        found = rows.mapInArrow(run, "pair bigint, n bigint, least bigint, most bigint")
+        return found.groupBy("pair").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+
+    some = count(EVERY).filter(F.col("n") * EVERY > cfg.group // 2).select("pair").collect()  # two for each bin at most
     if not some:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    chosen = np.sort(np.array([r["word"] for r in some], dtype=np.int64).view(np.uint64))
-    exact = counter(1, chosen).collect()  # the same pairs
-    keys = np.array([r["word"] for r in exact], dtype=np.int64).view(np.uint64)
-    return _by_key(keys, np.array([r["count"] for r in exact], dtype=np.int64))
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    chosen = np.sort(np.array([r["pair"] for r in some], dtype=np.int64).view(np.uint64))
+    exact = count(1, chosen).collect()  # the same pairs
+    keys = np.array([r["pair"] for r in exact], dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    counts = np.array([r["n"] for r in exact], dtype=np.int64)[order]
+    return keys[order], counts, np.array([r["least"] != r["most"] for r in exact], dtype=np.int64)[order]
 
 
 def _units(share: np.ndarray) -> np.ndarray:
@@ -183,7 +194,7 @@ def pair_scores(rows: DataFrame, cfg: Settings) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list[np.ndarray]] = []
-        held, common, hot = 0, Counts(*sent_words.value), Counts(*sent_pairs.value)
+        held, common, hot = 0, Counts(*sent_words.value), Counts(*sent_pairs.value[:2])
         for batch in batches:
             for docs, first, second in _pairs(batch):
                 pair = _pair_hash(first, second)
@@ -234,14 +245,16 @@ def pair_scores(rows: DataFrame, cfg: Settings) -> DataFrame:
     if len(hot[0]):
 
         def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            common, hot = Counts(*sent_words.value), Counts(*sent_pairs.value)
+            common = Counts(*sent_words.value)
+            keys, counts, several = sent_pairs.value
             for batch in batches:
                 for docs, first, second in _pairs(batch):
-                    count, uses = hot.of(_pair_hash(first, second)), common.of(first)
-                    hit = (count > 0) & (uses > 0) & (common.of(second) > 0)
-                    share = count[hit] / uses[hit]
-                    ones = np.ones(int(hit.sum()), dtype=np.int64)
-                    yield from _per_doc(docs[hit], _units(share), ones, ones).to_batches()
+                    pair, one, two = _pair_hash(first, second), common.of(first), common.of(second)
+                    count, known = Counts(keys, counts).of(pair), Counts(keys, several).of(pair) > 0
+                    hit = (count > 0) & (one > 0) & (two > 0)
+                    docs, count, known, one, two = (x[hit] for x in (docs, count, known, one, two))
+                    units = _units(np.where(known, count / one, cfg.alpha * two / total))
+                    yield from _per_doc(docs, units, np.ones(len(docs), dtype=np.int64), known).to_batches()
 
         sums = sums.union(rows.mapInArrow(resolved, SUMS))
     return sums
