@@ -47,6 +47,7 @@ SYLLABLES = {
 }
 
 _GIVEN = "|".join(n for names in FIRST_NAMES.values() for n in names)
+TITLES = {gender: f"{titles}|{titles.upper()}" for gender, titles in TITLES.items()}
 _TITLE = "|".join(TITLES.values())
 _CAP = r"\p{Lu}[\p{L}'’-]+"
 _DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
