@@ -1,0 +1,58 @@
+"""The pipeline's stages on their own inputs, and the whole against plain Python."""
+
+from __future__ import annotations
+
+import re
+
+import corpus_pipeline
+import zstandard
+from tests.conftest import DATA
+from tests.llm.test_pairs import _contaminated, _near
+from txnkpi.llm import compression
+from txnkpi.llm.common import written
+
+
+def test_stages_on_real_rows(spark):
+    folder = f"{DATA}/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, seen = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id: r for r in docs.collect()}
+        docs = written(stage(spark, docs, folder), name)
+        after = docs.collect()
+        seen[name] = (before, after)
+        assert docs.columns == columns + ["epoch"] * (name == "mix_sources")
+    compress = zstandard.ZstdCompressor(level=3)
+    before, after = seen["quality_rules"]
+    good = {i for i, r in before.items() if compression.judge(r.text, compression.Bands(), compress)[6]}
+    assert {r.doc_id for r in after} == good
+    before, after = seen["near_dedup"]
+    near = _near([(i, r.text) for i, r in before.items()], corpus_pipeline.NEAR.percent)
+    assert {r.doc_id for r in after} == {i for i, _, c in near if i == c}
+    before, after = seen["decontaminate"]
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
+    found = _contaminated([(i, r.text) for i, r in before.items()], items)
+    assert {r.doc_id for r in after} == {r[0] for r in found if not r[5]}
+    before, after = seen["surrogates"]
+    assert len(after) == len(before)
+    personal = re.compile(r"\S+@\S+\.\w+|\b\d{16}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b")
+    for r in after:
+        assert (r.text != before[r.doc_id].text) >= bool(personal.search(before[r.doc_id].text))
+        assert r.lang == before[r.doc_id].lang and r.source == before[r.doc_id].source
+    before, after = seen["mix_sources"]
+    assert {r.doc_id for r in after} <= set(before) and {r.epoch for r in after} == {1, 2}
+    words = lambda rows: sum(len(r.text.split()) for r in rows)
+    assert abs(words(after) - 1.5 * words(before.values())) < 0.1 * words(before.values())
+
+
+def test_run_on_odd_rows(spark, edge, empty, tmp_path):
+    for docs in (edge, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = written(stage(spark, docs, f"{DATA}/sf0.001"), name)
+    assert docs.count() == 0
+
+
+def test_run_applies_all_stages(spark):
+    got = corpus_pipeline.run(spark, f"{DATA}/sf0.001")
+    assert got.columns[-1] == "epoch" and got.count() > 0
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontaminate", "surrogates", "mix_sources"]
