@@ -7,10 +7,11 @@ import re
 import corpus_pipeline
 import zstandard
 from tests.conftest import DATA
-from tests.llm.test_pairs import _contaminated, _near
 from txnkpi.llm import compression
 from txnkpi.llm.common import written
 
+from .test_pairs import _contaminated, _near
+
 
 def test_stages_on_real_rows(spark):
     folder = f"{DATA}/sf0.001"
