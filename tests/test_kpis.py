@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import DATA
@@ -163,34 +164,52 @@ def test_large_amounts_do_not_overflow(spark):
     assert total == float(Decimal("999999999999.5") * 20_000_000)
 
 
+def _total_of(rows):
+    return rows.agg(*money_sums(F.col("amount"))).select(money_total()).first()[0]
+
+
+def test_no_digit_is_cut(spark):
+    fine = spark.range(10_000_000).select(F.lit(4e-7).alias("amount"))
+    assert round(_total_of(fine), 9) == 4.0
+    exact = spark.range(10_000_000).select(F.lit(1.0000005).alias("amount"))
+    assert _total_of(exact) == 10_000_005.0
+    large = spark.range(1_000).select(F.lit(1e9 + 0.0004).alias("amount"))
+    assert _total_of(large) == math.fsum([1e9 + 0.0004] * 1_000)
+
+
+def test_amounts_above_10_to_the_12_sum_the_same_in_any_order(spark):
+    amount = F.lit(1e12) + F.rand(5) * 1e13 + F.rand(6)
+    rows = spark.range(3_300).select(amount.alias("amount")).checkpoint()
+    totals = {_total_of(rows.repartition(n)) for n in (1, 2, 3, 7, 13)}
+    assert totals == {math.fsum(r.amount for r in rows.collect())}
+
+
 def test_wide_infinite_and_nan_amounts(spark):
     assert _total(spark, [1e15, 0.25, 0.5]) == 1e15 + 0.75
     assert _total(spark, [-2.5, 1.25]) == -1.25
+    assert _total(spark, [-0.1]) == -0.1
     assert _total(spark, [float("inf"), 1.0]) == math.inf
     assert math.isnan(_total(spark, [float("nan"), 1.0]))
     assert _total(spark, [1e300, 1e300]) == 2e300
 
 
-@settings(
-    max_examples=15,
+MANY = settings(
+    max_examples=20,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
-@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=60))
-def test_money_sum_of_any_doubles_is_close(spark, amounts):
-    # Half of the sixth decimal per amount, plus rounding of the total itself.
-    bound = 5e-7 * len(amounts) + abs(math.fsum(amounts)) * 1e-15
-    assert abs(_total(spark, amounts) - math.fsum(amounts)) <= bound
 
 
-@settings(
-    max_examples=25,
-    deadline=None,
-    suppress_health_check=[HealthCheck.function_scoped_fixture],
-)
+@MANY
+@given(st.lists(st.floats(-1e17, 1e17), min_size=1, max_size=60))
+def test_money_sum_of_any_doubles_is_the_rounded_exact_sum(spark, amounts):
+    # Digits beyond 2^-60 are rounded for each amount.
+    units = sum(round(Fraction(a) * 2**60) for a in amounts)
+    assert _total(spark, amounts) == float(Fraction(units, 2**60))
+
+
+@MANY
 @given(st.lists(st.integers(-(10**13), 10**13), min_size=1, max_size=40), st.integers(2, 6))
 def test_money_sum_is_exact(spark, units, places):
     amounts = [float(Decimal(u).scaleb(-places)) for u in units]
-    exact = sum(Decimal(repr(a)) for a in amounts)
-    wanted = exact.quantize(Decimal("0.000001"), ROUND_HALF_UP)
-    assert _total(spark, amounts) == float(wanted)
+    assert abs(_total(spark, amounts) - math.fsum(amounts)) <= 2**-60 * len(amounts)

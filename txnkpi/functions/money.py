@@ -3,9 +3,15 @@
 A plain ``sum(double)`` changes in its last digits with the order in which partitions
 arrive, and a cent can flip at a rounding tie. ``sum(decimal)`` is exact, but decimal
 buffers beyond 18 digits cost three to four times as much per row. Here each amount is
-split into millions, units and a fraction; each part is summed as BIGINT inside code
-generation, and the sums are put together once per group as an exact decimal. A part is
-at most 10^6, so no sum can overflow before 9 * 10^12 rows.
+taken apart by bit shifts into its whole number and 60 binary digits after the point, six
+parts of 20 bits each. Each part is summed as BIGINT inside code generation, and the sums
+are put together once per group. A part is below 2^20, so no sum can overflow before
+8 * 10^12 rows.
+
+Nothing an amount from 10^-2 on holds is cut: a double has 53 binary digits. Of smaller
+ones what lies beyond 2^-60 (10^-18) is rounded per row, too little for any published
+figure. Amounts from 2^60 (10^18) on, infinite ones and NaN do not fit the parts and are
+added as doubles.
 """
 
 from __future__ import annotations
@@ -13,45 +19,54 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MILLION = 1_000_000
-
-# A double holds 15 decimal digits. Below 10^9 an amount keeps six of them after the point,
-# below 10^12 three; what lies further right is noise of the binary form. Larger amounts
-# (also infinite ones and NaN) are added as doubles.
-LARGE_AMOUNT, WIDE_AMOUNT = 1e9, 1e12
+BITS = 20
+MASK = 2**BITS - 1
+LARGEST = float(2 ** (3 * BITS))
 
-MILLIONS, UNITS, FRACTION, WIDE = "sum_millions", "sum_units", "sum_fraction", "sum_wide"
+WHOLE = ("sum_whole_high", "sum_whole_mid", "sum_whole_low")
+FRACTION = ("sum_fraction_high", "sum_fraction_mid", "sum_fraction_low")
+WIDE = "sum_wide"
 
 
-def _millionths(amount: Column, fraction: Column) -> Column:
-    """Fraction of an amount in millionths, without the noise of its binary form."""
-    fine, coarse = F.rint(fraction * 1e6), F.rint(fraction * 1e3) * 1e3
-    return F.when(F.abs(amount) < LARGE_AMOUNT, fine).otherwise(coarse).cast("bigint")
+def _parts(number: Column) -> list[Column]:
+    """The three 20-bit parts of a BIGINT, the highest one with its sign."""
+    high = F.shiftright(number, 2 * BITS)
+    mid = F.shiftright(number, BITS).bitwiseAND(F.lit(MASK))
+    return [high, mid, number.bitwiseAND(F.lit(MASK))]
 
 
 def money_sums(amount: Column) -> list[Column]:
     """The aggregates from which ``money_total`` makes the sum of ``amount``."""
-    regular = F.abs(amount) < WIDE_AMOUNT
-    whole = F.floor(amount)
-    millions = F.floor(amount / MILLION)
+    regular = F.abs(amount) < LARGEST
+    whole = F.when(regular, amount).cast("bigint")
+    fraction = F.when(regular, F.rint((amount - whole) * LARGEST).cast("bigint"))
+    parts = zip((*WHOLE, *FRACTION), (*_parts(whole), *_parts(fraction)), strict=True)
     return [
-        F.sum(F.when(regular, millions)).alias(MILLIONS),
-        F.sum(F.when(regular, whole - millions * MILLION)).alias(UNITS),
-        F.sum(F.when(regular, _millionths(amount, amount - whole))).alias(FRACTION),
+        *[F.sum(part).alias(name) for name, part in parts],
         F.sum(F.when(~regular, amount)).alias(WIDE),
     ]
 
 
 def merged_sums() -> list[Column]:
     """The same aggregates, summed up again over partial groups."""
-    return [F.sum(name).alias(name) for name in (MILLIONS, UNITS, FRACTION, WIDE)]
+    return [F.sum(name).alias(name) for name in (*WHOLE, *FRACTION, WIDE)]
 
 
 def money_total() -> Column:
     """Sum as a double; NULL when the group holds no amount at all."""
-    millions, units, fraction = (
-        F.col(name).cast("decimal(20,0)") for name in (MILLIONS, UNITS, FRACTION)
+    high, mid, low = map(F.col, FRACTION)
+    mid = mid + F.shiftright(low, BITS)
+    high = high + F.shiftright(mid, BITS)
+    carried = F.shiftright(high, BITS)
+    rest = [x.bitwiseAND(F.lit(MASK)) for x in (high, mid, low)]
+    bits = F.shiftleft(rest[0], 2 * BITS) + F.shiftleft(rest[1], BITS) + rest[2]
+    first, second, third = (F.col(name).cast("decimal(20,0)") for name in WHOLE)
+    step = F.lit(2**BITS).cast("decimal(8,0)")
+    units = ((first * step + second) * step + third + carried).cast("decimal(38,0)")
+    # One rounding in all. Beyond 2^63 no double has a place for the bits.
+    fine = units * F.lit(2 ** (3 * BITS)).cast("decimal(19,0)") + bits
+    exact = F.when(F.abs(units) < 2**63 - 1, fine.cast("double") / LARGEST).otherwise(
+        units.cast("double")
     )
-    total = millions * F.lit(MILLION) + units + fraction / F.lit(MILLION)
-    exact, wide = total.cast("double"), F.col(WIDE)
+    wide = F.col(WIDE)
     return F.coalesce(exact + wide, exact, wide)
