@@ -19,9 +19,9 @@ SETTINGS = settings(
 )
 
 # Few values per column, so that copies, ties and gaps are common.
-times = st.sampled_from([None, math.nan, -7200.0, -1.0, 0.0, 3600.0, 90000.0])
+times = st.sampled_from([None, math.nan, math.inf, -7200.0, -1.0, 0.0, 3600.0, 90000.0])
 amounts = st.sampled_from([None, math.nan, -1.0, 0.0, 0.005, 9.99, 10.0, 100.0, 1000.005])
-classes = st.sampled_from([None, 0.0, 1.0])
+classes = st.sampled_from([None, 0.0, 1.0, 0.9, 2.0])
 raw_rows = st.lists(
     st.tuples(times, amounts, classes, st.sampled_from(["a", "b"])), max_size=60
 )
@@ -32,8 +32,11 @@ def missing(value):
 
 
 def python_clean(rows):
-    usable = [r for r in rows if not any(missing(v) for v in r[:3])]
-    kept = {r for r in usable if r[1] > 0}
+    present = [r for r in rows if not any(missing(v) for v in r[:3])]
+    finite = [r for r in present if not math.isinf(r[0])]
+    usable = [r for r in finite if r[2] == int(r[2])]
+    positive = [r for r in usable if r[1] > 0]
+    kept = set(positive)
     out = []
     for time, amount, klass, shop in kept:
         hour = int(math.fmod(time / 3600, 24))
@@ -45,9 +48,11 @@ def python_clean(rows):
     counts = {
         "raw_rows": len(rows),
         "corrupt_rows": 0,
-        "missing_rows": len(rows) - len(usable),
-        "duplicate_rows": len(usable) - len(set(usable)),
-        "nonpositive_rows": len(set(usable)) - len(kept),
+        "missing_rows": len(rows) - len(present),
+        "endless_time_rows": len(present) - len(finite),
+        "odd_class_rows": len(finite) - len(usable),
+        "nonpositive_rows": len(usable) - len(positive),
+        "duplicate_rows": len(positive) - len(kept),
         "clean_rows": len(kept),
     }
     return sorted(out), counts

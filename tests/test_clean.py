@@ -52,8 +52,10 @@ def test_report_accounts_for_every_row(spark, edge_csv):
         "raw_rows": 19,
         "corrupt_rows": 1,
         "missing_rows": 5,
-        "duplicate_rows": 2,
+        "endless_time_rows": 0,
+        "odd_class_rows": 0,
         "nonpositive_rows": 2,
+        "duplicate_rows": 2,
         "clean_rows": 10,
     }
 
@@ -71,7 +73,7 @@ def test_counted_path_gives_the_same_rows(spark, edge_csv):
     assert counted.exceptAll(plain).isEmpty() and plain.exceptAll(counted).isEmpty()
 
 
-def test_values_the_clean_types_cannot_hold_count_as_missing(spark):
+def test_values_the_clean_types_cannot_hold_have_their_own_counts(spark):
     inf, nan = float("inf"), float("nan")
     rows = [
         (inf, 1.0, 5.0, 0.0),
@@ -82,11 +84,20 @@ def test_values_the_clean_types_cannot_hold_count_as_missing(spark):
         (1.0, 1.0, 5.0, nan),
         (1.0, 1.0, inf, 1.0),
         (1.0, nan, 5.0, 1.0),
+        (1.0, 1.0, 5.0, 0.9),
+        (1.0, 1.0, 5.0, -0.5),
+        (1.0, 1.0, 5.0, 1.9),
+        (1.0, 1.0, -5.0, 2.0),
     ]
     raw = spark.createDataFrame(rows, RAW)
     kept = sorted(r.amount for r in cleaning.clean(raw).collect())
     assert kept == [5.0, inf]
-    assert cleaning.ingest_report(raw).first().missing_rows == 6
+    report = cleaning.ingest_report(raw)
+    found = report.first()
+    assert (found.missing_rows, found.endless_time_rows, found.odd_class_rows) == (3, 2, 4)
+    assert (found.nonpositive_rows, found.clean_rows, found.raw_rows) == (1, 2, len(rows))
+    gate = quality.gate_ingest(report)
+    assert sorted(quality.failed(gate)) == ["no_endless_times", "no_odd_classes"]
 
 
 def test_copies_include_null_nan_and_signed_zero(spark):
@@ -151,6 +162,32 @@ def test_blank_and_repeated_header_names(spark, tmp_path):
     assert cleaning.clean(read_raw(spark, str(repeated), check_header=False)).count() == 1
 
 
+def test_columns_beside_a_blank_header_do_not_trade_places(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(",Time,Amount,Class\n0,3600,5,1\n")
+    (tmp_path / "b.csv").write_text(",Amount,Time,Class\n0,5,3600,1\n")
+    schema = "_c0 int, Time double, Amount double, Class double"
+    assert read_raw(spark, str(tmp_path / "a.csv"), schema).first()._c0 == 0
+    with pytest.raises(Exception, match="b.csv"):
+        read_raw(spark, str(tmp_path), schema).collect()
+
+
+def test_a_column_named_like_a_blank_one_is_compared(spark, tmp_path):
+    path = tmp_path / "named.csv"
+    path.write_text("Time,_c5,Amount,Class\n3600,7,5,1\n")
+    assert read_raw(spark, str(path)).first()._c5 == 7
+    with pytest.raises(Exception, match="header"):
+        moved = "Time double, Amount double, _c5 int, Class double"
+        read_raw(spark, str(path), moved).collect()
+
+
+def test_several_blank_header_names_need_a_decision(spark, tmp_path):
+    path = tmp_path / "blanks.csv"
+    path.write_text(",,Time,Amount,Class\n0,1,3600,5,1\n")
+    with pytest.raises(ValueError, match="blank header"):
+        read_raw(spark, str(path))
+    assert read_raw(spark, str(path), check_header=False).first().Amount == 5
+
+
 def test_known_columns_are_double_and_others_inferred(spark, tmp_path):
     path = tmp_path / "types.csv"
     path.write_text("Time,Shop,Amount,Class,Rate\n0,7,5,0,1.5\n0,7,5,0,1.50\n0,7,oops,0.0,2\n")

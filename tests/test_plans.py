@@ -7,9 +7,12 @@ import re
 import pytest
 from conftest import DATA
 
-from txnkpi.operators import cleaning, kpis, quality
+from pyspark.sql import Observation
+
+from txnkpi.operators import cleaning, kpis, quality, sizing
 from txnkpi.operators.publishing import upsert
-from txnkpi.plans import bindings
+from txnkpi.plans import bindings, queries
+from txnkpi.sources import paths
 from txnkpi.sources.raw_csv import read_raw
 
 
@@ -55,10 +58,26 @@ def test_clean_csv_pushes_filters(spark, edge_csv):
 
 
 def test_counted_ingest_keeps_the_single_shuffle(raw):
-    text = plan(cleaning.clean_counted(cleaning.count_copies(raw)))
+    seen = Observation()
+    counted = cleaning.count_copies(raw).observe(seen, *cleaning.report_columns())
+    text = plan(cleaning.clean_counted(counted))
     assert count("Exchange", text) == 1 and "SortAggregate" not in text
 
 
+@pytest.mark.parametrize("name", ["clean_transactions", "kpi_suite", "ingest_report"])
+def test_reducers_of_a_query_follow_its_input(spark, monkeypatch, name):
+    folder = f"{DATA}/sf0.01"
+    before = spark.conf.get(sizing.SHUFFLE)
+    try:
+        size = paths.scanned_bytes(spark.read.parquet(f"{folder}/events.parquet"))
+        monkeypatch.setattr(sizing, "REDUCER_BYTES", size // 100)
+        text = plan(queries.queries()[name](spark, folder))
+        reducers = [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\)", text)]
+        assert max(reducers) > 20 and int(before) < 20
+    finally:
+        spark.conf.set(sizing.SHUFFLE, before)
+
+
 def test_suite_reads_once_and_expands_only_cells(transactions):
     text = plan(kpis.kpi_suite(transactions))
     assert count("FileScan", text) == 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from txnkpi.operators import cleaning, kpis
@@ -51,6 +52,22 @@ def test_unusable_rows_collapse_when_counted(raw):
     assert counted.agg(F.sum("_copies")).first()[0] == ROWS
 
 
+def test_low_amounts_collapse_in_the_ingest_that_writes(spark, tmp_path):
+    """Half of the rows are not positive: one row for each task goes through the shuffle."""
+    ids = spark.range(0, ROWS, 1, TASKS)
+    sign = F.when(F.col("id") % 2 == 0, 1.0).otherwise(-1.0)
+    raw = ids.select(
+        F.col("id").cast("double").alias("Time"),
+        (sign * (F.col("id") + 1)).alias("Amount"),
+        F.lit(1.0).alias("Class"),
+    )
+    seen = Observation()
+    counted = cleaning.count_copies(raw).observe(seen, *cleaning.report_columns())
+    assert shuffled_rows(cleaning.clean_counted(counted)) == [ROWS // 2 + TASKS]
+    assert seen.get["nonpositive_rows"] == ROWS // 2
+    assert seen.get["clean_rows"] == ROWS // 2
+
+
 def test_kpis_shuffle_one_row_per_group_and_task(spark):
     transactions = spark.range(0, ROWS, 1, TASKS).select(
         F.col("id").cast("double").alias("trans_time"),

@@ -7,14 +7,29 @@ from txnkpi.functions.derive import (
     trans_hour,
 )
 from txnkpi.functions.money import money_sums, money_total
-from txnkpi.functions.rules import CORRUPT, REQUIRED, has_criticals, is_positive
+from txnkpi.functions.rules import (
+    CORRUPT,
+    ENDLESS_TIME,
+    MISSING,
+    NONPOSITIVE,
+    ODD_CLASS,
+    REQUIRED,
+    fault,
+    has_criticals,
+    is_positive,
+)
 
 __all__ = [
     "AMOUNT_BUCKETS",
     "CORRUPT",
+    "ENDLESS_TIME",
+    "MISSING",
+    "NONPOSITIVE",
+    "ODD_CLASS",
     "REQUIRED",
     "TOP_BUCKET",
     "amount_category",
+    "fault",
     "has_criticals",
     "is_positive",
     "money_sums",

@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 
 from txnkpi.functions import (
     CORRUPT,
+    ENDLESS_TIME,
+    MISSING,
+    NONPOSITIVE,
+    ODD_CLASS,
     amount_category,
+    fault,
     has_criticals,
     is_positive,
     trans_hour,
 )
+from txnkpi.operators.sizing import reserve_reducers
 
+FAULT = "_fault"
 COPIES = "_copies"
 CORRUPT_COPIES = "_corrupt_copies"
 
@@ -27,8 +34,9 @@ def drop_copies(raw: DataFrame) -> DataFrame:
 
     This is the one wide shuffle. It is a two-step hash aggregate: copies are collapsed
     inside each map task first, so a group holding a third of all rows sends one row per
-    task and never piles up in a single reducer.
+    task and never piles up in a single reducer. The number of reducers follows the input.
     """
+    reserve_reducers(raw)
     return raw.dropDuplicates()
 
 
@@ -83,21 +91,24 @@ def quoted(name: str) -> str:
 
 
 def count_copies(raw: DataFrame) -> DataFrame:
-    """One row per distinct usable row with the number of its copies.
+    """One row per distinct row to keep with the number of its copies, and one per fault.
 
-    Same shuffle as ``drop_copies``, but every raw row stays accounted for. Rows that lack
-    a critical value are only counted: they are blanked, so that each task sends one for
-    all of them. Counting after the shuffle keeps the counts right when map tasks run twice
-    because an executor was lost; counters filled on the map side would count rows again.
+    Same shuffle as ``drop_copies``, but every raw row stays accounted for. Rows that break
+    a rule are only counted: they are blanked, so that each task sends one for all of them
+    that break the same rule. Counting after the shuffle keeps the counts right when map
+    tasks run twice because an executor was lost; counters filled on the map side would
+    count rows again.
     """
-    usable = has_criticals()
+    reserve_reducers(raw)
     names = [name for name in raw.columns if name != CORRUPT]
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    broken = fault()
     marked = raw.select(
-        *[F.when(usable, raw[quoted(name)]).alias(name) for name in names],
+        *[F.when(broken.isNull(), raw[quoted(name)]).alias(name) for name in names],
+        broken.alias(FAULT),
         corrupt.alias(CORRUPT_COPIES),
     )
-    return marked.groupBy(*map(quoted, names)).agg(
+    return marked.groupBy(*map(quoted, names), FAULT).agg(
         F.count(F.lit(1)).alias(COPIES),
         F.count_if(CORRUPT_COPIES).alias(CORRUPT_COPIES),
     )
@@ -106,28 +117,35 @@ def count_copies(raw: DataFrame) -> DataFrame:
 def report_columns() -> list[Column]:
     """Row counts over ``count_copies`` rows.
 
-    raw = missing + duplicate + not positive + clean, in the order of the steps.
+    raw = missing + endless times + odd classes + not positive + duplicate + clean. All but
+    the last two count every row that breaks the rule, copies included; a corrupt row, one
+    with an unreadable value somewhere, is counted beside them.
     """
-    usable, positive, copies = has_criticals(), is_positive(), F.col(COPIES)
+    kept, copies = F.col(FAULT).isNull(), F.col(COPIES)
 
     def total(column: Column) -> Column:
         return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
 
+    def broken(name: str) -> Column:
+        return total(F.when(F.col(FAULT) == name, copies))
+
     return [
         total(copies).alias("raw_rows"),
         total(F.col(CORRUPT_COPIES)).alias("corrupt_rows"),
-        total(F.when(~usable, copies)).alias("missing_rows"),
-        total(F.when(usable, copies - 1)).alias("duplicate_rows"),
-        F.count_if(usable & ~positive).alias("nonpositive_rows"),
-        F.count_if(usable & positive).alias("clean_rows"),
+        broken(MISSING).alias("missing_rows"),
+        broken(ENDLESS_TIME).alias("endless_time_rows"),
+        broken(ODD_CLASS).alias("odd_class_rows"),
+        broken(NONPOSITIVE).alias("nonpositive_rows"),
+        total(F.when(kept, copies - 1)).alias("duplicate_rows"),
+        F.count_if(kept).alias("clean_rows"),
     ]
 
 
 def clean_counted(counted: DataFrame) -> DataFrame:
     """Clean rows out of ``count_copies`` rows: equal to ``clean`` of the raw rows."""
     return (
-        counted.filter(has_criticals() & is_positive())
-        .drop(COPIES, CORRUPT_COPIES)
+        counted.filter(F.col(FAULT).isNull())
+        .drop(FAULT, COPIES, CORRUPT_COPIES)
         .transform(name_and_type)
         .transform(derive)
     )

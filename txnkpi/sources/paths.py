@@ -30,6 +30,15 @@ def exists(spark: SparkSession, pattern: str) -> bool:
     return count(spark, pattern) > 0
 
 
+# What Spark puts into a folder last.
+MARKER = "_SUCCESS"
+
+
+def finished(spark: SparkSession, folder: str) -> bool:
+    """True when a folder was written to the end."""
+    return exists(spark, join(folder, MARKER))
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a directory; empty if it does not exist."""
     return [found.getPath().getName() for found in _matches(spark, join(path, "*")) or []]
@@ -44,6 +53,26 @@ def scanned_bytes(scan: DataFrame) -> int:
     return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Suffixes of compressed text files, and how much larger their text is taken to be.
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+EXPANSION = 4
+
+
+# Spark's estimates from here on mean that it does not know.
+UNKNOWN = 2**60
+
+
+def text_bytes(frame: DataFrame) -> int:
+    """Spark's estimate of a frame's bytes, allowing for compressed text files.
+
+    0 if it reads no files or the estimate is no figure.
+    """
+    files, size = frame._jdf.inputFiles(), scanned_bytes(frame)
+    if not len(files) or size >= UNKNOWN:
+        return 0
+    return size * (EXPANSION if str(files[0]).endswith(COMPRESSED) else 1)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables in the cluster's shared folder.
 
