@@ -9,10 +9,11 @@ from conftest import DATA, EDGE_ROWS
 
 from txnkpi import __main__ as cli
 from txnkpi.operators import quality
-from txnkpi.plans import bindings, daily, scale
+from txnkpi.operators import sizing as scale
+from txnkpi.plans import bindings, daily
 from txnkpi.plans.registry import REGISTRY
 from txnkpi.sources import paths, published, tables
-from txnkpi.sources.raw_csv import infer_raw_schema
+from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
 
 
 def rows(df):
@@ -29,12 +30,15 @@ def test_run_from_csv(spark, edge_csv, tmp_path):
         "raw_rows": 19,
         "corrupt_rows": 1,
         "missing_rows": 5,
-        "duplicate_rows": 2,
+        "endless_time_rows": 0,
+        "odd_class_rows": 0,
         "nonpositive_rows": 2,
+        "duplicate_rows": 2,
         "clean_rows": 10,
     }
     assert report.failed_checks == {
         "source": [],
+        "ingest": [],
         "clean": ["no_hours_out_of_range"],
         "kpis": [],
     }
@@ -115,6 +119,93 @@ def test_gate_kpis_names_absent_tables(spark, edge_csv, tmp_path):
     assert len(quality.failed(quality.gate_kpis(spark, empty))) == 5
 
 
+def test_half_written_kpi_is_reported(spark, edge_csv, tmp_path):
+    output = str(tmp_path)
+    daily.ingest(spark, edge_csv, output)
+    daily.transform(spark, output)
+    folder = tmp_path / "kpis" / "kpi_global"
+    for path in folder.iterdir():
+        path.unlink()
+    (folder / "_temporary").mkdir()
+    assert quality.failed(daily.check_kpis(spark, output)) == ["kpi_global"]
+
+
+def test_source_gate_starts_one_task(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text(EDGE_ROWS)
+    schema = "Time double, V1 double, Amount double, Class double"
+    raw = read_raw(spark, str(tmp_path), schema)
+    context = spark.sparkContext
+    context.setJobGroup("source-gate", "")
+    gate = daily.check_source(raw)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("source-gate")]
+    tasks = [tracker.getStageInfo(s).numTasks for job in jobs for s in job.stageIds]
+    assert tasks == [1]
+    assert {r["check"]: r["measured"] for r in gate.collect()}["has_rows"] is None
+    assert quality.failed(gate) == []
+
+
+def test_each_gate_is_looked_at_once(spark, edge_csv, tmp_path, monkeypatch):
+    seen = []
+    failed = quality.failed
+    monkeypatch.setattr(quality, "failed", lambda report: seen.append(1) or failed(report))
+    rows = EDGE_ROWS.replace("-7200", "7200")
+    (tmp_path / "raw.csv").write_text(rows)
+    raw, output = str(tmp_path / "raw.csv"), str(tmp_path / "out")
+    daily.run_pipeline(spark, raw, output, str(tmp_path / "published"), strict=True)
+    assert len(seen) == 4
+
+
+def test_strict_stages_end_with_an_error(spark, edge_csv, tmp_path):
+    output, target = str(tmp_path / "out"), str(tmp_path / "published")
+    common = ["--output", output, "--target", target]
+    odd = tmp_path / "odd.csv"
+    odd.write_text("Time,Amount,Class\n0,5,0.9\n0,5,1\n")
+
+    def stage(name, *more):
+        cli.run_stage(spark, cli.arguments([name, *common, *more]))
+
+    stage("ingest", "--raw", str(odd))
+    with pytest.raises(quality.GateError, match="ingest: no_odd_classes"):
+        stage("ingest", "--raw", str(odd), "--strict")
+    stage("ingest", "--raw", edge_csv, "--strict")
+    stage("transform")
+    with pytest.raises(quality.GateError, match="clean: no_hours_out_of_range"):
+        stage("transform", "--strict")
+    (tmp_path / "out" / "kpis" / "kpi_by_hour" / "_SUCCESS").unlink()
+    with pytest.raises(quality.GateError, match="kpis: kpi_by_hour"):
+        stage("publish", "--strict")
+    assert published.current_version(spark, target, "kpi_global") is None
+
+
+def test_run_passes_on_what_to_do_when_empty(spark, edge_csv, tmp_path):
+    output, target = str(tmp_path / "out"), str(tmp_path / "published")
+    quiet = tmp_path / "quiet.csv"
+    quiet.write_text("Time,Amount,Class\n0,5,0\n")
+    common = ["run", "--output", output, "--target", target, "--raw"]
+    for raw, more, version in (
+        (edge_csv, [], 1),
+        (str(quiet), [], 1),
+        (str(quiet), ["--on-empty", "clear"], 2),
+    ):
+        cli.run_stage(spark, cli.arguments([*common, raw, *more]))
+        assert published.current_version(spark, target, "kpi_top_fraud_amounts") == version
+
+
+def test_compressed_text_counts_for_more(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id as Time", "id + 0.5 as Amount", "0 as Class")
+    sizes = {}
+    for kind in ("none", "gzip"):
+        path = str(tmp_path / kind)
+        rows.coalesce(2).write.csv(path, header=True, compression=kind)
+        scan = spark.read.csv(path, header=True)
+        sizes[kind] = paths.scanned_bytes(scan), paths.text_bytes(scan)
+    assert sizes["none"][0] == sizes["none"][1]
+    assert sizes["gzip"][0] < sizes["none"][0] <= sizes["gzip"][1]
+
+
 def test_directory_and_glob_sources(spark, tmp_path):
     for name in ("a.csv", "b.csv"):
         (tmp_path / name).write_text(EDGE_ROWS)

@@ -90,3 +90,15 @@ def test_transaction_rolls_back():
 def test_empty_batch_touches_nothing(spark):
     empty = spark.createDataFrame([], HOUR.schema)
     assert jdbc.publish_jdbc(empty, "jdbc:none:", "t", {}, HOUR.key) is False
+
+
+def test_each_load_has_a_staging_table_of_its_own(spark, monkeypatch):
+    staged, done = [], []
+    monkeypatch.setattr(jdbc, "stage", lambda *args: staged.append(args[3]))
+    monkeypatch.setattr(jdbc, "_connect", lambda *args: None)
+    monkeypatch.setattr(jdbc, "run_transaction", lambda _, texts: done.append(texts))
+    batch = spark.createDataFrame([], REGISTRY["kpi_global"].schema)
+    for _ in range(2):
+        assert jdbc.publish_jdbc(batch, "jdbc:none:", "t", {}, on_empty="clear")
+    assert len(set(staged)) == 2 and all(name.startswith("t_staging_") for name in staged)
+    assert all(staged[i] in text for i in (0, 1) for text in done[i][-2:])

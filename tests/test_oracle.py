@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 from conftest import DATA, duck
 
 import __spark_entry__ as driver
+from txnkpi.plans import oracles, queries
 
 SCALES = os.environ.get("TEST_SCALES", "sf0.001 sf0.01").split()
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = queries.queries(), oracles.oracle_sql()
 
 # DuckDB type of each Spark type a result may have.
 TYPES = {
@@ -53,3 +57,21 @@ def test_query_equals_sql(spark, name, scale):
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 1 + 24 + 2 + 2
+
+
+def test_entry_file_without_the_text_operators(tmp_path):
+    home = os.path.dirname(os.path.abspath(driver.__file__))
+    shutil.copy(driver.__file__, tmp_path)
+    shutil.copytree(
+        f"{home}/txnkpi", tmp_path / "txnkpi", ignore=shutil.ignore_patterns("llm")
+    )
+    code = "import __spark_entry__ as e; print(*e.queries()); assert e.oracle_sql()"
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert set(done.stdout.split()) == set(QUERIES)
+
+
+def test_entry_file_adds_to_these_queries():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql()) <= set(driver.queries())

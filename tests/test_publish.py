@@ -7,7 +7,15 @@ import os
 import pytest
 
 from txnkpi.operators.conforming import conform
-from txnkpi.operators.publishing import BatchKeyError, checked_rows, refresh, upsert
+from txnkpi.operators.publishing import (
+    CLEAR,
+    KEEP,
+    BatchKeyError,
+    checked_rows,
+    refresh,
+    replaces,
+    upsert,
+)
 from txnkpi.plans import daily
 from txnkpi.plans.registry import DECLARED_ONLY, REGISTRY
 from txnkpi.sources import published, tables
@@ -111,21 +119,26 @@ def test_publish_order_modes_and_stale_keys(spark, tmp_path):
     assert [r[0] for r in current("kpi_fraud_vs_normal")] == [0, 1]
 
 
-def test_failure_leaves_earlier_tables_published(spark, tmp_path):
+def test_refused_batch_stops_all_before_any_is_published(spark, tmp_path):
     root = str(tmp_path / "published")
     folder = _output(spark, str(tmp_path / "a"), [(0.0, 5.0, 1, 0, "micro")])
     broken = tables.kpi_path(folder, "kpi_by_amount_category")
     tables.write(batch(spark, "micro", "micro"), broken)
     with pytest.raises(BatchKeyError):
         daily.publish(spark, folder, root)
-    versions = {name: published.current_version(spark, root, name) for name in REGISTRY}
-    assert versions == {
-        "kpi_global": 1,
-        "kpi_by_hour": 1,
-        "kpi_by_amount_category": None,
-        "kpi_fraud_vs_normal": None,
-        "kpi_top_fraud_amounts": None,
-    }
+    versions = {published.current_version(spark, root, name) for name in REGISTRY}
+    assert versions == {None}
+
+
+def test_one_rule_for_empty_batches():
+    for rows, key, on_empty, wanted in (
+        (0, None, KEEP, False),
+        (0, None, CLEAR, True),
+        (0, "k", CLEAR, False),
+        (3, "k", KEEP, True),
+        (3, None, KEEP, True),
+    ):
+        assert replaces(rows, key, on_empty) == wanted
 
 
 def test_conform_orders_casts_and_fills(spark):

@@ -13,14 +13,15 @@ import argparse
 import json
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from txnkpi.operators.publishing import CLEAR, KEEP
+from txnkpi.operators.quality import enforce
 from txnkpi.plans import daily
 from txnkpi.plans.registry import REGISTRY
 from txnkpi.session import create_session
-from txnkpi.sources import jdbc, tables
+from txnkpi.sources import jdbc
 from txnkpi.sources.raw_csv import infer_raw_schema
 
 
@@ -33,9 +34,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--target", default=os.getenv("PUBLISH_PATH"))
     parser.add_argument("--schema", help="file with the raw schema as JSON")
     parser.add_argument(
-        "--on-empty", choices=[KEEP, CLEAR], default=KEEP, help="refreshed tables, publish"
+        "--on-empty", choices=[KEEP, CLEAR], default=KEEP, help="what refreshed tables do"
+    )
+    parser.add_argument(
+        "--strict", action="store_true", help="end with an error if a check fails"
     )
-    parser.add_argument("--strict", action="store_true", help="stop at failed checks")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-user", default=os.getenv("JDBC_USER"))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
@@ -59,10 +62,18 @@ def _load_jdbc(spark: SparkSession, args: argparse.Namespace) -> None:
         "password": os.getenv("JDBC_PASSWORD", ""),
         "driver": args.jdbc_driver,
     }
-    for kpi in REGISTRY.values():
-        batch = tables.read(spark, tables.kpi_path(args.output, kpi.name))
-        loaded = jdbc.publish_jdbc(batch, args.jdbc_url, kpi.name, properties, kpi.key)
-        print(f"{kpi.name}: {'loaded' if loaded else 'empty, left as it was'}")
+    for name, batch in daily.batches_of(spark, args.output).items():
+        loaded = jdbc.publish_jdbc(
+            batch, args.jdbc_url, name, properties, REGISTRY[name].key, args.on_empty
+        )
+        print(f"{name}: {'loaded' if loaded else 'empty, left as it was'}")
+
+
+def _gates(args: argparse.Namespace, gates: dict[str, DataFrame]) -> None:
+    """Print what gates report; with ``--strict`` end at the first that has a failed check."""
+    for name, report in gates.items():
+        failed = enforce(report, name, args.strict)
+        print(f"{name}: {', '.join(failed) if failed else 'all checks passed'}")
 
 
 def run_stage(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -74,20 +85,21 @@ def run_stage(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.stage == "schema":
         print(infer_raw_schema(spark, args.raw).json())
     elif args.stage == "ingest":
-        print(daily.ingest(spark, args.raw, args.output, schema))
+        counts = daily.ingest(spark, args.raw, args.output, schema)
+        print(counts)
+        _gates(args, {"ingest": daily.check_ingest(spark, counts)})
     elif args.stage == "transform":
         daily.transform(spark, args.output)
-        for gate in (daily.check_clean, daily.check_kpis):
-            gate(spark, args.output).show(truncate=False)
+        clean, kpis = daily.check_clean, daily.check_kpis
+        _gates(args, {"clean": clean(spark, args.output), "kpis": kpis(spark, args.output)})
     elif args.stage == "publish":
+        if args.strict:
+            _gates(args, {"kpis": daily.check_kpis(spark, args.output)})
         for row in daily.publish(spark, args.output, args.target, args.on_empty):
             print(*row)
     else:
-        print(
-            daily.run_pipeline(
-                spark, args.raw, args.output, args.target, schema, args.strict
-            )
-        )
+        where = args.raw, args.output, args.target
+        print(daily.run_pipeline(spark, *where, schema, args.strict, args.on_empty))
     if args.jdbc_url and args.stage in ("publish", "run"):
         _load_jdbc(spark, args)
 

@@ -14,12 +14,13 @@ from txnkpi.operators.kpis import (
     kpi_top_fraud_amounts,
 )
 from txnkpi.operators.publishing import refresh, upsert
-from txnkpi.operators.quality import gate_clean, gate_kpis, gate_source
+from txnkpi.operators.quality import gate_clean, gate_ingest, gate_kpis, gate_source
 
 __all__ = [
     "clean",
     "conform",
     "gate_clean",
+    "gate_ingest",
     "gate_kpis",
     "gate_source",
     "ingest_report",

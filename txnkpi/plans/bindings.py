@@ -78,6 +78,49 @@ def events_coarse(spark: SparkSession, folder: str) -> DataFrame:
     return _raw(df, time, F.floor("value").cast("double"), _error())
 
 
+def events_coarse_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the kind of event, in which many rows differ that agree otherwise."""
+    df = _table(spark, folder, "events")
+    time = F.hour("ts").cast("double") * 3600
+    return _raw(df, time, F.floor("value").cast("double"), _error(), "event_type")
+
+
+def events_fine(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts far below a cent."""
+    df = events(spark, folder)
+    return df.withColumn("Amount", F.col("Amount") / 1e7)
+
+
+def events_huge(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts on both sides of 10^9 and of 10^12, with digits after the point."""
+    df = _table(spark, folder, "events")
+    scale = F.when(F.col("user_id") % 3 == 0, 1e7).when(F.col("user_id") % 3 == 1, 1e10)
+    amount = F.col("value") * scale.otherwise(1.0) + 0.0004
+    return _raw(df, _seconds_since("2024-01-01 00:00:00"), amount, _error())
+
+
+def events_messy(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fault: missing and odd classes, endless times, low amounts, copies."""
+    df = _table(spark, folder, "events")
+    user = F.col("user_id")
+    time = F.when(user % 13 == 0, float("inf")).otherwise(F.hour("ts").cast("double") * 3600)
+    klass = (
+        F.when(user % 7 == 0, None)
+        .when(user % 5 == 0, 0.9)
+        .when(user % 11 == 0, 1.9)
+        .when(user % 3 == 0, 2.0)
+        .otherwise(_error().cast("double"))
+    )
+    return _raw(df, time, F.floor(F.col("value") / 10) - 2.0, klass, "event_type")
+
+
+def events_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts as text, some of which are no numbers."""
+    df = events(spark, folder)
+    text = F.when(F.col("Time") % 7 < 1, "oops").otherwise(F.col("Amount").cast("string"))
+    return df.withColumn("Amount", text)
+
+
 def customer(spark: SparkSession, folder: str) -> DataFrame:
     """Account balances: negative amounts and all four buckets."""
     df = _table(spark, folder, "customer")
@@ -85,6 +128,19 @@ def customer(spark: SparkSession, folder: str) -> DataFrame:
     return _raw(df, F.col("c_custkey").cast("double") * 977, F.col("c_acctbal"), fraud)
 
 
+def customer_unclean(spark: SparkSession, folder: str) -> DataFrame:
+    """Account balances with missing times and amounts, and with an unknown class."""
+    df = customer(spark, folder)
+    key = F.col("Time") / 977
+    return df.withColumns(
+        {
+            "Time": F.when(key % 9 != 0, F.col("Time")),
+            "Amount": F.when(key % 10 != 0, F.col("Amount")),
+            "Class": F.when(key % 8 == 0, 7).otherwise(F.col("Class")),
+        }
+    )
+
+
 def customer_honest(spark: SparkSession, folder: str) -> DataFrame:
     """Account balances without any fraud."""
     return customer(spark, folder).withColumn("Class", F.lit(0))

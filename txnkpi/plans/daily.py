@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,8 +12,8 @@ from pyspark.sql.types import StructType
 from txnkpi.operators import cleaning, publishing, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.kpis import kpi_cells
-from txnkpi.plans.registry import REGISTRY
-from txnkpi.plans.scale import sized_for
+from txnkpi.operators.sizing import sized_for
+from txnkpi.plans.registry import REGISTRY, Kpi
 from txnkpi.sources import paths, published, tables
 from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
 
@@ -38,7 +39,7 @@ def ingest(
     """
     need_source(spark, raw_path)
     raw = read_raw(spark, raw_path, schema)
-    with sized_for(spark, paths.scanned_bytes(raw)):
+    with sized_for(spark, paths.text_bytes(raw)):
         return write_clean(raw, output)
 
 
@@ -80,8 +81,14 @@ def transform(spark: SparkSession, output: str) -> None:
 
 
 def check_source(raw: DataFrame) -> DataFrame:
-    """Gate over the raw input that reads a single row: the counts come with ``ingest``."""
-    return quality.gate_source(raw.limit(1))
+    """Gate over the raw input that looks for a first row: the counts come with ``ingest``."""
+    return quality.gate_source(raw, count=False)
+
+
+def check_ingest(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Gate over the counts of ``ingest``."""
+    schema = ", ".join(f"{name} bigint" for name in counts)
+    return quality.gate_ingest(spark.createDataFrame([tuple(counts.values())], schema))
 
 
 def clean_files(spark: SparkSession, output: str) -> int:
@@ -97,8 +104,8 @@ def check_clean(spark: SparkSession, output: str) -> DataFrame:
 def check_kpis(spark: SparkSession, output: str) -> DataFrame:
     """Gate over the written KPI tables."""
     found = {
-        name: tables.read_if_there(spark, tables.kpi_path(output, name))
-        for name in REGISTRY
+        kpi.name: tables.read_if_there(spark, tables.kpi_path(output, kpi.name), kpi.schema)
+        for kpi in REGISTRY.values()
     }
     return quality.gate_kpis(spark, found)
 
@@ -106,24 +113,42 @@ def check_kpis(spark: SparkSession, output: str) -> DataFrame:
 def publish(
     spark: SparkSession, output: str, root: str, on_empty: str = publishing.KEEP
 ) -> list[tuple[str, str, int, int | None]]:
-    """Publish every KPI in registry order: (table, mode, rows, version or None).
+    """Publish every KPI: (table, mode, rows, version or None), in registry order.
 
-    Each table switches to its new version on its own, so a failure leaves the tables
-    before it published and the others as they were. An empty batch publishes nothing
+    All batches are checked in one job before any is published. Each table then switches
+    to its new version on its own, side by side with the others: if one fails, the others
+    may have switched or not, and none shows half a batch. An empty batch publishes nothing
     unless ``on_empty="clear"``.
     """
-    summary = []
-    for kpi in REGISTRY.values():
-        path = tables.kpi_path(output, kpi.name)
-        batch = conform(tables.read_compact(spark, path), kpi.schema)
-        rows, version = publishing.checked_rows(batch, kpi.key), None
-        if rows or (on_empty == publishing.CLEAR and not kpi.key):
-            if kpi.key:
-                target = published.read_published(spark, root, kpi.name, kpi.schema)
-                batch = publishing.upsert(target, batch, kpi.key)
-            version = published.write_version(batch, root, kpi.name)
-        summary.append((kpi.name, kpi.mode, rows, version))
-    return summary
+    batches = batches_of(spark, output)
+    rows = publishing.checked_batches({n: (df, REGISTRY[n].key) for n, df in batches.items()})
+
+    def switch(kpi: Kpi) -> int | None:
+        if not publishing.replaces(rows[kpi.name], kpi.key, on_empty):
+            return None
+        batch = batches[kpi.name]
+        if kpi.key:
+            target = published.read_published(spark, root, kpi.name, kpi.schema)
+            batch = publishing.upsert(target, batch, kpi.key)
+        return published.write_version(batch, root, kpi.name)
+
+    with ThreadPoolExecutor(len(batches)) as pool:
+        versions = list(pool.map(switch, REGISTRY.values()))
+    return [
+        (kpi.name, kpi.mode, rows[kpi.name], version)
+        for kpi, version in zip(REGISTRY.values(), versions, strict=True)
+    ]
+
+
+def batches_of(spark: SparkSession, output: str) -> dict[str, DataFrame]:
+    """The written KPI tables by name, in their declared schemas."""
+    return {
+        kpi.name: conform(
+            tables.read_compact(spark, tables.kpi_path(output, kpi.name), kpi.schema),
+            kpi.schema,
+        )
+        for kpi in REGISTRY.values()
+    }
 
 
 def summary_frame(spark: SparkSession, root: str) -> DataFrame:
@@ -147,8 +172,9 @@ def run_pipeline(
     root: str,
     schema: StructType | str | None = None,
     strict: bool = False,
+    on_empty: str = publishing.KEEP,
 ) -> RunReport:
-    """The whole daily run. ``strict`` stops at the first failed check.
+    """The whole daily run. ``strict`` stops at the first gate with a failed check.
 
     Without it checks are reported only. A source that is absent or lacks a required
     column ends the run either way.
@@ -156,9 +182,7 @@ def run_pipeline(
     report = RunReport()
 
     def gate(name: str, frame: DataFrame) -> None:
-        if strict:
-            quality.enforce(frame, name)
-        report.failed_checks[name] = quality.failed(frame)
+        report.failed_checks[name] = quality.enforce(frame, name, strict)
 
     need_source(spark, raw_path)
     schema = schema or infer_raw_schema(spark, raw_path)
@@ -166,9 +190,10 @@ def run_pipeline(
     report.source_bytes = paths.scanned_bytes(raw)
     gate("source", check_source(raw))
     report.counts = ingest(spark, raw_path, output, schema)
+    gate("ingest", check_ingest(spark, report.counts))
     report.clean_files = clean_files(spark, output)
     transform(spark, output)
     gate("clean", check_clean(spark, output))
     gate("kpis", check_kpis(spark, output))
-    report.published = publish(spark, output, root)
+    report.published = publish(spark, output, root, on_empty)
     return report

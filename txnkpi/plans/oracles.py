@@ -1,7 +1,8 @@
 """The named queries in plain SQL, written independently of the Spark plans.
 
-Money is summed as DECIMAL(24,6). Rounding goes through the printed number, as a binary
-round would turn 1.005 into 1.0. Truncation is spelled out, as a cast to integer rounds.
+Money is summed exactly, as 128-bit integers in units of 2^-60. Rounding goes through the
+printed number, as a binary round would turn 1.005 into 1.0. Truncation is spelled out, as
+a cast to integer rounds.
 """
 
 from __future__ import annotations
@@ -45,6 +46,43 @@ RAW = {
         ERROR,
         "events",
     ),
+    "events_coarse_typed": _binding(
+        "cast(hour(ts) as double) * 3600",
+        "cast(floor(value) as double)",
+        ERROR,
+        "events",
+        ", event_type",
+    ),
+    "events_fine": _binding(START, "value / 1e7", ERROR, "events"),
+    "events_huge": _binding(
+        START,
+        "value * case user_id % 3 when 0 then 1e7 when 1 then 1e10 else 1.0::double end "
+        "+ 0.0004::double",
+        ERROR,
+        "events",
+    ),
+    "events_messy": _binding(
+        "case when user_id % 13 = 0 then 'infinity'::double "
+        "else cast(hour(ts) as double) * 3600 end",
+        "cast(floor(value / 10) - 2 as double)",
+        "case when user_id % 7 = 0 then null when user_id % 5 = 0 then 0.9::double "
+        "when user_id % 11 = 0 then 1.9::double when user_id % 3 = 0 then 2.0::double "
+        f"else cast({ERROR} as double) end",
+        "events",
+        ", event_type",
+    ),
+    "events_unreadable": _binding(
+        START,
+        f"case when fmod({START}, 7) < 1 then null else value end",
+        ERROR,
+        "events",
+    ),
+    "customer_unclean": _binding(
+        "case when c_custkey % 9 <> 0 then cast(c_custkey as double) * 977 end",
+        "case when c_custkey % 10 <> 0 then c_acctbal end",
+        f"case when c_custkey % 8 = 0 then 7 else {MACHINERY} end",
+        "customer",
+    ),
     "customer": _binding(
         "cast(c_custkey as double) * 977", "c_acctbal", MACHINERY, "customer"
     ),
@@ -68,10 +106,13 @@ RAW = {
     ),
 }
 
-USABLE = (
+PRESENT = (
     '"Time" is not null and not isnan("Time") and "Amount" is not null '
     'and not isnan("Amount") and "Class" is not null'
 )
+FINITE = 'not isinf("Time")'
+WHOLE = '"Class" = trunc("Class") and abs("Class") < 2147483648'
+USABLE = f"{PRESENT} and {FINITE} and {WHOLE}"
 HOUR = "cast(trunc({} / 3600 % 24) as integer)"
 BUCKET = (
     "case when {0} < 10 then 'micro' when {0} < 100 then 'small' "
@@ -92,6 +133,8 @@ def _clean(raw: str, pass_through: str = "") -> str:
 PASS_THROUGH = {
     "events_wide": ", user_id, event_type",
     "events_dated": ", trans_date, category",
+    "events_coarse_typed": ", event_type",
+    "events_messy": ", event_type",
 }
 CLEAN = {name: _clean(raw, PASS_THROUGH.get(name, "")) for name, raw in RAW.items()}
 
@@ -101,7 +144,12 @@ def _round(value: str, places: int) -> str:
     return f"cast(round({printed}, {places}) as double)"
 
 
-TOTAL = "cast(sum(cast(amount as decimal(24,6))) as double)"
+UNIT = "1152921504606846976"
+SUM = (
+    f"(sum(cast(trunc(amount) as hugeint)) * {UNIT}::hugeint + "
+    f"sum(cast(round_even((amount - trunc(amount)) * {UNIT}::double, 0) as hugeint)))"
+)
+TOTAL = f"(cast(cast({SUM} as varchar) as double) / {UNIT}::double)"
 FIGURES = {
     "nb_transactions": "count(trans_time)",
     "total_amount": _round(TOTAL, 2),
@@ -179,17 +227,23 @@ def _upsert(name: str, old: str, new: str) -> str:
     )
 
 
-def _report(raw: str) -> str:
-    usable = f"(select * from ({raw}) where {USABLE})"
-    distinct = f"(select distinct * from {usable})"
+def _report(raw: str, corrupt: str = "false") -> str:
+    kept = f'(select * from ({raw}) where {USABLE} and "Amount" > 0)'
+    distinct = f"(select distinct * from {kept})"
+
+    def rows(where: str) -> str:
+        return f"(select count(*) from ({raw}) where {where})"
+
     return (
-        f"select (select count(*) from ({raw})) as raw_rows, "
-        "cast(0 as bigint) as corrupt_rows, "
-        f"(select count(*) from ({raw}) where not ({USABLE})) as missing_rows, "
-        f"(select count(*) from {usable}) - (select count(*) from {distinct}) "
+        f"select {rows('true')} as raw_rows, {rows(corrupt)} as corrupt_rows, "
+        f"{rows(f'not ({PRESENT})')} as missing_rows, "
+        f"{rows(f'{PRESENT} and not ({FINITE})')} as endless_time_rows, "
+        f"{rows(f'{PRESENT} and {FINITE} and not ({WHOLE})')} as odd_class_rows, "
+        f"{rows(USABLE + ' and not ' + chr(34) + 'Amount' + chr(34) + ' > 0')} "
+        "as nonpositive_rows, "
+        f"(select count(*) from {kept}) - (select count(*) from {distinct}) "
         "as duplicate_rows, "
-        f'(select count(*) from {distinct} where not "Amount" > 0) as nonpositive_rows, '
-        f'(select count(*) from {distinct} where "Amount" > 0) as clean_rows'
+        f"(select count(*) from {distinct}) as clean_rows"
     )
 
 
@@ -212,10 +266,10 @@ def _gate_clean(transactions: str) -> str:
         "no_missing_criticals": "trans_time is null or isnan(trans_time) "
         "or amount is null or isnan(amount) or is_fraud is null",
         "no_nonpositive_amounts": "amount <= 0",
-        "no_hours_out_of_range": "trans_hour not between 0 and 23",
+        "no_hours_out_of_range": "not coalesce(trans_hour between 0 and 23, false)",
         "no_unknown_buckets": "amount_category not in "
         "('micro', 'small', 'medium', 'large')",
-        "no_unknown_classes": "is_fraud not in (0, 1)",
+        "no_unknown_classes": "not coalesce(is_fraud in (0, 1), false)",
     }
     count = f"(select count(*) from ({transactions}))"
     checks = [("has_rows", f"{count} > 0", count)]
@@ -225,10 +279,28 @@ def _gate_clean(transactions: str) -> str:
     return _checks(checks)
 
 
-def _gate_kpis(clean: str) -> str:
+def _gate_ingest(raw: str) -> str:
+    report = _report(raw)
+    checks = [
+        ("has_clean_rows", "clean_rows", ">"),
+        ("no_odd_classes", "odd_class_rows", "="),
+        ("no_endless_times", "endless_time_rows", "="),
+    ]
+    value = "(select {} from (" + report + "))"
+    return _checks(
+        [(name, f"{value.format(c)} {sign} 0", value.format(c)) for name, c, sign in checks]
+    )
+
+
+def _gate_kpis(clean: str, missing: tuple[str, ...] = ()) -> str:
     names = [*KPI_FIGURES, "kpi_top_fraud_amounts"]
     return _checks(
-        [(n, "true", f"(select count(*) from ({_kpi(n, clean)}))") for n in names]
+        [
+            (n, "false", "null")
+            if n in missing
+            else (n, "true", f"(select count(*) from ({_kpi(n, clean)}))")
+            for n in names
+        ]
     )
 
 
@@ -256,7 +328,7 @@ def oracle_sql() -> dict[str, str]:
         + HOUR.format('"Time"')
         + " as trans_hour, "
         + BUCKET.format('"Amount"')
-        + f" as amount_category from ({customer})"
+        + f" as amount_category from ({RAW['customer_unclean']})"
     )
     hours = f"select {named}, {HOUR.format(chr(34) + 'Time' + chr(34))} as trans_hour from "
     daily = ("nb_transactions", "total_amount", "nb_fraud", "fraud_rate")
@@ -269,9 +341,14 @@ def oracle_sql() -> dict[str, str]:
         f"from ({wide})",
         "csv_ingest_report": _report(RAW["events_gaps"]),
         "clean_roundtrip": wide,
-        "kpi_roundtrip": _kpi("kpi_by_hour", CLEAN["lineitem"]),
+        "csv_ingest_report_unreadable": _report(
+            RAW["events_unreadable"], '"Amount" is null'
+        ),
+        "daily_ingest": CLEAN["events_messy"],
+        "daily_ingest_counts": _report(RAW["events_messy"]),
         "clean_null_drop": f"select * from ({RAW['events_gaps']}) where {USABLE}",
         "clean_dedup": f"select distinct * from ({RAW['events_coarse']})",
+        "clean_dedup_wide": f"select distinct * from ({RAW['events_coarse_typed']})",
         "clean_positive": f'select * from ({customer}) where "Amount" > 0',
         "derive_trans_hour": f"{hours} ({RAW['events']})",
         "derive_trans_hour_negative": f"{hours} ({RAW['events_mid_month']})",
@@ -281,11 +358,16 @@ def oracle_sql() -> dict[str, str]:
         "clean_transactions": wide,
         "clean_transactions_coarse": CLEAN["events_coarse"],
         "clean_transactions_gaps": CLEAN["events_gaps"],
+        "clean_transactions_coarse_typed": CLEAN["events_coarse_typed"],
+        "clean_transactions_messy": CLEAN["events_messy"],
         "ingest_report": _report(RAW["events_coarse"]),
+        "ingest_report_messy": _report(RAW["events_messy"]),
+        "gate_ingest": _gate_ingest(RAW["events_messy"]),
         "gate_source": _gate_source(RAW["events"]),
         "gate_clean": _gate_clean(CLEAN["events"]),
         "gate_clean_unclean": _gate_clean(unclean),
         "gate_kpis": _gate_kpis(CLEAN["events"]),
+        "gate_kpis_missing": _gate_kpis(CLEAN["events"], ("kpi_global", "kpi_by_hour")),
         "upsert_by_hour": _upsert("kpi_by_hour", "events", "lineitem_early"),
         "upsert_by_amount_category": _upsert(
             "kpi_by_amount_category", "customer", "events"
@@ -301,6 +383,14 @@ def oracle_sql() -> dict[str, str]:
         "kpi_by_category": f"select category, {by_category} from ({dated}) "
         "group by category",
     }
+    for name in [*KPI_FIGURES, "kpi_top_fraud_amounts"]:
+        roundtrip = "kpi_roundtrip" if name == "kpi_by_hour" else f"{name}_roundtrip"
+        found[roundtrip] = _kpi(name, CLEAN["lineitem"])
+    for suffix in ("fine", "huge"):
+        clean = CLEAN[f"events_{suffix}"]
+        for name in ("kpi_global", "kpi_by_hour", "kpi_fraud_vs_normal"):
+            found[f"{name}_{suffix}"] = _kpi(name, clean)
+        found[f"kpi_suite_{suffix}"] = _suite(clean)
     for binding in ("events", "customer", "lineitem"):
         suffix = "" if binding == "events" else f"_{binding}"
         for name in [*KPI_FIGURES, "kpi_top_fraud_amounts"]:

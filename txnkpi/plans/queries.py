@@ -43,10 +43,34 @@ def _csv_ingest(schema: str | None) -> Query:
     return query
 
 
-def _csv_report(spark: SparkSession, folder: str) -> DataFrame:
-    path = paths.scratch(spark, "raw")
-    b.events_gaps(spark, folder).write.csv(path, header=True)
-    return cleaning.ingest_report(read_raw(spark, path))
+def _csv_report(binding: b.Binding) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = paths.scratch(spark, "raw")
+        binding(spark, folder).write.csv(path, header=True)
+        return cleaning.ingest_report(read_raw(spark, path))
+
+    return query
+
+
+MESSY_SCHEMA = "Time double, Amount double, Class double, event_type string"
+
+
+def _daily_ingest(spark: SparkSession, folder: str) -> tuple[str, dict[str, int]]:
+    """The ingest stage over CSV files; returns the output folder and the counts."""
+    path, output = paths.scratch(spark, "raw"), paths.scratch(spark, "output")
+    b.events_messy(spark, folder).write.csv(path, header=True)
+    return output, daily.ingest(spark, path, output, MESSY_SCHEMA)
+
+
+def _daily_rows(spark: SparkSession, folder: str) -> DataFrame:
+    output, _ = _daily_ingest(spark, folder)
+    return tables.read(spark, tables.clean_path(output))
+
+
+def _daily_counts(spark: SparkSession, folder: str) -> DataFrame:
+    _, counts = _daily_ingest(spark, folder)
+    schema = ", ".join(f"{name} bigint" for name in counts)
+    return spark.createDataFrame([tuple(counts.values())], schema)
 
 
 def _clean_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,15 +87,31 @@ def _transformed(spark: SparkSession, folder: str, binding: b.Binding) -> str:
     return output
 
 
-def _kpi_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    output = _transformed(spark, folder, b.lineitem)
-    return tables.read(spark, tables.kpi_path(output, "kpi_by_hour"))
+def _kpi_roundtrip(name: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        output = _transformed(spark, folder, b.lineitem)
+        return tables.read(spark, tables.kpi_path(output, name))
+
+    return query
 
 
 def _gate_kpis(spark: SparkSession, folder: str) -> DataFrame:
     return daily.check_kpis(spark, _transformed(spark, folder, b.events))
 
 
+def _gate_kpis_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """One KPI was never written, of another only a dead write's leftovers are there."""
+    output = paths.scratch(spark, "output")
+    transactions = b.cleaned(b.events, spark, folder)
+    for name, kpi in REGISTRY.items():
+        if name == "kpi_global":
+            leftovers = paths.join(tables.kpi_path(output, name), "_temporary", "0")
+            tables.write(kpi.build(transactions), leftovers)
+        elif name != "kpi_by_hour":
+            tables.write(kpi.build(transactions), tables.kpi_path(output, name))
+    return daily.check_kpis(spark, output)
+
+
 Meeting = Callable[[DataFrame, DataFrame], DataFrame]
 
 
@@ -129,11 +169,14 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "csv_ingest": _csv_ingest(WIDE_SCHEMA),
         "csv_ingest_inferred": _csv_ingest(None),
-        "csv_ingest_report": _csv_report,
+        "csv_ingest_report": _csv_report(b.events_gaps),
+        "csv_ingest_report_unreadable": _csv_report(b.events_unreadable),
+        "daily_ingest": _daily_rows,
+        "daily_ingest_counts": _daily_counts,
         "clean_roundtrip": _clean_roundtrip,
-        "kpi_roundtrip": _kpi_roundtrip,
         "clean_null_drop": _raw_query(b.events_gaps, cleaning.drop_missing),
         "clean_dedup": _raw_query(b.events_coarse, cleaning.drop_copies),
+        "clean_dedup_wide": _raw_query(b.events_coarse_typed, cleaning.drop_copies),
         "clean_positive": _raw_query(b.customer, cleaning.keep_positive),
         "derive_trans_hour": _raw_query(b.events, _derived("trans_time", "trans_hour")),
         "derive_trans_hour_negative": _raw_query(
@@ -145,14 +188,24 @@ def queries() -> dict[str, Query]:
         "clean_transactions": _raw_query(b.events_wide, cleaning.clean),
         "clean_transactions_coarse": _raw_query(b.events_coarse, cleaning.clean),
         "clean_transactions_gaps": _raw_query(b.events_gaps, cleaning.clean),
+        "clean_transactions_coarse_typed": _raw_query(
+            b.events_coarse_typed, cleaning.clean
+        ),
+        "clean_transactions_messy": _raw_query(b.events_messy, cleaning.clean),
         "ingest_report": _raw_query(b.events_coarse, cleaning.ingest_report),
+        "ingest_report_messy": _raw_query(b.events_messy, cleaning.ingest_report),
+        "gate_ingest": _raw_query(
+            b.events_messy,
+            lambda raw: quality.gate_ingest(cleaning.ingest_report(raw)),
+        ),
         "gate_source": _raw_query(b.events, quality.gate_source),
         "gate_clean": _clean_query(b.events, quality.gate_clean),
         "gate_clean_unclean": _raw_query(
-            b.customer,
+            b.customer_unclean,
             lambda raw: quality.gate_clean(cleaning.derive(cleaning.name_and_type(raw))),
         ),
         "gate_kpis": _gate_kpis,
+        "gate_kpis_missing": _gate_kpis_missing,
         "upsert_by_hour": _upsert("kpi_by_hour", b.events, b.lineitem_early),
         "upsert_by_amount_category": _upsert(
             "kpi_by_amount_category", b.customer, b.events
@@ -169,6 +222,13 @@ def queries() -> dict[str, Query]:
         "kpi_daily": _clean_query(b.events_dated, kpis.kpi_daily),
         "kpi_by_category": _clean_query(b.events_dated, kpis.kpi_by_category),
     }
+    for name in REGISTRY:
+        roundtrip = "kpi_roundtrip" if name == "kpi_by_hour" else f"{name}_roundtrip"
+        found[roundtrip] = _kpi_roundtrip(name)
+    for suffix, binding in EXACT_BINDINGS.items():
+        for name in ("kpi_global", "kpi_by_hour", "kpi_fraud_vs_normal"):
+            found[name + suffix] = _clean_query(binding, REGISTRY[name].build)
+        found["kpi_suite" + suffix] = _clean_query(binding, kpis.kpi_suite)
     for suffix, binding in KPI_BINDINGS.items():
         for name, kpi in REGISTRY.items():
             found[name + suffix] = _clean_query(binding, kpi.build)
@@ -187,6 +247,10 @@ KPI_BINDINGS: dict[str, b.Binding] = {
 }
 
 
+# Where money sums need every digit.
+EXACT_BINDINGS: dict[str, b.Binding] = {"_fine": b.events_fine, "_huge": b.events_huge}
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """All aggregate KPIs of the largest table, from raw rows, in one scan."""
     return kpis.kpi_suite(b.cleaned(b.lineitem, spark, folder))

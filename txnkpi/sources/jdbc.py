@@ -7,6 +7,7 @@ The SQL texts are tested; no database was at hand to test the connection itself.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from txnkpi.operators.publishing import checked_rows
+from txnkpi.operators.publishing import KEEP, checked_rows, replaces
 
 # Column types of the target tables. 64-bit counts keep their width here.
 SQL_TYPES = {
@@ -113,11 +114,16 @@ def publish_jdbc(
     table: str,
     properties: dict[str, str],
     key: str | None = None,
+    on_empty: str = KEEP,
 ) -> bool:
-    """Upsert by ``key``, or replace all rows without one; False for an empty batch."""
-    spark, staging = batch.sparkSession, f"{table}_staging"
+    """Upsert by ``key``, or replace all rows without one; False if nothing was to change.
+
+    Each load stages its rows in a table of its own, so loads at the same time do not meet
+    before the transaction.
+    """
+    spark, staging = batch.sparkSession, f"{table}_staging_{uuid.uuid4().hex[:12]}"
     rows = checked_rows(batch, key)
-    if not rows:
+    if not replaces(rows, key, on_empty):
         return False
     stage(batch, rows, url, staging, properties)
     if key:

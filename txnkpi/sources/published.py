@@ -14,7 +14,6 @@ from pyspark.sql.types import StructType
 from txnkpi.sources import paths
 
 PREFIX = "version-"
-MARKER = "_SUCCESS"
 
 
 def _versions(spark: SparkSession, root: str, table: str) -> list[int]:
@@ -30,7 +29,7 @@ def version_path(root: str, table: str, version: int) -> str:
 def current_version(spark: SparkSession, root: str, table: str) -> int | None:
     """Newest finished version, None before the first."""
     for version in reversed(_versions(spark, root, table)):
-        if paths.exists(spark, paths.join(version_path(root, table, version), MARKER)):
+        if paths.finished(spark, version_path(root, table, version)):
             return version
     return None
 
@@ -51,7 +50,7 @@ def write_version(df: DataFrame, root: str, table: str) -> int:
     version = max(_versions(spark, root, table), default=0) + 1
     path = version_path(root, table, version)
     df.write.mode("error").parquet(path)
-    if not paths.exists(spark, paths.join(path, MARKER)):
+    if not paths.finished(spark, path):
         raise RuntimeError(
             "no _SUCCESS marker was written: "
             "mapreduce.fileoutputcommitter.marksuccessfuljobs must stay on"

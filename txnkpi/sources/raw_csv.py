@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     DoubleType,
@@ -17,8 +15,10 @@ from txnkpi.functions import CORRUPT, REQUIRED
 
 READABLE = (NumericType, StringType)
 
-# Name Spark gives to a column whose header is blank.
-UNNAMED = re.compile(r"_c\d+")
+
+def _blank(schema: StructType) -> list[int]:
+    """Places of columns whose header is blank: Spark names them by their place."""
+    return [i for i, name in enumerate(schema.names) if name == f"_c{i}"]
 
 
 def infer_raw_schema(spark: SparkSession, path: str) -> StructType:
@@ -48,28 +48,34 @@ def read_raw(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
-    check_header: bool | None = None,
+    check_header: bool = True,
 ) -> DataFrame:
     """Raw transactions plus a ``_corrupt`` column with the text of unreadable rows.
 
     A value that does not fit its column becomes NULL in that row alone. Without
     ``schema`` (a type or DDL text) the files are parsed a first time to infer it. Header
-    names are compared with the schema, so columns in another order fail instead of
-    trading places. Headers with blank names cannot be compared and are taken by position;
-    ``check_header=False`` does so for headers with repeated names, too.
+    names of every file are compared with the schema, so columns in another order fail
+    instead of trading places; one blank name, as of a row number, is compared like any
+    other. Headers with several blank or repeated names cannot be compared:
+    ``check_header=False`` takes all columns by position, and then they must agree.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     schema = schema or infer_raw_schema(spark, path)
-    if check_header is None:
-        check_header = not any(UNNAMED.fullmatch(name) for name in schema.names)
+    blank = _blank(schema) if check_header else []
+    if len(blank) > 1:
+        raise ValueError(f"blank header names at places {blank}; see check_header")
     if CORRUPT not in schema.names:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    return spark.read.csv(
+    named = [
+        StructField("" if i in blank else f.name, f.dataType) for i, f in enumerate(schema)
+    ]
+    rows = spark.read.csv(
         path,
-        schema=schema,
+        schema=StructType(named),
         header=True,
         enforceSchema=not check_header,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
     )
+    return rows.toDF(*schema.names) if blank else rows

@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from txnkpi.sources import paths
 
@@ -46,17 +47,21 @@ def write_all(frames: dict[str, DataFrame]) -> None:
             done.result()
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet folder."""
-    return spark.read.parquet(path)
+def read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read a Parquet folder. With a schema no file is opened to find it."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def read_compact(spark: SparkSession, path: str) -> DataFrame:
+def read_compact(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame:
     """Read a Parquet folder, as a single partition if its size on disk allows."""
-    df = read(spark, path)
+    df = read(spark, path, schema)
     return df.coalesce(1) if paths.scanned_bytes(df) <= ONE_TASK_BYTES else df
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """Read a Parquet folder, or None when it is absent."""
-    return read(spark, path) if paths.exists(spark, path) else None
+def read_if_there(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame | None:
+    """Read a Parquet folder, or None when it is absent or was not written to the end."""
+    return read(spark, path, schema) if paths.finished(spark, path) else None
