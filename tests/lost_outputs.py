@@ -21,7 +21,8 @@ from txnkpi.plans import bindings, daily
 from txnkpi.session import create_session
 from txnkpi.sources import tables
 
-REDUCERS = 60
+# So many that most of them are still to come when outputs vanish.
+REDUCERS = 600
 
 
 def main(work: str, folder: str) -> None:

@@ -7,7 +7,6 @@ import os
 import subprocess
 import sys
 
-import pytest
 from conftest import DATA
 
 SCRIPT = os.path.join(os.path.dirname(os.path.abspath(__file__)), "lost_outputs.py")
@@ -24,5 +23,4 @@ def test_counts_survive_lost_map_outputs(tmp_path):
     result = json.loads(done.stdout.strip().splitlines()[-1])
     assert result["found"] == result["wanted"]
     assert result["rows"] == result["wanted"]["clean_rows"]
-    if not result["reruns"]:
-        pytest.skip("the writing stage finished before outputs could be removed")
+    assert result["reruns"] > 0
