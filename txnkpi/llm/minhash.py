@@ -11,8 +11,9 @@ equal sets are one class; everything below is done once for each class.
   still be shared, and values of a single set make no list at all.
 * Pairs in a list are not expanded. The member with the fewest rare values leads; every
   member is compared with the leaders of its lists, and the confirmed links are closed to
-  components. Members of lists that still hold several components are then compared across
-  components only.
+  components.
+* Sets in lists that still hold several components go through the same with all their values
+  retained, where the bounds are exact, and are compared across components only.
 * The union sketch (the ``k`` least values of both) estimates the similarity of a candidate
   pair; those that pass are confirmed on their full sets.
 
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,9 @@ from txnkpi.llm.components import components
 #: Chance that a pair right at the limit shares fewer retained values than demanded.
 MISS = 1e-9
 
+#: Sketch size that keeps every set whole.
+WHOLE = 2**31 - 1
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -53,11 +57,12 @@ class Settings:
     def sure(self) -> int:
         """Retained values that two sketches of the wanted similarity share at least."""
         p, below, t = self.percent / 100, 0.0, 0
-        while True:
+        while self.k < WHOLE:
             below += math.comb(self.k, t) * p**t * (1 - p) ** (self.k - t)
             if below > MISS:
                 return t
             t += 1
+        return 0  # whole sets have exact bounds
 
     @property
     def whole(self) -> int:
@@ -172,10 +177,17 @@ def _star_pairs(members: DataFrame, cfg: Settings) -> DataFrame:
     return _ordered(pairs.filter("x.doc != y.doc"))
 
 
+def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members, with ``comp``, of lists that hold more than one component."""
+    marked = members.join(comp, members["doc"] == comp["node"], "left").select(
+        "value", "doc", "n", "left", F.coalesce("component", "doc").alias("comp")
+    )
+    lists = marked.groupBy("value").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c < d")
+    return marked.join(lists.select("value"), "value", "left_semi")
+
+
 def _across_pairs(members: DataFrame, cfg: Settings) -> DataFrame:
-    """Members of different components (``comp``) in lists that hold more than one."""
-    mixed = members.groupBy("value").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c < d")
-    members = members.join(mixed.select("value"), "value", "left_semi")
+    """Members of one list whose components (``comp``) differ."""
     pairs = members.alias("x").join(
         members.alias("y"),
         (F.col("x.value") == F.col("y.value")) & (F.col("x.doc") < F.col("y.doc"))
@@ -236,16 +248,13 @@ def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, cfg: Settings, id_c
     sets = written(_full_sets(docs, sketches, near, cfg, id_col, text_col), "full")
     confirmed = _confirmed(star, sets, cfg)
     comp = components(confirmed)
-    marked = members.join(comp, members["doc"] == comp["node"], "left").select(
-        "value", "doc", "n", "left", F.coalesce("component", "doc").alias("comp")
-    )
-    across = written(_across_pairs(marked, cfg).join(star, ["a", "b"], "left_anti"), "across")
-    near = written(across.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "near")
-    sets = written(_full_sets(docs, sketches, near, cfg, id_col, text_col), "full")
+    left = written(_mixed(members, comp).select("doc").distinct(), "left")
+    sets = written(_full_sets(docs, sketches, left, cfg, id_col, text_col), "full")
+    whole = replace(cfg, k=WHOLE)
+    members = written(_mixed(lists(sets, whole), comp), "lists")
+    across = written(_across_pairs(members, whole).join(star, ["a", "b"], "left_anti"), "across")
     more = _confirmed(across, sets, cfg)
-    if more.isEmpty():
-        return comp
-    return components(confirmed.union(more))
+    return comp if more.isEmpty() else components(confirmed.union(more))
 
 
 def _full_sets(docs: DataFrame, sketches: DataFrame, near: DataFrame, cfg: Settings, id_col: str, text_col: str) -> DataFrame:
