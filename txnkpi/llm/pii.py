@@ -2,7 +2,8 @@
 
 Entities found by pattern are taken apart into units (a phone number, the part before the @
 of an address, a domain, a first name, a surname ...). Equal units get equal surrogates
-everywhere, so who was the same person or account stays so. A surrogate is drawn from a keyed
+everywhere, so who was the same person or account stays so; a surname that a text names in
+full is also replaced where it stands alone in that text. A surrogate is drawn from a keyed
 hash of the unit and keeps its form: digits stay digits, letters letters, card numbers and
 IBANs keep valid check digits, first names keep gender and script. Surrogates are checked
 before use: no two units of a kind share one, and none equals a real unit of that kind; the
@@ -50,7 +51,8 @@ _GIVEN = "|".join(n for names in FIRST_NAMES.values() for n in names)
 TITLES = {gender: f"{titles}|{titles.upper()}" for gender, titles in TITLES.items()}
 _TITLE = "|".join(TITLES.values())
 _CAP = r"\p{Lu}[\p{L}'’-]+"
-_DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+# Possessive repetition: Java's regular expressions repeat other groups by recursion.
+_DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 
 #: Kind and pattern, in order of preference at a place.
 PATTERNS = [
@@ -69,6 +71,9 @@ ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: Texts without this have no entity; it is cheap to look for.
 HINT = rf"[0-9@]|(?<![\p{{L}}])(?:{_TITLE}|{_GIVEN})(?!\p{{L}})|(?i:token|secret|key|passw)"
 
+#: Letters that a surname has at least to be replaced where it stands alone.
+LEAST_ALONE = 4
+
 _HASHES = 4
 _DRAWS = 32 * _HASHES
 #: From this attempt on surrogates grow, so that there is always a free one.
@@ -268,7 +273,8 @@ def _fill(surface: Column, chars: Column, slot: str) -> Column:
 
 
 def _rendered(parts: DataFrame, drawn: DataFrame) -> DataFrame:
-    """(surface, kind, new): every surface as its surrogate, in its own format and case."""
+    """(surface, kind, new, alone): every surface as its surrogate, in its own format and
+    case, and the surname in it with its surrogate."""
     wide = (
         parts.join(drawn, ["part", "norm"])
         .groupBy("surface", "kind")
@@ -292,11 +298,16 @@ def _rendered(parts: DataFrame, drawn: DataFrame) -> DataFrame:
         .otherwise(_fill(s, by("ssn"), "[0-9]"))
     )
     new = F.when((kind == "email") & (s == F.upper(s)), F.upper(new)).otherwise(new)
-    return wide.select("surface", "kind", new.alias("new"))
+    alone = F.regexp_extract(bare, r"([^ ]+)$", 1)
+    pair = F.struct(alone.alias("real"), F.initcap(by("surname")).alias("new"))
+    # Shorter ones may be common words.
+    alone = F.when((kind == "name") & (F.length(alone) >= LEAST_ALONE), pair)
+    return wide.select("surface", "kind", new.alias("new"), alone.alias("alone"))
 
 
 def replacements(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key of the row, map from what stands there to what shall stand there, kinds), written."""
+    """For each row (by key) with entities, written: a map from what stands there to what
+    shall stand there, the kinds, and surnames to look for on their own."""
     found = docs.select(*row_key(id_col, text_col), F.explode(_found(F.col(text_col))).alias("surface")).distinct()
     found = written(found, "entities")
     surfaces = found.select("surface").distinct().withColumn("kind", _kind(F.col("surface")))
@@ -306,16 +317,27 @@ def replacements(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     by_row = (
         found.join(small(rendered), "surface")
         .groupBy("_id", "_h")
-        .agg(F.map_from_entries(F.collect_list(F.struct("surface", "new"))).alias("by"), F.array_sort(F.collect_set("kind")).alias("kinds"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("surface", "new"))).alias("by"),
+            F.array_sort(F.collect_set("kind")).alias("kinds"),
+            F.array_sort(F.collect_set("alone")).alias("alone"),
+        )
     )
     return written(by_row, "replacements")
 
 
-def _rewritten(text: Column, by: Column) -> Column:
+def _rewritten(text: Column, by: Column, alone: Column) -> Column:
     """The text with its entities replaced: pieces between them, and their replacements."""
     pieces, found = F.split(text, ENTITY, -1), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
     both = F.zip_with(pieces, found, lambda p, e: F.concat(F.coalesce(p, F.lit("")), F.coalesce(by[e], e, F.lit(""))))
-    return F.when(by.isNull(), text).otherwise(F.array_join(both, ""))
+
+    def without(text: Column, name: Column) -> Column:
+        for case in (lambda c: c, F.upper):
+            word = F.concat(F.lit(r"(?<!\p{L})"), case(name["real"]), F.lit(r"(?!\p{L})"))
+            text = F.regexp_replace(text, word, case(name["new"]))
+        return text
+
+    return F.when(by.isNull(), text).otherwise(F.aggregate(alone, F.array_join(both, ""), without))
 
 
 def _joined(docs: DataFrame, key: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -329,7 +351,7 @@ def pseudonymised(docs: DataFrame, key: str = "surrogates", id_col: str = "doc_i
     joined, by_row = _joined(docs, key, id_col, text_col)
     return joined.select(
         docs[id_col].alias("doc_id"),
-        _rewritten(docs[text_col], by_row["by"]).alias("text"),
+        _rewritten(docs[text_col], by_row["by"], by_row["alone"]).alias("text"),
         F.coalesce(F.size(by_row["by"]).cast("bigint"), F.lit(0).cast("bigint")).alias("n_entities"),
         F.coalesce(F.concat_ws(",", by_row["kinds"]), F.lit("")).alias("kinds"),
     )
@@ -339,5 +361,5 @@ def replace_pii(docs: DataFrame, key: str = "surrogates", id_col: str = "doc_id"
     """The rows of ``docs`` with surrogates in their texts, all other columns unchanged."""
     joined, by_row = _joined(docs, key, id_col, text_col)
     return joined.select(
-        *(_rewritten(docs[c], by_row["by"]).alias(c) if c == text_col else docs[c] for c in docs.columns)
+        *(_rewritten(docs[c], by_row["by"], by_row["alone"]).alias(c) if c == text_col else docs[c] for c in docs.columns)
     )
