@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from txnkpi.llm.common import written
 
-_PREFIX = r"^(?:[ \t]*>)+"
+# Possessive repetition: Java's regular expressions repeat other groups by recursion.
+_PREFIX = r"^(?:[ \t]*+>)++"
 _ANNOUNCED = r"(?i)^[ \t]*(?:on|am|le|el)\b.*(?:wrote|schrieb|écrit|escribió)\b.*:[ \t\r]*$"
 MOST_ROUNDS = 64
 
