@@ -71,6 +71,7 @@ MAIL = [
     (1, 6, "a", "> At nine\n> Late for me\ntie"), (2, 0, "a", "> Hello there.\nother conversation"),
     (2, 1, "b", "> later"), (2, 2, "a", "later"), (3, 0, None, None), (3, 1, "b", ""), (3, 1, "b", ""),
     (None, 0, "a", "> Hello there."), (4, None, "a", "> x\nx"), (5, 0, "a", ">\n> ...\n---"),
+    (6, 0, "a", "deep"), (6, 1, "b", "> " * 9_000 + "deep"),
 ]
 
 

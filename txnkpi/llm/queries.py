@@ -21,7 +21,7 @@ def _compression(spark: SparkSession, folder: str) -> DataFrame:
 
 def _langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
-    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = langid.learn(docs.filter(~held))
     return langid.predict(docs, model, held_out=held)
 
