@@ -18,7 +18,7 @@ SPACE = r"[\x20\x09-\x0D]"
 ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 
 #: Bytes of text turned into arrays at once; a longer document is taken alone.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 2_000_000
 
 
 def documents(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
