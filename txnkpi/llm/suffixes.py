@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnkpi.llm.common import SPACE, Words, binned, bins_for, pieces, small, unpacked, written
+from txnkpi.llm.common import SPACE, Words, binned, bins_for, mix, pieces, small, unpacked, written
 
 #: Words after which a prefix may end; the window's length is the last.
 PREFIXES = (4, 8)
 #: Suffixes gathered before they are sorted into bins.
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 EVERY = 64
 
 
@@ -127,24 +127,25 @@ def _least_of(rows: DataFrame, nodes: np.ndarray, cfg: Settings) -> np.ndarray:
     return out
 
 
-def _hits(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """Rows (id, k, starts) of hits, one for each text."""
+def _by_text(docs: np.ndarray, places: np.ndarray, bins: int) -> pa.RecordBatch:
+    """Hits dealt to bins by document."""
+    bin_of = (mix(docs.astype(np.uint64)) % np.uint64(bins)).astype(np.int32)
+    return binned(bin_of, docs, places)
+
+
+def _gathered(group: pa.Table) -> pa.Table:
+    """Rows (id, k, starts) of the hits in a bin of documents, one for each text."""
+    docs, places = (x.view(np.int64) for x in unpacked(group.column("block")))
     order = np.lexsort((places, docs))
     docs, places = docs[order], places[order]
     ks, starts = places >> 32, places & 0xFFFFFFFF
-    first = np.flatnonzero(np.diff(docs, prepend=docs[0] - 1) | np.diff(ks, prepend=-1)) if len(docs) else np.zeros(0, dtype=np.int64)
-    offsets = np.append(first, len(docs))
-    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(starts, pa.int32()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(docs[first], pa.int64()), pa.array(ks[first], pa.int32()), lists], ["id", "k", "starts"]
-    )
-
-
-HITS = "id bigint, k int, starts array<int>"
+    first = np.flatnonzero((np.diff(docs, prepend=~docs[:1]) != 0) | (np.diff(ks, prepend=-1) != 0))
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(docs)), pa.int32()), pa.array(starts, pa.int32()))
+    return pa.Table.from_arrays([pa.array(docs[first]), pa.array(ks[first], pa.int32()), lists], ["id", "k", "starts"])
 
 
 def repeats(rows: DataFrame, cfg: Settings) -> DataFrame:
-    """(id, k, starts): windows of each text that an earlier document has, in several rows."""
+    """(id, k, starts): windows of each text that an earlier document has."""
     bins = bins_for(rows, "text", cfg.group)
     hot = _hot_prefixes(rows, cfg)
 
@@ -175,10 +176,10 @@ def repeats(rows: DataFrame, cfg: Settings) -> DataFrame:
         sizes = np.diff(np.append(node, len(labels)))
         least = np.repeat(np.minimum.reduceat(docs, node), sizes)
         hit = docs > least
-        return pa.Table.from_batches([_hits(docs[hit], places[hit])])
+        return pa.Table.from_batches([_by_text(docs[hit], places[hit], bins)])
 
     dealt = rows.mapInArrow(deal, "bin int, block binary")
-    found = dealt.groupBy("bin").applyInArrow(tree, HITS)
+    found = dealt.groupBy("bin").applyInArrow(tree, "bin int, block binary")
     if len(hot[-1]):
         nodes = hot[-1]
         least = _least_of(rows, nodes, cfg)
@@ -190,18 +191,17 @@ def repeats(rows: DataFrame, cfg: Settings) -> DataFrame:
                     for level, h in enumerate(hashes):
                         hit = hit & _among(h, hot[level])
                     hit[hit] = docs[hit] > least[np.searchsorted(nodes, hashes[-1][hit])]
-                    yield _hits(docs[hit], places[hit])
+                    yield _by_text(docs[hit], places[hit], bins)
 
-        found = found.union(rows.mapInArrow(resolved, HITS))
-    return found
+        found = found.union(rows.mapInArrow(resolved, "bin int, block binary"))
+    return found.groupBy("bin").applyInArrow(_gathered, "id bigint, k int, starts array<int>")
 
 
 def without_repeats(docs: DataFrame, cfg: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: words, removed words, and the text of the kept ones."""
     rows = _numbered(docs, id_col, text_col)
-    hits = repeats(rows, cfg).groupBy("id", "k").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    hits = written(hits, "repeats").select(F.col("id").alias("_id"), F.col("k").alias("_k"), "starts")
-    joined = rows.join(small(hits), (F.col("id") == F.col("_id")) & (F.col("k") == F.col("_k")), "left")
+    hits = written(repeats(rows, cfg), "repeats").select(F.col("id").alias("_id"), F.col("k").alias("_k"), "starts")
+    joined = rows.join(hits, (F.col("id") == F.col("_id")) & (F.col("k") == F.col("_k")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
