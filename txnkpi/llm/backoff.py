@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from txnkpi.llm.common import SPACE, Words, binned, bins_for, mix, pieces, unpacked, written
 
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 EVERY = 64
 #: Scores are summed in these parts of a bit.
 UNIT = 1_000_000
@@ -168,22 +168,36 @@ def _units(share: np.ndarray) -> np.ndarray:
     return np.rint(-np.log2(share) * UNIT).astype(np.int64)
 
 
-def _per_doc(docs: np.ndarray, units: np.ndarray, scored: np.ndarray, known: np.ndarray) -> pa.Table:
-    """Rows (id, units, n, known), summed per document."""
-    if not len(docs):
-        return pa.Table.from_arrays([pa.array([], pa.int64())] * 4, ["id", "units", "n", "known"])
+def _summed(docs: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct documents, and the sums of their values."""
     order = np.argsort(docs, kind="stable")
     docs = docs[order]
     first = np.flatnonzero(np.diff(docs, prepend=~docs[:1]))
-    sums = [np.add.reduceat(x[order].astype(np.int64), first) for x in (units, scored, known)]
-    return pa.Table.from_arrays([pa.array(docs[first]), *map(pa.array, sums)], ["id", "units", "n", "known"])
+    return [docs[first], *(np.add.reduceat(x[order].astype(np.int64), first) for x in values)]
 
 
+def _per_doc(bins: int, docs: np.ndarray, units: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+    """Blocks of (document, units, pairs, known pairs), dealt to bins by document."""
+    if len(docs):
+        docs, units, n, known = _summed(docs, units, np.ones(len(docs)), known)
+    else:
+        n = docs
+    bin_of = (mix(docs.astype(np.uint64)) % np.uint64(bins)).astype(np.int32)
+    return binned(bin_of, docs, units, n, known)
+
+
+def _gathered(group: pa.Table) -> pa.Table:
+    """Rows (id, units, n, known) of the documents in a bin."""
+    sums = _summed(*(x.view(np.int64) for x in unpacked(group.column("block"))))
+    return pa.Table.from_arrays([pa.array(x) for x in sums], ["id", "units", "n", "known"])
+
+
+BLOCKS = "bin int, block binary"
 SUMS = "id bigint, units bigint, n bigint, known bigint"
 
 
 def pair_scores(rows: DataFrame, cfg: Settings) -> DataFrame:
-    """Sums of pieces of documents: (id, bits in units, pairs, pairs of the table)."""
+    """Sums of documents: (id, bits in units, pairs, pairs of the table)."""
     words = word_counts(rows)
     total = words.filter(F.col("word") != int(START)).agg(F.sum("count")).head()[0] or 0
     bins = bins_for(rows, "text", cfg.group)
@@ -238,10 +252,10 @@ def pair_scores(rows: DataFrame, cfg: Settings) -> DataFrame:
         scored = by_pair | alone
         each = lambda x: np.repeat(x, size)
         keep = each(scored)
-        return _per_doc(docs[keep], each(_units(share))[keep], np.ones(int(keep.sum()), dtype=np.int64), each(by_pair)[keep])
+        sums = _per_doc(bins, docs[keep], each(_units(share))[keep], each(by_pair)[keep])
+        return pa.Table.from_batches([sums])
 
-    dealt = rows.mapInArrow(deal, "bin int, block binary")
-    sums = dealt.groupBy("bin").applyInArrow(score, SUMS)
+    sums = rows.mapInArrow(deal, BLOCKS).groupBy("bin").applyInArrow(score, BLOCKS)
     if len(hot[0]):
 
         def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,10 +268,10 @@ def pair_scores(rows: DataFrame, cfg: Settings) -> DataFrame:
                     hit = (count > 0) & (one > 0) & (two > 0)
                     docs, count, known, one, two = (x[hit] for x in (docs, count, known, one, two))
                     units = _units(np.where(known, count / one, cfg.alpha * two / total))
-                    yield from _per_doc(docs, units, np.ones(len(docs), dtype=np.int64), known).to_batches()
+                    yield _per_doc(bins, docs, units, known)
 
-        sums = sums.union(rows.mapInArrow(resolved, SUMS))
-    return sums
+        sums = sums.union(rows.mapInArrow(resolved, BLOCKS))
+    return sums.groupBy("bin").applyInArrow(_gathered, SUMS)
 
 
 def _sums(words: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -271,8 +285,7 @@ def backoff_scores(docs: DataFrame, cfg: Settings = Settings(), id_col: str = "d
     """One row per row of ``docs``: words, how many (and end marks) the table knows after the
     word before, and bits per word and end mark."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    sums = pair_scores(rows, cfg).groupBy("id").agg(*(F.sum(c).alias(c) for c in ("units", "n", "known")))
-    sums = sums.select(F.col("id").alias("_id"), "units", "n", "known")
+    sums = pair_scores(rows, cfg).withColumnRenamed("id", "_id")
     joined = rows.select("id").join(sums, F.coalesce("id", F.lit(NO_ID)) == F.col("_id"), "left")
     bits = F.col("units") / UNIT / F.col("n")
     return joined.select(
