@@ -170,9 +170,13 @@ def lists(sketches: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame, cfg: Settings) -> DataFrame:
-    """Each member of a list with the list's leader, the one with most values left."""
+    """Each member of a list with the list's leader, the one with most values left.
+
+    Leaders are a table of their own, so that Spark can split a very long list in the join.
+    """
     leaders = members.groupBy("value").agg(F.max(F.struct("left", -F.col("doc"), "n")).alias("l"))
     leaders = leaders.select("value", F.col("l.left").alias("left"), (-F.col("l.col2")).alias("doc"), F.col("l.n").alias("n"))
+    leaders = written(leaders, "leaders")
     pairs = members.alias("x").join(leaders.alias("y"), (F.col("x.value") == F.col("y.value")) & _pair_ok("x", "y", cfg))
     return _ordered(pairs.filter("x.doc != y.doc"))
 
@@ -182,8 +186,9 @@ def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
     marked = members.join(comp, members["doc"] == comp["node"], "left").select(
         "value", "doc", "n", "left", F.coalesce("component", "doc").alias("comp")
     )
+    marked = written(marked, "marked")
     lists = marked.groupBy("value").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c < d")
-    return marked.join(lists.select("value"), "value", "left_semi")
+    return marked.join(written(lists.select("value"), "mixed"), "value", "left_semi")
 
 
 def _across_pairs(members: DataFrame, cfg: Settings) -> DataFrame:
