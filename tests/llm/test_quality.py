@@ -161,3 +161,35 @@ def test_gated_rules_find_what_all_rules_find(spark):
         plain = {i for i, (_, p) in enumerate(scanner.rules) if p.search(words)}
         gated = {i for _, which in scanner.automaton.iter(words.decode("latin-1")) for i in which}
         assert plain <= gated
+
+
+SPDX = """agpl AGPL-3.0-only|lgpl LGPL-2.1-or-later|gfdl GFDL-1.3-only|gpl GPL-3.0-or-later|apache Apache-2.0|mit MIT
+bsd-2-clause BSD-2-Clause|bsd-3-clause BSD-3-Clause|bsd-4-clause BSD-4-Clause|0bsd 0BSD|bsd BSD|mpl MPL-2.0|epl EPL-2.0|edl EDL-1.0
+cddl CDDL-1.0|cpl CPL-1.0|eupl EUPL-1.2|isc ISC|zlib Zlib|bsl BSL-1.0|artistic Artistic-2.0|psf PSF-2.0|wtfpl WTFPL
+unlicense Unlicense|cc0 CC0-1.0|cc-by-nc-nd CC-BY-NC-ND-4.0|cc-by-nc-sa CC-BY-NC-SA-4.0|cc-by-nc CC-BY-NC-4.0
+cc-by-nd CC-BY-ND-4.0|cc-by-sa CC-BY-SA-4.0|cc-by CC-BY-4.0|odbl ODbL-1.0|odc-by ODC-By-1.0|ofl OFL-1.1|postgresql PostgreSQL
+openssl OpenSSL|php PHP-3.01|ruby Ruby|vim Vim|ms-pl MS-PL|ms-rl MS-RL|upl UPL-1.0|osl OSL-3.0|afl AFL-3.0|sspl SSPL-1.0
+busl BUSL-1.1|elastic Elastic-2.0|llama llama3.1|openrail OpenRAIL-M|public-domain CC-PDDC|ncsa NCSA|apsl APSL-2.0
+cecill CECILL-B|ecl ECL-2.0|efl EFL-2.0|ipl IPL-1.0|lppl LPPL-1.3c|mulanpsl MulanPSL-2.0|npl NPL-1.1|qpl QPL-1.0|rpl RPL-1.5
+sissl SISSL|sleepycat Sleepycat|spl SPL-1.0|w3c W3C|beerware Beerware|blueoak BlueOak-1.0.0|hpnd HPND|curl curl|icu ICU
+unicode Unicode-DFS-2016|libpng libpng-2.0|ijg IJG|tcl TCL|ftl FTL|oldap OLDAP-2.8|pddl PDDL-1.0|cdla CDLA-Permissive-2.0
+zpl ZPL-2.1|miros MirOS|json JSON|rail BigScience-BLOOM-RAIL-1.0"""
+
+
+def test_identifiers_and_abbreviations():
+    scanner = licenses.Scanner(licenses.rules())
+    labels = lambda text: licenses.scan(text.encode(), scanner, {})[5]
+    pairs = [p.split() for p in SPDX.replace("\n", "|").split("|")]
+    assert {label for label, _ in pairs} == {label for label, *_ in licenses.LICENCES}
+    for label, name in pairs:
+        for text in (f"// SPDX-License-Identifier: {name}", f"This is released under {name}.", f"It is licensed under the {name} license"):
+            assert labels(text) == label, text
+    for label, text in (
+        ("gpl", "licensed under the GPLv3"), ("mit", "released under MIT"), ("apache", "under the terms of the Apache 2.0 license"),
+        ("gpl", "governed by the GNU GPL v2 or later"), ("apache,mit", "SPDX-License-Identifier: MIT OR Apache-2.0"),
+        ("bsd-3-clause,gpl,isc", "SPDX-License-Identifier: (GPL-2.0 WITH Linux-syscall-note) OR BSD-3-Clause OR ISC"),
+        ("apache", "You may not use this file except in compliance with the License."), ("gpl", "see the GPL"),
+    ):
+        assert labels(text) == label, text
+    for text in ("mit", "the MIT press", "the Apache helicopter", "see the ruby documentation", "permit limit curl vim", "BSD users, GPL code"):
+        assert labels(text) == "", text

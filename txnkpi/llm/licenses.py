@@ -1,7 +1,9 @@
 """License scans: ordered signature rules over whole texts.
 
-A few hundred regular expressions are made from licence names and kinds of mention. Rules run
-over the text's words (A-Z in lower case, joined by one space), and only those whose keyword
+The names, identifiers and wordings of licences are written by hand; each name is put into
+every kind of mention, so most rules are products. Identifiers and abbreviations (SPDX's and
+common ones) count in grants, tags, terms and SPDX expressions only: a bare ``mit`` is no
+find. Rules run over the text's words (A-Z in lower case, joined by one space), and only those whose keyword
 occurs. Overlapping finds are resolved by interval containment and priority: a find that lies
 inside that of a rule of the same or higher priority is dropped, and of finds of the same
 place the earlier rule wins.
@@ -87,13 +89,140 @@ LICENCES = [
     ("llama", "llama", r"llama(?: \d+)*? community licen[sc]e"),
     ("openrail", "openrail|open rail", r"(?:creativeml |bigscience )?open ?rail(?: m)?(?: licen[sc]e)?"),
     ("public-domain", "public domain", r"(?:dedicated to|released into|placed in|in) the public domain"),
+    ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[sc]e"),
+    ("apsl", "apple public", r"apple public source licen[sc]e"),
+    ("cecill", "cecill", r"cecill(?: (?:a|b|c))?(?: free software)? licen[sc]e"),
+    ("ecl", "educational community", r"educational community licen[sc]e"),
+    ("efl", "eiffel forum", r"eiffel forum licen[sc]e"),
+    ("ipl", "ibm public", r"ibm public licen[sc]e"),
+    ("lppl", "latex project", r"latex project public licen[sc]e"),
+    ("mulanpsl", "mulan", r"mulan permissive software licen[sc]e"),
+    ("npl", "netscape public", r"netscape public licen[sc]e"),
+    ("qpl", "q public", r"q public licen[sc]e"),
+    ("rpl", "reciprocal public", r"reciprocal public licen[sc]e"),
+    ("sissl", "sun industry", r"sun industry standards source licen[sc]e"),
+    ("sleepycat", "sleepycat", r"sleepycat licen[sc]e"),
+    ("spl", "sun public", r"sun public licen[sc]e"),
+    ("w3c", "w3c", r"w3c software(?: notice)?(?: and)?(?: document)? licen[sc]e"),
+    ("beerware", "beer", r"beer ?ware licen[sc]e"),
+    ("blueoak", "blue oak", r"blue oak model licen[sc]e"),
+    ("hpnd", "historical permission", r"historical permission notice and disclaimer"),
+    ("curl", "curl licen", r"curl licen[sc]e"),
+    ("icu", "icu licen", r"icu licen[sc]e"),
+    ("unicode", "unicode", r"unicode(?: data files and software)? licen[sc]e"),
+    ("libpng", "png reference", r"png reference library licen[sc]e"),
+    ("ijg", "independent jpeg", r"independent jpeg group licen[sc]e"),
+    ("tcl", "tcl tk licen|tcl licen", r"tcl(?: tk)? licen[sc]e"),
+    ("ftl", "freetype", r"freetype(?: project)? licen[sc]e"),
+    ("oldap", "openldap", r"open ?ldap public licen[sc]e"),
+    ("pddl", "public domain dedication", r"(?:open data commons )?public domain dedication and licen[sc]e"),
+    ("cdla", "community data", r"community data licen[sc]e agreement"),
+    ("zpl", "zope public", r"zope public licen[sc]e"),
+    ("miros", "miros licen", r"miros licen[sc]e"),
+    ("json", "json licen", r"json licen[sc]e"),
+    ("rail", "responsible ai", r"(?:bigscience )?responsible ai licen[sc]e"),
 ]
 
-#: Kind of mention, its rank (first wins), its weight, its pattern around a name.
+_V = r"(?: ?v| version)?(?: ?\d+(?: \d+)*)?(?: only| or later| or newer| or(?: at your option)? any later version)?(?: licen[sc]e)?"
+
+#: Label, keywords (each after another word), and the licence's SPDX identifiers
+#: and abbreviations without versions, over words. They count in ``KINDS`` with ``short`` only.
+IDENTIFIERS = [
+    ("agpl", " agpl| gnu agpl", r"(?:gnu )?agpl"),
+    ("lgpl", " lgpl| gnu lgpl", r"(?:gnu )?lgpl(?:lr)?"),
+    ("gfdl", " gfdl| fdl| gnu fdl", r"(?:gnu )?(?:g?fdl)"),
+    ("gpl", " gpl| gnu gpl", r"(?:gnu )?gpl"),
+    ("apache", " apache| asl", r"(?:apache(?: software)?|asl 2|asl 1 1)"),
+    ("mit", " mit| expat", r"(?:mit(?: 0| x11| expat| cmu| modern variant)?|expat)"),
+    ("bsd-2-clause", " bsd| simplified bsd| freebsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: patent| views)?"),
+    ("bsd-3-clause", " bsd| new bsd| 3 clause| three clause| modified bsd", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd)(?: clear| lbnl| attribution)?"),
+    ("bsd-4-clause", " bsd| 4 clause| four clause| original bsd", r"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)(?: uc)?"),
+    ("0bsd", " 0bsd| bsd 0| zero clause", r"(?:0bsd|bsd 0 clause|bsd zero clause|zero clause bsd)"),
+    ("bsd", " bsd", r"bsd(?: style)?"),
+    ("mpl", " mpl", r"mpl"),
+    ("epl", " epl", r"epl"),
+    ("edl", " edl", r"edl"),
+    ("cddl", " cddl", r"cddl"),
+    ("cpl", " cpl", r"cpl"),
+    ("eupl", " eupl", r"eupl"),
+    ("isc", " isc", r"isc"),
+    ("zlib", " zlib", r"zlib(?: acknowledgement)?"),
+    ("bsl", " bsl 1 0| bsl1 0| boost", r"(?:bsl ?1 0|boost(?: software)?(?: licen[sc]e)?)"),
+    ("artistic", " artistic| clartistic", r"(?:cl)?artistic"),
+    ("psf", " psf| python", r"(?:psfl?|python 2 0(?: 1)?)"),
+    ("wtfpl", " wtfpl", r"wtfpl"),
+    ("unlicense", " unlicen| the unlicen", r"(?:the )?unlicen[sc]e"),
+    ("cc0", " cc0| cc 0", r"cc ?0(?: universal)?"),
+    ("cc-by-nc-nd", " cc by nc nd", r"cc by nc nd"),
+    ("cc-by-nc-sa", " cc by nc sa", r"cc by nc sa"),
+    ("cc-by-nc", " cc by nc", r"cc by nc"),
+    ("cc-by-nd", " cc by nd", r"cc by nd"),
+    ("cc-by-sa", " cc by sa", r"cc by sa"),
+    ("cc-by", " cc by", r"cc by"),
+    ("odbl", " odbl", r"odbl"),
+    ("odc-by", " odc by", r"odc by"),
+    ("ofl", " ofl| sil ofl", r"(?:sil )?ofl"),
+    ("postgresql", " postgresql", r"postgresql"),
+    ("openssl", " openssl", r"openssl(?: standalone)?"),
+    ("php", " php", r"php"),
+    ("ruby", " ruby", r"ruby"),
+    ("vim", " vim", r"vim"),
+    ("ms-pl", " ms pl| mspl", r"ms ?pl"),
+    ("ms-rl", " ms rl| msrl", r"ms ?rl"),
+    ("upl", " upl", r"upl"),
+    ("osl", " osl", r"osl"),
+    ("afl", " afl", r"afl"),
+    ("sspl", " sspl", r"sspl"),
+    ("busl", " busl| bsl 1 1| bsl1 1", r"(?:busl|bsl(?= ?1 1))"),
+    ("elastic", " elastic| elv2", r"(?:elastic|elv2)"),
+    ("llama", " llama", r"llama"),
+    ("openrail", " openrail| open rail| creativeml| bigscience| bigcode", r"(?:creativeml |bigscience |bigcode )?open ?rail(?: ?[msd])?"),
+    ("public-domain", " public domain| cc pddc", r"(?:public domain|cc pddc)"),
+    ("ncsa", " ncsa", r"ncsa"),
+    ("apsl", " apsl", r"apsl"),
+    ("cecill", " cecill", r"cecill(?: [abc])?"),
+    ("ecl", " ecl", r"ecl"),
+    ("efl", " efl", r"efl"),
+    ("ipl", " ipl", r"ipl"),
+    ("lppl", " lppl", r"lppl"),
+    ("mulanpsl", " mulanpsl| mulan psl", r"mulan ?psl"),
+    ("npl", " npl", r"npl"),
+    ("qpl", " qpl", r"qpl"),
+    ("rpl", " rpl", r"rpl"),
+    ("sissl", " sissl", r"sissl"),
+    ("sleepycat", " sleepycat", r"sleepycat"),
+    ("spl", " spl", r"spl"),
+    ("w3c", " w3c", r"w3c"),
+    ("beerware", " beerware| beer ware", r"beer ?ware"),
+    ("blueoak", " blueoak| blue oak", r"blue ?oak"),
+    ("hpnd", " hpnd", r"hpnd"),
+    ("curl", " curl", r"curl"),
+    ("icu", " icu", r"icu"),
+    ("unicode", " unicode", r"unicode(?: dfs| tou| 3)?"),
+    ("libpng", " libpng", r"libpng"),
+    ("ijg", " ijg", r"ijg"),
+    ("tcl", " tcl", r"tcl"),
+    ("ftl", " ftl", r"ftl"),
+    ("oldap", " oldap", r"oldap"),
+    ("pddl", " pddl", r"pddl"),
+    ("cdla", " cdla", r"cdla(?: permissive| sharing)?"),
+    ("zpl", " zpl", r"zpl"),
+    ("miros", " miros", r"miros"),
+    ("json", " json", r"json"),
+    ("rail", " bigscience bloom rail", r"bigscience bloom rail"),
+]
+#: Labels whose identifiers are common words: ``see the``, ``under the`` and the like need "licence" after them.
+WORDS = {"mit", "apache", "isc", "zlib", "bsl", "artistic", "psf", "postgresql", "openssl", "php", "ruby", "vim", "elastic", "llama", "public-domain", "sleepycat", "w3c", "curl", "icu", "unicode", "tcl", "json", "bsd"}
+_ANY_ID = "(?:" + "|".join(sorted((p for _, _, p in IDENTIFIERS), key=len, reverse=True)) + ")" + _V
+
+#: Kind of mention, its rank (first wins), its weight, its pattern around a name;
+#: ``{short}`` stands for the name or an identifier with its version. A find's place is the
+#: group ``at`` where there is one.
 KINDS = [
-    ("grant", 0, 1.0, r"(?:re)?(?:licen[sc]ed|released|distributed|available|published|redistribute it) under(?: the terms of)?(?: the| a)? {name}(?: version \d+(?: \d+)*| \d+ \d+)?"),
-    ("tag", 1, 1.0, r"(?:spdx licen[sc]e identifier|licen[sc]e) (?:is )?(?:the )?{name}(?: version \d+(?: \d+)*| \d+ \d+)?"),
-    ("terms", 2, 0.9, r"(?:terms of|conditions of|subject to|governed by|copy of|see|under) the {name}(?: version \d+(?: \d+)*)?"),
+    ("grant", 0, 1.0, r"(?:re)?(?:licen[sc]ed|released|distributed|available|published|redistribute it) under(?: the terms of)?(?: the| a| an)? {short}(?: version \d+(?: \d+)*| \d+ \d+)?"),
+    ("tag", 1, 1.0, r"(?:spdx licen[sc]e identifier|licen[sc]e) (?:is )?(?:the )?{short}(?: version \d+(?: \d+)*| \d+ \d+)?"),
+    ("operand", 1, 1.0, r"spdx licen[sc]e identifier (?:{any}(?: with(?: [a-z0-9]+){1,6}?)? (?:or|and) )+(?P<at>{id})"),
+    ("terms", 2, 0.9, r"(?:(?:terms of|conditions of|subject to|governed by|copy of|see|under) the {name}(?: version \d+(?: \d+)*)?|(?:terms of|conditions of|subject to|governed by) the {id}|(?:copy of|see|under) the {sure})"),
     ("version", 3, 0.8, r"{name}(?: version| v)? \d+(?: \d+)*(?: or(?: at your option)? any later version)?"),
     ("name", 4, 0.6, r"{name}"),
 ]
@@ -108,6 +237,42 @@ WORDINGS = [
     ("zlib", "as is", r"this software is provided as is without any express or implied warranty in no event"),
     ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
     ("all-rights-reserved", "all rights reserved", r"all rights reserved"),
+    ("mit", "above copyright notice and this permission", r"the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software"),
+    ("bsd", "redistributions of source", r"redistributions of source code must retain the above copyright notice"),
+    ("bsd", "redistributions in binary", r"redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-3-clause", "endorse or promote", r"may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("apache", "compliance with the licen", r"you may not use this file except in compliance with the licen[sc]e"),
+    ("gpl", "without even the implied", r"this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty"),
+    ("lgpl", "without even the implied", r"this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty"),
+    ("agpl", "interact with it remotely|affero", r"interact with it remotely through a(?:ny)? computer network|affero general public licen[sc]e as published by the free software foundation"),
+    ("gfdl", "invariant sections", r"with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public licen[sc]e"),
+    ("cddl", "common development", r"the contents of this file are subject to the terms of the common development and distribution licen[sc]e"),
+    ("epl", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e"),
+    ("zlib", "altered source versions", r"altered source versions must be plainly marked as such"),
+    ("bsl", "permission is hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("wtfpl", "you just do what", r"you just do what the fuck you want to"),
+    ("cc0", "associated a work", r"the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("ofl", "reserved font", r"with reserved font name"),
+    ("postgresql", "without a written agreement", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("hpnd", "in supporting documentation", r"both that copyright notice and this permission notice appear in supporting documentation"),
+    ("openssl", "openssl project", r"this product includes software developed by the openssl project"),
+    ("beerware", "buy me a beer", r"you can buy me a beer in return"),
+    ("ijg", "independent jpeg", r"this software is based in part on the work of the independent jpeg group"),
+    ("ftl", "freetype", r"portions of this software are copyright (?:c )?(?:\d+ )*the freetype project"),
+    ("w3c", "w3c", r"w3c software and document notice and licen[sc]e"),
+    ("json", "used for good", r"the software shall be used for good not evil"),
+    ("public-domain", "copyright to this source", r"the authors? (?:hereby )?disclaims? copyright to this source code"),
+    ("cc-by", "creativecommons", r"creativecommons org licen[sc]es by \d 0"),
+    ("cc-by-sa", "creativecommons", r"creativecommons org licen[sc]es by sa \d 0"),
+    ("cc-by-nc", "creativecommons", r"creativecommons org licen[sc]es by nc \d 0"),
+    ("cc-by-nd", "creativecommons", r"creativecommons org licen[sc]es by nd \d 0"),
+    ("cc-by-nc-sa", "creativecommons", r"creativecommons org licen[sc]es by nc sa \d 0"),
+    ("cc-by-nc-nd", "creativecommons", r"creativecommons org licen[sc]es by nc nd \d 0"),
+    ("cc0", "creativecommons", r"creativecommons org publicdomain zero 1 0"),
+    ("gpl", "gnu org", r"www gnu org licen[sc]es gpl(?: \d 0)?"),
+    ("apache", "apache org", r"www apache org licen[sc]es licen[sc]e 2 0"),
 ]
 
 
@@ -124,8 +289,17 @@ class Rule:
 def rules() -> list[Rule]:
     """All rules, in order of priority: wordings, then every kind of mention of every licence."""
     found = [Rule(label, "wording", -1, 1.0, keyword, pattern) for label, keyword, pattern in WORDINGS]
+    ids = {label: (keywords, pattern) for label, keywords, pattern in IDENTIFIERS}
     for kind, rank, weight, around in KINDS:
-        found += [Rule(label, kind, rank, weight, keyword, around.replace("{name}", f"(?:{name})")) for label, keyword, name in LICENCES]
+        for label, keyword, name in LICENCES:
+            keywords, short = ids[label]
+            each = {"name": f"(?:{name})", "id": f"(?:{short}){_V}", "any": _ANY_ID}
+            each["short"] = f"(?:{each['name']}|{each['id']})"
+            each["sure"] = f"(?:{short}){_V}" + ("(?<=licen[sc]e)" if label in WORDS else "")
+            used = re.findall(r"{([a-z]+)}", around)
+            words = ([keyword] if {"name", "short"} & set(used) else []) + ([keywords] if set(used) - {"name"} else [])
+            pattern = re.sub(r"{([a-z]+)}", lambda m: each[m[1]], around)
+            found.append(Rule(label, kind, rank, weight, "|".join(words), pattern))
     return found
 
 
@@ -151,7 +325,8 @@ class Scanner:
         plain = text.decode("latin-1")  # a character per byte; keywords are ASCII
         gated = sorted({i for _, which in self.automaton.iter(plain) for i in which})
         found = sorted(
-            (m.start(), -m.end(), i) for i in gated for m in self.rules[i][1].finditer(text)
+            (m.start(at), -m.end(at), i)
+            for i in gated for at in (1 if self.rules[i][1].groups else 0,) for m in self.rules[i][1].finditer(text)
         )
         kept: list[tuple[int, int, int]] = []
         for start, end, i in found:  # outer finds come first; those of a place by rule order
