@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ipaddress
 import re
 
 from pyspark.sql import functions as F
@@ -106,3 +107,63 @@ def test_odd_rows_and_other_columns(edge, empty):
     changed = [r for r in got.collect() if r.doc_id == 7]
     assert changed[0].text != "one a@b.org" and changed[0].n_words == "other"
     assert pii.replace_pii(empty).count() == 0
+
+
+def _one(spark, *texts):
+    got = _texts(pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")))
+    return [got[i] for i in range(len(texts))]
+
+
+def test_longer_names_and_names_alone(spark):
+    got = _one(
+        spark, "John F. Kennedy spoke. John left. Kennedy, KENNEDY", "James Earl Jones and James", "Dr. John Ronald Smith", "JOHN SMITH met Smith",
+        "Ms. Mary Kim; Kim, KIM and Mary", "John Smith's car. Smith", "Dr. J. R. Lee, Lee", "Hans von Berg Jr. came. The Berg", "Mark The Box. The",
+        "Mr. Daniel Ng and Ng. Ngo", "Hans-Peter Meier, Hans-Peter", "Mr. Brown Mrs. Green",
+    )
+    one = re.fullmatch(r"([\w-]+) ([A-Z])\. ([\w-]+) spoke\. ([\w-]+) left\. ([\w-]+), ([\w-]+)", got[0])
+    assert one and one[1] == one[4] != "John" and one[2] != "F" and one[3] == one[5] != "Kennedy" and one[6] == one[3].upper()
+    two = re.fullmatch(r"([\w-]+) ([\w-]+) ([\w-]+) and ([\w-]+)", got[1])
+    assert two and two[1] == two[4] and not {"James", "Earl", "Jones"} & set(two.groups())
+    three = re.fullmatch(r"Dr\. ([\w-]+) ([\w-]+) ([\w-]+)", got[2])
+    assert three and three[1] == one[1] and not {"John", "Ronald", "Smith"} & set(three.groups())
+    four = re.fullmatch(r"([A-Z-]+) ([A-Z-]+) met ([\w-]+)", got[3])
+    assert four and four[1] == one[1].upper() and four[2] == three[3].upper() and four[3] == three[3]
+    five = re.fullmatch(r"Ms\. ([\w-]+) ([\w-]+); ([\w-]+), KIM and ([\w-]+)", got[4])
+    assert five and five[2] == five[3] != "Kim" and five[1] == five[4] != "Mary"
+    assert got[5] == f"{one[1]} {three[3]}'s car. {three[3]}"
+    seven = re.fullmatch(r"Dr\. ([A-Z])\. ([A-Z])\. ([\w-]+), ([\w-]+)", got[6])
+    assert seven and seven[3] == seven[4] != "Lee" and "J" != seven[1] != seven[2] != "R"
+    eight = re.fullmatch(r"([\w-]+) von ([\w-]+) Jr\. came\. The ([\w-]+)", got[7])
+    assert eight and eight[2] == eight[3] != "Berg" and eight[1] != "Hans"
+    assert got[8] == "Mark The Box. The"
+    assert re.fullmatch(r"Mr\. ([\w-]+) ([\w-]+) and \2\. Ngo", got[9]) and "Ng " not in got[9]
+    assert re.fullmatch(r"([\w-]+) ([\w-]+), \1", got[10]) and "Hans" not in got[10] and "Meier" not in got[10]
+    assert re.fullmatch(r"Mr\. [\w-]+ Mrs\. [\w-]+", got[11]) and "Brown" not in got[11] and "Green" not in got[11]
+
+
+def test_secrets_with_longer_keywords(spark):
+    value = "Zx9yQ7wLk2Jh"
+    texts = [
+        f"client_secret = {value}", f'"db_password": "{value}"', f"'apiKey': '{value}'", f"SECRET_KEY_2={value}", f"x-access-token: {value}",
+        f"dbpasswd:{value}", f'{{\\"token\\": \\"{value}\\"}}', f"aws_secret_access_key   =   {value}", f"token: {value}.{value}.{value}", f"AUTH-PWD={value}",
+    ]
+    got = _one(spark, *texts, "monkey: bananasplit, keyboard: mechanical")
+    for before, after in zip(texts, got):
+        shape = re.escape(before).replace(value, "([A-Za-z0-9]{12})", 1).replace(value, "[A-Za-z0-9]{12}")
+        assert value not in after and re.fullmatch(shape, after), after
+    assert got[-1] == "monkey: bananasplit, keyboard: mechanical"
+
+
+def test_ipv6(spark):
+    texts = [
+        "from 2001:db8::ff00:42:8329, on", "2001:0db8:0000:0000:0000:ff00:0042:8329", "[2001:DB8::FF00:42:8329]:80", "fe80::1: up", "addr:2001:db8::ff00:42:8329/64",
+        "12:30:45 and std::abc a::b ::1 :: 1:2", " ".join(f"fe80::{i:x}" for i in range(1, 16)),
+    ]
+    got = _one(spark, *texts)
+    address = lambda t: ipaddress.ip_address(re.search(r"[0-9A-Fa-f]+:[0-9A-Fa-f:]*[0-9A-Fa-f]", t)[0])
+    new = address(got[0])
+    assert new != address(texts[0]) and address(got[1]) == address(got[2]) == new and new == address(got[4][5:])
+    assert re.fullmatch(r"from [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4}, on", got[0]) and got[2] == got[2].upper()
+    assert got[3].endswith(": up") and "fe80::1" not in got[3]
+    assert got[5] == texts[5]
+    assert len({ipaddress.ip_address(x) for x in got[6].split()} - {ipaddress.ip_address(x) for x in texts[6].split()}) == 15

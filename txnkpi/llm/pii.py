@@ -2,8 +2,8 @@
 
 Entities found by pattern are taken apart into units (a phone number, the part before the @
 of an address, a domain, a first name, a surname ...). Equal units get equal surrogates
-everywhere, so who was the same person or account stays so; a surname that a text names in
-full is also replaced where it stands alone in that text. A surrogate is drawn from a keyed
+everywhere, so who was the same person or account stays so; first, middle and last names of a
+name found in a text are also replaced where they stand alone in that text. A surrogate is drawn from a keyed
 hash of the unit and keeps its form: digits stay digits, letters letters, card numbers and
 IBANs keep valid check digits, first names keep gender and script. Surrogates are checked
 before use: no two units of a kind share one, and none equals a real unit of that kind; the
@@ -20,6 +20,7 @@ kept (``replace_pii``). Texts may be of any length; a text's replacements travel
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,31 +48,54 @@ SYLLABLES = {
     "cyrillic": "бор вен гор дан зай кол лев мир нов пет рос сав тар фед чер шум".split(),
 }
 
-_GIVEN = "|".join(n for names in FIRST_NAMES.values() for n in names)
+_NAMES = [n for names in FIRST_NAMES.values() for n in names]
+_GIVEN = "|".join(_NAMES)
+_UPPER_GIVEN = "|".join(n.upper() for n in _NAMES)
 TITLES = {gender: f"{titles}|{titles.upper()}" for gender, titles in TITLES.items()}
 _TITLE = "|".join(TITLES.values())
-_CAP = r"\p{Lu}[\p{L}'’-]+"
+# Capitalised words that do not go on with a name.
+_STOP = (
+    "the|this|that|these|those|and|or|but|if|in|on|at|of|to|for|from|with|by|as|is|was|are|were|has|had|have|he|she|it|its|they|we|you|"
+    "his|her|their|my|our|your|who|when|where|what|why|how|not|no|yes|after|before|then|there|here|will|would|can|could|said|says|"
+    "monday|tuesday|wednesday|thursday|friday|saturday|sunday|january|february|march|april|june|july|august|september|october|november|december|"
+    "der|die|das|und|ist|war|ein|eine|les|est|et|el|los|las|es|y"
+)
+# A capitalised word, without the s of a genitive, a title or a suffix of generations.
+_CAP = rf"(?!(?:{_TITLE}|Jr|JR|Sr|II|III|IV|PhD|MD)(?!\p{{L}}))\p{{Lu}}(?:\p{{L}}|['’-](?![sS](?!\p{{L}}))(?=\p{{L}}))++"
+_NEXT = rf"(?!(?i:{_STOP})(?!\p{{L}})){_CAP}"
+_UPPER_NEXT = rf"(?!(?i:{_STOP})(?!\p{{L}}))(?!(?:{_TITLE}|JR|SR|II|III|IV|MD)(?!\p{{L}}))\p{{Lu}}(?:\p{{Lu}}|['’-](?!S(?!\p{{L}}))(?=\p{{Lu}}))++(?!\p{{L}})"
+_INITIAL = r"(?:(?:\p{Lu}\.){1,4}|\p{Lu}(?= ))"
+_PARTICLE = r"(?:van|von|der|den|de|del|della|di|da|dos|la|le|du|zu|bin|ibn|al)(?= )"
 # Possessive repetition: Java's regular expressions repeat other groups by recursion.
 _DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 
+_HEX = "[0-9A-Fa-f]{1,4}"
+# A secret's keyword with what may stand around it, up to the value.
+_SECRET_LABEL = r"(?i:[A-Za-z0-9_-]{0,60}(?:token|secret|key|password|passwd|passphrase|pwd)[A-Za-z0-9_-]{0,60}+)\\?[\"']?[ \t]*+[=:][ \t]*+\\?[\"']?"
+# Words of prose that hold a keyword.
+_NO_SECRET = "monkeys?|donkeys?|turkeys?|hockey|jockeys?|whiske?ys?|lackeys?|keyboards?|keynotes?|keywords?|keystones?|secretar(?:y|ies|iat)|secretly|tokyo"
+
 #: Kind and pattern, in order of preference at a place.
 PATTERNS = [
     ("email", rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_DOMAIN}"),
-    ("secret", r"(?<![A-Za-z0-9_])(?i:(?:access_|auth_|api_)?(?:token|secret|key|password|passwd))[ \t]?[=:][ \t]?[\"']?[A-Za-z0-9+/_-]{8,}"),
+    ("secret", rf"(?<![A-Za-z0-9_-])(?!(?i:{_NO_SECRET})(?![A-Za-z0-9_-])){_SECRET_LABEL}[A-Za-z0-9+/_-]{{8,}}+(?:\.[A-Za-z0-9+/_-]++)*+"),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,})(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("ip", r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])"),
+    ("ip", rf"(?<![0-9A-Za-z.])(?<![0-9A-Fa-f:]:)(?=[A-Fa-f:]*[0-9])(?!::1(?![0-9A-Fa-f:]))(?!(?:[0-9A-Fa-f]*+:){{8}})(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![0-9A-Za-z]|:[0-9A-Fa-f:]|\.[0-9])"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
     ("card", r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"),
-    ("name", rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:{_CAP} )?{_CAP}|(?:{_GIVEN}) {_CAP})"),
+    ("name", rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:(?:(?:{_INITIAL}|{_PARTICLE}) ){{1,4}}{_CAP}(?: {_NEXT})?|{_CAP}(?:(?: (?:{_INITIAL}|{_PARTICLE}|{_NEXT})){{0,3}} {_NEXT})?)"
+     rf"|(?=\p{{Lu}})(?:(?:{_GIVEN})(?:-\p{{Lu}}\p{{L}}+)? (?:(?:{_INITIAL}|{_PARTICLE}|{_NEXT}) ){{0,3}}{_NEXT}"
+     rf"|(?:{_UPPER_GIVEN})(?:-\p{{Lu}}+)? (?:(?:{_INITIAL}|{_UPPER_NEXT}) ){{0,3}}{_UPPER_NEXT}))"),
 ]
 ENTITY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: Texts without this have no entity; it is cheap to look for.
-HINT = rf"[0-9@]|(?<![\p{{L}}])(?:{_TITLE}|{_GIVEN})(?!\p{{L}})|(?i:token|secret|key|passw)"
+HINT = rf"[0-9@]|(?<![\p{{L}}])(?:{_TITLE}|{_GIVEN}|{_UPPER_GIVEN})(?!\p{{L}})|(?i:token|secret|key|passw|passphrase|pwd)"
 
-#: Letters that a surname has at least to be replaced where it stands alone.
+#: Letters that a name has at least to be replaced alone in other capitalisation than it was found in.
 LEAST_ALONE = 4
 
 _HASHES = 4
@@ -90,44 +114,63 @@ def _kind(surface: Column) -> Column:
     return reduce(lambda rest, x: F.when(x[1], x[0]).otherwise(rest), reversed(whole), F.lit("secret"))
 
 
-def _digits(text: Column) -> Column:
-    return F.regexp_replace(text, "[^0-9]", "")
-
-
-def _units(surfaces: DataFrame) -> DataFrame:
-    """(surface, kind, part, norm) for every part of every distinct surface."""
-    s = F.col("surface")
+def _name_words(s: Column) -> Column:
+    """(word, part, norm) of a name's words after its title; initials and particles are no units."""
     title = F.regexp_extract(s, rf"^({_TITLE})\.? ", 1)
-    bare = F.regexp_replace(s, rf"^(?:{_TITLE})\.? ", "")
-    given = F.when(bare.contains(" "), F.substring_index(bare, " ", 1))
-    surname = F.substring_index(bare, " ", -1)
+    words = F.split(F.regexp_replace(s, rf"^(?:{_TITLE})\.? ", ""), " ")
+    given = F.substring_index(F.when(F.size(words) > 1, F.get(words, F.lit(0))), "-", 1)
     gender = F.lit("n")
     for (g, _), names in FIRST_NAMES.items():
         gender = F.when(F.lower(F.coalesce(given, F.lit(""))).isin([n.lower() for n in names]), g).otherwise(gender)
     for g, titles in TITLES.items():
         if g != "n":
             gender = F.when(title.isin(titles.split("|")), g).otherwise(gender)
-    script = F.when(surname.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    value = F.regexp_extract(s, r"^(?:[A-Za-z_]+[ \t]?[=:][ \t]?[\"']?)?(.*)$", 1)
 
-    def unit(part: str, norm: Column, keep: Column | None = None) -> Column:
-        made = F.struct(F.lit(part).alias("part"), norm.alias("norm"))
-        return made if keep is None else F.when(keep, made)
+    def one(w: Column, i: Column) -> Column:
+        script = F.when(w.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        last = i == F.size(words) - 1
+        part = F.when(last, "surname").when(w.rlike(r"^(?:(?:\p{Lu}\.)+|\p{Lu})$"), "initial").when(w.rlike(r"^\p{Ll}"), "particle").otherwise("given")
+        norm = F.when(last, F.concat_ws(":", script, F.lower(w))).otherwise(F.concat_ws(":", gender, script, F.lower(w)))
+        return F.struct(w.alias("word"), part.alias("part"), norm.alias("norm"))
+
+    return F.transform(words, one)
+
+
+def _ipv6(s: Column) -> tuple[Column, Column, Column]:
+    """Groups before and after ``::``, and all 32 digits."""
+    halves = F.split(F.lower(s), "::")
+    left, right = (F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda x: x != "") for i in (0, 1))
+    zeros = F.array_repeat(F.lit("0"), 8 - F.size(left) - F.size(right))
+    return left, right, F.array_join(F.transform(F.concat(left, zeros, right), lambda x: F.lpad(x, 4, "0")), "")
+
+
+def _digits(text: Column) -> Column:
+    return F.regexp_replace(text, "[^0-9]", "")
+
+
+def _units(surfaces: DataFrame) -> DataFrame:
+    """(surface, kind, part, norm) for every part of every distinct surface."""
+    s = F.col("surface")
+    value = F.regexp_extract(s, rf"^(?:{_SECRET_LABEL})?(.*)$", 1)
+
+    def unit(part: str, norm: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), norm.alias("norm"))
 
     kind = F.col("kind")
     units = (
         F.when(kind == "email", F.array(unit("email", F.lower(s)), unit("domain", F.lower(F.substring_index(s, "@", -1)))))
         .when(kind == "secret", F.array(unit("secret", value)))
         .when(kind == "iban", F.array(unit("iban", F.regexp_replace(s, " ", ""))))
+        .when((kind == "ip") & s.contains(":"), F.array(unit("ipv6", _ipv6(s)[2])))
         .when(kind == "ip", F.array(unit("ip", s)))
         .when(kind == "phone", F.array(unit("phone", F.concat(F.regexp_extract(s, r"^(\+?)", 1), _digits(s)))))
-        .when(kind == "name", F.array(
-            unit("surname", F.concat_ws(":", script, F.lower(surname))),
-            unit("given", F.concat_ws(":", gender, script, F.lower(given)), given.isNotNull()),
-        ))
+        .when(kind == "name", F.array_distinct(F.transform(
+            F.filter(_name_words(s), lambda w: w["part"].isin("surname", "given")),
+            lambda w: F.struct(w["part"].alias("part"), w["norm"].alias("norm")),
+        )))
         .otherwise(F.array(F.struct(kind.alias("part"), _digits(s).alias("norm"))))
     )
-    return surfaces.select("surface", "kind", F.explode(F.filter(units, lambda u: u.isNotNull())).alias("u")).select(
+    return surfaces.select("surface", "kind", F.explode(units).alias("u")).select(
         "surface", "kind", "u.part", "u.norm"
     )
 
@@ -156,6 +199,17 @@ def _same_form(text: Column, stream: Column, letters: str = "abcdefghijklmnopqrs
     return F.array_join(F.transform(F.split(text, ""), change), "")
 
 
+def _same_ipv6(digits: Column, stream: Column) -> Column:
+    """Drawn hexadecimal digits for all but the leading zeros of each group of four."""
+
+    def change(c: Column, i: Column) -> Column:
+        n, before = _number(stream, i), F.substring(digits, i - i % 4 + 1, i % 4)
+        zeros = F.regexp_replace(before, "0", "") == ""
+        return F.when(zeros, F.when(c == "0", c).otherwise(_pick("123456789abcdef", n))).otherwise(_pick("0123456789abcdef", n))
+
+    return F.array_join(F.transform(F.split(digits, ""), change), "")
+
+
 def _luhn_sum(digits: Column) -> Column:
     """Luhn's sum of a number without its check digit."""
     terms = F.transform(
@@ -201,6 +255,7 @@ def _surrogates(units: DataFrame, key: str) -> DataFrame:
     iban = F.concat(country, _iban_check(country, iban_rest), iban_rest)
     octets = [(_number(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]
     ip = F.concat_ws(":", F.concat_ws(".", *octets), F.when(extra > 0, tail_digits))
+    ipv6 = F.when(extra > 0, _same_ipv6(F.lit("f" * 32), stream)).otherwise(_same_ipv6(norm, stream))
     plus = F.regexp_extract(norm, r"^(\+(?:[17]|[0-9]{2}))", 1)
     phone = F.concat(plus, _same_form(F.expr("substring(norm, length(regexp_extract(norm, r'^(\\+(?:[17]|[0-9]{2}))', 1)) + 1)"), stream), tail_digits)
     hexadecimal = norm.rlike("^[0-9a-f]+$")
@@ -225,7 +280,7 @@ def _surrogates(units: DataFrame, key: str) -> DataFrame:
     part = F.col("part")
     drawn = (
         F.when(part == "email", _same_form(local, stream)).when(part == "domain", domain).when(part == "card", card)
-        .when(part == "iban", iban).when(part == "ip", ip).when(part == "phone", phone).when(part == "secret", secret)
+        .when(part == "iban", iban).when(part == "ip", ip).when(part == "ipv6", ipv6).when(part == "phone", phone).when(part == "secret", secret)
         .when(part == "surname", surname).when(part == "given", given)
         .otherwise(_same_form(number, stream))
     )
@@ -272,72 +327,105 @@ def _fill(surface: Column, chars: Column, slot: str) -> Column:
     return F.concat(F.array_join(filled, ""), more)
 
 
-def _rendered(parts: DataFrame, drawn: DataFrame) -> DataFrame:
+def _initials(key: str) -> tuple[str, str]:
+    """Capital letters and for each another one of its alphabet: the next in an order by key."""
+    alphabets = [[chr(c) for c in range(a, b) if chr(c).isupper()] for a, b in ((0, 128), (128, 0x250), (0x370, 0x400), (0x400, 0x530))]
+    orders = [sorted(x, key=lambda c: hashlib.sha256(f"{key}|initial|{c}".encode()).digest()) for x in alphabets]
+    return "".join(c for o in orders for c in o), "".join(c for o in orders for c in o[1:] + o[:1])
+
+
+def _capital(word: Column) -> Column:
+    return F.regexp_replace(F.initcap(F.regexp_replace(word, "-", " ")), " ", "-")
+
+
+def _rendered(parts: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
     """(surface, kind, new, alone): every surface as its surrogate, in its own format and
-    case, and the surname in it with its surrogate."""
+    case, and pairs of the names in it and their surrogates."""
+    s, kind = F.col("surface"), F.col("kind")
+    which = F.when(kind == "name", F.concat_ws(":", "part", "norm")).otherwise(F.col("part")).alias("part")
     wide = (
         parts.join(drawn, ["part", "norm"])
         .groupBy("surface", "kind")
-        .agg(F.map_from_entries(F.collect_list(F.struct("part", "drawn"))).alias("by"))  # two parts at most
+        .agg(F.map_from_entries(F.collect_set(F.struct(which, "drawn"))).alias("by"))  # as many as a surface has words
     )
-    s, kind = F.col("surface"), F.col("kind")
     by = lambda part: F.col("by")[part]
     title = F.regexp_extract(s, rf"^((?:{_TITLE})\.? )", 1)
-    bare = F.regexp_replace(s, rf"^(?:{_TITLE})\.? ", "")
-    upper = bare == F.upper(bare)
-    name = F.concat_ws(" ", F.regexp_replace(F.initcap(F.regexp_replace(by("given"), "-", " ")), " ", "-"), F.initcap(by("surname")))
-    prefix = F.regexp_extract(s, r"^([A-Za-z_]+[ \t]?[=:][ \t]?[\"']?)?(.*)$", 1)
+
+    def renamed(w: Column) -> Column:
+        new = _capital(F.col("by")[F.concat_ws(":", w["part"], w["norm"])])
+        new = F.when(w["word"] == F.upper(w["word"]), F.upper(new)).otherwise(new)
+        new = F.when(w["part"] == "initial", F.translate(w["word"], *_initials(key))).when(w["part"] == "particle", w["word"]).otherwise(new)
+        return F.struct(w["word"].alias("real"), new.alias("new"), w["part"].alias("part"))
+
+    words = F.when(kind == "name", F.transform(_name_words(s), renamed))
+    left, right, _ = _ipv6(s)
+    group = lambda i: F.substring(by("ipv6"), i * 4 + 1, F.lit(4))
+    cut = lambda i, g: F.substring(group(i), 5 - F.length(g), F.lit(4))
+    ipv6 = F.concat(
+        F.array_join(F.transform(left, lambda g, i: cut(i, g)), ":"),
+        F.when(s.contains("::"), "::").otherwise(""),
+        F.array_join(F.transform(right, lambda g, i: cut(8 - F.size(right) + i, g)), ":"),
+    )
+    ipv6 = F.when(_ipv6(ipv6)[2] == by("ipv6"), ipv6).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), group), ":"))
+    ipv6 = F.when(s == F.lower(s), ipv6).otherwise(F.upper(ipv6))
+    prefix = F.regexp_extract(s, rf"^({_SECRET_LABEL})?(.*)$", 1)
     new = (
         F.when(kind == "email", F.concat(by("email"), F.lit("@"), by("domain")))
         .when(kind == "secret", F.concat(prefix, by("secret")))
         .when(kind == "iban", _fill(s, by("iban"), "[A-Z0-9]"))
+        .when((kind == "ip") & s.contains(":"), ipv6)
         .when(kind == "ip", by("ip"))
-        .when(kind == "name", F.concat(title, F.when(upper, F.upper(name)).otherwise(name)))
+        .when(kind == "name", F.concat(title, F.array_join(F.transform(words, lambda w: w["new"]), " ")))
         .when(kind == "phone", _fill(s, F.regexp_replace(by("phone"), r"\+", ""), "[0-9]"))
         .when(kind == "card", _fill(s, by("card"), "[0-9]"))
         .otherwise(_fill(s, by("ssn"), "[0-9]"))
     )
     new = F.when((kind == "email") & (s == F.upper(s)), F.upper(new)).otherwise(new)
-    alone = F.regexp_extract(bare, r"([^ ]+)$", 1)
-    pair = F.struct(alone.alias("real"), F.initcap(by("surname")).alias("new"))
-    # Shorter ones may be common words.
-    alone = F.when((kind == "name") & (F.length(alone) >= LEAST_ALONE), pair)
+    found = F.filter(words, lambda w: w["part"].isin("surname", "given"))
+
+    def cases(w: Column) -> Column:
+        pair = lambda case: F.struct(case(w["real"]).alias("real"), case(w["new"]).alias("new"))
+        # Shorter ones may be common words or abbreviations.
+        return F.when(F.length(w["real"]) >= LEAST_ALONE, F.array(*map(pair, (lambda c: c, F.upper, _capital)))).otherwise(F.array(pair(lambda c: c)))
+
+    alone = F.flatten(F.transform(found, cases))
     return wide.select("surface", "kind", new.alias("new"), alone.alias("alone"))
 
 
 def replacements(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row (by key) with entities, written: a map from what stands there to what
-    shall stand there, the kinds, and surnames to look for on their own."""
+    shall stand there, the kinds, and a map of names to look for on their own."""
     found = docs.select(*row_key(id_col, text_col), F.explode(_found(F.col(text_col))).alias("surface")).distinct()
     found = written(found, "entities")
     surfaces = found.select("surface").distinct().withColumn("kind", _kind(F.col("surface")))
     parts = written(_units(surfaces), "units")
     drawn = assign(parts.select("part", "norm").distinct(), key)
-    rendered = written(_rendered(parts, drawn), "rendered")
+    rendered = written(_rendered(parts, drawn, key), "rendered")
     by_row = (
         found.join(small(rendered), "surface")
         .groupBy("_id", "_h")
         .agg(
             F.map_from_entries(F.collect_list(F.struct("surface", "new"))).alias("by"),
             F.array_sort(F.collect_set("kind")).alias("kinds"),
-            F.array_sort(F.collect_set("alone")).alias("alone"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("alone")))).alias("alone"),
         )
     )
+    first = F.filter("alone", lambda a, i: (i == 0) | (F.get("alone", i - 1)["real"] != a["real"]))
+    by_row = by_row.withColumn("alone", F.map_from_entries(first))
     return written(by_row, "replacements")
 
 
 def _rewritten(text: Column, by: Column, alone: Column) -> Column:
     """The text with its entities replaced: pieces between them, and their replacements."""
-    pieces, found = F.split(text, ENTITY, -1), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
-    both = F.zip_with(pieces, found, lambda p, e: F.concat(F.coalesce(p, F.lit("")), F.coalesce(by[e], e, F.lit(""))))
 
-    def without(text: Column, name: Column) -> Column:
-        for case in (lambda c: c, F.upper):
-            word = F.concat(F.lit(r"(?<!\p{L})"), case(name["real"]), F.lit(r"(?!\p{L})"))
-            text = F.regexp_replace(text, word, case(name["new"]))
-        return text
+    def replaced(pattern: Column) -> Column:
+        pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
+        return F.array_join(F.zip_with(pieces, found, lambda p, e: F.concat(F.coalesce(p, F.lit("")), F.coalesce(by[e], alone[e], e, F.lit("")))), "")
 
-    return F.when(by.isNull(), text).otherwise(F.aggregate(alone, F.array_join(both, ""), without))
+    # Longer names before those they begin with.
+    names = F.array_join(F.sort_array(F.map_keys(alone), asc=False), "|")
+    with_names = F.concat(F.lit(ENTITY + r"|(?<!\p{L})(?:"), names, F.lit(r")(?!\p{L})"))
+    return F.when(by.isNull(), text).when(F.size(alone) == 0, replaced(F.lit(ENTITY))).otherwise(replaced(with_names))
 
 
 def _joined(docs: DataFrame, key: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
