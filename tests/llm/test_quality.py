@@ -49,6 +49,28 @@ def test_verdicts_follow_the_bands(spark):
     assert verdict[9] > 0 and not verdict[6]
 
 
+def test_noise_of_any_alphabet_and_length(spark):
+    letters, compress, bands = "abcdefghijklmnopqrstuvwxyz", zstandard.ZstdCompressor(level=3), compression.Bands()
+    kept = lambda text: compression.judge(text, bands, compress)[6]
+    alphabets = ["0123456789abcdef", "0123456789", letters, letters.upper() + "234567", letters + letters.upper() + "0123456789+/", "".join(map(chr, range(33, 127)))]
+    docs = [r.text for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect() if r.text]
+    prose = [t for t in docs if compression.judge(t, compression.Bands(noise_bytes=1 << 40), compress)[6]]
+    for size in (500, 700, 1500, 3000, 4095, 4096, 8000, 8191):
+        for alphabet in alphabets:
+            for width in (5, 8, 16):
+                rng = random.Random(size * width)
+                noise = " ".join("".join(rng.choices(alphabet, k=width)) for _ in range(size // width + 1))[:size]
+                assert not kept(noise), (size, width, alphabet)
+        cut = [t.encode()[:size].decode(errors="ignore") for t in prose if len(t.encode()) >= size]
+        good = [t for t in cut if not compression.judge(t, bands, compress)[5]]
+        assert all(map(kept, good)) and (good or size > 4096)
+    rng = random.Random(5)
+    clean = max(prose, key=len).encode()[:4096].decode(errors="ignore")
+    tail = " ".join("".join(rng.choices("0123456789abcdef", k=8)) for _ in range(400))
+    verdict = compression.judge(clean + " " + tail, bands, compress)
+    assert kept(clean) and verdict[8:] == (2, 1) and not verdict[6]
+
+
 def test_keep_good_keeps_rows_whole(edge, empty):
     kept = compression.keep_good(edge)
     assert kept.columns == edge.columns
