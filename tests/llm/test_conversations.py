@@ -99,6 +99,32 @@ def test_long_and_random_threads(spark):
     assert _rows(quotations.link_quotations(docs)) == _threads(rows)
 
 
+WRAPPED = [
+    (1, 0, "a", "We should move the whole archive to the new machine before the end of the month.\nThe old one is failing and nobody has spare parts.\nThanks"),
+    (1, 1, "b", "Something else was said by me here about lunch and tea.\nThanks"),
+    # wrapped anew, and words pushed to the next line
+    (1, 2, "c", "> We should move the whole archive to the\n> new machine before the end of the month. The\n> old one is failing and nobody has\n> spare parts.\nI agree with this plan and will help you."),
+    # part of a line
+    (1, 3, "a", "On Monday, b wrote:\n> was said by me here about\nAbout what?"),
+    # nearer quote wrapped anew, farther one whole
+    (1, 4, "b", "> I agree with this plan\n> and will help you.\n>> The old one is failing and nobody has spare parts.\nFine"),
+    # lines joined, beside a whole line that others hold too
+    (1, 5, "c", "> Thanks\n> The old one is failing and\n> nobody has spare parts.\nNo"),
+    (1, 6, "a", "> words that nobody in this place has ever said\n> at all\nHm"),
+    (2, 0, "a", "> We should move the whole archive to the\nother conversation"),
+    (2, 1, "b", "> said later by the\n> next message of all"), (2, 2, "a", "said later by the next message of all"),
+]
+
+
+def test_rewrapped_and_partial_quotes(spark):
+    docs = spark.createDataFrame(WRAPPED, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.root_turn, r.depth) for r in quotations.link_quotations(docs).collect()}
+    assert got == {
+        (1, 0): (None, 0, 0), (1, 1): (None, 1, 0), (1, 2): (0, 0, 1), (1, 3): (1, 1, 1), (1, 4): (2, 0, 2),
+        (1, 5): (0, 0, 1), (1, 6): (None, 6, 0), (2, 0): (None, 0, 0), (2, 1): (None, 1, 0), (2, 2): (None, 2, 0),
+    }
+
+
 def test_all_conversations(spark):
     table = spark.read.parquet(f"{DATA}/sf0.001/conversations.parquet")
     rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]

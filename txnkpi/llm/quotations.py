@@ -4,16 +4,21 @@ A line's level is the number of ``>`` before it. Lines of level 0 are a message'
 the line that announces a quote. A quoted line is normalised (lower case, runs of other than
 letters and digits as one space) and hashed, and so are all own lines. Each quoted line is
 joined to the last earlier message of its conversation whose own lines hold that hash, by one
-pass over the lines of a hash in order of turns. The message that holds most lines of the
+pass over the lines of a hash in order of turns. Quoted lines without such a message may be
+wrapped anew or hold parts of lines: the lines of a level are joined to one passage, and the
+hashes of its word n-grams are looked up in the same way among those of the own passages of
+earlier messages; such a line counts for the message that holds most of its n-grams (the last
+of equals). The message that holds most lines of the
 lowest quoted level that was found (the last of equals) is what a message replies to.
 Following these links by doubling gives each message the root of its thread and its depth;
 ordered by root, depth and turn, every reply stands after its original.
 
-Native: DataFrame functions only. Own lines take part only if their hash is quoted at all;
+Native: DataFrame functions only. N-grams are made for conversations with such lines alone. Own lines take part only if their hash is quoted at all;
 nothing is paired beyond a quoted line and its one original.
 
 Defined cases: NULL text has no lines; its own text is NULL. Quotes without an original, also
-those of later turns, link nothing; a message without links is its own root at depth 0. Lines
+those of later turns, link nothing; neither do passages of fewer than ``GRAM`` words that are
+no whole lines; a message without links is its own root at depth 0. Lines
 without letters or digits are never matched. Repeated rows (equal conversation and turn) are
 one message whose lines are all lines; each row keeps its own text. Rows with a NULL
 conversation or turn stay alone. An empty table gives an empty result; further columns are
@@ -31,6 +36,8 @@ from txnkpi.llm.common import written
 _PREFIX = r"^(?:[ \t]*+>)++"
 _ANNOUNCED = r"(?i)^[ \t]*(?:on|am|le|el)\b.*(?:wrote|schrieb|écrit|escribió)\b.*:[ \t\r]*$"
 MOST_ROUNDS = 64
+#: Words of an n-gram.
+GRAM = 4
 
 
 def _level(line: Column) -> Column:
@@ -43,7 +50,7 @@ def _normal(line: Column) -> Column:
 
 
 def parsed(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv, turn, role, own, lines): own text, and (level, hash) of every line with words."""
+    """(conv, turn, role, own, lines): own text, and (level, hash, body) of every line with words."""
     lines = F.split(F.col(text_col), "\n")
     df = messages.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), lines.alias("l")
@@ -57,12 +64,59 @@ def parsed(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         lambda x: x.isNotNull(),
     )
     hashed = F.filter(
-        F.transform("l", lambda x, i: F.struct(F.get("v", i).alias("level"), F.when(_normal(x) != "", F.md5(_normal(x))).alias("hash"))),
+        F.transform("l", lambda x, i: F.struct(F.get("v", i).alias("level"), F.when(_normal(x) != "", F.md5(_normal(x))).alias("hash"), _normal(x).alias("body"))),
         lambda s: s["hash"].isNotNull(),
     )
     return df.select("conv", "turn", "role", F.trim(F.array_join(own, "\n")).alias("own"), hashed.alias("lines"))
 
 
+def _last_holders(rows: DataFrame) -> DataFrame:
+    """Adds ``parent``: the last earlier turn of the conversation that holds the hash at no level."""
+    before = Window.partitionBy("conv", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("parent", F.max(F.when(F.col("level").isNull(), F.col("turn"))).over(before))
+
+
+def _grams(lines: DataFrame, levels: Column) -> DataFrame:
+    """(conv, turn, level, hash, line) for each n-gram of a level's words and each line it touches."""
+
+    def passage(level: Column) -> Column:
+        words = F.transform(
+            F.filter("lines", lambda s: s["level"] == level),
+            lambda s: F.transform(F.split(s["body"], " "), lambda w: F.struct(w.alias("word"), s["hash"].alias("line"))),
+        )
+        return F.struct(level.alias("level"), F.flatten(words).alias("words"))
+
+    # Exploded first: lambdas then read the words, not the expression that makes them.
+    p = lines.select("conv", "turn", F.explode(F.transform(levels, passage)).alias("p")).select("conv", "turn", "p.level", "p.words")
+    p = p.filter(F.size("words") >= GRAM)
+    starts = F.sequence(F.lit(1), F.size("words") - (GRAM - 1))
+
+    def gram(i: Column) -> Column:
+        part = F.slice("words", i, GRAM)
+        return F.struct(F.md5(F.array_join(F.transform(part, lambda x: x["word"]), " ")).alias("hash"), F.array_distinct(F.transform(part, lambda x: x["line"])).alias("lines"))
+
+    each = p.select("conv", "turn", "level", F.explode(F.transform(starts, gram)).alias("g"))
+    return each.select("conv", "turn", "level", "g.hash", F.explode("g.lines").alias("line"))
+
+
+def _passage_votes(lines: DataFrame, lost: DataFrame) -> DataFrame:
+    """(conv, turn, level, parent, n): lines without an original, by their passages' n-grams."""
+    quoting = lines.join(lost.select("conv", "turn").distinct(), ["conv", "turn"], "left_semi")
+    levels = F.array_distinct(F.transform(F.filter("lines", lambda s: s["level"] > 0), lambda s: s["level"]))
+    unmatched = lost.select("conv", "turn", "level", F.col("hash").alias("line"), F.col("n").alias("times"))
+    quoted = _grams(quoting, levels).distinct().join(unmatched.drop("times"), ["conv", "turn", "level", "line"], "left_semi")
+    quoted = written(quoted, "quoted_grams")
+    own = _grams(lines.join(lost.select("conv").distinct(), "conv", "left_semi"), F.array(F.lit(0)))
+    own = own.join(quoted.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi").select("conv", "turn", "hash").distinct()
+    both = quoted.unionByName(own.withColumn("level", F.lit(None).cast("int")).withColumn("line", F.lit(None).cast("string")))
+    found = _last_holders(both).filter("level is not null and parent is not null")
+    held = found.groupBy("conv", "turn", "level", "line", "parent").agg(F.count("*").alias("n"))
+    best = held.groupBy("conv", "turn", "level", "line").agg(F.max(F.struct("n", "parent")).alias("b"))
+    return best.join(unmatched, ["conv", "turn", "level", "line"]).select(
+        "conv", "turn", "level", F.col("b.parent").alias("parent"), F.col("times").alias("n")
+    )
+
+
 def reply_links(lines: DataFrame) -> DataFrame:
     """(conv, turn, parent) from rows (conv, turn, lines); written."""
     each = lines.select("conv", "turn", F.explode("lines").alias("s")).select("conv", "turn", "s.level", "s.hash")
@@ -75,12 +129,16 @@ def reply_links(lines: DataFrame) -> DataFrame:
     both = quoted.select("conv", "hash", "turn", "level", "n").unionByName(
         originals.select("conv", "hash", "turn", nothing.cast("int").alias("level"), nothing.cast("bigint").alias("n"))
     )
-    before = Window.partitionBy("conv", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    found = both.withColumn("parent", F.max(F.when(F.col("level").isNull(), F.col("turn"))).over(before))
+    found = _last_holders(both)
+    quotes = found.filter("level is not null")
     votes = (
-        found.filter("level is not null and parent is not null")
+        quotes.filter("parent is not null")
         .groupBy("conv", "turn", "level", "parent").agg(F.sum("n").alias("n"))
     )
+    lost = written(quotes.filter("parent is null").select("conv", "turn", "level", "hash", "n"), "unmatched")
+    if not lost.isEmpty():
+        more = _passage_votes(lines, lost)
+        votes = votes.unionByName(more).groupBy("conv", "turn", "level", "parent").agg(F.sum("n").alias("n"))
     best = votes.groupBy("conv", "turn").agg(F.max(F.struct(-F.col("level"), F.col("n"), F.col("parent"))).alias("b"))
     return written(best.select("conv", "turn", F.col("b.parent").alias("parent")), "replies")
 
