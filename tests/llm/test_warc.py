@@ -1,0 +1,142 @@
+"""WARC archives: exact round trips, records as other readers see them, damaged files."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+from txnkpi.llm import warc
+from txnkpi.sources import paths
+
+SCHEMA = "page_id bigint, url string, html string"
+LONG = "<html>" + "né " * 50
+
+
+def _rows():
+    return [
+        (1, "http://a/ b\r\nX: yé", LONG), (2, None, LONG), (3, "http://c", "short"), (4, "http://d", "short"), (5, "e", None), (6, "f", ""),
+        (7, "g", "x" * 99), (8, "h", "x" * 99), (9, "i", "y" * 100), (10, "j", "y" * 100), (None, "k", LONG), (None, "l", "z" * 200), (None, "m", "z" * 200),
+        (11, "n", LONG), (12, "o", "w" * 120), (12, "o", "w" * 120), (13, "p", "\r\n\r\nWARC/1.1\r\n" * 20), (14, "q", "ab\x00 " * 300_000), (0, "r", LONG),
+    ]
+
+
+def _brute(rows, least=100):
+    first, seen, out = {}, set(), []
+    key = lambda i: (i is None, i or 0)
+    for page, _, html in rows:
+        html = html or ""
+        if html not in first or key(page) < key(first[html]):
+            first[html] = page
+    for page, _, html in rows:
+        data = (html or "").encode()
+        again = len(data) >= least and not (page == first[html] and html not in seen)
+        if not again:
+            seen.add(html)
+        out.append((page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[html] if again else None))
+    return sorted(map(repr, out))
+
+
+@pytest.fixture
+def pages(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    for name in ("digest", "n", "row", "record", "file", "payload", "id"):
+        df = df.withColumn(name, F.lit("other"))
+    return df.repartition(3, "url")
+
+
+def _got(df):
+    return sorted(repr(tuple(r)) for r in df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect())
+
+
+def test_round_trip(spark, pages):
+    assert _got(warc.archived(pages)) == _brute(_rows())
+    assert warc.archived(pages.limit(0)).count() == 0
+
+
+def test_every_payload_comes_back_and_files_are_closed_in_time(spark, pages):
+    folder = paths.scratch(spark, "warc")
+    manifest = warc.write_archives(pages, folder, warc.Settings(most_file_bytes=1500))
+    assert manifest.count() > 3 and manifest.agg(F.sum("records")).head()[0] == len(_rows())
+    read = warc.read_archives(manifest, payloads=True).collect()
+    assert not [r for r in read if r.problem]
+    assert sum(r.record_type == "warcinfo" for r in read) == manifest.count()
+    html = {i: h or "" for i, _, h in _rows() if i is not None}
+    for r in read:
+        if r.record_type == "response" and r.row_id:
+            assert bytes(r.payload).decode() == html[int(r.row_id)]
+    assert {r.url for r in read} >= {"http://a/%20b%0D%0AX:%20y%C3%A9", "http://c"}
+
+
+def test_one_gzip_member_per_record(spark, pages):
+    manifest = warc.write_archives(pages, paths.scratch(spark, "warc"))
+    read = warc.read_archives(manifest).collect()
+    for r in read:
+        with open(r.file.removeprefix("file:"), "rb") as f:
+            f.seek(r.offset)
+            after = sorted(o.offset for o in read if o.file == r.file and o.offset > r.offset)
+            data = gzip.decompress(f.read(after[0] - r.offset if after else -1))
+        head, _, block = data.partition(b"\r\n\r\n")
+        fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+        assert head.startswith(b"WARC/1.1\r\n") and fields[b"WARC-Record-ID"].decode() == r.record_id
+        assert len(block) == int(fields[b"Content-Length"]) + 4 and block.endswith(b"\r\n\r\n")
+
+
+def _member(payload=b"body", length=None, digest=None, kind="response"):
+    head = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(payload)
+    block = head + payload
+    lines = [
+        b"WARC/1.0", b"WARC-Type: " + kind.encode(), b"Content-Type: application/http", b"WARC-Payload-Digest: sha256:" + (digest or hashlib.sha256(payload).hexdigest()).encode(),
+        b"Content-Length: %d" % (len(block) if length is None else length),
+    ]
+    return gzip.compress(b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+class _Stream(io.BytesIO):
+    def size(self):
+        return len(self.getvalue())
+
+
+def _problems(data):
+    return [(r.payload_bytes, r.problem) for r in warc.records(_Stream(data))]
+
+
+def test_damage_is_reported_and_the_next_record_is_found():
+    good = _member(b"good" * 30)
+    assert _problems(good + good) == [(120, None)] * 2
+    for bad, problem in (
+        (_member(length=10_000), "record shorter than its Content-Length"), (_member(length=20), "record longer than its Content-Length"),
+        (_member(digest="0" * 64), "payload digest differs"), (gzip.compress(b"nothing of the kind\r\n\r\n"), "not a WARC record"),
+        (gzip.compress(b"WARC/1.0\r\nContent-Length: 1"), "header without end"), (gzip.compress(b"WARC/1.0\r\nContent-Length: -1\r\n\r\nx\r\n\r\n"), "no Content-Length"),
+    ):
+        found = _problems(good + bad + good)
+        assert found[0] == found[2] == (120, None) and found[1][1] == problem
+    torn = bytearray(_member(bytes(range(256)) * 400))
+    torn[len(torn) // 2] ^= 255
+    found = _problems(good + bytes(torn) + good)
+    assert found[0] == found[-1] == (120, None) and found[1][1]
+    assert _problems(good + good[:-9])[1][1] == "file ends inside a member"
+    assert _problems(b"") == []
+
+
+def test_large_records_pass_in_small_steps():
+    payload = b"0123456789abcdef" * 2**20
+    record = next(warc.records(_Stream(_member(payload))))
+    assert record.problem is None and record.payload_bytes == len(payload) and record.payload is None
+    member = warc.Member(_Stream(_member(payload)), 0)
+    largest = 0
+    while member.more():
+        largest = max(largest, len(member.ready))
+        member.ready = b""
+    assert largest <= warc.STEP
+
+
+def test_problems_stop_the_query(spark, tmp_path):
+    path = tmp_path / "bad.warc.gz"
+    path.write_bytes(_member(digest="0" * 64))
+    manifest = spark.createDataFrame([(str(path), 1)], warc.MANIFEST)
+    assert warc.read_archives(manifest).head().problem == "payload digest differs"
+    with pytest.raises(Exception, match="payload digest differs"):
+        warc.resolved(warc.read_archives(manifest)).collect()

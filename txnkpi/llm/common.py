@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnkpi.sources.paths import scanned_bytes, scratch
+from txnkpi.sources.paths import scanned_bytes, scratch, text_bytes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: ASCII white space, or (``ALNUM``) every ASCII character but 0-9 and a-z.
@@ -41,6 +41,17 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if scanned_bytes(df) <= BROADCAST_BYTES else df
 
 
+#: Input of one reducer where the number of reducers is chosen here, and the most of them.
+REDUCER_BYTES = 64 * 2**20
+MOST_REDUCERS = 32_768
+
+
+def reducers_for(df: DataFrame) -> int:
+    """Number of reducers for a shuffle of rows read from files, by the files' size."""
+    wanted = -(-text_bytes(df) // REDUCER_BYTES)
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(wanted, MOST_REDUCERS))
+
+
 # --- words as Spark columns
 
 
