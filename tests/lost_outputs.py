@@ -1,6 +1,8 @@
 """Ingest while finished map outputs vanish; prints what was counted as JSON.
 
-Run by ``test_lost_outputs`` in a process of its own, as it needs its own session.
+Run by ``test_lost_outputs`` in a process of its own, as it needs its own session. The first
+reducer that gets a row removes shuffle files of the stage it reads from, before it passes the
+row on. All other reducers come later than that, so some of them always miss their input.
 """
 
 from __future__ import annotations
@@ -9,11 +11,10 @@ import glob
 import json
 import os
 import sys
-import threading
-import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from txnkpi.operators import cleaning
@@ -21,16 +22,15 @@ from txnkpi.plans import bindings, daily
 from txnkpi.session import create_session
 from txnkpi.sources import tables
 
-# So many that most of them are still to come when outputs vanish.
-REDUCERS = 600
+THREADS, REDUCERS = 2, 40
 
 
 def main(work: str, folder: str) -> None:
-    """Write clean rows in ``work`` and lose map outputs after the first few reducers."""
+    """Write clean rows in ``work`` and lose map outputs inside the first reducer."""
     spark = create_session(
         "txnkpi-lost-outputs",
         {
-            "spark.master": "local[2]",
+            "spark.master": f"local[{THREADS}]",
             "spark.local.dir": f"{work}/local",
             "spark.sql.shuffle.partitions": str(REDUCERS),
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
@@ -44,32 +44,29 @@ def main(work: str, folder: str) -> None:
     raw = spark.read.parquet(f"{work}/raw")
     wanted = cleaning.ingest_report(raw).first().asDict()
 
-    tracker = spark.sparkContext.statusTracker()
     outputs = f"{work}/local/**/shuffle_*.data"
-    old, removed, done = set(glob.glob(outputs, recursive=True)), [], threading.Event()
-    attempts = set()
+    old, once = set(glob.glob(outputs, recursive=True)), f"{work}/removed"
 
-    def watch() -> None:
-        while not done.is_set():
-            for stage in tracker.getActiveStageIds():
-                info = tracker.getStageInfo(stage)
-                if not info or info.numTasks > REDUCERS:
-                    continue
-                attempts.add((stage, info.currentAttemptId))
-                if info.numTasks == REDUCERS and info.numCompletedTasks >= 5 and not removed:
-                    fresh = sorted(set(glob.glob(outputs, recursive=True)) - old)
-                    for path in fresh[:5]:
-                        os.remove(path)
-                        removed.append(path)
-            time.sleep(0.002)
+    @F.pandas_udf("double")
+    def lose(seconds: pd.Series) -> pd.Series:
+        try:
+            os.close(os.open(once, os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return seconds
+        for path in sorted(set(glob.glob(outputs, recursive=True)) - old)[::2]:
+            os.remove(path)
+        return seconds
 
-    watcher = threading.Thread(target=watch)
-    watcher.start()
+    hour = cleaning.trans_hour  # derived behind the shuffle, hence in the reducers
+    cleaning.trans_hour = lambda seconds: hour(lose(seconds))
+    spark.sparkContext.setJobGroup("ingest", "ingest")
     found = daily.write_clean(raw, f"{work}/output")
-    done.set()
-    watcher.join()
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("ingest")]
+    stages = {s for job in jobs for s in job.stageIds}
+    infos = [tracker.getStageInfo(s) for s in stages]
+    reruns = sum(info.currentAttemptId > 0 for info in infos if info)
     on_disk = tables.read(spark, tables.clean_path(f"{work}/output")).count()
-    reruns = sum(attempt > 0 for _, attempt in attempts)
     spark.stop()
     print(json.dumps({"wanted": wanted, "found": found, "rows": on_disk, "reruns": reruns}))
 
