@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -18,7 +20,7 @@ from txnkpi.operators.publishing import (
 )
 from txnkpi.plans import daily
 from txnkpi.plans.registry import DECLARED_ONLY, REGISTRY
-from txnkpi.sources import published, tables
+from txnkpi.sources import paths, published, tables
 
 BY_CATEGORY = REGISTRY["kpi_by_amount_category"]
 CLEAN = (
@@ -74,13 +76,103 @@ def test_versions_may_read_what_they_replace(spark, tmp_path):
     assert [(r[0], r[1]) for r in rows(final)] == [("k1", 1), ("k2", 2), ("k3", 3), ("same", 3)]
 
 
-def test_unfinished_version_is_ignored_and_not_reused(spark, tmp_path):
+def test_rows_that_no_publication_names_are_ignored(spark, tmp_path):
     root, name = str(tmp_path), BY_CATEGORY.name
     published.write_version(batch(spark, "micro"), root, name)
-    os.makedirs(published.version_path(root, name, 2))
+    published.stage(batch(spark, "dead"), root, name)
+    (tmp_path / published.COMMITS / "commit-000009.json.x.tmp").write_text("{")
     assert published.current_version(spark, root, name) == 1
-    assert published.write_version(batch(spark, "large"), root, name) == 3
-    assert published.current_version(spark, root, name) == 3
+    assert published.write_version(batch(spark, "large"), root, name) == 2
+    current = published.read_published(spark, root, name, BY_CATEGORY.schema)
+    assert [r[0] for r in rows(current)] == ["large"]
+    before = published.read_published(spark, root, name, BY_CATEGORY.schema, version=1)
+    assert [r[0] for r in rows(before)] == ["micro"]
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "new" / "file")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: paths.create_if_absent(spark, path, f"text {i} é"), range(8)))
+    assert sum(made) == 1
+    assert paths.read_text(spark, path) == f"text {made.index(True)} é"
+    assert os.listdir(tmp_path / "new") in (["file"], ["file", ".file.crc"], [".file.crc", "file"])
+
+
+def test_of_publishers_at_once_one_wins_and_its_rows_are_whole(spark, tmp_path):
+    root = str(tmp_path / "published")
+
+    def publisher(n):
+        return published.stage(batch(spark, *(f"{n}-{i}" for i in range(10))).repartition(4), root, BY_CATEGORY.name)
+
+    base = published.snapshot(spark, root)
+    staged = [publisher(n) for n in range(4)]
+
+    def commit(table):
+        try:
+            return published.commit(spark, root, base, {BY_CATEGORY.name: table})
+        except published.PublishConflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(commit, staged))
+    assert sorted(versions, key=str) == [1, None, None, None]
+    won = versions.index(1)
+    current = published.read_published(spark, root, BY_CATEGORY.name, BY_CATEGORY.schema)
+    assert [r[0] for r in rows(current)] == [f"{won}-{i}" for i in range(10)]
+
+
+def test_a_run_from_an_old_base_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "published")
+    first = _output(spark, str(tmp_path / "a"), [(0.0, 5.0, 1, 0, "micro")])
+    second = _output(spark, str(tmp_path / "b"), [(3600.0, 70.0, 1, 1, "small")])
+    base = published.snapshot(spark, root)
+    daily.publish(spark, first, root)
+    with pytest.raises(published.PublishConflict):
+        daily.publish(spark, second, root, base=base)
+    now = published.snapshot(spark, root)
+    assert now.version == 1 and set(now.tables) == set(REGISTRY)
+    totals = published.read_published(spark, root, "kpi_global", REGISTRY["kpi_global"].schema)
+    assert totals.first().total_amount == 5.0
+
+
+def test_a_reader_sees_all_tables_of_one_run(spark, tmp_path):
+    """Each run publishes one amount in all tables; snapshots taken meanwhile never mix them."""
+    root = str(tmp_path / "published")
+    outputs = [_output(spark, str(tmp_path / str(n)), [(0.0, n + 1.0, 1, 0, "micro")]) for n in range(4)]
+    seen, done = [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            now = published.snapshot(spark, root)
+            if now.version:
+                names = ("kpi_global", "kpi_by_hour", "kpi_fraud_vs_normal")
+                tables_now = [published.read_table(spark, root, now.tables[n], REGISTRY[n].schema) for n in names]
+                seen.append({df.first().total_amount for df in tables_now} | {float(now.version)})
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for output in outputs:
+        daily.publish(spark, output, root)
+    done.set()
+    reader.join()
+    assert seen and all(len(amounts) == 1 for amounts in seen)
+
+
+def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    root, name, schema = str(tmp_path), BY_CATEGORY.name, BY_CATEGORY.schema
+    keys = [f"k{i}" for i in range(40)]
+    old = published.write_buckets(batch(spark, *keys), root, name, "amount_category", 8)
+    assert published.commit(spark, root, published.snapshot(spark, root), {name: old}) == 1
+    assert old.buckets == 8 and len(old.parts) > 4
+    new = batch(spark, "k3", "new", n=7)
+    tables.write(new, f"{root}/batch")
+    new = tables.read(spark, f"{root}/batch", schema)
+    merged = published.upsert_buckets(spark, root, name, old, new, schema)
+    same = [p for p in old.parts if merged.parts[p] == old.parts[p]]
+    assert len(same) >= len(old.parts) - 2 and merged.parts != old.parts
+    published.commit(spark, root, published.snapshot(spark, root), {name: merged})
+    current = {r[0]: r[1] for r in rows(published.read_published(spark, root, name, schema))}
+    assert current == {**{k: 1 for k in keys}, "k3": 7, "new": 7}
 
 
 def _output(spark, folder, transactions):

@@ -111,32 +111,38 @@ def check_kpis(spark: SparkSession, output: str) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, output: str, root: str, on_empty: str = publishing.KEEP
+    spark: SparkSession,
+    output: str,
+    root: str,
+    on_empty: str = publishing.KEEP,
+    base: published.Snapshot | None = None,
 ) -> list[tuple[str, str, int, int | None]]:
     """Publish every KPI: (table, mode, rows, version or None), in registry order.
 
-    All batches are checked in one job before any is published. Each table then switches
-    to its new version on its own, side by side with the others: if one fails, the others
-    may have switched or not, and none shows half a batch. An empty batch publishes nothing
-    unless ``on_empty="clear"``.
+    All batches are checked in one job before any is written, and written side by side. Then
+    one file puts all of them in force at once: readers see the tables of the run before or of
+    this one, and a run that fails half-way changes nothing. If another run has published
+    since ``base`` (by default the newest publication as this one starts), this one ends with
+    ``PublishConflict``. An empty batch leaves its table as it is unless ``on_empty="clear"``.
     """
+    base = base or published.snapshot(spark, root)
     batches = batches_of(spark, output)
     rows = publishing.checked_batches({n: (df, REGISTRY[n].key) for n, df in batches.items()})
 
-    def switch(kpi: Kpi) -> int | None:
-        if not publishing.replaces(rows[kpi.name], kpi.key, on_empty):
-            return None
+    def staged(kpi: Kpi) -> published.Table:
         batch = batches[kpi.name]
         if kpi.key:
-            target = published.read_published(spark, root, kpi.name, kpi.schema)
+            target = published.read_table(spark, root, base.tables.get(kpi.name), kpi.schema)
             batch = publishing.upsert(target, batch, kpi.key)
-        return published.write_version(batch, root, kpi.name)
+        return published.stage(batch, root, kpi.name)
 
+    changing = [k for k in REGISTRY.values() if publishing.replaces(rows[k.name], k.key, on_empty)]
     with ThreadPoolExecutor(len(batches)) as pool:
-        versions = list(pool.map(switch, REGISTRY.values()))
+        changed = dict(zip([k.name for k in changing], pool.map(staged, changing), strict=True))
+    version = published.commit(spark, root, base, changed) if changed else None
     return [
-        (kpi.name, kpi.mode, rows[kpi.name], version)
-        for kpi, version in zip(REGISTRY.values(), versions, strict=True)
+        (kpi.name, kpi.mode, rows[kpi.name], version if kpi.name in changed else None)
+        for kpi in REGISTRY.values()
     ]
 
 
@@ -152,9 +158,10 @@ def batches_of(spark: SparkSession, output: str) -> dict[str, DataFrame]:
 
 
 def summary_frame(spark: SparkSession, root: str) -> DataFrame:
-    """One row per published table: (table, mode, rows now in it)."""
+    """One row per table of the newest publication: (table, mode, rows in it)."""
+    now = published.snapshot(spark, root)
     frames = [
-        published.read_published(spark, root, kpi.name, kpi.schema)
+        published.read_table(spark, root, now.tables.get(kpi.name), kpi.schema)
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(kpi.name).alias("table"), F.lit(kpi.mode).alias("mode"), "rows")
         for kpi in REGISTRY.values()

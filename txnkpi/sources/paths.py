@@ -6,6 +6,7 @@ import posixpath
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -73,6 +74,60 @@ def text_bytes(frame: DataFrame) -> int:
     return size * (EXPANSION if str(files[0]).endswith(COMPRESSED) else 1)
 
 
+def _system(spark: SparkSession, path: str):
+    """A path on the Java side, and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Contents of a small text file."""
+    found, system = _system(spark, path)
+    stream = system.open(found)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a whole small file in place unless there is one; False if there was.
+
+    Of several callers at once exactly one gets True, and no reader sees half a file: the text
+    is written beside the path first, then linked (local files) or renamed without overwriting,
+    which file systems such as HDFS do in one step.
+    """
+    jvm = spark._jvm
+    target, system = _system(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if system.getUri().getScheme() == "file":
+            ends = [jvm.java.nio.file.Paths.get(p.toUri().getPath(), _strings(spark)) for p in (target, draft)]
+            jvm.java.nio.file.Files.createLink(*ends)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                system.getUri(), spark._jsc.hadoopConfiguration()
+            )
+            keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            keep[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            context.rename(draft, target, keep)
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(draft, False)
+
+
+def _strings(spark: SparkSession):
+    """An empty Java string array, for varargs."""
+    return spark.sparkContext._gateway.new_array(spark._jvm.String, 0)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables in the cluster's shared folder.
 

@@ -1,58 +1,170 @@
-"""Published tables as numbered Parquet versions.
+"""Published tables: immutable Parquet folders, put in force together by one small file.
 
-``<root>/<table>/version-000007`` is the seventh version. A version counts once Spark has
-put its ``_SUCCESS`` marker there, which it does last, so readers see the old version or
-the new one and nothing between; a job that dies half-way leaves a folder nobody reads.
-A version is never written over, hence a plan may read the table it replaces.
+``<root>/<table>/<unique name>`` holds rows that some run wrote; nothing reads a folder for
+being there. ``<root>/_commits/commit-000007.json`` names the folders that make up every table
+as of the seventh publication, and is put in place whole or not at all, unless there is one.
+So readers of a snapshot see all tables of one publication; of two runs that start from the
+same publication one wins and the other gets ``PublishConflict``; a run that dies leaves
+folders nobody names. Folders are never written over, hence a plan may read what it replaces.
+
+A table may be made of several parts, each a folder of its own. ``write_buckets`` deals rows to
+parts by their key, so that an upsert writes only the parts it touches and names the others
+again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from txnkpi.operators.publishing import upsert
 from txnkpi.sources import paths
 
-PREFIX = "version-"
+COMMITS, PREFIX, SUFFIX = "_commits", "commit-", ".json"
+BUCKET = "_bucket"
 
 
-def _versions(spark: SparkSession, root: str, table: str) -> list[int]:
-    names = paths.children(spark, paths.join(root, table))
-    return sorted(int(n.removeprefix(PREFIX)) for n in names if n.startswith(PREFIX))
+class PublishConflict(RuntimeError):
+    """Another run has published since the snapshot that this one started from."""
 
 
-def version_path(root: str, table: str, version: int) -> str:
-    """Folder of one version."""
-    return paths.join(root, table, f"{PREFIX}{version:06d}")
+@dataclass(frozen=True)
+class Table:
+    """Folders of a published table, relative to the root, by part; bucketed if it has a key."""
 
+    parts: dict[str, str]
+    key: str | None = None
+    buckets: int = 1
+    schema: str | None = None
 
-def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    """Newest finished version, None before the first."""
-    for version in reversed(_versions(spark, root, table)):
-        if paths.finished(spark, version_path(root, table, version)):
-            return version
-    return None
 
+@dataclass(frozen=True)
+class Snapshot:
+    """All published tables as of one publication; version 0 is before the first."""
 
-def read_published(
-    spark: SparkSession, root: str, table: str, schema: StructType
-) -> DataFrame:
-    """Current version of a table; no rows before the first publication."""
-    version = current_version(spark, root, table)
+    version: int = 0
+    tables: dict[str, Table] = field(default_factory=dict)
+
+
+def _commit_path(root: str, version: int) -> str:
+    return paths.join(root, COMMITS, f"{PREFIX}{version:06d}{SUFFIX}")
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of all publications, in order."""
+    names = paths.children(spark, paths.join(root, COMMITS))
+    named = (n for n in names if n.startswith(PREFIX) and n.endswith(SUFFIX))
+    return sorted(int(n.removeprefix(PREFIX).removesuffix(SUFFIX)) for n in named)
+
+
+def snapshot(spark: SparkSession, root: str, version: int | None = None) -> Snapshot:
+    """The newest publication, or the one asked for."""
     if version is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(root, table, version))
+        version = max(versions(spark, root), default=0)
+    if version == 0:
+        return Snapshot()
+    stored = json.loads(paths.read_text(spark, _commit_path(root, version)))
+    return Snapshot(version, {name: Table(**table) for name, table in stored["tables"].items()})
 
 
-def write_version(df: DataFrame, root: str, table: str) -> int:
-    """Write the next version and return its number."""
-    spark = df.sparkSession
-    version = max(_versions(spark, root, table), default=0) + 1
-    path = version_path(root, table, version)
-    df.write.mode("error").parquet(path)
-    if not paths.finished(spark, path):
+def commit(spark: SparkSession, root: str, base: Snapshot, changed: dict[str, Table]) -> int:
+    """Put changed tables in force on top of ``base``, all at once; returns the version."""
+    version = base.version + 1
+    named = {name: vars(table) for name, table in {**base.tables, **changed}.items()}
+    text = json.dumps({"version": version, "tables": named}, indent=1)
+    if not paths.create_if_absent(spark, _commit_path(root, version), text):
+        raise PublishConflict(f"version {version} of {root} was published by another run")
+    return version
+
+
+def _stored(df: DataFrame, root: str, table: str, *by: str) -> str:
+    """Write rows to a folder of their own; returns it relative to the root."""
+    folder = paths.join(table, f"data-{uuid.uuid4().hex}")
+    path = paths.join(root, folder)
+    df.write.mode("error").partitionBy(*by).parquet(path)
+    if not paths.finished(df.sparkSession, path):
         raise RuntimeError(
             "no _SUCCESS marker was written: "
             "mapreduce.fileoutputcommitter.marksuccessfuljobs must stay on"
         )
-    return version
+    return folder
+
+
+def stage(df: DataFrame, root: str, table: str) -> Table:
+    """Write a whole table, which ``commit`` then puts in force."""
+    return Table({"all": _stored(df, root, table)}, schema=df.schema.json())
+
+
+def read_table(
+    spark: SparkSession, root: str, table: Table | None, schema: StructType
+) -> DataFrame:
+    """Rows of a table of some snapshot; none if it is not in there."""
+    folders = [paths.join(root, folder) for folder in sorted(table.parts.values())] if table else []
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def read_published(
+    spark: SparkSession, root: str, table: str, schema: StructType, version: int | None = None
+) -> DataFrame:
+    """A table of the newest publication, or of an earlier one."""
+    return read_table(spark, root, snapshot(spark, root, version).tables.get(table), schema)
+
+
+def current_version(spark: SparkSession, root: str, table: str) -> int | None:
+    """Newest publication if it has the table, else None."""
+    now = snapshot(spark, root)
+    return now.version if table in now.tables else None
+
+
+def write_version(df: DataFrame, root: str, table: str, base: Snapshot | None = None) -> int:
+    """Publish one table; the others stay as they are in ``base``, by default the newest."""
+    spark = df.sparkSession
+    base = base or snapshot(spark, root)
+    return commit(spark, root, base, {table: stage(df, root, table)})
+
+
+# --- tables in buckets of a key
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, root: str, table: str, key: str, buckets: int) -> Table:
+    """Write a whole table dealt to buckets of its key; empty buckets are no part."""
+    return _replaced(df, root, table, Table({}, key, buckets, df.schema.json()))
+
+
+def _replaced(df: DataFrame, root: str, table: str, old: Table) -> Table:
+    """The old table with the buckets of ``df`` written anew."""
+    dealt = df.withColumn(BUCKET, _bucket(old.key, old.buckets)).repartition(old.buckets, BUCKET)
+    folder = _stored(dealt, root, table, BUCKET)
+    spark = df.sparkSession
+    made = {
+        name.split("=")[1]: paths.join(folder, name)
+        for name in paths.children(spark, paths.join(root, folder))
+        if name.startswith(f"{BUCKET}=")
+    }
+    return Table({**old.parts, **made}, old.key, old.buckets, old.schema)
+
+
+def upsert_buckets(
+    spark: SparkSession, root: str, name: str, old: Table, batch: DataFrame, schema: StructType
+) -> Table:
+    """Upsert a written batch into a bucketed table; buckets it does not touch stay as they are.
+
+    At most as many numbers as there are buckets come to the driver. Only the files of touched
+    buckets are read.
+    """
+    touched = batch.select(_bucket(old.key, old.buckets).alias(BUCKET)).distinct()
+    parts = {str(row[0]) for row in touched.collect()} & old.parts.keys()
+    stale = Table({p: old.parts[p] for p in parts}, old.key, old.buckets)
+    merged = upsert(read_table(spark, root, stale, schema), batch, old.key)
+    return _replaced(merged, root, name, old)
