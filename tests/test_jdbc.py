@@ -101,4 +101,21 @@ def test_each_load_has_a_staging_table_of_its_own(spark, monkeypatch):
     for _ in range(2):
         assert jdbc.publish_jdbc(batch, "jdbc:none:", "t", {}, on_empty="clear")
     assert len(set(staged)) == 2 and all(name.startswith("t_staging_") for name in staged)
-    assert all(staged[i] in text for i in (0, 1) for text in done[i][-2:])
+    assert all(staged[i] in done[2 * i][-1] for i in (0, 1))
+    assert [done[1], done[3]] == [[f"DROP TABLE IF EXISTS {name}"] for name in staged]
+
+
+def test_a_staging_table_goes_when_the_load_fails(spark, monkeypatch):
+    staged, done = [], []
+
+    def fail(*args):
+        staged.append(args[3])
+        raise RuntimeError("refused")
+
+    monkeypatch.setattr(jdbc, "stage", fail)
+    monkeypatch.setattr(jdbc, "_connect", lambda *args: None)
+    monkeypatch.setattr(jdbc, "run_transaction", lambda _, texts: done.append(texts))
+    batch = spark.createDataFrame([], REGISTRY["kpi_global"].schema)
+    with pytest.raises(RuntimeError, match="refused"):
+        jdbc.publish_jdbc(batch, "jdbc:none:", "t", {}, on_empty="clear")
+    assert done == [[f"DROP TABLE IF EXISTS {staged[0]}"]]

@@ -17,11 +17,11 @@ from txnkpi.functions import (
     is_positive,
     trans_hour,
 )
-from txnkpi.operators.sizing import reserve_reducers
 
 FAULT = "_fault"
 COPIES = "_copies"
 CORRUPT_COPIES = "_corrupt_copies"
+FILE, TEXT = REJECT = ("_file", "_text")
 
 
 def drop_missing(raw: DataFrame) -> DataFrame:
@@ -34,9 +34,9 @@ def drop_copies(raw: DataFrame) -> DataFrame:
 
     This is the one wide shuffle. It is a two-step hash aggregate: copies are collapsed
     inside each map task first, so a group holding a third of all rows sends one row per
-    task and never piles up in a single reducer. The number of reducers follows the input.
+    task and never piles up in a single reducer. Run large inputs inside ``sizing.sized``,
+    which makes the number of reducers follow the input.
     """
-    reserve_reducers(raw)
     return raw.dropDuplicates()
 
 
@@ -90,7 +90,7 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def count_copies(raw: DataFrame) -> DataFrame:
+def count_copies(raw: DataFrame, rejects: bool = False) -> DataFrame:
     """One row per distinct row to keep with the number of its copies, and one per fault.
 
     Same shuffle as ``drop_copies``, but every raw row stays accounted for. Rows that break
@@ -98,8 +98,10 @@ def count_copies(raw: DataFrame) -> DataFrame:
     that break the same rule. Counting after the shuffle keeps the counts right when map
     tasks run twice because an executor was lost; counters filled on the map side would
     count rows again.
+
+    With ``rejects`` a row that breaks a rule keeps its text and the file it came from
+    instead of being blanked altogether.
     """
-    reserve_reducers(raw)
     names = [name for name in raw.columns if name != CORRUPT]
     corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
     broken = fault()
@@ -107,13 +109,35 @@ def count_copies(raw: DataFrame) -> DataFrame:
         *[F.when(broken.isNull(), raw[quoted(name)]).alias(name) for name in names],
         broken.alias(FAULT),
         corrupt.alias(CORRUPT_COPIES),
+        *(_rejected(raw, names, broken) if rejects else []),
     )
-    return marked.groupBy(*map(quoted, names), FAULT).agg(
+    return marked.groupBy(*map(quoted, names), FAULT, *(REJECT if rejects else [])).agg(
         F.count(F.lit(1)).alias(COPIES),
         F.count_if(CORRUPT_COPIES).alias(CORRUPT_COPIES),
     )
 
 
+def _rejected(raw: DataFrame, names: list[str], broken: Column) -> list[Column]:
+    """File and text of a row that breaks a rule; its text as read if that was kept."""
+    text = F.to_csv(F.struct(*[raw[quoted(name)].alias(name) for name in names]))
+    if CORRUPT in raw.columns:
+        text = F.coalesce(raw[CORRUPT], text)
+    values = {FILE: F.input_file_name(), TEXT: text}
+    return [F.when(broken.isNotNull(), values[name]).alias(name) for name in REJECT]
+
+
+def rejects_counted(counted: DataFrame) -> DataFrame:
+    """Rows that were refused out of ``count_copies`` rows with their rejects.
+
+    (reason, file, text, rows): ``rows`` is how often the same text occurs in the file.
+    """
+    refused = counted.filter(F.col(FAULT).isNotNull())
+    return refused.select(
+        F.col(FAULT).alias("reason"), F.col(FILE).alias("file"), F.col(TEXT).alias("text"),
+        F.col(COPIES).alias("rows"),
+    )
+
+
 def report_columns() -> list[Column]:
     """Row counts over ``count_copies`` rows.
 
@@ -145,7 +169,7 @@ def clean_counted(counted: DataFrame) -> DataFrame:
     """Clean rows out of ``count_copies`` rows: equal to ``clean`` of the raw rows."""
     return (
         counted.filter(F.col(FAULT).isNull())
-        .drop(FAULT, COPIES, CORRUPT_COPIES)
+        .drop(FAULT, COPIES, CORRUPT_COPIES, *REJECT)
         .transform(name_and_type)
         .transform(derive)
     )

@@ -156,9 +156,14 @@ def kpi_suite(transactions: DataFrame) -> DataFrame:
     Transactions are reduced to cells first, so the fourfold expansion of grouping sets
     touches a few hundred rows instead of every transaction.
     """
+    return suite_of_cells(kpi_cells(transactions))
+
+
+def suite_of_cells(cells: DataFrame) -> DataFrame:
+    """``kpi_suite`` from cells that are there already, of one day or of many."""
     sets = [[], ["trans_hour"], ["amount_category"], ["is_fraud"]]
     reported = _reported()
-    rolled = kpi_cells(transactions).groupingSets(sets, *CELL_KEYS).agg(
+    rolled = cells.groupingSets(sets, *CELL_KEYS).agg(
         F.grouping_id().alias("level"), *_merged_measures()
     )
     # grouping_id sets a bit for each key that is rolled up: hour 4, bucket 2, class 1.

@@ -78,15 +78,12 @@ def sized_for(spark: SparkSession, input_bytes: int, wide: bool = True) -> Itera
             spark.conf.set(name, value)
 
 
-def reserve_reducers(raw: DataFrame) -> None:
-    """Raise the session's number of shuffle partitions to what ``raw`` needs.
+@contextmanager
+def sized(raw: DataFrame) -> Iterator[None]:
+    """``sized_for`` the files behind a frame of raw rows.
 
-    For frames that are returned lazily: Spark reads the setting when the frame is run, so
-    it stays raised; adaptive execution merges partitions that later frames do not need.
+    For actions on frames that are returned lazily, such as ``clean(raw)``: Spark reads the
+    number of reducers when a frame is run, so the action goes inside the block.
     """
-    spark = raw.sparkSession
-    if not spark.conf.get(INITIAL, None):
-        reducers = int(spark.conf.get(SHUFFLE))
-        wanted = settings_for(paths.text_bytes(raw), reducers, MAX_SPLIT_BYTES)[SHUFFLE]
-        if int(wanted) > reducers:
-            spark.conf.set(SHUFFLE, wanted)
+    with sized_for(raw.sparkSession, paths.text_bytes(raw)):
+        yield

@@ -99,6 +99,26 @@ def events_huge(spark: SparkSession, folder: str) -> DataFrame:
     return _raw(df, _seconds_since("2024-01-01 00:00:00"), amount, _error())
 
 
+def events_sold(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with all columns of the declared transactions table."""
+    df = _table(spark, folder, "events")
+    user = F.col("user_id")
+    more = [
+        F.to_date("ts").alias("trans_date"),
+        F.col("event_type").alias("category"),
+        F.concat(F.lit("m"), (user % 50).cast("string")).alias("merchant"),
+        F.when(user % 11 != 0, (user % 7).cast("string")).alias("state"),
+    ]
+    return _raw(df, _seconds_since("2024-01-01 00:00:00"), F.col("value"), _error(), *more)
+
+
+def events_coarse_even(spark: SparkSession, folder: str) -> DataFrame:
+    """Every second row of the coarse events with their kind."""
+    df = _table(spark, folder, "events").filter(F.col("event_id") % 2 == 0)
+    time = F.hour("ts").cast("double") * 3600
+    return _raw(df, time, F.floor("value").cast("double"), _error(), "event_type")
+
+
 def events_messy(spark: SparkSession, folder: str) -> DataFrame:
     """Every fault: missing and odd classes, endless times, low amounts, copies."""
     df = _table(spark, folder, "events")

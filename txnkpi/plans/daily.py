@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from txnkpi.operators import cleaning, publishing, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.kpis import kpi_cells
-from txnkpi.operators.sizing import sized_for
+from txnkpi.operators.sizing import sized, sized_for
 from txnkpi.plans.registry import REGISTRY, Kpi
 from txnkpi.sources import paths, published, tables
 from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
@@ -30,17 +30,22 @@ class RunReport:
 
 
 def ingest(
-    spark: SparkSession, raw_path: str, output: str, schema: StructType | str | None = None
+    spark: SparkSession,
+    raw_path: str,
+    output: str,
+    schema: StructType | str | None = None,
+    rejects: bool = False,
 ) -> dict[str, int]:
     """CSV to clean Parquet in one pass over the input; returns the row counts.
 
     The counts ride on the write, observed behind the shuffle where a task's figures
-    count once even if it runs twice.
+    count once even if it runs twice. With ``rejects`` refused rows are kept as well, see
+    ``write_clean_and_rejects``.
     """
     need_source(spark, raw_path)
     raw = read_raw(spark, raw_path, schema)
-    with sized_for(spark, paths.text_bytes(raw)):
-        return write_clean(raw, output)
+    with sized(raw):
+        return (write_clean_and_rejects if rejects else write_clean)(raw, output)
 
 
 def need_source(spark: SparkSession, raw_path: str) -> None:
@@ -57,6 +62,47 @@ def write_clean(raw: DataFrame, output: str) -> dict[str, int]:
     return dict(seen.get)
 
 
+def write_clean_and_rejects(raw: DataFrame, output: str) -> dict[str, int]:
+    """Like ``write_clean``, with every refused row beside the clean ones.
+
+    Both come out of one pass and one write: a table with a part of clean rows and a part of
+    rejected ones (reason, file, text, rows). Read them with ``read_ingested``.
+    """
+    seen = Observation()
+    counted = cleaning.count_copies(raw, rejects=True).observe(seen, *cleaning.report_columns())
+    kept = F.col(cleaning.FAULT).isNull()
+    clean = cleaning.clean_counted(counted).columns
+    rows = counted.withColumns(
+        {
+            "reason": F.col(cleaning.FAULT),
+            "file": F.col(cleaning.FILE),
+            "text": F.col(cleaning.TEXT),
+            "rows": F.when(~kept, F.col(cleaning.COPIES)),
+            tables.KIND: F.when(kept, "clean").otherwise("rejected"),
+        }
+    )
+    taken = {*REJECT_COLUMNS, tables.KIND} & set(clean)
+    if taken:
+        raise ValueError(f"raw columns {sorted(taken)} clash with those of rejected rows")
+    rows = rows.transform(cleaning.name_and_type).transform(cleaning.derive)
+    rows = rows.select(*map(cleaning.quoted, clean), *REJECT_COLUMNS, tables.KIND)
+    rows.write.mode("overwrite").partitionBy(tables.KIND).parquet(tables.ingested_path(output))
+    return dict(seen.get)
+
+
+REJECT_COLUMNS = ("reason", "file", "text", "rows")
+
+
+def read_ingested(spark: SparkSession, output: str) -> tuple[DataFrame, DataFrame]:
+    """Clean rows, and rejected ones (reason, file, text, rows), of the last such ingest."""
+    rows = tables.read(spark, tables.ingested_path(output))
+    kind = F.col(tables.KIND)
+    return (
+        rows.filter(kind == "clean").drop(*REJECT_COLUMNS, tables.KIND),
+        rows.filter(kind == "rejected").select(*REJECT_COLUMNS),
+    )
+
+
 def transform(spark: SparkSession, output: str) -> None:
     """Clean Parquet to the KPI tables in two scans that run side by side.
 

@@ -61,6 +61,15 @@ RAW = {
         ERROR,
         "events",
     ),
+    "events_sold": _binding(
+        START,
+        "value",
+        ERROR,
+        "events",
+        ", cast(ts as date) as trans_date, event_type as category, "
+        "'m' || cast(user_id % 50 as varchar) as merchant, "
+        "case when user_id % 11 <> 0 then cast(user_id % 7 as varchar) end as state",
+    ),
     "events_messy": _binding(
         "case when user_id % 13 = 0 then 'infinity'::double "
         "else cast(hour(ts) as double) * 3600 end",
@@ -135,6 +144,7 @@ PASS_THROUGH = {
     "events_dated": ", trans_date, category",
     "events_coarse_typed": ", event_type",
     "events_messy": ", event_type",
+    "events_sold": ", trans_date, category, merchant, state",
 }
 CLEAN = {name: _clean(raw, PASS_THROUGH.get(name, "")) for name, raw in RAW.items()}
 
@@ -319,6 +329,24 @@ def _summary(old: str, new: str) -> str:
     return " union all ".join(parts)
 
 
+def _rejects(raw: str) -> str:
+    """Refused rows by reason, clean rows and copies of clean rows."""
+    usable = f'{USABLE} and "Amount" > 0'
+    reason = (
+        f"case when not ({PRESENT}) then 'missing' when not ({FINITE}) then 'endless_time' "
+        f"when not ({WHOLE}) then 'odd_class' else 'nonpositive' end"
+    )
+    kept = f"(select count(*) from ({raw}) where {usable})"
+    distinct = f"(select count(*) from (select distinct * from ({raw}) where {usable}))"
+    return (
+        f"select *, (select count(*) from ({raw})) as raw_rows from ("
+        f"select {reason} as reason, count(*) as rows, count(distinct (r)) as texts "
+        f"from ({raw}) as r where not ({usable}) is not false group by all "
+        f"union all select 'clean', {distinct}, {distinct} "
+        f"union all select 'duplicate', {kept} - {distinct}, 0)"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     named = "cast(\"Time\" as double) as trans_time"
@@ -379,6 +407,21 @@ def oracle_sql() -> dict[str, str]:
         "refresh_top_fraud": _kpi("kpi_top_fraud_amounts", CLEAN["events"]),
         "refresh_empty_keeps_old": _kpi("kpi_top_fraud_amounts", CLEAN["events"]),
         "publish_summary": _summary("customer", "events"),
+        "publish_snapshot": f"select *, 2 as version from ({_summary('customer', 'events')})",
+        "upsert_bucketed": "select trans_time, is_fraud, "
+        "case when n % 5 = 0 then amount + 1 else amount end as amount from ("
+        f"select *, cast(trans_time / 977 as bigint) as n from ({CLEAN['customer']})) "
+        "where n % 3 <> 0 or n % 5 = 0",
+        "transactions_by_day": "select trans_date, category, is_fraud, merchant, state, "
+        "case when trans_date >= date '2024-01-11' then amount else amount * 2 end as amount "
+        f"from ({CLEAN['events_sold']})",
+        "kpi_daily_of_one_day": f"select trans_date, {by_date} from ({dated}) "
+        "where trans_date = date '2024-01-15' group by trans_date",
+        "clean_dedup_history": f"select * from ({RAW['events_coarse_typed']}) "
+        f"except select * from ({RAW['events_coarse_typed']} where event_id % 2 = 0)",
+        "kpi_suite_incremental": _suite(CLEAN["events"]),
+        "kpi_top_fraud_incremental": _kpi("kpi_top_fraud_amounts", CLEAN["events"]),
+        "ingest_rejects": _rejects(RAW["events_messy"]),
         "kpi_daily": f"select trans_date, {by_date} from ({dated}) group by trans_date",
         "kpi_by_category": f"select category, {by_category} from ({dated}) "
         "group by category",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnkpi.operators import cleaning, kpis, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.publishing import refresh, upsert
 from txnkpi.plans import bindings as b
-from txnkpi.plans import daily
+from txnkpi.plans import by_day, daily, history, incremental
 from txnkpi.plans.registry import DECLARED_ONLY, REGISTRY
 from txnkpi.sources import paths, published, tables
 from txnkpi.sources.raw_csv import read_raw
@@ -154,6 +155,98 @@ def _publish_summary(spark: SparkSession, folder: str) -> DataFrame:
     return daily.summary_frame(spark, root)
 
 
+def _publish_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs publish one after the other, a third one starts from the first and is refused."""
+    root = paths.scratch(spark, "published")
+    daily.publish(spark, _transformed(spark, folder, b.customer), root)
+    base = published.snapshot(spark, root)
+    daily.publish(spark, _transformed(spark, folder, b.events), root)
+    try:
+        daily.publish(spark, _transformed(spark, folder, b.lineitem), root, base=base)
+    except published.PublishConflict:
+        return daily.summary_frame(spark, root).withColumn("version", F.lit(published.snapshot(spark, root).version))
+    raise RuntimeError("a run from an old publication was not refused")
+
+
+def _upsert_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Balances by customer, of which some are replaced and some are added."""
+    root = paths.scratch(spark, "published")
+    rows = b.cleaned(b.customer, spark, folder).select("trans_time", "amount", "is_fraud")
+    number = F.col("trans_time") / 977
+    old = published.write_buckets(rows.filter(number % 3 != 0), root, "balances", "trans_time", 16)
+    published.commit(spark, root, published.snapshot(spark, root), {"balances": old})
+    path = paths.scratch(spark, "batch")
+    tables.write(rows.filter(number % 5 == 0).withColumn("amount", F.col("amount") + 1), path)
+    schema = rows.schema
+    batch = tables.read(spark, path, schema)
+    new = published.upsert_buckets(spark, root, "balances", old, batch, schema)
+    published.commit(spark, root, published.snapshot(spark, root), {"balances": new})
+    return published.read_published(spark, root, "balances", schema)
+
+
+RERUN_FROM = "2024-01-11"
+
+
+def _days_written(spark: SparkSession, folder: str) -> str:
+    """All days with wrong amounts, then those from a date on once more with the right ones."""
+    path = paths.scratch(spark, "transactions")
+    sold = b.cleaned(b.events_sold, spark, folder).drop("trans_time", "trans_hour", "amount_category")
+    by_day.write_days(sold.withColumn("amount", F.col("amount") * 2), path)
+    by_day.write_days(sold.filter(F.col("trans_date") >= RERUN_FROM), path)
+    return path
+
+
+def _transactions_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    return by_day.read_days(spark, _days_written(spark, folder))
+
+
+def _kpi_one_day(spark: SparkSession, folder: str) -> DataFrame:
+    day = F.col("trans_date") == F.lit("2024-01-15").cast("date")
+    return kpis.kpi_daily(by_day.read_days(spark, _days_written(spark, folder)).filter(day))
+
+
+def _dedup_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days are kept, one of them run twice; the third day's rows that are new."""
+    path = paths.scratch(spark, "history")
+    even, rows = b.events_coarse_even(spark, folder), b.events_coarse_typed(spark, folder)
+    for day, raw in (("1", even.filter("Time < 40000")), ("2", rows), ("2", even)):
+        history.remember(history.fresh_rows(raw, path, day, 4), path, day, 4)
+    return history.fresh_rows(rows, path, "3", 4)
+
+
+def _incremental(spark: SparkSession, folder: str) -> str:
+    """Three days, one of which came in half and runs again."""
+    root = paths.scratch(spark, "by_day")
+    transactions = b.cleaned(b.events, spark, folder)
+    number = F.floor(F.col("trans_time") / 86400) % 3
+    days = {str(n): transactions.filter(number == n) for n in range(3)}
+    for day, rows in days.items():
+        incremental.add_day(rows.filter("trans_hour < 12") if day == "1" else rows, root, day)
+    incremental.add_day(days["1"], root, "1")
+    return root
+
+
+def _suite_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.suite_of_cells(incremental.cells(spark, _incremental(spark, folder)))
+
+
+def _top_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return incremental.kpi_tables(spark, _incremental(spark, folder))["kpi_top_fraud_amounts"]
+
+
+def _ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Refused rows by reason, beside what the same pass counted and kept."""
+    path, output = paths.scratch(spark, "raw"), paths.scratch(spark, "output")
+    b.events_messy(spark, folder).write.csv(path, header=True)
+    counts = daily.ingest(spark, path, output, MESSY_SCHEMA, rejects=True)
+    clean, rejects = daily.read_ingested(spark, output)
+    kept = clean.agg(F.lit("clean").alias("reason"), F.count("*").alias("rows"), F.count("*").alias("texts"))
+    copies = F.lit(counts["duplicate_rows"]).cast("bigint")
+    kept = kept.unionByName(kept.select(F.lit("duplicate").alias("reason"), copies.alias("rows"), F.lit(0).cast("bigint").alias("texts")))
+    refused = rejects.groupBy("reason").agg(F.sum("rows").alias("rows"), F.count_distinct("text").alias("texts"))
+    return refused.unionByName(kept).withColumn("raw_rows", F.lit(counts["raw_rows"]).cast("bigint"))
+
+
 def _conform(name: str) -> Query:
     kpi = REGISTRY[name]
     return _clean_query(b.events, lambda df: conform(kpi.build(df), kpi.schema, strict=True))
@@ -219,6 +312,14 @@ def queries() -> dict[str, Query]:
             "kpi_top_fraud_amounts", b.events, b.customer_honest
         ),
         "publish_summary": _publish_summary,
+        "publish_snapshot": _publish_snapshot,
+        "upsert_bucketed": _upsert_bucketed,
+        "transactions_by_day": _transactions_by_day,
+        "kpi_daily_of_one_day": _kpi_one_day,
+        "clean_dedup_history": _dedup_history,
+        "kpi_suite_incremental": _suite_incremental,
+        "kpi_top_fraud_incremental": _top_incremental,
+        "ingest_rejects": _ingest_rejects,
         "kpi_daily": _clean_query(b.events_dated, kpis.kpi_daily),
         "kpi_by_category": _clean_query(b.events_dated, kpis.kpi_by_category),
     }

@@ -125,12 +125,14 @@ def publish_jdbc(
     rows = checked_rows(batch, key)
     if not replaces(rows, key, on_empty):
         return False
-    stage(batch, rows, url, staging, properties)
     if key:
         merge = upsert_sql(table, staging, batch.columns, key)
     else:
         merge = refresh_sql(table, staging, batch.columns)
     create = create_table_sql(table, batch.schema, key)
-    statements = [create, *merge, f"DROP TABLE {staging}"]
-    run_transaction(_connect(spark, url, properties), statements)
+    try:
+        stage(batch, rows, url, staging, properties)
+        run_transaction(_connect(spark, url, properties), [create, *merge])
+    finally:
+        run_transaction(_connect(spark, url, properties), [f"DROP TABLE IF EXISTS {staging}"])
     return True

@@ -13,6 +13,7 @@ from txnkpi.sources import paths
 ONE_TASK_BYTES = 16 * 1024**2
 
 CLEAN = "transactions_clean"
+INGESTED, KIND = "ingested", "kind"
 CELLS = "kpi_cells"
 KPIS = "kpis"
 
@@ -22,6 +23,11 @@ def clean_path(output: str) -> str:
     return paths.join(output, CLEAN)
 
 
+def ingested_path(output: str, kind: str | None = None) -> str:
+    """Folder of an ingest that kept its rejects, or of its ``clean`` or ``rejected`` rows."""
+    return paths.join(output, INGESTED, *([f"{KIND}={kind}"] if kind else []))
+
+
 def cells_path(output: str) -> str:
     """Folder of the partial results the KPIs are rolled up from."""
     return paths.join(output, CELLS)
