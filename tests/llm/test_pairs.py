@@ -104,6 +104,68 @@ def test_near_duplicates_are_those_of_all_pairs(spark, k, percent):
     assert _got(minhash.near_duplicates(docs, cfg)) == _near(rows, percent)
 
 
+def _prose(rng, n):
+    return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def test_links_of_ids_with_several_texts_and_of_none(spark):
+    rng = random.Random(1)
+    a, b, c = (_prose(rng, 80) for _ in "abc")
+    near = lambda w: " ".join([*w[:40], "other", *w[41:]])
+    rows = [
+        (3, " ".join(b)), (5, " ".join(b)), (5, " ".join(a)), (9, near(a)), (None, " ".join(c)), (None, near(c)), (None, " ".join(c)),
+        (7, "alone"), (None, "alone too"), (None, ""), (None, None), (2, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert _got(minhash.near_duplicates(docs)) == _near(rows, 85)
+    kept = sorted(((r.doc_id, r.text) for r in minhash.keep_one(docs).collect()), key=repr)
+    assert [k for k in kept if k[1] not in (" ".join(c), near(c))] == sorted(
+        [(3, " ".join(b)), (7, "alone"), (None, "alone too"), (None, ""), (None, None), (2, "")], key=repr
+    )
+    assert len(kept) == 7  # one of the three nameless near copies
+
+
+def test_classes_that_share_half_their_key_stay_apart(spark, monkeypatch):
+    key = minhash._key
+    monkeypatch.setattr(minhash, "_key", lambda values: (key(values)[0] % 3, key(values)[1]))
+    rows = _copies(random.Random(9), [6, 30, 60], 8)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert _got(minhash.near_duplicates(docs)) == _near(rows, 85)
+
+
+def _template(n, own, size=80):
+    """Pages that differ in a few words each, at places of their own."""
+    rng = random.Random(n)
+    base, rows = _prose(rng, size), []
+    for i in range(n):
+        words = list(base)
+        for place in rng.sample(range(size), own):
+            words[place] = f"own{i}x{place}"
+        rows.append((i * 3 % 7919, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("own", [1, 2])
+def test_long_lists_in_blocks_give_the_links_of_all_pairs(spark, own):
+    rows = _template(240, own) + _copies(random.Random(3), [30, 60], 6)
+    docs = spark.createDataFrame([(10_000 + i, t) for i, (_, t) in enumerate(rows)], "doc_id bigint, text string")
+    cfg = minhash.Settings(long_list=20, block_values=3_000)
+    assert _got(minhash.near_duplicates(docs, cfg)) == _near([(10_000 + i, t) for i, (_, t) in enumerate(rows)], 85)
+
+
+def test_pages_of_one_template_write_rows_in_proportion(spark, monkeypatch):
+    """Pages most pairs of which are just no link (0.84), in lists of all of them."""
+    counts = {}
+    for n in (400, 800, 1600):
+        total = []
+        monkeypatch.setattr(minhash, "written", lambda df, name, write=minhash.written: (lambda out: (total.append(out.count()), out)[1])(write(df, name)))
+        docs = spark.createDataFrame(_template(n, 1, 120), "doc_id bigint, text string")
+        minhash.near_duplicates(docs).collect()
+        monkeypatch.undo()
+        counts[n] = sum(total)
+    assert counts[1600] < 2.4 * counts[800] < 2.4 * 2.4 * counts[400]
+
+
 def _without(rows, window):
     words = [SPACE_WORD.findall(t or "") for _, t in rows]
     least = {}

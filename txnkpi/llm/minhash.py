@@ -13,16 +13,19 @@ equal sets are one class; everything below is done once for each class.
   member is compared with the leaders of its lists, and the confirmed links are closed to
   components.
 * Sets in lists that still hold several components go through the same with all their values
-  retained, where the bounds are exact, and are compared across components only.
+  retained, where the bounds are exact, and are compared across components only. Lists of many
+  members, such as pages of one template that are just not alike, are compared block against
+  block inside tasks, which keep links and no other pairs.
 * The union sketch (the ``k`` least values of both) estimates the similarity of a candidate
   pair; those that pass are confirmed on their full sets.
 
 Defined cases: a text of fewer words than a shingle is one shingle; NULL, empty and wordless
 texts have an empty set and are linked with nothing. Repeated rows are one class; of rows with
-equal id and text ``keep_one`` keeps one; texts that share an id share its links. Ties go to the smaller id. Rows with a NULL id take
-their class's component, NULL if it has no other id, and are kept only in the latter case. An
-empty table gives an empty result; further columns are ignored (``near_duplicates``) or kept
-(``keep_one``).
+equal id and text ``keep_one`` keeps one. Classes, not ids, are compared; texts that share an id
+are linked by it, and all rows of a component's least id are kept. Rows with a NULL id link like
+others and take their component's least id; where no row of a component has one it is NULL, and
+one text is kept. An empty table gives an empty result; further columns are ignored
+(``near_duplicates``) or kept (``keep_one``).
 """
 
 from __future__ import annotations
@@ -33,11 +36,14 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnkpi.llm.common import SPACE, Words, mix, pieces, row_key, small, written
+from txnkpi.llm.common import SPACE, Words, mix, pieces, reducers_for, row_key, small, written
 from txnkpi.llm.components import components
+from txnkpi.sources.paths import scratch
 
 #: Chance that a pair right at the limit shares fewer retained values than demanded.
 MISS = 1e-9
@@ -45,6 +51,9 @@ MISS = 1e-9
 #: Sketch size that keeps every set whole.
 WHOLE = 2**31 - 1
 
+#: What stands for a set: its size and 128 bits.
+SET = ["n", "a", "b"]
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -52,6 +61,9 @@ class Settings:
     percent: int = 85
     shingle: int = 5
     k: int = 256
+    #: Lists of more members are compared block by block; values in a block's sets together.
+    long_list: int = 256
+    block_values: int = 1_000_000
 
     @property
     def sure(self) -> int:
@@ -101,41 +113,108 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
 
 
+def _key(values: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    one, two = mix(values), mix(values + np.uint64(0x51ED270B))
+    return tuple(np.array([one.sum(), two.sum()], dtype=np.uint64).view(np.int64).tolist())
+
+
 def set_keys(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _h, n, key): each row's set size, and 128 bits that stand for the set."""
+    """(_id, _h, n, a, b): each row's set size, and 128 bits that stand for the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys = [], []
+            rows = []
             for _, texts in pieces(batch, "text", lower=True):
-                for values in shingle_sets(texts, cfg.shingle):
-                    sizes.append(len(values))
-                    one, two = mix(values), mix(values + np.uint64(0x51ED270B))
-                    keys.append(np.array([one.sum(), two.sum()], dtype=np.uint64).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())],
-                ["_id", "_h", "n", "key"],
-            )
+                rows += [(len(s), *_key(s)) for s in shingle_sets(texts, cfg.shingle)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["_id", "_h", *SET])
 
     rows = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
     rows = rows.withColumn("_id", F.col("_id").cast("bigint"))
-    return rows.mapInArrow(run, "_id bigint, _h bigint, n bigint, key binary")
+    return rows.mapInArrow(run, "_id bigint, _h bigint, n bigint, a bigint, b bigint")
 
 
-def sets_of(rows: DataFrame, cfg: Settings, most: int | None = None) -> DataFrame:
-    """(doc, n, values) of rows (doc, text): the set's least ``most`` values in order, or all."""
+def sets_of(texts: DataFrame, cfg: Settings, most: int | None = None) -> DataFrame:
+    """(n, a, b, values) of texts: the set's least ``most`` values in order, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, texts in pieces(batch, "text", lower=True):
-                sets = shingle_sets(texts, cfg.shingle)
-                sizes = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, len(texts)), sizes, _lists([s[:most] for s in sets])],
-                    ["doc", "n", "values"],
-                )
+            for _, docs in pieces(batch, "text", lower=True):
+                sets = [s for s in shingle_sets(docs, cfg.shingle) if len(s)]
+                keys = list(zip(*map(_key, sets))) or [(), ()]
+                columns = [pa.array(c, pa.int64()) for c in ([len(s) for s in sets], *keys)]
+                yield pa.RecordBatch.from_arrays([*columns, _lists([s[:most] for s in sets])], [*SET, "values"])
+
+    return texts.select("text").mapInArrow(run, "n bigint, a bigint, b bigint, values array<bigint>")
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """Texts reduced to classes of equal sets.
+
+    ``doc`` numbers a class: the first half of its set's 128 bits, or, where classes share
+    that, a hash of all of them. ``rows`` has (_id, _h, n, doc, first) for every row, where
+    ``first`` marks the rows of the class's least (id, text).
+    """
 
-    return rows.mapInArrow(run, "doc bigint, n bigint, values array<bigint>")
+    docs: DataFrame
+    cfg: Settings
+    id_col: str
+    text_col: str
+    rows: DataFrame
+    classes: DataFrame
+    shared: DataFrame | None
+    repeated: DataFrame | None
+
+    def texts(self, wanted: DataFrame, how: str) -> DataFrame:
+        """(text), one of each pair of id and text, of rows that are, or are not, in written (_id, _h)."""
+        rows = self.docs.select(*row_key(self.id_col, self.text_col), F.col(self.text_col).alias("text"))
+        rows = rows.withColumn("_id", F.col("_id").cast("bigint"))
+        rows = rows.join(small(wanted), _same_row(rows, wanted), how)
+        if self.repeated is not None:
+            twice = small(self.repeated)
+            once = rows.join(twice, _same_row(rows, twice), "left_anti")
+            rows = once.unionByName(rows.join(twice, _same_row(rows, twice), "left_semi").dropDuplicates(["_id", "_h"]))
+        return rows
+
+    def sets(self, texts: DataFrame, most: int | None = None) -> DataFrame:
+        """(doc, n, values) of texts."""
+        return _numbered(sets_of(texts, self.cfg, most), self.shared).select("doc", "n", "values")
+
+
+def _same_row(rows: DataFrame, wanted: DataFrame) -> Column:
+    return rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_h"] == wanted["_h"])
+
+
+def _numbered(rows: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """Adds ``doc`` to rows (n, a, b)."""
+    if shared is None:
+        return rows.withColumn("doc", F.col("a"))
+    other = F.xxhash64("n", "b", "a")
+    marked = rows.join(small(shared).withColumnRenamed("a", "s"), F.col("a") == F.col("s"), "left")
+    return marked.withColumn("doc", F.when(F.col("s").isNotNull(), other).otherwise(F.col("a"))).drop("s")
+
+
+def _or_none(df: DataFrame, name: str) -> DataFrame | None:
+    """A written table, None if it has no rows."""
+    df = written(df, name)
+    return None if df.isEmpty() else df
+
+
+def corpus(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> Corpus:
+    keyed = written(set_keys(docs, cfg, id_col, text_col), "sets")
+    row = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")
+    grouped = keyed.filter("n > 0").groupBy(*SET).agg(F.min(row).alias("rep"), F.min("_id").alias("least"))
+    grouped = written(grouped, "grouped")
+    shared = _or_none(grouped.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a"), "shared")
+    classes = written(_numbered(grouped, shared).select(*SET, "doc", "rep", "least"), "classes")
+    first = F.col("rep._id").eqNullSafe(F.col("_id")) & (F.col("rep._h") == F.col("_h"))
+    rows = keyed.join(classes, SET, "left").select("_id", "_h", "n", "doc", F.coalesce(first, F.lit(False)).alias("first"))
+    rows = written(rows, "rows")
+    repeated = rows.filter("first").groupBy("doc").agg(F.count("*").alias("c"), F.min("_id").alias("_id"), F.min("_h").alias("_h"))
+    repeated = _or_none(repeated.filter("c > 1").select("_id", "_h"), "repeated")
+    return Corpus(docs, cfg, id_col, text_col, rows, classes, shared, repeated)
 
 
 def _needed(n: Column, cfg: Settings) -> Column:
@@ -228,46 +307,124 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, cfg: Settings) -> DataFrame:
     return written(p.filter("whole").select("a", "b").union(rest.select("a", "b")), "links")
 
 
-def classes(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (_id, _h, n, key), and classes of equal sets (key, rep); both written."""
-    rows = written(set_keys(docs, cfg, id_col, text_col), "sets")
-    grouped = rows.filter("n > 0").groupBy("n", "key").agg(F.min("_id").alias("rep"))
-    return rows, written(grouped, "classes")
-
-
-def _texts(docs: DataFrame, ids: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
-    """(doc, text) of rows whose id is, or is not, among written ids (doc)."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
-    return rows.join(small(ids), "doc", how)
-
-
-def links(docs: DataFrame, rows: DataFrame, reps: DataFrame, cfg: Settings, id_col: str, text_col: str) -> DataFrame:
-    """Components (node, component) over the representatives of the classes."""
-    others = rows.join(reps, ["n", "key"], "left").filter("rep is null or rep != _id").select(F.col("_id").alias("doc"))
-    others = written(others.distinct(), "others")
-    texts = _texts(docs, others, "left_anti", id_col, text_col).filter("doc is not null")
-    sketches = written(sets_of(texts, cfg, cfg.k), "sketches")
+def links(c: Corpus) -> DataFrame:
+    """Components (node, component) of linked classes."""
+    cfg = c.cfg
+    others = written(c.rows.filter("not first").select("_id", "_h").distinct(), "others")
+    sketches = written(c.sets(c.texts(others, "left_anti"), cfg.k), "sketches")
     members = written(lists(sketches, cfg), "lists")
     star = written(_star_pairs(members, cfg), "star")
     near = written(star.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "near")
-    sets = written(_full_sets(docs, sketches, near, cfg, id_col, text_col), "full")
+    sets = written(_full_sets(c, sketches, near), "full")
     confirmed = _confirmed(star, sets, cfg)
     comp = components(confirmed)
     left = written(_mixed(members, comp).select("doc").distinct(), "left")
-    sets = written(_full_sets(docs, sketches, left, cfg, id_col, text_col), "full")
+    sets = written(_full_sets(c, sketches, left), "full")
     whole = replace(cfg, k=WHOLE)
     members = written(_mixed(lists(sets, whole), comp), "lists")
-    across = written(_across_pairs(members, whole).join(star, ["a", "b"], "left_anti"), "across")
-    more = _confirmed(across, sets, cfg)
-    return comp if more.isEmpty() else components(confirmed.union(more))
+    long = members.groupBy("value").agg(F.count("*").alias("c")).filter(F.col("c") > cfg.long_list)
+    long = written(long.select("value"), "long")
+    across = _across_pairs(members.join(long, "value", "left_anti"), whole).join(star, ["a", "b"], "left_anti")
+    confirmed = confirmed.union(_confirmed(written(across, "across"), sets, cfg)).union(_same_ids(c))
+    if not long.isEmpty():
+        comp = components(confirmed)
+        rest = written(_mixed(members.join(long, "value", "left_semi").drop("comp"), comp), "rest")
+        confirmed = confirmed.union(block_links(rest, sets, cfg))
+    return components(confirmed)
+
+
+def _same_ids(c: Corpus) -> DataFrame:
+    """Pairs of classes that hold texts of one id."""
+    rows = c.rows.filter("_id is not null and n > 0").select("_id", "doc")
+    several = rows.groupBy("_id").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).filter("a < z").drop("z")
+    several = _or_none(several, "several")
+    if several is None:
+        return rows.limit(0).selectExpr("doc as a", "doc as b")
+    return rows.join(small(several), "_id").filter("a < doc").select("a", F.col("doc").alias("b")).distinct()
+
+
+def _full_sets(c: Corpus, sketches: DataFrame, near: DataFrame) -> DataFrame:
+    """Sets (doc, n, values) of the classes ``near``: those kept whole, and the large ones anew."""
+    wanted = sketches.join(small(near), "doc", "left_semi")
+    large = wanted.filter(F.col("n") > c.cfg.k).select("doc")
+    large = written(c.classes.join(large, "doc").select("rep._id", "rep._h"), "large")
+    return wanted.filter(F.col("n") <= c.cfg.k).unionByName(c.sets(c.texts(large, "left_semi")))
 
 
-def _full_sets(docs: DataFrame, sketches: DataFrame, near: DataFrame, cfg: Settings, id_col: str, text_col: str) -> DataFrame:
-    """Sets (doc, n, values) of the rows ``near``: those kept whole, and the large ones anew."""
-    wanted = sketches.join(small(near), "doc", "left_semi")
-    large = written(wanted.filter(F.col("n") > cfg.k).select("doc"), "large")
-    texts = _texts(docs, large, "left_semi", id_col, text_col)
-    return wanted.filter(F.col("n") <= cfg.k).union(sets_of(texts, cfg))
+# --- long lists, block against block
+
+
+class Block:
+    """Sets of some classes, and where each value is."""
+
+    def __init__(self, store: fs.FileSystem, base: str, block: int):
+        rows = pq.read_table(f"{base}/block={block}", filesystem=store, columns=["doc", "comp", "values"])
+        self.doc = rows.column("doc").to_pylist()
+        self.comp = rows.column("comp").to_pylist()
+        self.sets = [np.array(v, dtype=np.int64) for v in rows.column("values").to_pylist()]
+        self.size = np.array([len(s) for s in self.sets])
+        values = np.concatenate(self.sets)
+        order = np.argsort(values, kind="stable")
+        self.value, self.owner = values[order], np.repeat(np.arange(len(self.sets)), self.size)[order]
+
+    def shared(self, values: np.ndarray) -> np.ndarray:
+        """How many of these values each set has."""
+        first, end = np.searchsorted(self.value, values, "left"), np.searchsorted(self.value, values, "right")
+        n = end - first
+        at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        return np.bincount(self.owner[at], minlength=len(self.sets))
+
+
+def linked(x: Block, y: Block, percent: int) -> Iterator[tuple[int, int]]:
+    """Links between classes of two blocks, or within one, that join different components."""
+    above: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in above:
+            c = above[c]
+        return c
+
+    for i, values in enumerate(x.sets):
+        both = y.shared(values)
+        near = np.flatnonzero((both > 0) & (100 * both >= percent * (len(values) + y.size - both)))
+        for j in near[near > i] if x is y else near:
+            a, b = root(x.comp[i]), root(y.comp[j])
+            if a != b:
+                above[a] = b
+                yield x.doc[i], y.doc[j]
+
+
+def block_links(members: DataFrame, sets: DataFrame, cfg: Settings) -> DataFrame:
+    """Links between different components among written members (value, doc, n, comp) of long lists.
+
+    Members are dealt to blocks of bounded size, neighbours in a list to the same one. Blocks
+    that share a list are compared by one task, which reads both files and returns no more
+    links than it takes to join the components: pairs that are no link are seen, not stored.
+    """
+    placed = written(members.groupBy("doc").agg(F.min("value").alias("value"), F.min("comp").alias("comp"), F.min("n").alias("n")), "placed")
+    placed = placed.repartitionByRange(reducers_for(placed), "value", "doc").withColumn("part", F.spark_partition_id())
+    until = F.sum("n").over(Window.partitionBy("part").orderBy("value", "doc"))
+    block = F.col("part") * F.lit(2**32).cast("bigint") + F.floor(until / cfg.block_values)
+    blocks = written(placed.select("doc", "comp", block.cast("bigint").alias("block")), "placed")
+    path = scratch(members.sparkSession, "blocks")
+    sets.join(blocks, "doc").select("block", "doc", "comp", "values").repartition("block").write.partitionBy("block").parquet(path)
+    held = written(members.select("value", "doc").join(blocks, "doc").select("value", "block").distinct(), "held")
+    pairs = held.select("value", F.col("block").alias("x")).join(held.select("value", F.col("block").alias("y")), "value")
+    pairs = written(pairs.filter("x <= y").select("x", "y").distinct(), "pairs")
+    percent = cfg.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(path)
+        last = None
+        for batch in batches:
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                last = last if last and last[0] == x else (x, Block(store, base, x))
+                other = last[1] if x == y else Block(store, base, y)
+                found = list(zip(*linked(last[1], other, percent))) or [(), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["a", "b"])
+
+    tasks = max(1, min(pairs.count(), 100_000))
+    return written(pairs.repartition(tasks).mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def near_duplicates(docs: DataFrame, cfg: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,14 +435,17 @@ def near_duplicates(docs: DataFrame, cfg: Settings = Settings(), id_col: str = "
 
 
 def _labelled(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> DataFrame:
-    rows, reps = classes(docs, cfg, id_col, text_col)
-    comp = links(docs, rows, reps, cfg, id_col, text_col)
-    named = reps.join(comp, reps["rep"] == comp["node"], "left").select(
-        "n", "key", F.coalesce("component", "rep").alias("c")
-    )
-    component = F.coalesce("c", "_id")
-    kept = F.coalesce(F.col("_id") == component, component.isNull())
-    return rows.join(named, ["n", "key"], "left").select("_id", "_h", "n", component.alias("component_id"), kept.alias("kept"))
+    c = corpus(docs, cfg, id_col, text_col)
+    comp = links(c)
+    named = c.classes.join(comp, c.classes["doc"] == comp["node"], "left").select("doc", "least", F.coalesce("component", "doc").alias("c"))
+    named = written(named, "named")
+    least = named.groupBy("c").agg(F.min("least").alias("component_id"), F.min("doc").alias("head"))
+    named = named.join(least, "c").select("doc", "component_id", (F.col("doc") == F.col("head")).alias("head"))
+    rows = c.rows.join(named, "doc", "left")
+    component = F.coalesce("component_id", "_id")
+    nameless = F.col("doc").isNull() | (F.col("head") & F.col("first"))
+    kept = F.when(component.isNull(), nameless).otherwise(F.col("_id").eqNullSafe(component))
+    return rows.select("_id", "_h", "n", component.alias("component_id"), kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame, cfg: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
