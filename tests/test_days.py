@@ -159,7 +159,7 @@ def test_days_added_at_the_same_time_are_all_there(spark, tmp_path):
 
 # --- refused rows
 
-LINES = "Time,Amount,Class,note\n0,5,0,a\n0,5,0,a\n1,abc,0,b\n,5,1,c\n,5,1,c\n2,5,0.5,\"d, e\"\ninf,5,0,f\n3,-1,0,g\n4,5,1,h\n"
+LINES = "Time,Amount,Class,note\n0,5,0,a\n0,5,0,a\n1,abc,0,b\n,5,1,c\n,5,1,c\n2,5,0.5,\"d, e\"\nInf,5,0,f\n3,-1,0,g\n4,5,1,h\n"
 
 
 def test_every_refused_row_is_kept_with_its_reason(spark, tmp_path):
