@@ -70,3 +70,11 @@ def test_odd_rows(edge, empty):
     assert mixing.mix_plan(empty).count() == mixing.mix(empty).count() == 0
     again = mixing.mix(mixed.withColumn("epoch", F.lit("x")))
     assert dict(again.dtypes)["epoch"] == "int"
+
+
+def test_rows_without_an_id_are_taken_one_by_one(spark):
+    rows = [(None, f"{i} " + "w " * 9, "a") for i in range(100)] + [(1, "w " * 1000, "b"), (2, "w " * 200, "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix_plan(docs, mixing.Mix(budget=0.7)).collect()
+    of_a = [r for r in got if r.doc_id is None]
+    assert abs(sum(r.taken for r in of_a) - of_a[0].target) <= 10 and 0 < of_a[0].target % 1000

@@ -39,7 +39,7 @@ def _iban_ok(text):
 
 def test_forms_and_coreference(spark):
     docs = spark.createDataFrame(ROWS, "doc_id bigint, text string")
-    got = _texts(pii.pseudonymised(docs))
+    got = _texts(pii.pseudonymised(docs, "k"))
     real = "Hans.Meier Smith John 555-0199 4111 DE89 123-45-6789 10.20.30.40 8eb1c2af Müller Иванова Петров SMITH x@y".split()
     rest = [t.replace("Smithson, smith", "") for t in got.values() if t]
     assert not [x for x in real for t in rest if x.lower() in t.lower()]
@@ -72,7 +72,7 @@ def test_collisions_keep_units_distinct(spark):
     letters = [(i, f"{c}@{d}.com {c}{c}@{d}.com") for i, (c, d) in enumerate((c, d) for c in "abcdefghijklmnopqrstuvwxyz" for d in "xyz")]
     names = [(1000 + i, f"Mr. Name{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]} Surname") for i in range(300)]
     docs = spark.createDataFrame(letters + names, "doc_id bigint, text string")
-    got = _texts(pii.pseudonymised(docs))
+    got = _texts(pii.pseudonymised(docs, "k"))
     mails = [m for i in range(len(letters)) for m in got[i].split()]
     assert len(set(mails)) == 2 * len(letters)
     assert not {m.split("@")[0] for m in mails} & {m.split("@")[0] for _, t in letters for m in t.split()}
@@ -82,7 +82,7 @@ def test_collisions_keep_units_distinct(spark):
 
 def test_real_table_is_rewritten_only_where_it_must(spark):
     docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
-    before, after = _texts(docs), pii.pseudonymised(docs).collect()
+    before, after = _texts(docs), pii.pseudonymised(docs, "k").collect()
     patterns = [r"\S+@\S+\.\w+", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", r"\b\d{16}\b", r"\+1 \(\d{3}\) \d{3}-\d{4}", r"\b[0-9a-f]{40}\b"]
     changed = 0
     for row in after:
@@ -95,22 +95,22 @@ def test_real_table_is_rewritten_only_where_it_must(spark):
 
 def test_long_chains_of_repeated_parts(spark):
     rows = [(1, "a@" + "b." * 9_000 + "com"), (2, "1.2." * 9_000), (3, "+1" + " 23" * 9_000), (4, "Mr. " * 9_000)]
-    got = _texts(pii.pseudonymised(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    got = _texts(pii.pseudonymised(spark.createDataFrame(rows, "doc_id bigint, text string"), "k"))
     assert got[1] != rows[0][1] and got[1].count(".") == 9_000 and got[2] == rows[1][1]
     assert got[3] != rows[2][1] and len(got) == 4
 
 
 def test_odd_rows_and_other_columns(edge, empty):
     mixed = edge.withColumn("text", F.when(F.col("doc_id") == 7, F.lit("one a@b.org")).otherwise(F.col("text")))
-    got = pii.replace_pii(mixed)
+    got = pii.replace_pii(mixed, "k")
     assert got.columns == edge.columns and got.count() == edge.count()
     changed = [r for r in got.collect() if r.doc_id == 7]
     assert changed[0].text != "one a@b.org" and changed[0].n_words == "other"
-    assert pii.replace_pii(empty).count() == 0
+    assert pii.replace_pii(empty, "k").count() == 0
 
 
 def _one(spark, *texts):
-    got = _texts(pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")))
+    got = _texts(pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "k"))
     return [got[i] for i in range(len(texts))]
 
 
@@ -167,3 +167,37 @@ def test_ipv6(spark):
     assert got[3].endswith(": up") and "fe80::1" not in got[3]
     assert got[5] == texts[5]
     assert len({ipaddress.ip_address(x) for x in got[6].split()} - {ipaddress.ip_address(x) for x in texts[6].split()}) == 15
+
+
+def test_addresses_and_names_of_any_script(spark):
+    texts = [
+        "mail jörg.müller@example.de or jörg@exämple.de", "Почта иван.петров@пример.рф тут", "Dr. Παπαδόπουλος left", "Μαρία Νικολάου came",
+        "Анна Иванова пришла", "Сергей Иванов пришёл",
+    ]
+    got = _texts(pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "k"))
+    real = "jörg müller example exämple иван петров пример Παπαδ Νικολ Μαρία Анна Иванов Сергей".split()
+    assert not [r for r in real if any(r in t for t in got.values())]
+    assert re.fullmatch(r"mail [a-z]+\.[a-z]+@[a-z]+\.de or [a-z]+@[a-z]+\.de", got[0])
+    assert re.fullmatch(r"Почта [а-я]+\.[а-я]+@[а-я]+\.рф тут", got[1])
+    assert re.fullmatch(r"Dr\. [Α-Ω][α-ωό]+όπουλος left", got[2]) and re.fullmatch(r"[Α-Ω]\w+ [Α-Ω]\w+ came", got[3])
+    assert re.fullmatch(r"[А-Я]\w+ [А-Я]\w+ова пришла", got[4]) and re.fullmatch(r"[А-Я]\w+ [А-Я]\w+ов пришёл", got[5])
+    assert got[4].split()[0] in pii.FIRST_NAMES["f", "cyrillic"] and got[3].split()[0] in pii.FIRST_NAMES["f", "greek"]
+
+
+def test_no_real_value_is_readable_on_disk(spark, tmp_path, monkeypatch):
+    folders = []
+    monkeypatch.setattr(pii, "written", lambda df, name, write=pii.written: (lambda out: (folders.append(out), out)[1])(write(df, name)))
+    docs = spark.createDataFrame([(1, "James Kennedy, james.kennedy@example.org, +49 30 1234567")], "doc_id bigint, text string")
+    assert "Kennedy" not in pii.pseudonymised(docs, "k").head().text
+    for df in folders:
+        stored = b"".join(bytes(r.row) for r in df.collect())
+        assert df.columns == ["row"] and stored and not re.search(rb"(?i)kennedy|james|1234567", stored)
+
+
+def test_the_session_names_the_key(spark):
+    assert pii.session_key(spark) != pii.session_key(spark)
+    spark.conf.set("spark.txnkpi.surrogates.key", "mine")
+    try:
+        assert pii.session_key(spark) == "mine"
+    finally:
+        spark.conf.unset("spark.txnkpi.surrogates.key")

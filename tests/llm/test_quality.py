@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 from collections import Counter
 
+import pytest
 import zstandard
 
 from tests.conftest import DATA
@@ -215,3 +217,25 @@ def test_identifiers_and_abbreviations():
         assert labels(text) == label, text
     for text in ("mit", "the MIT press", "the Apache helicopter", "see the ruby documentation", "permit limit curl vim", "BSD users, GPL code"):
         assert labels(text) == "", text
+
+
+def test_a_long_text_of_finds_takes_time_in_proportion():
+    scanner = licenses.Scanner(licenses.rules())
+    text, seconds = b"mit license x ", []
+    for n in (20_000, 80_000):
+        start = time.perf_counter()
+        found = licenses.scan(text * n, scanner)
+        seconds.append(time.perf_counter() - start)
+        assert found[:4] == (3 * n, n, 0, 3 * (n - 1))
+    assert seconds[1] < 8 * seconds[0]
+
+
+def test_a_language_of_long_texts_is_learned_and_orders_are_checked(spark):
+    rows = [(i, "the quick brown fox " * 5, "en") for i in range(5)]
+    rows += [(10 + i, f"der schnelle braune fuchs {i} " * (40 + i), "de") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.learn(docs, langid.Settings(most_bytes=500))
+    assert model.languages == ["de", "en"]
+    assert {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}[12] == "de"
+    with pytest.raises(ValueError, match="contexts"):
+        langid.Settings(order=4)

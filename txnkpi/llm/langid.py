@@ -40,8 +40,14 @@ UNKNOWN = "und"
 class Settings:
     order: int = 3
     texts_per_language: int = 200
-    #: Longest text that teaches, in bytes; longer ones are left out as a whole.
+    #: Longest text that teaches, in bytes. A language whose labelled texts are all longer is
+    #: learned from its shortest ones, whole, this many of them.
     most_bytes: int = 20_000
+    long_texts: int = 3
+
+    def __post_init__(self):
+        if not 0 <= self.order <= 3:
+            raise ValueError("contexts have 0 to 3 bytes")
 
 
 class Model:
@@ -130,13 +136,15 @@ def _grams(text: bytes, m: int) -> np.ndarray:
 
 def learn(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Trees of a bounded sample of rows: the first of each language by a hash of the id."""
-    order = Window.partitionBy("lang").orderBy("h", "id", "text")
+    order = Window.partitionBy("lang").orderBy("longer", "h", "id", "text")
+    size = F.octet_length("text")
     sample = (
         docs.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .filter(F.col("lang").isNotNull() & (F.octet_length("text") <= settings.most_bytes))
+        .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+        .withColumn("longer", F.when(size <= settings.most_bytes, 0).otherwise(size))
         .withColumn("h", F.xxhash64(F.col("id").cast("string")))
         .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= settings.texts_per_language)
+        .filter(F.col("n") <= F.when(F.col("longer") == 0, settings.texts_per_language).otherwise(settings.long_texts))
         .select("lang", "text")
     )
     texts: dict[str, list[bytes]] = {}

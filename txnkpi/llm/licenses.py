@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -328,18 +329,22 @@ class Scanner:
             (m.start(at), -m.end(at), i)
             for i in gated for at in (1 if self.rules[i][1].groups else 0,) for m in self.rules[i][1].finditer(text)
         )
-        kept: list[tuple[int, int, int]] = []
+        kept: list[tuple[int, int, Rule]] = []
+        reaching: list[tuple[int, int]] = []  # ends and ranks of kept finds that go on here
         for start, end, i in found:  # outer finds come first; those of a place by rule order
-            rank = self.rules[i][0].rank
-            if not any(-end <= e and self.rules[k][0].rank <= rank for s, e, k in reversed(kept) if e > start):
-                kept.append((start, -end, i))
-        return [(s, e, self.rules[i][0]) for s, e, i in kept]
+            rule = self.rules[i][0]
+            reaching = [(e, rank) for e, rank in reaching if e > start]
+            if not any(-end <= e and rank <= rule.rank for e, rank in reaching):
+                kept.append((start, -end, rule))
+                reaching.append((-end, rule.rank))
+        return kept
 
 
 def scan(text: bytes, scanner: Scanner, base: dict[str, str] = BASE) -> tuple:
     """One text's row, as in SCHEMA without the id."""
     words = text.translate(_TO_SPACE).split()
     joined = b" ".join(words)
+    blanks = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
     places, base_labels = [], set()
     for phrase, label in base.items():
         p = phrase.encode()
@@ -347,7 +352,7 @@ def scan(text: bytes, scanner: Scanner, base: dict[str, str] = BASE) -> tuple:
         while at >= 0:
             before, after = joined[at - 1 : at], joined[at + len(p) : at + len(p) + 1]
             if (at == 0 or before == b" ") and after in (b"", b" "):
-                places.append(joined.count(b" ", 0, at))
+                places.append(int(np.searchsorted(blanks, at)))
                 base_labels.add(label)
             at = joined.find(p, at + 1)
     finds = scanner.finds(joined)

@@ -11,8 +11,8 @@ before anything moves, a source's cut is found inside one of its ``BUCKETS`` buc
 texts are never shuffled as long as the table of sources is small.
 
 Defined cases: NULL text has size 0 and is never taken; NULL sources are one source, last in
-order. Rows with equal ids have the same hash and are taken alike. If all sizes are 0, all
-targets are 0. An empty table gives an empty result; further columns are ignored
+order. Rows of one id, or without one, are told apart by their text; rows equal in both are
+taken alike. If all sizes are 0, all targets are 0. An empty table gives an empty result; further columns are ignored
 (``mix_plan``) or kept (``mix``).
 """
 
@@ -47,8 +47,10 @@ def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("~"))
 
 
-def _row_hash(row_id: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(row_id.cast("string"), F.lit(""))))
+def _row_hash(row_id: Column, text: Column, seed: str) -> Column:
+    """A row's place in its source: by its id, rows of one id by their text."""
+    by_id = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(row_id.cast("string"), F.lit(""))))
+    return F.concat(by_id, F.lpad(F.hex(F.xxhash64(F.lit(seed), text)), 16, "0"))
 
 
 def _weighted(sources: DataFrame, mix: Mix) -> DataFrame:
@@ -121,7 +123,7 @@ def mix_sources(
     docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> tuple[DataFrame, DataFrame]:
     """Sizes of all rows (written once), and the sources with target, whole and cut."""
-    key = _row_hash(F.col(id_col), mix.seed)
+    key = _row_hash(F.col(id_col), F.col(text_col), mix.seed)
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
         _source_key(F.col(source_col)).alias("source_key"),
@@ -154,7 +156,7 @@ def mix(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str
     """
     _, cuts = mix_sources(docs, mix, id_col, text_col, source_col)
     cuts = small(cuts.select("source_key", "whole", "cut"))
-    key = _row_hash(docs[id_col], mix.seed)
+    key = _row_hash(docs[id_col], docs[text_col], mix.seed)
     times = cuts["whole"] + F.when(key <= cuts["cut"], 1).otherwise(0)
     times = F.when(text_size(docs[text_col]) > 0, times).otherwise(0)
     chosen = docs.join(cuts, _source_key(docs[source_col]) == cuts["source_key"])

@@ -9,6 +9,9 @@ IBANs keep valid check digits, first names keep gender and script. Surrogates ar
 before use: no two units of a kind share one, and none equals a real unit of that kind; the
 later unit draws again, at last a longer one.
 
+The key is a secret of the caller. What is written on the way, real values beside their
+surrogates, is encrypted with it, and without it nobody can draw the same surrogates again.
+
 Native: DataFrame functions only. Units are distinct before anything is drawn, and texts
 without entities never move; the others move only if the table of replacements is too large
 to be sent to all executors.
@@ -21,9 +24,10 @@ kept (``replace_pii``). Texts may be of any length; a text's replacements travel
 from __future__ import annotations
 
 import hashlib
+import secrets
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnkpi.llm.common import row_key, small, written
@@ -36,6 +40,8 @@ FIRST_NAMES = {
     "Ursula Monika Petra Sabine Heike Marie Nathalie Françoise Isabelle Carmen Dolores Lucía Pilar".split(),
     ("m", "cyrillic"): "Иван Сергей Дмитрий Алексей Николай Владимир Михаил Андрей Павел Юрий".split(),
     ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Людмила".split(),
+    ("m", "greek"): "Γιώργος Δημήτρης Κώστας Νίκος Γιάννης Παναγιώτης Βασίλης Χρήστος".split(),
+    ("f", "greek"): "Μαρία Ελένη Κατερίνα Βασιλική Σοφία Αγγελική Γεωργία Δήμητρα".split(),
 }
 TITLES = {
     "m": "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|господин|г-н",
@@ -46,7 +52,12 @@ TITLES = {
 SYLLABLES = {
     "latin": "bar den fal gor hol kes lan mer nor pel ros sal tor ver win zan bri cal dor mal".split(),
     "cyrillic": "бор вен гор дан зай кол лев мир нов пет рос сав тар фед чер шум".split(),
+    "greek": "βαρ γαν δελ ζαν κορ λαν μαρ νικ παν ραλ σταθ ταν φιλ χαρ".split(),
 }
+VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειου"}
+# Endings of surnames that go with a gender, longer ones first, and small letters by script.
+ENDINGS = "ская|ский|ова|ева|ёва|ина|ая|ов|ев|ёв|ин|όπουλος|οπούλου|ίδης|ίδου|άκης|άκη"
+ALPHABETS = {"Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 _NAMES = [n for names in FIRST_NAMES.values() for n in names]
 _GIVEN = "|".join(_NAMES)
@@ -67,7 +78,7 @@ _UPPER_NEXT = rf"(?!(?i:{_STOP})(?!\p{{L}}))(?!(?:{_TITLE}|JR|SR|II|III|IV|MD)(?
 _INITIAL = r"(?:(?:\p{Lu}\.){1,4}|\p{Lu}(?= ))"
 _PARTICLE = r"(?:van|von|der|den|de|del|della|di|da|dos|la|le|du|zu|bin|ibn|al)(?= )"
 # Possessive repetition: Java's regular expressions repeat other groups by recursion.
-_DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+_DOMAIN = r"[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
 
 _HEX = "[0-9A-Fa-f]{1,4}"
 # A secret's keyword with what may stand around it, up to the value.
@@ -77,7 +88,7 @@ _NO_SECRET = "monkeys?|donkeys?|turkeys?|hockey|jockeys?|whiske?ys?|lackeys?|key
 
 #: Kind and pattern, in order of preference at a place.
 PATTERNS = [
-    ("email", rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_DOMAIN}"),
+    ("email", rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@{_DOMAIN}"),
     ("secret", rf"(?<![A-Za-z0-9_-])(?!(?i:{_NO_SECRET})(?![A-Za-z0-9_-])){_SECRET_LABEL}[A-Za-z0-9+/_-]{{8,}}+(?:\.[A-Za-z0-9+/_-]++)*+"),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,})(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
@@ -127,7 +138,7 @@ def _name_words(s: Column) -> Column:
             gender = F.when(title.isin(titles.split("|")), g).otherwise(gender)
 
     def one(w: Column, i: Column) -> Column:
-        script = F.when(w.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        script = F.when(w.rlike(r"\p{IsCyrillic}"), "cyrillic").when(w.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
         last = i == F.size(words) - 1
         part = F.when(last, "surname").when(w.rlike(r"^(?:(?:\p{Lu}\.)+|\p{Lu})$"), "initial").when(w.rlike(r"^\p{Ll}"), "particle").otherwise("given")
         norm = F.when(last, F.concat_ws(":", script, F.lower(w))).otherwise(F.concat_ws(":", gender, script, F.lower(w)))
@@ -189,12 +200,16 @@ def _same_form(text: Column, stream: Column, letters: str = "abcdefghijklmnopqrs
 
     def change(c: Column, i: Column) -> Column:
         n = _number(stream, i)
-        return (
+        drawn = (
             F.when(c.rlike("[0-9]"), F.when(i == 0, _pick("123456789", n)).otherwise(_pick("0123456789", n)))
             .when(c.rlike("[a-z]"), _pick(letters, n))
             .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
-            .otherwise(c)
         )
+        for script, alphabet in ALPHABETS.items():
+            for case, pool in ((r"\p{Lu}", alphabet.upper()), (r"\p{L}", alphabet)):
+                drawn = drawn.when(c.rlike(f"[\\p{{Is{script}}}&&{case}]"), _pick(pool, n))
+        drawn = drawn.when(c.rlike(r"\p{Lu}"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n)).when(c.rlike(r"\p{L}"), _pick(letters, n))
+        return drawn.when(c.rlike(r"\p{N}"), _pick("0123456789", n)).otherwise(c)
 
     return F.array_join(F.transform(F.split(text, ""), change), "")
 
@@ -265,16 +280,25 @@ def _surrogates(units: DataFrame, key: str) -> DataFrame:
 
     def syllables(script: str) -> Column:
         made = [F.get(F.array(*map(F.lit, SYLLABLES[script])), _number(stream, F.lit(i)) % len(SYLLABLES[script])) for i in range(4)]
-        more = F.when(extra > 0, F.translate(tail_digits, "0123456789", "aeiouaeiou" if script == "latin" else "аеиоуаеиоу"))
-        return F.concat_ws("", *made[:3], F.when(F.col("attempt") > 1, made[3]), more)
+        more = F.when(extra > 0, F.translate(tail_digits, "0123456789", 2 * VOWELS[script]))
+        ending = F.regexp_extract(norm, f"({ENDINGS})$", 1)
+        return F.concat_ws("", *made[:3], F.when(F.col("attempt") > 1, made[3]), more, ending)
+
+    surname = syllables("latin")
+    for script in ("cyrillic", "greek"):
+        surname = F.when(norm.startswith(f"{script}:"), syllables(script)).otherwise(surname)
+    given, real = F.lit(None).cast("string"), F.substring_index(norm, ":", -1)
+
+    def other(pool: Column, n: Column, size: int) -> Column:
+        """A name of the pool that is not the real one."""
+        name = F.get(pool, n % size)
+        return F.when(name == real, F.get(pool, (n + 1) % size)).otherwise(name)
 
-    surname = F.when(norm.startswith("cyrillic:"), syllables("cyrillic")).otherwise(syllables("latin"))
-    given = F.lit(None).cast("string")
     for script in SYLLABLES:
         for gender in ("m", "f", "n"):
             names = [n.lower() for (g, s), pool in FIRST_NAMES.items() if s == script and gender in (g, "n") for n in pool]
             pool = F.array(*map(F.lit, names))
-            parts = [F.when(F.col("attempt") >= i, F.get(pool, _number(stream, F.lit(i)) % len(names))) for i in range(8)]
+            parts = [F.when(F.col("attempt") >= i, other(pool, _number(stream, F.lit(i)), len(names))) for i in range(8)]
             given = F.when(norm.startswith(f"{gender}:{script}:"), F.concat_ws("-", *parts)).otherwise(given)
     given = F.concat_ws("", given, F.when(F.col("attempt") > 7, tail_letters))
     part = F.col("part")
@@ -287,6 +311,20 @@ def _surrogates(units: DataFrame, key: str) -> DataFrame:
     return d.withColumn("drawn", drawn).drop("_stream")
 
 
+def session_key(spark: SparkSession) -> str:
+    """The key set as ``spark.txnkpi.surrogates.key``, which makes runs agree; else a random one."""
+    return spark.conf.get("spark.txnkpi.surrogates.key", None) or secrets.token_hex(32)
+
+
+def _sealed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The frame, written encrypted and read again: no real value stays readable on disk."""
+    secret = F.unhex(F.lit(hashlib.sha256(f"seal|{key}".encode()).hexdigest()))
+    row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    stored = written(df.select(F.aes_encrypt(row, secret, F.lit("GCM")).alias("row")), name)
+    row = F.from_json(F.aes_decrypt("row", secret, F.lit("GCM")).cast("string"), df.schema)
+    return stored.select(row.alias("r")).select("r.*")
+
+
 def assign(units: DataFrame, key: str) -> DataFrame:
     """Distinct (part, norm) with surrogates ``drawn`` that no other unit of the kind has.
 
@@ -304,7 +342,7 @@ def assign(units: DataFrame, key: str) -> DataFrame:
         drawn = _surrogates(left, key).join(taken.withColumn("used", F.lit(True)), ["part", "drawn"], "left")
         first = drawn.filter("used is null").groupBy("part", "drawn").agg(F.min("norm").alias("first"))
         settled = drawn.join(first, ["part", "drawn"], "left").withColumn("ok", F.coalesce(F.col("norm") == F.col("first"), F.lit(False)))
-        settled = written(settled.select("part", "norm", "drawn", "attempt", "ok"), "surrogates")
+        settled = _sealed(settled.select("part", "norm", "drawn", "attempt", "ok"), "surrogates", key)
         won = settled.filter("ok")
         done.append(won.select("part", "norm", "drawn"))
         taken = taken.union(won.select("part", "drawn"))
@@ -396,11 +434,11 @@ def replacements(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """For each row (by key) with entities, written: a map from what stands there to what
     shall stand there, the kinds, and a map of names to look for on their own."""
     found = docs.select(*row_key(id_col, text_col), F.explode(_found(F.col(text_col))).alias("surface")).distinct()
-    found = written(found, "entities")
+    found = _sealed(found, "entities", key)
     surfaces = found.select("surface").distinct().withColumn("kind", _kind(F.col("surface")))
-    parts = written(_units(surfaces), "units")
+    parts = _sealed(_units(surfaces), "units", key)
     drawn = assign(parts.select("part", "norm").distinct(), key)
-    rendered = written(_rendered(parts, drawn, key), "rendered")
+    rendered = _sealed(_rendered(parts, drawn, key), "rendered", key)
     by_row = (
         found.join(small(rendered), "surface")
         .groupBy("_id", "_h")
@@ -412,7 +450,7 @@ def replacements(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     )
     first = F.filter("alone", lambda a, i: (i == 0) | (F.get("alone", i - 1)["real"] != a["real"]))
     by_row = by_row.withColumn("alone", F.map_from_entries(first))
-    return written(by_row, "replacements")
+    return _sealed(by_row, "replacements", key)
 
 
 def _rewritten(text: Column, by: Column, alone: Column) -> Column:
@@ -434,7 +472,7 @@ def _joined(docs: DataFrame, key: str, id_col: str, text_col: str) -> tuple[Data
     return docs.join(by_row, same, "left"), by_row
 
 
-def pseudonymised(docs: DataFrame, key: str = "surrogates", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its text with surrogates, its entities' number and kinds."""
     joined, by_row = _joined(docs, key, id_col, text_col)
     return joined.select(
@@ -445,7 +483,7 @@ def pseudonymised(docs: DataFrame, key: str = "surrogates", id_col: str = "doc_i
     )
 
 
-def replace_pii(docs: DataFrame, key: str = "surrogates", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with surrogates in their texts, all other columns unchanged."""
     joined, by_row = _joined(docs, key, id_col, text_col)
     return joined.select(

@@ -32,7 +32,7 @@ def _licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pii(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.pseudonymised(documents(spark, folder))
+    return pii.pseudonymised(documents(spark, folder), pii.session_key(spark))
 
 
 def _winnowing(spark: SparkSession, folder: str) -> DataFrame:
