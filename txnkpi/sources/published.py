@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,12 +35,16 @@ class PublishConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Table:
-    """Folders of a published table, relative to the root, by part; bucketed if it has a key."""
+    """Folders of a published table, relative to the root, by part; bucketed if it has a key.
+
+    ``version`` is the publication that changed it last.
+    """
 
     parts: dict[str, str]
     key: str | None = None
     buckets: int = 1
     schema: str | None = None
+    version: int = 0
 
 
 @dataclass(frozen=True)
@@ -75,6 +79,7 @@ def snapshot(spark: SparkSession, root: str, version: int | None = None) -> Snap
 def commit(spark: SparkSession, root: str, base: Snapshot, changed: dict[str, Table]) -> int:
     """Put changed tables in force on top of ``base``, all at once; returns the version."""
     version = base.version + 1
+    changed = {name: replace(table, version=version) for name, table in changed.items()}
     named = {name: vars(table) for name, table in {**base.tables, **changed}.items()}
     text = json.dumps({"version": version, "tables": named}, indent=1)
     if not paths.create_if_absent(spark, _commit_path(root, version), text):
@@ -118,9 +123,9 @@ def read_published(
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    """Newest publication if it has the table, else None."""
-    now = snapshot(spark, root)
-    return now.version if table in now.tables else None
+    """The publication that changed a table last, None before the first."""
+    now = snapshot(spark, root).tables.get(table)
+    return now.version if now else None
 
 
 def write_version(df: DataFrame, root: str, table: str, base: Snapshot | None = None) -> int:
