@@ -198,8 +198,7 @@ def _numbered(rows: DataFrame, shared: DataFrame | None) -> DataFrame:
 
 def _or_none(df: DataFrame, name: str) -> DataFrame | None:
     """A written table, None if it has no rows."""
-    df = written(df, name)
-    return None if df.isEmpty() else df
+    return None if df.isEmpty() else written(df, name)
 
 
 def corpus(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> Corpus:
@@ -208,7 +207,8 @@ def corpus(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> Corpus
     grouped = keyed.filter("n > 0").groupBy(*SET).agg(F.min(row).alias("rep"), F.min("_id").alias("least"))
     grouped = written(grouped, "grouped")
     shared = _or_none(grouped.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a"), "shared")
-    classes = written(_numbered(grouped, shared).select(*SET, "doc", "rep", "least"), "classes")
+    classes = _numbered(grouped, shared).select(*SET, "doc", "rep", "least")
+    classes = classes if shared is None else written(classes, "classes")
     first = F.col("rep._id").eqNullSafe(F.col("_id")) & (F.col("rep._h") == F.col("_h"))
     rows = keyed.join(classes, SET, "left").select("_id", "_h", "n", "doc", F.coalesce(first, F.lit(False)).alias("first"))
     rows = written(rows, "rows")
@@ -325,12 +325,15 @@ def links(c: Corpus) -> DataFrame:
     long = members.groupBy("value").agg(F.count("*").alias("c")).filter(F.col("c") > cfg.long_list)
     long = written(long.select("value"), "long")
     across = _across_pairs(members.join(long, "value", "left_anti"), whole).join(star, ["a", "b"], "left_anti")
-    confirmed = confirmed.union(_confirmed(written(across, "across"), sets, cfg)).union(_same_ids(c))
-    if not long.isEmpty():
+    more = written(_confirmed(written(across, "across"), sets, cfg).union(_same_ids(c)), "more")
+    if not more.isEmpty():
+        confirmed = confirmed.union(more)
         comp = components(confirmed)
+    if not long.isEmpty():
         rest = written(_mixed(members.join(long, "value", "left_semi").drop("comp"), comp), "rest")
-        confirmed = confirmed.union(block_links(rest, sets, cfg))
-    return components(confirmed)
+        more = block_links(rest, sets, cfg)
+        comp = comp if more.isEmpty() else components(confirmed.union(more))
+    return comp
 
 
 def _same_ids(c: Corpus) -> DataFrame:
