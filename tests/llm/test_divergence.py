@@ -82,9 +82,9 @@ def test_counts_beyond_64_bits(spark):
 
 def test_vectors_are_fitted_unless_the_vocabulary_is_too_large(spark, edge, monkeypatch):
     calls = []
-    for name in ("fitted_counts", "joined_counts"):
+    for name in ("vector_counts", "joined_counts"):
         monkeypatch.setattr(divergence, name, lambda *a, f=getattr(divergence, name), n=name: (calls.append(n), f(*a))[1])
     cfg = Settings(min_docs=2)
     divergence.source_divergence(edge, cfg)
     divergence.source_divergence(edge, replace(cfg, most_bytes=10))
-    assert calls == ["fitted_counts", "joined_counts"]
+    assert calls == ["vector_counts", "joined_counts"]
