@@ -188,7 +188,7 @@ def test_run_passes_on_what_to_do_when_empty(spark, edge_csv, tmp_path):
     for raw, more, version in (
         (edge_csv, [], 1),
         (str(quiet), [], 1),
-        (str(quiet), ["--on-empty", "clear"], 2),
+        (str(quiet), ["--on-empty", "clear"], 3),  # the third publication
     ):
         cli.run_stage(spark, cli.arguments([*common, raw, *more]))
         assert published.current_version(spark, target, "kpi_top_fraud_amounts") == version

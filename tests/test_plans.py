@@ -66,16 +66,17 @@ def test_counted_ingest_keeps_the_single_shuffle(raw):
 
 @pytest.mark.parametrize("name", ["clean_transactions", "kpi_suite", "ingest_report"])
 def test_reducers_of_a_query_follow_its_input(spark, monkeypatch, name):
+    """Inside ``sized``; outside of it the session is as it was."""
     folder = f"{DATA}/sf0.01"
     before = spark.conf.get(sizing.SHUFFLE)
-    try:
-        size = paths.scanned_bytes(spark.read.parquet(f"{folder}/events.parquet"))
-        monkeypatch.setattr(sizing, "REDUCER_BYTES", size // 100)
+    raw = spark.read.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(sizing, "REDUCER_BYTES", paths.scanned_bytes(raw) // 100)
+    with sizing.sized(raw):
         text = plan(queries.queries()[name](spark, folder))
-        reducers = [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\)", text)]
-        assert max(reducers) > 20 and int(before) < 20
-    finally:
-        spark.conf.set(sizing.SHUFFLE, before)
+    reducers = [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\)", text)]
+    assert max(reducers) > 20 and int(before) < 20
+    queries.queries()[name](spark, folder).collect()
+    assert spark.conf.get(sizing.SHUFFLE) == before
 
 
 def test_suite_reads_once_and_expands_only_cells(transactions):
