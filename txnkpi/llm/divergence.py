@@ -24,7 +24,7 @@ by the item's UTF-8 bytes. An empty table gives an empty result; further columns
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -70,22 +70,40 @@ def _texts(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> Da
 
 
 def _terms(batch: pa.RecordBatch) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Terms of every text, each followed by ``:`` and its language, with the first text's place."""
-    endings = [b":" + lang.encode() for lang in batch.column("lang").to_pylist()]
+    """Terms of every text, with the first text's place."""
     for begin, texts in pieces(batch, "text"):
-        yield begin, [[t + end for t in text.translate(LETTERS).split()] for text, end in zip(texts, endings[begin:])]
+        yield begin, [text.translate(LETTERS).split() for text in texts]
+
+
+def _ending(lang: str) -> bytes:
+    """What follows a term to make it one of the language."""
+    return b":" + lang.encode()
+
+
+def _joined(docs: list[list[bytes]], endings: list[bytes]) -> pa.ListArray:
+    """The terms of each text with its ending, put together as one run of bytes."""
+    data = b"".join(end.join(terms) + end for terms, end in zip(docs, endings) if terms)
+    counts = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs))
+    sizes = np.fromiter(map(len, chain.from_iterable(docs)), dtype=np.int64, count=counts.sum())
+    sizes += np.repeat(np.fromiter(map(len, endings), dtype=np.int64, count=len(docs)), counts)
+    flat = _offsets(sizes, pa.int32()).buffers()[1]
+    terms = pa.StringArray.from_buffers(len(sizes), flat, pa.py_buffer(data))
+    return pa.ListArray.from_arrays(_offsets(counts, pa.int32()), terms)
+
+
+def _offsets(sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(sizes)), pa.int64()).cast(kind)
 
 
 def terms_of(texts: DataFrame) -> DataFrame:
-    """(lang, source, terms) of every document."""
+    """(lang, source, terms) of every document; a term is followed by ``:`` and its language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            endings = [_ending(lang) for lang in batch.column("lang").to_pylist()]
             for begin, docs in _terms(batch):
-                flat = pa.array(list(chain.from_iterable(docs)), pa.binary()).cast(pa.string())
-                offsets = np.cumsum([0, *map(len, docs)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
                 groups = [batch.column(c).slice(begin, len(docs)) for c in GROUP]
+                lists = _joined(docs, endings[begin : begin + len(docs)])
                 yield pa.RecordBatch.from_arrays([*groups, lists], [*GROUP, "terms"])
 
     return texts.mapInArrow(run, "lang string, source string, terms array<string>")
@@ -95,19 +113,21 @@ def vocabulary(texts: DataFrame, cfg: Settings) -> DataFrame:
     """(key): terms with language that enough documents hold; tasks count before they shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Counter()
+        seen = defaultdict(Counter)
         for batch in batches:
-            for _, docs in _terms(batch):
-                for terms in docs:
-                    seen.update(set(terms))
-                if len(seen) > HELD:
+            langs = batch.column("lang").to_pylist()
+            for begin, docs in _terms(batch):
+                for lang, terms in zip(langs[begin:], docs):
+                    seen[lang].update(set(terms))
+                if sum(map(len, seen.values())) > HELD:
                     yield rows_of(seen)
-                    seen = Counter()
+                    seen = defaultdict(Counter)
         yield rows_of(seen)
 
-    def rows_of(seen: Counter) -> pa.RecordBatch:
-        keys = pa.array(list(seen), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([keys, pa.array(list(seen.values()), pa.int64())], ["key", "docs"])
+    def rows_of(seen: dict[str, Counter]) -> pa.RecordBatch:
+        keys = [term + _ending(lang) for lang, docs in seen.items() for term in docs]
+        counts = list(chain.from_iterable(docs.values() for docs in seen.values()))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["key", "docs"])
 
     counts = texts.mapInArrow(run, "key string, docs bigint").groupBy("key").agg(F.sum("docs").alias("docs"))
     return counts.filter(F.col("docs") >= cfg.min_docs).select("key")
