@@ -41,9 +41,9 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnkpi.llm.common import SPACE, Words, mix, pieces, reducers_for, row_key, small, written
-from txnkpi.llm.components import components
-from txnkpi.sources.paths import scratch
+from txnkpi.llm.common import BROADCAST_BYTES, SPACE, Words, mix, pieces, reducers_for, row_key, small, written
+from txnkpi.llm.components import stars
+from txnkpi.sources.paths import scanned_bytes, scratch
 
 #: Chance that a pair right at the limit shares fewer retained values than demanded.
 MISS = 1e-9
@@ -201,6 +201,12 @@ def _or_none(df: DataFrame, name: str) -> DataFrame | None:
     return None if df.isEmpty() else written(df, name)
 
 
+def _keys(rows: DataFrame, name: str) -> DataFrame:
+    """Keys for a semi or anti join, written: each once where they are too many to be broadcast."""
+    rows = written(rows, name)
+    return rows if scanned_bytes(rows) <= BROADCAST_BYTES else written(rows.distinct(), name)
+
+
 def corpus(docs: DataFrame, cfg: Settings, id_col: str, text_col: str) -> Corpus:
     keyed = written(set_keys(docs, cfg, id_col, text_col), "sets")
     row = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h")
@@ -267,7 +273,7 @@ def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
     )
     marked = written(marked, "marked")
     lists = marked.groupBy("value").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).filter("c < d")
-    return marked.join(written(lists.select("value"), "mixed"), "value", "left_semi")
+    return marked.join(small(written(lists.select("value"), "mixed")), "value", "left_semi")
 
 
 def _across_pairs(members: DataFrame, cfg: Settings) -> DataFrame:
@@ -300,6 +306,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, cfg: Settings) -> DataFrame:
     exact = 100 * shared >= cfg.percent * (F.col("na") + F.col("nb") - shared)
     p = p.select("a", "b", "na", "nb", whole.alias("whole"), F.when(whole, exact).otherwise(seen >= cfg.sure).alias("ok")).filter("ok")
     p = written(p.select("a", "b", "whole"), "estimated")
+    if cfg.k == WHOLE:
+        return p.select("a", "b")
     rest = p.filter("not whole")
     for name, side in zip("ab", sides):
         rest = rest.join(side, name)
@@ -308,17 +316,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def links(c: Corpus) -> DataFrame:
-    """Components (node, component) of linked classes."""
+    """Components (node, component) of linked classes but the least of each."""
     cfg = c.cfg
-    others = written(c.rows.filter("not first").select("_id", "_h").distinct(), "others")
+    others = _keys(c.rows.filter("not first").select("_id", "_h"), "others")
     sketches = written(c.sets(c.texts(others, "left_anti"), cfg.k), "sketches")
     members = written(lists(sketches, cfg), "lists")
     star = written(_star_pairs(members, cfg), "star")
-    near = written(star.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "near")
+    near = _keys(star.select(F.explode(F.array("a", "b")).alias("doc")), "near")
     sets = written(_full_sets(c, sketches, near), "full")
     confirmed = _confirmed(star, sets, cfg)
-    comp = components(confirmed)
-    left = written(_mixed(members, comp).select("doc").distinct(), "left")
+    comp = stars(confirmed)
+    left = _keys(_mixed(members, comp).select("doc"), "left")
     sets = written(_full_sets(c, sketches, left), "full")
     whole = replace(cfg, k=WHOLE)
     members = written(_mixed(lists(sets, whole), comp), "lists")
@@ -328,11 +336,11 @@ def links(c: Corpus) -> DataFrame:
     more = written(_confirmed(written(across, "across"), sets, cfg).union(_same_ids(c)), "more")
     if not more.isEmpty():
         confirmed = confirmed.union(more)
-        comp = components(confirmed)
+        comp = stars(confirmed)
     if not long.isEmpty():
         rest = written(_mixed(members.join(long, "value", "left_semi").drop("comp"), comp), "rest")
         more = block_links(rest, sets, cfg)
-        comp = comp if more.isEmpty() else components(confirmed.union(more))
+        comp = comp if more.isEmpty() else stars(confirmed.union(more))
     return comp
 
 
