@@ -408,15 +408,19 @@ def linked(x: Block, y: Block, percent: int) -> Iterator[tuple[int, int]]:
 def block_links(members: DataFrame, sets: DataFrame, cfg: Settings) -> DataFrame:
     """Links between different components among written members (value, doc, n, comp) of long lists.
 
-    Members are dealt to blocks of bounded size, neighbours in a list to the same one. Blocks
-    that share a list are compared by one task, which reads both files and returns no more
-    links than it takes to join the components: pairs that are no link are seen, not stored.
+    Members are dealt to blocks of one size, however many reducers sort them, neighbours in a
+    list to the same one. Blocks that share a list are compared by one task, which reads both
+    files and returns no more links than it takes to join the components: pairs that are no link
+    are seen, not stored.
     """
     placed = written(members.groupBy("doc").agg(F.min("value").alias("value"), F.min("comp").alias("comp"), F.min("n").alias("n")), "placed")
     placed = placed.repartitionByRange(reducers_for(placed), "value", "doc").withColumn("part", F.spark_partition_id())
     until = F.sum("n").over(Window.partitionBy("part").orderBy("value", "doc"))
-    block = F.col("part") * F.lit(2**32).cast("bigint") + F.floor(until / cfg.block_values)
-    blocks = written(placed.select("doc", "comp", block.cast("bigint").alias("block")), "placed")
+    placed = written(placed.select("doc", "comp", "part", until.alias("until"), (until - F.col("n")).alias("begin")), "placed")
+    parts = placed.groupBy("part").agg(F.max("until").alias("all"))  # as many rows as reducers
+    parts = parts.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("before"))
+    block = F.floor((F.col("before") + F.col("begin")) / cfg.block_values).alias("block")
+    blocks = written(placed.join(F.broadcast(parts), "part").select("doc", "comp", block), "placed")
     path = scratch(members.sparkSession, "blocks")
     sets.join(blocks, "doc").select("block", "doc", "comp", "values").repartition("block").write.partitionBy("block").parquet(path)
     held = written(members.select("value", "doc").join(blocks, "doc").select("value", "block").distinct(), "held")
