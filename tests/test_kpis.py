@@ -12,7 +12,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from txnkpi.functions import money_sums, money_total
+from txnkpi.functions import gathered, money_sums, money_total, with_bands
+from txnkpi.functions.money import BAND
 from txnkpi.operators import kpis
 from txnkpi.operators.cleaning import clean
 from txnkpi.plans import bindings
@@ -145,9 +146,14 @@ def test_null_amounts_and_classes_are_left_out_of_means(spark):
     assert rows(kpis.kpi_global(df)) == [(2, 12.0, 6.0, 8.0, 1, 50.0)]
 
 
+def _total_of(rows):
+    banded = with_bands(rows).groupBy(BAND).agg(*money_sums())
+    return banded.agg(*gathered()).select(money_total()).first()[0]
+
+
 def _total(spark, amounts):
     df = spark.createDataFrame([(a,) for a in amounts], "amount double").repartition(3)
-    return df.agg(*money_sums(F.col("amount"))).select(money_total()).first()[0]
+    return _total_of(df)
 
 
 def test_rounding_ties_of_the_mean(spark):
@@ -160,14 +166,10 @@ def test_rounding_ties_of_the_mean(spark):
 def test_large_amounts_do_not_overflow(spark):
     # 2 * 10^7 rows of nearly 10^12: more units than a BIGINT holds.
     rows = spark.range(20_000_000).select(F.lit(999_999_999_999.5).alias("amount"))
-    total = rows.agg(*money_sums(F.col("amount"))).select(money_total()).first()[0]
+    total = _total_of(rows)
     assert total == float(Decimal("999999999999.5") * 20_000_000)
 
 
-def _total_of(rows):
-    return rows.agg(*money_sums(F.col("amount"))).select(money_total()).first()[0]
-
-
 def test_no_digit_is_cut(spark):
     fine = spark.range(10_000_000).select(F.lit(4e-7).alias("amount"))
     assert round(_total_of(fine), 9) == 4.0
@@ -203,9 +205,38 @@ MANY = settings(
 @MANY
 @given(st.lists(st.floats(-1e17, 1e17), min_size=1, max_size=60))
 def test_money_sum_of_any_doubles_is_the_rounded_exact_sum(spark, amounts):
-    # Digits beyond 2^-60 are rounded for each amount.
-    units = sum(round(Fraction(a) * 2**60) for a in amounts)
-    assert _total(spark, amounts) == float(Fraction(units, 2**60))
+    assert _total(spark, amounts) == float(sum(map(Fraction, amounts)))
+
+
+@MANY
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=40))
+def test_money_sum_over_all_exponents(spark, amounts):
+    exact = sum(map(Fraction, amounts))
+    try:
+        wanted = float(exact)
+    except OverflowError:
+        wanted = math.copysign(math.inf, exact)
+    assert _total(spark, amounts) == wanted
+
+
+def test_sums_of_vast_amounts_do_not_depend_on_partitions(spark):
+    power = (F.rand(7) * 1900 - 950).cast("int")
+    amount = (F.rand(8) - 0.3) * F.pow(F.lit(2.0), power)
+    rows = spark.range(20_000).select(amount.alias("amount")).checkpoint()
+    totals = {_total_of(rows.repartition(n)) for n in (1, 3, 7, 13)}
+    assert totals == {math.fsum(r.amount for r in rows.collect())}
+
+
+def test_borders_of_bands(spark):
+    """Powers of two at which a band ends, their neighbours, and what cancels out."""
+    near = [2.0**e for e in range(-1074, 1024, 1) if (e + 4) % 60 in (0, 1, 59) or e % 60 in (53, 54)]
+    amounts = [x for v in near for x in (v, math.nextafter(v, 0), math.nextafter(v, math.inf))]
+    assert _total(spark, amounts) == float(sum(map(Fraction, amounts)))
+    assert _total(spark, [*amounts, *(-x for x in amounts[1:])]) == amounts[0]
+    assert _total(spark, [*amounts, *(-x for x in amounts)]) == 0.0
+    assert _total(spark, [1.7e308, 1.7e308, -1.7e308]) == 1.7e308
+    assert _total(spark, [1.0, 2.0**-53, 2.0**-1074]) == 1.0 + 2.0**-52
+    assert _total(spark, [1.0, 2.0**-53]) == 1.0
 
 
 @MANY

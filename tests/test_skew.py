@@ -76,7 +76,8 @@ def test_kpis_shuffle_one_row_per_group_and_task(spark):
         F.lit(3).alias("trans_hour"),
         F.lit("small").alias("amount_category"),
     )
-    assert shuffled_rows(kpis.kpi_fraud_vs_normal(transactions)) == [TASKS]
+    # One row per task, then one per group and band of amounts.
+    assert shuffled_rows(kpis.kpi_fraud_vs_normal(transactions)) == [1, TASKS]
     assert shuffled_rows(kpis.kpi_cells(transactions)) == [TASKS]
     # Cells once per task, then the single cell expanded to four levels.
     assert sorted(shuffled_rows(kpis.kpi_suite(transactions))) == [4, TASKS]

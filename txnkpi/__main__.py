@@ -39,6 +39,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument(
         "--strict", action="store_true", help="end with an error if a check fails"
     )
+    parser.add_argument("--history", help="folder of past runs' figures")
+    parser.add_argument("--run-id", help="name of this run in the history")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-user", default=os.getenv("JDBC_USER"))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
@@ -99,7 +101,8 @@ def run_stage(spark: SparkSession, args: argparse.Namespace) -> None:
             print(*row)
     else:
         where = args.raw, args.output, args.target
-        print(daily.run_pipeline(spark, *where, schema, args.strict, args.on_empty))
+        past = args.history, args.run_id
+        print(daily.run_pipeline(spark, *where, schema, args.strict, args.on_empty, *past))
     if args.jdbc_url and args.stage in ("publish", "run"):
         _load_jdbc(spark, args)
 

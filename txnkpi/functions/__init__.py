@@ -6,7 +6,7 @@ from txnkpi.functions.derive import (
     amount_category,
     trans_hour,
 )
-from txnkpi.functions.money import money_sums, money_total
+from txnkpi.functions.money import gathered, money_sums, money_total, with_bands
 from txnkpi.functions.rules import (
     CORRUPT,
     ENDLESS_TIME,
@@ -32,7 +32,9 @@ __all__ = [
     "fault",
     "has_criticals",
     "is_positive",
+    "gathered",
     "money_sums",
     "money_total",
+    "with_bands",
     "trans_hour",
 ]

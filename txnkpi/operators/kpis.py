@@ -1,7 +1,7 @@
 """KPI tables over clean transactions.
 
 Every KPI is a roll-up of one small table of *cells*, one row per (hour, amount bucket,
-class). ``kpi_cells`` makes it in a single scan, with one partial aggregate per row and a
+class) and band of amounts, of which usual amounts have one. ``kpi_cells`` makes it in a single scan, with one partial aggregate per row and a
 shuffle of at most a few hundred rows per task; the KPIs then read the cells only. Each
 KPI can also be taken straight from the transactions (``cells=False``).
 """
@@ -11,12 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnkpi.functions.money import merged_sums, money_sums, money_total
+from txnkpi.functions.money import (
+    BAND,
+    gathered,
+    merged_sums,
+    money_sums,
+    money_total,
+    with_bands,
+)
 
 CELL_KEYS = ("trans_hour", "amount_category", "is_fraud")
 
 TOP_FRAUD_ROWS = 20
 
+TOTAL = "_total"
+
 
 def _measures() -> list[Column]:
     """Partial results per group of transactions, all of which can be merged."""
@@ -27,12 +36,12 @@ def _measures() -> list[Column]:
         F.sum("is_fraud").alias("nb_fraud"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
-        *money_sums(F.col("amount")),
+        *money_sums(),
     ]
 
 
-def _merged_measures() -> list[Column]:
-    """The same partial results, merged over cells."""
+def _merged_counts() -> list[Column]:
+    """Partial results but for money, merged over cells or bands."""
 
     def counted(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0)).alias(name)
@@ -44,13 +53,17 @@ def _merged_measures() -> list[Column]:
         F.sum("nb_fraud").alias("nb_fraud"),
         F.min("min_amount").alias("min_amount"),
         F.max("max_amount").alias("max_amount"),
-        *merged_sums(),
     ]
 
 
+def _merged_measures() -> list[Column]:
+    """The same partial results, merged over cells of one band."""
+    return [*_merged_counts(), *merged_sums()]
+
+
 def _reported() -> dict[str, Column]:
     """Published figures from partial results: money to 2 places, rates to 4."""
-    total = money_total()
+    total = F.col(TOTAL)
     mean = total / F.nullif(F.col("nb_amounts"), F.lit(0))
     rate = F.col("nb_fraud") / F.nullif(F.col("nb_classes"), F.lit(0))
     return {
@@ -87,12 +100,22 @@ def _kpi(
     source: DataFrame, keys: tuple[str, ...], figures: tuple[str, ...], cells: bool
 ) -> DataFrame:
     """Figures per key, from transactions or from cells."""
-    measures = _merged_measures() if cells else _measures()
+    if cells:
+        banded = source.groupBy(*keys, BAND).agg(*_merged_measures())
+    else:
+        banded = with_bands(source).groupBy(*keys, BAND).agg(*_measures())
     reported = _reported()
+    return _totalled(banded, keys).select(
+        *keys, *[reported[name].alias(name) for name in figures]
+    )
+
+
+def _totalled(banded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Partial results per key and band, put together per key with the exact total."""
     return (
-        source.groupBy(*keys)
-        .agg(*measures)
-        .select(*keys, *[reported[name].alias(name) for name in figures])
+        banded.groupBy(*keys)
+        .agg(*_merged_counts(), *gathered())
+        .withColumn(TOTAL, money_total())
     )
 
 
@@ -142,7 +165,7 @@ def kpi_cells(transactions: DataFrame) -> DataFrame:
         | F.isnan("amount")
         | F.col("is_fraud").isNull()
     )
-    return transactions.groupBy(*CELL_KEYS).agg(
+    return with_bands(transactions).groupBy(*CELL_KEYS, BAND).agg(
         *_measures(),
         F.count(F.lit(1)).alias("nb_rows"),
         F.count_if(missing).alias("nb_missing"),
@@ -161,16 +184,17 @@ def kpi_suite(transactions: DataFrame) -> DataFrame:
 
 def suite_of_cells(cells: DataFrame) -> DataFrame:
     """``kpi_suite`` from cells that are there already, of one day or of many."""
-    sets = [[], ["trans_hour"], ["amount_category"], ["is_fraud"]]
+    sets = [[BAND], ["trans_hour", BAND], ["amount_category", BAND], ["is_fraud", BAND]]
     reported = _reported()
-    rolled = cells.groupingSets(sets, *CELL_KEYS).agg(
+    rolled = cells.groupingSets(sets, *CELL_KEYS, BAND).agg(
         F.grouping_id().alias("level"), *_merged_measures()
     )
-    # grouping_id sets a bit for each key that is rolled up: hour 4, bucket 2, class 1.
+    rolled = _totalled(rolled, ("level", *CELL_KEYS))
+    # grouping_id sets a bit for each key that is rolled up: hour 8, bucket 4, class 2.
     name = (
-        F.when(F.col("level") == 7, "kpi_global")
-        .when(F.col("level") == 3, "kpi_by_hour")
-        .when(F.col("level") == 5, "kpi_by_amount_category")
+        F.when(F.col("level") == 14, "kpi_global")
+        .when(F.col("level") == 6, "kpi_by_hour")
+        .when(F.col("level") == 10, "kpi_by_amount_category")
         .otherwise("kpi_fraud_vs_normal")
     )
     figures = [f for f in reported if f != "fraud_rate"]
@@ -193,14 +217,21 @@ def kpi_by_category(transactions: DataFrame) -> DataFrame:
 
 def _table_kpi(transactions: DataFrame, key: str, figures: tuple[str, ...]) -> DataFrame:
     """KPI over the declared transactions table, which has no time-of-day column."""
-    reported = _reported()
-    return (
-        transactions.groupBy(key)
+    banded = (
+        with_bands(transactions)
+        .groupBy(key, BAND)
         .agg(
             F.count(F.lit(1)).alias("nb_transactions"),
             F.count("is_fraud").alias("nb_classes"),
             F.sum("is_fraud").alias("nb_fraud"),
-            *money_sums(F.col("amount")),
+            *money_sums(),
         )
+    )
+    counts = [F.sum(n).alias(n) for n in ("nb_transactions", "nb_classes", "nb_fraud")]
+    reported = _reported()
+    return (
+        banded.groupBy(key)
+        .agg(*counts, *gathered())
+        .withColumn(TOTAL, money_total())
         .select(key, *[reported[name].alias(name) for name in figures])
     )

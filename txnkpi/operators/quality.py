@@ -114,6 +114,48 @@ def gate_kpis(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataF
     return report
 
 
+#: Median deviations of a normal distribution in one standard deviation.
+NORMAL = 1.4826
+
+
+def gate_history(
+    past: DataFrame,
+    now: DataFrame,
+    least_runs: int = 5,
+    width: float = 5.0,
+    share: float = 0.1,
+) -> DataFrame:
+    """Figures of a run (check, measured) against those of past runs (run, check, measured).
+
+    One row per check, with the number of past runs and the band it should lie in: ``width``
+    robust standard deviations around the median, and at least ``share`` of the median. Medians
+    let a few bad runs pass into the history without moving the band. A check that past runs
+    measured and this one did not fails. With fewer than ``least_runs`` past runs nothing is
+    judged: the check passes. Figures that are NULL are not counted as runs.
+    """
+    known = past.filter(F.col("measured").isNotNull())
+    middle = known.groupBy("check").agg(
+        F.median("measured").alias("median"), F.count("measured").alias("runs")
+    )
+    away = F.abs(F.col("measured") - F.col("median"))
+    spread = known.join(middle, "check").groupBy("check", "median", "runs")
+    spread = spread.agg(F.median(away).alias("deviation"))
+    half = F.greatest(F.col("deviation") * NORMAL * width, F.abs("median") * share)
+    bands = spread.select(
+        "check", "runs", (F.col("median") - half).alias("low"), (F.col("median") + half).alias("high")
+    )
+    inside = F.coalesce(F.col("measured").between(F.col("low"), F.col("high")), F.lit(False))
+    runs = F.coalesce("runs", F.lit(0))
+    return now.select("check", "measured").join(bands, "check", "full").select(
+        "check",
+        ((runs < least_runs) | inside).alias("passed"),
+        "measured",
+        runs.cast("bigint").alias("runs"),
+        "low",
+        "high",
+    )
+
+
 def failed(report: DataFrame) -> list[str]:
     """Names of failed checks; a gate report has a handful of rows."""
     return [row["check"] for row in report.filter(~F.col("passed")).collect()]

@@ -99,6 +99,14 @@ def events_huge(spark: SparkSession, folder: str) -> DataFrame:
     return _raw(df, _seconds_since("2024-01-01 00:00:00"), amount, _error())
 
 
+def events_vast(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts on both sides of 2^60 and amounts below 10^-6, in whole units of 2^-30."""
+    df = _table(spark, folder, "events")
+    scale = F.when(F.col("user_id") % 3 == 0, 2.0**54).when(F.col("user_id") % 3 == 1, 2.0**-20)
+    amount = F.floor(F.col("value") * 1024) / 1024 * scale.otherwise(1.0)
+    return _raw(df, _seconds_since("2024-01-01 00:00:00"), amount, _error())
+
+
 def events_sold(spark: SparkSession, folder: str) -> DataFrame:
     """Events with all columns of the declared transactions table."""
     df = _table(spark, folder, "events")

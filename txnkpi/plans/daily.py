@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from txnkpi.operators import cleaning, publishing, quality
+from txnkpi.operators import cleaning, profile, publishing, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.kpis import kpi_cells
 from txnkpi.operators.sizing import sized, sized_for
+from txnkpi.plans import run_figures
 from txnkpi.plans.registry import REGISTRY, Kpi
 from txnkpi.sources import paths, published, tables
 from txnkpi.sources.raw_csv import infer_raw_schema, read_raw
@@ -35,17 +36,19 @@ def ingest(
     output: str,
     schema: StructType | str | None = None,
     rejects: bool = False,
+    profiled: bool = False,
 ) -> dict[str, int]:
     """CSV to clean Parquet in one pass over the input; returns the row counts.
 
     The counts ride on the write, observed behind the shuffle where a task's figures
     count once even if it runs twice. With ``rejects`` refused rows are kept as well, see
-    ``write_clean_and_rejects``.
+    ``write_clean_and_rejects``. With ``profiled`` sketches of every column of the clean rows
+    ride on the same write and are kept beside them; read them with ``read_profile``.
     """
     need_source(spark, raw_path)
     raw = read_raw(spark, raw_path, schema)
     with sized(raw):
-        return (write_clean_and_rejects if rejects else write_clean)(raw, output)
+        return (write_clean_and_rejects if rejects else write_clean)(raw, output, profiled)
 
 
 def need_source(spark: SparkSession, raw_path: str) -> None:
@@ -54,21 +57,37 @@ def need_source(spark: SparkSession, raw_path: str) -> None:
         raise FileNotFoundError(f"no raw transactions at {raw_path}")
 
 
-def write_clean(raw: DataFrame, output: str) -> dict[str, int]:
+def write_clean(raw: DataFrame, output: str, profiled: bool = False) -> dict[str, int]:
     """Clean raw rows, write them and return the row counts."""
-    seen = Observation()
+    seen, sketches = Observation(), Observation()
     counted = cleaning.count_copies(raw).observe(seen, *cleaning.report_columns())
-    tables.write(cleaning.clean_counted(counted), tables.clean_path(output))
+    clean = cleaning.clean_counted(counted)
+    schema = clean.schema
+    if profiled:
+        clean = clean.observe(sketches, *profile.measures(schema))
+    tables.write(clean, tables.clean_path(output))
+    if profiled:
+        _write_profile(raw.sparkSession, schema, sketches, output)
     return dict(seen.get)
 
 
-def write_clean_and_rejects(raw: DataFrame, output: str) -> dict[str, int]:
+def _write_profile(spark: SparkSession, schema: StructType, seen: Observation, output: str) -> None:
+    rows = profile.profile_of(spark, schema, seen.get).coalesce(1)
+    tables.write(rows, tables.profile_path(output))
+
+
+def read_profile(spark: SparkSession, output: str) -> DataFrame:
+    """The kept profile of the clean rows; ``profile.merge`` and ``profile.report`` take it."""
+    return tables.read(spark, tables.profile_path(output))
+
+
+def write_clean_and_rejects(raw: DataFrame, output: str, profiled: bool = False) -> dict[str, int]:
     """Like ``write_clean``, with every refused row beside the clean ones.
 
     Both come out of one pass and one write: a table with a part of clean rows and a part of
     rejected ones (reason, file, text, rows). Read them with ``read_ingested``.
     """
-    seen = Observation()
+    seen, sketches = Observation(), Observation()
     counted = cleaning.count_copies(raw, rejects=True).observe(seen, *cleaning.report_columns())
     kept = F.col(cleaning.FAULT).isNull()
     clean = cleaning.clean_counted(counted).columns
@@ -85,8 +104,13 @@ def write_clean_and_rejects(raw: DataFrame, output: str) -> dict[str, int]:
     if taken:
         raise ValueError(f"raw columns {sorted(taken)} clash with those of rejected rows")
     rows = rows.transform(cleaning.name_and_type).transform(cleaning.derive)
+    schema = rows.select(*map(cleaning.quoted, clean)).schema
     rows = rows.select(*map(cleaning.quoted, clean), *REJECT_COLUMNS, tables.KIND)
+    if profiled:
+        rows = rows.observe(sketches, *profile.measures(schema, F.col(tables.KIND) == "clean"))
     rows.write.mode("overwrite").partitionBy(tables.KIND).parquet(tables.ingested_path(output))
+    if profiled:
+        _write_profile(raw.sparkSession, schema, sketches, output)
     return dict(seen.get)
 
 
@@ -226,12 +250,17 @@ def run_pipeline(
     schema: StructType | str | None = None,
     strict: bool = False,
     on_empty: str = publishing.KEEP,
+    history: str | None = None,
+    run: str | None = None,
 ) -> RunReport:
     """The whole daily run. ``strict`` stops at the first gate with a failed check.
 
     Without it checks are reported only. A source that is absent or lacks a required
-    column ends the run either way.
+    column ends the run either way. With a folder of past figures and a name for this run, its
+    counts must lie where those of past runs did, and are kept there once all is published.
     """
+    if (history is None) != (run is None):
+        raise ValueError("a history needs the name of the run, and the other way round")
     report = RunReport()
 
     def gate(name: str, frame: DataFrame) -> None:
@@ -244,9 +273,14 @@ def run_pipeline(
     gate("source", check_source(raw))
     report.counts = ingest(spark, raw_path, output, schema)
     gate("ingest", check_ingest(spark, report.counts))
+    if history:
+        figures = run_figures.of_counts(spark, report.counts)
+        gate("history", quality.gate_history(run_figures.past(spark, history, run), figures))
     report.clean_files = clean_files(spark, output)
     transform(spark, output)
     gate("clean", check_clean(spark, output))
     gate("kpis", check_kpis(spark, output))
     report.published = publish(spark, output, root, on_empty)
+    if history:
+        run_figures.remember(run_figures.of_run(figures, run), history, run)
     return report

@@ -20,9 +20,6 @@ from txnkpi.sources import published
 
 CELLS, TOP = "cells_by_day", "top_fraud_by_day"
 
-MOST_TRIES = 20
-
-
 def add_day(transactions: DataFrame, root: str, day: str) -> int:
     """Add or replace a day of clean transactions; returns the version that has it.
 
@@ -35,18 +32,7 @@ def add_day(transactions: DataFrame, root: str, day: str) -> int:
         name: published.stage(df, root, name)
         for name, df in ((CELLS, kpi_cells(transactions)), (TOP, top))
     }
-    for _ in range(MOST_TRIES):
-        base = published.snapshot(spark, root)
-        changed = {}
-        for name, table in made.items():
-            old = base.tables.get(name)
-            parts = {**(old.parts if old else {}), day: table.parts["all"]}
-            changed[name] = published.Table(parts, schema=table.schema)
-        try:
-            return published.commit(spark, root, base, changed)
-        except published.PublishConflict:
-            continue
-    raise published.PublishConflict(f"{root} was published over {MOST_TRIES} times in a row")
+    return published.commit_parts(spark, root, day, made)
 
 
 def _table(spark: SparkSession, root: str, name: str, version: int | None) -> DataFrame:

@@ -54,6 +54,13 @@ RAW = {
         ", event_type",
     ),
     "events_fine": _binding(START, "value / 1e7", ERROR, "events"),
+    "events_vast": _binding(
+        START,
+        "floor(value * 1024) / 1024 * case user_id % 3 when 0 then 18014398509481984.0::double "
+        "when 1 then 1 / 1048576.0::double else 1.0::double end",
+        ERROR,
+        "events",
+    ),
     "events_huge": _binding(
         START,
         "value * case user_id % 3 when 0 then 1e7 when 1 then 1e10 else 1.0::double end "
@@ -160,6 +167,10 @@ SUM = (
     f"sum(cast(round_even((amount - trunc(amount)) * {UNIT}::double, 0) as hugeint)))"
 )
 TOTAL = f"(cast(cast({SUM} as varchar) as double) / {UNIT}::double)"
+# For amounts in whole units of 2^-30, up to 2^96 of them.
+VAST_UNIT = "1073741824::double"
+VAST_SUM = f"sum(cast(amount * {VAST_UNIT} as hugeint))"
+VAST_TOTAL = f"(cast(cast({VAST_SUM} as varchar) as double) / {VAST_UNIT})"
 FIGURES = {
     "nb_transactions": "count(trans_time)",
     "total_amount": _round(TOTAL, 2),
@@ -347,6 +358,50 @@ def _rejects(raw: str) -> str:
     )
 
 
+def _gate_history(dated: str) -> str:
+    """Days before the 20th as runs, against a fifth of that day's rows."""
+    names = ("clean_rows", "categories", "hours")
+    figures = (
+        "select cast(trans_date as varchar) as run, count(*) as clean_rows, "
+        "count(distinct category) as categories, count(distinct trans_hour) as hours "
+        f"from ({dated}) where trans_date < date '2024-01-20' "
+        "or (trans_date = date '2024-01-20' and cast(floor(trans_time) as bigint) % 5 = 0) group by run"
+    )
+    long = " union all ".join(
+        f"select run, '{n}' as \"check\", {n} as measured from figures" for n in names
+    )
+    return (
+        f"with figures as ({figures}), long as ({long}), past as ("
+        "select \"check\", count(*) as runs, median(measured) as middle, "
+        "greatest(mad(measured) * 1.4826::double * 5, abs(median(measured)) * 0.1::double) as half "
+        "from long where run < '2024-01-20' group by \"check\") "
+        "select \"check\", measured between middle - half and middle + half as passed, measured, "
+        "runs, middle - half as low, middle + half as high "
+        "from long join past using (\"check\") where run = '2024-01-20'"
+    )
+
+
+def _profile(rows: str, columns: dict[str, bool], exact: bool) -> str:
+    """Figures of every column; numeric ones have an order."""
+    parts = []
+    for name, numeric in columns.items():
+        c = f'"{name}"'
+        ends = [f"cast({f}({c}) as double)" if numeric else "null::double" for f in ("min", "max")]
+        figures = f"{ends[0]} as least, {ends[1]} as highest, "
+        if exact:
+            figures += f'count(distinct {c}) as "distinct"'
+            for cut, label in ((0.25, "q25"), (0.5, "median"), (0.75, "q75")):
+                value = f"cast(quantile_disc({c}, {cut}) as double)" if numeric else "null::double"
+                figures += f", {value} as {label}"
+        else:
+            figures += "true as distinct_within, true as median_within"
+        parts.append(f"select '{name}' as \"column\", count({c}) as rows, {figures} from ({rows})")
+    return " union all ".join(parts)
+
+
+NUMBERS = {"trans_time": True, "amount": True, "is_fraud": True, "user_id": True}
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     named = "cast(\"Time\" as double) as trans_time"
@@ -422,6 +477,18 @@ def oracle_sql() -> dict[str, str]:
         "kpi_suite_incremental": _suite(CLEAN["events"]),
         "kpi_top_fraud_incremental": _kpi("kpi_top_fraud_amounts", CLEAN["events"]),
         "ingest_rejects": _rejects(RAW["events_messy"]),
+        "ingest_profile": _profile(
+            wide, {**NUMBERS, "event_type": False, "trans_hour": True, "amount_category": False}, False
+        ),
+        "profile_exact": _profile(
+            RAW["events_wide"],
+            {"Time": True, "Amount": True, "Class": True, "user_id": True, "event_type": False},
+            True,
+        ),
+        "gate_history": _gate_history(dated),
+        "read_evolved": "select event_id, user_id, case when day(ts) <= 10 "
+        "then cast(cast(value as float) as double) else value end as value, "
+        "case when day(ts) > 20 then event_type end as event_type from events",
         "kpi_daily": f"select trans_date, {by_date} from ({dated}) group by trans_date",
         "kpi_by_category": f"select category, {by_category} from ({dated}) "
         "group by category",
@@ -429,11 +496,12 @@ def oracle_sql() -> dict[str, str]:
     for name in [*KPI_FIGURES, "kpi_top_fraud_amounts"]:
         roundtrip = "kpi_roundtrip" if name == "kpi_by_hour" else f"{name}_roundtrip"
         found[roundtrip] = _kpi(name, CLEAN["lineitem"])
-    for suffix in ("fine", "huge"):
+    for suffix in ("fine", "huge", "vast"):
         clean = CLEAN[f"events_{suffix}"]
+        total = VAST_TOTAL if suffix == "vast" else TOTAL
         for name in ("kpi_global", "kpi_by_hour", "kpi_fraud_vs_normal"):
-            found[f"{name}_{suffix}"] = _kpi(name, clean)
-        found[f"kpi_suite_{suffix}"] = _suite(clean)
+            found[f"{name}_{suffix}"] = _kpi(name, clean).replace(TOTAL, total)
+        found[f"kpi_suite_{suffix}"] = _suite(clean).replace(TOTAL, total)
     for binding in ("events", "customer", "lineitem"):
         suffix = "" if binding == "events" else f"_{binding}"
         for name in [*KPI_FIGURES, "kpi_top_fraud_amounts"]:

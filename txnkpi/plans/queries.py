@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnkpi.operators import cleaning, kpis, quality
+from txnkpi.operators import cleaning, kpis, profile, quality
 from txnkpi.operators.conforming import conform
 from txnkpi.operators.publishing import refresh, upsert
 from txnkpi.plans import bindings as b
-from txnkpi.plans import by_day, daily, history, incremental
+from txnkpi.plans import by_day, daily, history, incremental, run_figures
 from txnkpi.plans.registry import DECLARED_ONLY, REGISTRY
-from txnkpi.sources import paths, published, tables
+from txnkpi.sources import evolving, paths, published, tables
 from txnkpi.sources.raw_csv import read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +247,79 @@ def _ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return refused.unionByName(kept).withColumn("raw_rows", F.lit(counts["raw_rows"]).cast("bigint"))
 
 
+PLANTED = "2024-01-20"
+
+
+def _gate_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Days are runs; the one judged has lost four rows of five."""
+    root = paths.scratch(spark, "figures")
+    rows = b.cleaned(b.events_dated, spark, folder)
+    rows = rows.withColumn("run", F.col("trans_date").cast("string")).filter(F.col("run") <= PLANTED)
+    rows = rows.filter((F.col("run") < PLANTED) | (F.floor("trans_time") % 5 == 0))
+    figures = rows.groupBy("run").agg(
+        F.count("*").alias("clean_rows"),
+        F.count_distinct("category").alias("categories"),
+        F.count_distinct("trans_hour").alias("hours"),
+    )
+    path = paths.scratch(spark, "measured")
+    tables.write(figures.unpivot("run", ["clean_rows", "categories", "hours"], "check", "measured"), path)
+    measured = tables.read(spark, path)
+    late = F.col("run") == "2024-01-19"
+    run_figures.remember(measured.filter(~late), root, "all before")
+    run_figures.remember(measured.filter(late).withColumn("measured", F.lit(7)), root, "2024-01-19")
+    run_figures.remember(measured.filter(late), root, "2024-01-19")
+    past = run_figures.past(spark, root, PLANTED).filter(F.col("run") < PLANTED)
+    return quality.gate_history(past, measured.filter(F.col("run") == PLANTED))
+
+
+def _read_evolved(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of three times, each with a wider schema; the first one is published twice."""
+    root = paths.scratch(spark, "evolving")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    day = F.dayofmonth("ts")
+    narrow = ["event_id", F.col("user_id").cast("int").alias("user_id"), F.col("value").cast("float").alias("value")]
+    evolving.add_part(events.filter(day <= 12).select(*narrow), root, "events", "early")
+    evolving.add_part(events.filter((day > 10) & (day <= 20)).select("event_id", "user_id", "value"), root, "events", "middle")
+    evolving.add_part(events.filter(day > 20).select("event_id", "event_type", "user_id", "value"), root, "events", "late")
+    evolving.add_part(events.filter(day <= 10).select(*narrow), root, "events", "early")
+    return evolving.read_evolved(spark, root, "events")
+
+
+def _ingest_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketched figures of an ingest's own pass, held against the rows it wrote."""
+    path, output = paths.scratch(spark, "raw"), paths.scratch(spark, "output")
+    b.events_wide(spark, folder).write.csv(path, header=True)
+    daily.ingest(spark, path, output, WIDE_SCHEMA, profiled=True)
+    clean = tables.read(spark, tables.clean_path(output))
+    sketched = profile.report(profile.merge(daily.read_profile(spark, output)))
+    frames = []
+    for row in sketched.collect():  # one per column
+        value = F.col(row["column"])
+        near = F.abs(F.lit(row["distinct"]) / F.count_distinct(value) - 1) <= profile.DISTINCT_ERROR
+        ranks = F.lit(True)
+        if row["median"] is not None:
+            under, to = (F.count_if(x) / F.count(value) for x in (value < row["median"], value <= row["median"]))
+            ranks = (under <= 0.5 + profile.RANK_ERROR) & (to >= 0.5 - profile.RANK_ERROR)
+        frames.append(
+            clean.agg(
+                F.lit(row["column"]).alias("column"),
+                F.lit(row["rows"]).cast("bigint").alias("rows"),
+                F.lit(row["least"]).cast("double").alias("least"),
+                F.lit(row["highest"]).cast("double").alias("highest"),
+                near.alias("distinct_within"),
+                ranks.alias("median_within"),
+            )
+        )
+    first, *rest = frames
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first
+
+
+def _exact_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.exact_profile(b.events_wide(spark, folder))
+
+
 def _conform(name: str) -> Query:
     kpi = REGISTRY[name]
     return _clean_query(b.events, lambda df: conform(kpi.build(df), kpi.schema, strict=True))
@@ -320,6 +393,10 @@ def queries() -> dict[str, Query]:
         "kpi_suite_incremental": _suite_incremental,
         "kpi_top_fraud_incremental": _top_incremental,
         "ingest_rejects": _ingest_rejects,
+        "ingest_profile": _ingest_profile,
+        "profile_exact": _exact_profile,
+        "gate_history": _gate_history,
+        "read_evolved": _read_evolved,
         "kpi_daily": _clean_query(b.events_dated, kpis.kpi_daily),
         "kpi_by_category": _clean_query(b.events_dated, kpis.kpi_by_category),
     }
@@ -349,7 +426,11 @@ KPI_BINDINGS: dict[str, b.Binding] = {
 
 
 # Where money sums need every digit.
-EXACT_BINDINGS: dict[str, b.Binding] = {"_fine": b.events_fine, "_huge": b.events_huge}
+EXACT_BINDINGS: dict[str, b.Binding] = {
+    "_fine": b.events_fine,
+    "_huge": b.events_huge,
+    "_vast": b.events_vast,
+}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

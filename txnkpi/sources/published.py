@@ -37,7 +37,8 @@ class PublishConflict(RuntimeError):
 class Table:
     """Folders of a published table, relative to the root, by part; bucketed if it has a key.
 
-    ``version`` is the publication that changed it last.
+    ``version`` is the publication that changed it last. See ``evolving`` for parts of different
+    schemas.
     """
 
     parts: dict[str, str]
@@ -45,6 +46,9 @@ class Table:
     buckets: int = 1
     schema: str | None = None
     version: int = 0
+    #: Where parts differ in schema: all of them by id, and the id of each part's.
+    schemas: dict[str, str] = field(default_factory=dict)
+    part_schemas: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -135,6 +139,29 @@ def write_version(df: DataFrame, root: str, table: str, base: Snapshot | None =
     return commit(spark, root, base, {table: stage(df, root, table)})
 
 
+MOST_TRIES = 20
+
+
+def commit_parts(spark: SparkSession, root: str, part: str, staged: dict[str, Table]) -> int:
+    """Add staged tables as a part of each published one, or in place of the part so named.
+
+    Several parts may be added at the same time: one that finds another publication in its way
+    is named on top of that.
+    """
+    for _ in range(MOST_TRIES):
+        base = snapshot(spark, root)
+        changed = {}
+        for name, table in staged.items():
+            old = base.tables.get(name)
+            parts = {**(old.parts if old else {}), part: table.parts["all"]}
+            changed[name] = Table(parts, schema=table.schema)
+        try:
+            return commit(spark, root, base, changed)
+        except PublishConflict:
+            continue
+    raise PublishConflict(f"{root} was published over {MOST_TRIES} times in a row")
+
+
 # --- tables in buckets of a key
 
 

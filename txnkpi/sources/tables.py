@@ -16,6 +16,7 @@ CLEAN = "transactions_clean"
 INGESTED, KIND = "ingested", "kind"
 CELLS = "kpi_cells"
 KPIS = "kpis"
+PROFILE = "profile"
 
 
 def clean_path(output: str) -> str:
@@ -28,6 +29,11 @@ def ingested_path(output: str, kind: str | None = None) -> str:
     return paths.join(output, INGESTED, *([f"{KIND}={kind}"] if kind else []))
 
 
+def profile_path(output: str) -> str:
+    """Folder of the sketches of the clean transactions' columns."""
+    return paths.join(output, PROFILE)
+
+
 def cells_path(output: str) -> str:
     """Folder of the partial results the KPIs are rolled up from."""
     return paths.join(output, CELLS)
