@@ -201,3 +201,18 @@ def test_the_session_names_the_key(spark):
         assert pii.session_key(spark) == "mine"
     finally:
         spark.conf.unset("spark.txnkpi.surrogates.key")
+
+
+def test_plans_of_the_driver_stay_small(spark, monkeypatch):
+    """Plans in which each use of a value was another copy of it took hundreds of MB of the driver."""
+    sizes, written = {}, pii.written
+
+    def measured(df, name):
+        sizes[name] = max(sizes.get(name, 0), len(df._jdf.queryExecution().optimizedPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(pii, "written", measured)
+    docs = spark.createDataFrame([(1, "Dr. Ann Lee, ann.lee@example.com, +1 555 010 9999, 2001:db8::1")], "doc_id bigint, text string")
+    assert "Lee" not in pii.replace_pii(docs, "k").first()["text"]
+    assert {"draws", "surrogates", "rendered"} <= set(sizes)
+    assert max(sizes.values()) < 40_000, sizes

@@ -193,23 +193,19 @@ def _number(stream: Column, i: Column) -> Column:
     return F.conv(F.substring(stream, (i % _DRAWS) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _pick(choices: str, number: Column) -> Column:
-    return F.substring(F.lit(choices), number % len(choices) + 1, F.lit(1))
+def _pick(choices: Column, number: Column) -> Column:
+    return F.substring(choices, number % F.length(choices) + 1, F.lit(1))
 
 
-def _same_form(text: Column, stream: Column, letters: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
+def _same_form(text: Column, stream: Column, letters: Column) -> Column:
     """The text with drawn digits for digits and letters for letters; a leading digit is not 0."""
 
     def change(c: Column, i: Column) -> Column:
-        n = _number(stream, i)
-        drawn = (
-            F.when(c.rlike("[0-9]"), F.when(i == 0, _pick("123456789", n)).otherwise(_pick("0123456789", n)))
-            .when(c.rlike("[a-z]"), _pick(letters, n))
-            .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
-        )
+        choices = F.when(c.rlike("[0-9]"), F.when(i == 0, "123456789").otherwise("0123456789")).when(c.rlike("[a-z]"), letters)
+        choices = choices.when(c.rlike("[A-Z]"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
         for (first, last), alphabet in ALPHABETS.items():
-            drawn = drawn.when(c.between(first, last), _pick(alphabet, n))
-        return drawn.when(c > "\x7f", _pick(letters, n)).otherwise(c)
+            choices = choices.when(c.between(first, last), alphabet)
+        return F.coalesce(_pick(choices.when(c > "\x7f", letters), _number(stream, i)), c)
 
     return F.array_join(F.transform(F.split(text, ""), change), "")
 
@@ -220,7 +216,8 @@ def _same_ipv6(digits: Column, stream: Column) -> Column:
     def change(c: Column, i: Column) -> Column:
         n, before = _number(stream, i), F.substring(digits, i - i % 4 + 1, i % 4)
         zeros = F.regexp_replace(before, "0", "") == ""
-        return F.when(zeros, F.when(c == "0", c).otherwise(_pick("123456789abcdef", n))).otherwise(_pick("0123456789abcdef", n))
+        choices = F.when(zeros, F.when(c != "0", "123456789abcdef")).otherwise("0123456789abcdef")
+        return F.coalesce(_pick(choices, n), c)
 
     return F.array_join(F.transform(F.split(digits, ""), change), "")
 
@@ -248,67 +245,87 @@ def _iban_check(country: Column, rest: Column) -> Column:
     return F.lpad((98 - value).cast("string"), 2, "0")
 
 
+def _pool() -> Column:
+    """What a name's surrogate is drawn from: first names of its gender and script, or syllables of its script."""
+    part, norm = F.col("part"), F.col("norm")
+    words = F.when(part == "surname", " ".join(SYLLABLES["latin"]))
+    for script in ("cyrillic", "greek"):
+        words = F.when((part == "surname") & norm.startswith(f"{script}:"), " ".join(SYLLABLES[script])).otherwise(words)
+    for script in SYLLABLES:
+        for gender in ("m", "f", "n"):
+            names = [n.lower() for (g, s), pool in FIRST_NAMES.items() if s == script and gender in (g, "n") for n in pool]
+            words = F.when((part == "given") & norm.startswith(f"{gender}:{script}:"), " ".join(names)).otherwise(words)
+    return F.split(words, " ")
+
+
 def _surrogates(units: DataFrame, key: str) -> DataFrame:
-    """Adds ``drawn``, each unit's surrogate at its ``attempt``."""
-    seed = F.concat_ws("|", F.lit(key), "part", "norm", F.col("attempt").cast("string"))
-    stream = F.concat(*(F.sha2(F.concat_ws("|", seed, F.lit(str(i))), 256) for i in range(_HASHES)))
-    d = units.withColumn("_stream", stream)
-    norm, stream = F.col("norm"), F.col("_stream")
-    extra = F.greatest(F.col("attempt") - _LONGER_FROM + 1, F.lit(0))
-    tail_digits = F.substring(F.regexp_replace(F.conv(F.substring(stream, 1, 12), 16, 10), "^0", "1"), F.lit(1), extra)
+    """Adds ``drawn``, each unit's surrogate at its ``attempt``.
+
+    What several kinds need is a column of its own, written out once: each further copy of
+    its expression costs the driver memory in every plan it makes of this.
+    """
+    part, norm, attempt = F.col("part"), F.col("norm"), F.col("attempt")
+    seed = F.concat_ws("|", F.lit(key), "part", "norm", attempt.cast("string"))
+    d = units.withColumn("_stream", F.concat(*(F.sha2(F.concat_ws("|", seed, F.lit(str(i))), 256) for i in range(_HASHES))))
+    stream, extra = F.col("_stream"), F.greatest(attempt - _LONGER_FROM + 1, F.lit(0))
+    d = d.withColumn("_tail", F.substring(F.regexp_replace(F.conv(F.substring(stream, 1, 12), 16, 10), "^0", "1"), F.lit(1), extra))
+    tail_digits = F.col("_tail")
     tail_letters = F.translate(tail_digits, "0123456789", "bdfgklmprs")
     number = F.concat(norm, tail_digits)
-    local = F.concat(F.substring_index(norm, "@", 1), tail_letters)
-    labels = F.regexp_extract(norm, r"^(.*)(\.[^.]+)$", 1)
-    domain = F.concat(_same_form(F.concat(labels, tail_letters), stream), F.regexp_extract(norm, r"^(.*)(\.[^.]+)$", 2))
-    card_body = _same_form(F.substring(number, F.lit(1), F.length(number) - 1), stream)
-    card_body = F.concat(F.substring(norm, 1, 1), F.substring(card_body, 2, 64))
+
+    # The characters of most kinds are changed one by one.
+    hexadecimal = (part == "secret") & norm.rlike("^[0-9a-f]+$")
+    text = (
+        F.when(part == "email", F.concat(F.substring_index(norm, "@", 1), tail_letters))
+        .when(part == "domain", F.concat(F.regexp_extract(norm, r"^(.*)(\.[^.]+)$", 1), tail_letters))
+        .when(part == "card", F.substring(number, F.lit(1), F.length(number) - 1))
+        .when(part == "iban", F.concat(F.substring(norm, 5, 64), tail_digits))
+        .when(part == "phone", F.expr("substring(norm, length(regexp_extract(norm, r'^(\\+(?:[17]|[0-9]{2}))', 1)) + 1)"))
+        .when(hexadecimal, number)
+        .when(part == "secret", F.concat(norm, tail_letters))
+        .when(~part.isin("ip", "ipv6", "surname", "given"), number)
+    )
+    letters = F.when(hexadecimal, "abcdef").otherwise("abcdefghijklmnopqrstuvwxyz")
+    d = d.withColumns({"_text": text, "_letters": letters, "_pool": _pool()})
+    d = d.withColumn("_formed", _same_form(F.col("_text"), stream, F.col("_letters")))
+    formed, pool = F.col("_formed"), F.col("_pool")
+
+    domain = F.concat(formed, F.regexp_extract(norm, r"^(.*)(\.[^.]+)$", 2))
+    card_body = F.concat(F.substring(norm, 1, 1), F.substring(formed, 2, 64))
     valid = _luhn_digit(F.substring(norm, F.lit(1), F.length(norm) - 1)) == F.substring(norm, -1, 1)
-    card = F.concat(card_body, F.when(valid, _luhn_digit(card_body)).otherwise(_pick("0123456789", _number(stream, F.lit(_DRAWS - 1)))))
-    iban_rest = _same_form(F.concat(F.substring(norm, 5, 64), tail_digits), stream)
+    card = F.concat(card_body, F.when(valid, _luhn_digit(card_body)).otherwise(_pick(F.lit("0123456789"), _number(stream, F.lit(_DRAWS - 1)))))
     country = F.substring(norm, 1, 2)
-    iban = F.concat(country, _iban_check(country, iban_rest), iban_rest)
+    iban = F.concat(country, _iban_check(country, formed), formed)
     octets = [(_number(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]
     ip = F.concat_ws(":", F.concat_ws(".", *octets), F.when(extra > 0, tail_digits))
-    ipv6 = F.when(extra > 0, _same_ipv6(F.lit("f" * 32), stream)).otherwise(_same_ipv6(norm, stream))
-    plus = F.regexp_extract(norm, r"^(\+(?:[17]|[0-9]{2}))", 1)
-    phone = F.concat(plus, _same_form(F.expr("substring(norm, length(regexp_extract(norm, r'^(\\+(?:[17]|[0-9]{2}))', 1)) + 1)"), stream), tail_digits)
-    hexadecimal = norm.rlike("^[0-9a-f]+$")
-    secret = F.when(hexadecimal, _same_form(F.concat(norm, tail_digits), stream, "abcdef")).otherwise(
-        _same_form(F.concat(norm, tail_letters), stream)
-    )
+    ipv6 = _same_ipv6(F.when(extra > 0, F.lit("f" * 32)).otherwise(norm), stream)
+    phone = F.concat(F.regexp_extract(norm, r"^(\+(?:[17]|[0-9]{2}))", 1), formed, tail_digits)
 
-    def syllables(script: str) -> Column:
-        made = [F.get(F.array(*map(F.lit, SYLLABLES[script])), _number(stream, F.lit(i)) % len(SYLLABLES[script])) for i in range(4)]
-        more = F.when(extra > 0, F.translate(tail_digits, "0123456789", 2 * VOWELS[script]))
-        ending = F.regexp_extract(norm, f"({ENDINGS})$", 1)
-        return F.concat_ws("", *made[:3], F.when(F.col("attempt") > 1, made[3]), more, ending)
+    def drawn_from_pool(last: Column, real: Column) -> Column:
+        """Words of the pool by numbers 0 to ``last``; the next word for one that is real."""
 
-    surname = syllables("latin")
-    for script in ("cyrillic", "greek"):
-        surname = F.when(norm.startswith(f"{script}:"), syllables(script)).otherwise(surname)
-    given, real = F.lit(None).cast("string"), F.substring_index(norm, ":", -1)
+        def word(i: Column) -> Column:
+            n = _number(stream, i)
+            return F.get(pool, (n + F.when(F.get(pool, n % F.size(pool)) == real, 1).otherwise(0)) % F.size(pool))
 
-    def other(pool: Column, n: Column, size: int) -> Column:
-        """A name of the pool that is not the real one."""
-        name = F.get(pool, n % size)
-        return F.when(name == real, F.get(pool, (n + 1) % size)).otherwise(name)
+        return F.transform(F.sequence(F.lit(0), last), word)
 
-    for script in SYLLABLES:
-        for gender in ("m", "f", "n"):
-            names = [n.lower() for (g, s), pool in FIRST_NAMES.items() if s == script and gender in (g, "n") for n in pool]
-            pool = F.array(*map(F.lit, names))
-            parts = [F.when(F.col("attempt") >= i, other(pool, _number(stream, F.lit(i)), len(names))) for i in range(8)]
-            given = F.when(norm.startswith(f"{gender}:{script}:"), F.concat_ws("-", *parts)).otherwise(given)
-    given = F.concat_ws("", given, F.when(F.col("attempt") > 7, tail_letters))
-    part = F.col("part")
+    vowels = F.translate(tail_digits, "0123456789", 2 * VOWELS["latin"])
+    for script in ("cyrillic", "greek"):
+        vowels = F.when(norm.startswith(f"{script}:"), F.translate(tail_digits, "0123456789", 2 * VOWELS[script])).otherwise(vowels)
+    surname = F.concat_ws(
+        "", drawn_from_pool(F.when(attempt > 1, 3).otherwise(2), F.lit("")),
+        F.when(extra > 0, vowels), F.regexp_extract(norm, f"({ENDINGS})$", 1),
+    )
+    given = F.array_join(drawn_from_pool(F.least(attempt, F.lit(7)), F.substring_index(norm, ":", -1)), "-")
+    given = F.concat_ws("", given, F.when(attempt > 7, tail_letters))
     drawn = (
-        F.when(part == "email", _same_form(local, stream)).when(part == "domain", domain).when(part == "card", card)
-        .when(part == "iban", iban).when(part == "ip", ip).when(part == "ipv6", ipv6).when(part == "phone", phone).when(part == "secret", secret)
+        F.when(part == "domain", domain).when(part == "card", card)
+        .when(part == "iban", iban).when(part == "ip", ip).when(part == "ipv6", ipv6).when(part == "phone", phone)
         .when(part == "surname", surname).when(part == "given", given)
-        .otherwise(_same_form(number, stream))
+        .otherwise(formed)
     )
-    return d.withColumn("drawn", drawn).drop("_stream")
+    return d.select(*units.columns, drawn.alias("drawn"))
 
 
 def session_key(spark: SparkSession) -> str:
@@ -329,7 +346,8 @@ def assign(units: DataFrame, key: str) -> DataFrame:
     """Distinct (part, norm) with surrogates ``drawn`` that no other unit of the kind has.
 
     Each round draws for the units left over, keeps the first unit (by norm) of equal draws,
-    and sends the others on. A round is written before the next one reads it.
+    and sends the others on. A round is written before the next one reads it, and its draws
+    before they are compared: the optimizer would copy them into every filter it adds.
     """
     real = units.select(
         "part",
@@ -339,7 +357,7 @@ def assign(units: DataFrame, key: str) -> DataFrame:
     ).distinct()
     taken, left, done = real, units.withColumn("attempt", F.lit(0)), []
     for _ in range(MOST_ROUNDS):
-        drawn = _surrogates(left, key).join(taken.withColumn("used", F.lit(True)), ["part", "drawn"], "left")
+        drawn = _sealed(_surrogates(left, key), "draws", key).join(taken.withColumn("used", F.lit(True)), ["part", "drawn"], "left")
         first = drawn.filter("used is null").groupBy("part", "drawn").agg(F.min("norm").alias("first"))
         settled = drawn.join(first, ["part", "drawn"], "left").withColumn("ok", F.coalesce(F.col("norm") == F.col("first"), F.lit(False)))
         settled = _sealed(settled.select("part", "norm", "drawn", "attempt", "ok"), "surrogates", key)
@@ -378,7 +396,8 @@ def _capital(word: Column) -> Column:
 
 def _rendered(parts: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
     """(surface, kind, new, alone): every surface as its surrogate, in its own format and
-    case, and pairs of the names in it and their surrogates."""
+    case, and pairs of the names in it and their surrogates. What is used more than once
+    is a column of its own, as in ``_surrogates``."""
     s, kind = F.col("surface"), F.col("kind")
     which = F.when(kind == "name", F.concat_ws(":", "part", "norm")).otherwise(F.col("part")).alias("part")
     wide = (
@@ -395,7 +414,8 @@ def _rendered(parts: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
         new = F.when(w["part"] == "initial", F.translate(w["word"], *_initials(key))).when(w["part"] == "particle", w["word"]).otherwise(new)
         return F.struct(w["word"].alias("real"), new.alias("new"), w["part"].alias("part"))
 
-    words = F.when(kind == "name", F.transform(_name_words(s), renamed))
+    wide = wide.withColumn("_words", F.when(kind == "name", F.transform(_name_words(s), renamed)))
+    words, is_ipv6 = F.col("_words"), (kind == "ip") & s.contains(":")
     left, right, _ = _ipv6(s)
     group = lambda i: F.substring(by("ipv6"), i * 4 + 1, F.lit(4))
     cut = lambda i, g: F.substring(group(i), 5 - F.length(g), F.lit(4))
@@ -404,21 +424,23 @@ def _rendered(parts: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
         F.when(s.contains("::"), "::").otherwise(""),
         F.array_join(F.transform(right, lambda g, i: cut(8 - F.size(right) + i, g)), ":"),
     )
-    ipv6 = F.when(_ipv6(ipv6)[2] == by("ipv6"), ipv6).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), group), ":"))
-    ipv6 = F.when(s == F.lower(s), ipv6).otherwise(F.upper(ipv6))
+    wide = wide.withColumn("_short", F.when(is_ipv6, ipv6))
+    short, full = F.col("_short"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), group), ":")
+    ipv6 = F.when(_ipv6(short)[2] == by("ipv6"), short).otherwise(full)
+    digits = F.when(kind == "phone", F.regexp_replace(by("phone"), r"\+", "")).when(kind == "card", by("card")).otherwise(by("ssn"))
     prefix = F.regexp_extract(s, rf"^({_SECRET_LABEL})?(.*)$", 1)
     new = (
         F.when(kind == "email", F.concat(by("email"), F.lit("@"), by("domain")))
         .when(kind == "secret", F.concat(prefix, by("secret")))
         .when(kind == "iban", _fill(s, by("iban"), "[A-Z0-9]"))
-        .when((kind == "ip") & s.contains(":"), ipv6)
+        .when(is_ipv6, ipv6)
         .when(kind == "ip", by("ip"))
         .when(kind == "name", F.concat(title, F.array_join(F.transform(words, lambda w: w["new"]), " ")))
-        .when(kind == "phone", _fill(s, F.regexp_replace(by("phone"), r"\+", ""), "[0-9]"))
-        .when(kind == "card", _fill(s, by("card"), "[0-9]"))
-        .otherwise(_fill(s, by("ssn"), "[0-9]"))
+        .otherwise(_fill(s, digits, "[0-9]"))
     )
-    new = F.when((kind == "email") & (s == F.upper(s)), F.upper(new)).otherwise(new)
+    wide, new = wide.withColumn("_new", new), F.col("_new")
+    capitals = ((kind == "email") & (s == F.upper(s))) | (is_ipv6 & (s != F.lower(s)))
+    new = F.when(capitals, F.upper(new)).otherwise(new)
     found = F.filter(words, lambda w: w["part"].isin("surname", "given"))
 
     def cases(w: Column) -> Column:
